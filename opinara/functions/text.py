@@ -222,8 +222,8 @@ def base_quality(source: Column) -> Column:
 
 
 def completeness_quality(title: Column, content: Column) -> Column:
-    title_bonus = F.when(F.length(or_empty(title)) > 10, 0.2).otherwise(0.0)
-    content_bonus = F.when(F.length(or_empty(content)) > 50, 0.3).otherwise(0.0)
+    title_bonus = F.when(F.length(strip(or_empty(title))) > 10, 0.2).otherwise(0.0)
+    content_bonus = F.when(F.length(strip(or_empty(content))) > 50, 0.3).otherwise(0.0)
     return F.least(F.lit(0.5) + title_bonus + content_bonus, F.lit(1.0))
 
 

@@ -231,7 +231,7 @@ def quality_assertions(spark, sf_dir):
 
 @query(
     "quality_summary",
-    """WITH q AS (SELECT *, least(0.5::DOUBLE + CASE WHEN length(title) > 10 THEN 0.2::DOUBLE ELSE 0 END + CASE WHEN length(content) > 50 THEN 0.3::DOUBLE ELSE 0 END, 1.0) AS cq FROM landed)
+    """WITH q AS (SELECT *, least(0.5::DOUBLE + CASE WHEN length(trim(title)) > 10 THEN 0.2::DOUBLE ELSE 0 END + CASE WHEN length(trim(content)) > 50 THEN 0.3::DOUBLE ELSE 0 END, 1.0) AS cq FROM landed)
   SELECT source, count(*) AS rows, count(*) FILTER (WHERE cq >= 0.8) AS high_quality, count(*) - count(DISTINCT fingerprint) AS duplicates,
   round_even(avg(cq), 3) AS avg_quality, count(DISTINCT date) AS dates FROM q GROUP BY 1""",
 )
