@@ -69,7 +69,7 @@ def classification_metrics(pairs: DataFrame) -> DataFrame:
 
 def confusion_matrix(pairs: DataFrame) -> DataFrame:
     """Raw and row-normalised counts per true class, with specificity and false positive rate."""
-    cells = pairs.groupBy("y_true").pivot("y_pred", list(CLASSES)).agg(F.count("*")).na.fill(0)
+    cells = pairs.groupBy("y_true").pivot("y_pred", list(CLASSES)).count().na.fill(0)
     whole = sum((F.col(c) for c in CLASSES), F.lit(0))
     counts = class_counts(pairs)
     negatives = F.col("total") - F.col("support")

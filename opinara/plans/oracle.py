@@ -131,6 +131,7 @@ CTES = {
     + ") v(topic_id, name)",
     "pass_title": lexicon_cte(f"(SELECT * FROM raw WHERE date < DATE '{corpus.SCORED_BEFORE}')", "title", "id, date"),
     "pass_text": lexicon_cte(f"(SELECT * FROM raw WHERE date < DATE '{corpus.SCORED_BEFORE}')", _BOTH, "id, date"),
+    "pass_all": lexicon_cte("raw", _BOTH, "id"),
     "model_output": f"""SELECT id * 2 AS output_id, id AS raw_data_id, 'sentiment_keyword' AS model_name, {LADDER_LABEL} AS label,
   {LADDER_SCORE} AS score, CAST(date AS TIMESTAMP) AS created_at FROM pass_title
   UNION ALL SELECT id * 2 + 1, id, 'sentiment_keyword', {LADDER_LABEL}, {LADDER_SCORE}, CAST(date + 1 AS TIMESTAMP) FROM pass_text

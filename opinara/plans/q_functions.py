@@ -34,7 +34,7 @@ def sanitize_text(spark, sf_dir):
 def _stripped_html(x: str) -> str:
     for pattern in ("(?is)<script[^>]*>.*?</script>", "(?is)<style[^>]*>.*?</style>", "(?s)<!--.*?-->", "(?s)<[^>]*>"):
         x = f"regexp_replace({x}, '{pattern}', ' ', 'g')"
-    for entity, character in (("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "''"), ("&nbsp;", " "), ("&amp;", "&")):
+    for entity, character in (("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "''"), ("&nbsp;", " "), ("&copy;", "©"), ("&middot;", "·"), ("&amp;", "&")):
         x = f"replace({x}, '{entity}', '{character}')"
     return x
 
