@@ -161,20 +161,22 @@ def add_topic_scores(df: DataFrame, topics: TopicTable) -> DataFrame:
         listed = F.array(*[F.lit(k) for k in keywords])
         return F.size(F.filter(listed, lambda k: F.contains(F.col(haystack), k)))
 
-    scored = []
-    for place, (topic, keywords) in enumerate(topics.keywords.items()):
+    shares = []
+    for keywords in topics.keywords.values():
         weighted = hits("_title", keywords) * TITLE_WEIGHT + hits("_content", keywords)
-        score = F.least(weighted / F.lit(float(len(keywords) or 1)), F.lit(1.0))
-        scored.append(
-            F.struct(
-                (-score).alias("neg_score"), F.lit(place).alias("place"), F.lit(topic).alias("topic"),
-                score.alias("score"),
-            )
-        )
+        shares.append(F.least(weighted / F.lit(float(len(keywords) or 1)), F.lit(1.0)))
+    names = F.array(*[F.lit(topic) for topic in topics.keywords])
+    entries = F.transform(
+        "_shares",
+        lambda share, place: F.struct(
+            (-share).alias("neg_score"), place.alias("place"), F.get(names, place).alias("topic"), share.alias("score")
+        ),
+    )
     return (
         df.withColumns({"_title": ascii_fold(or_empty(F.col("title"))), "_content": ascii_fold(or_empty(F.col("content")))})
-        .withColumn("topic_scores", F.filter(F.array(*scored), lambda s: s["score"] > 0))
-        .drop("_title", "_content")
+        .withColumn("_shares", F.array(*shares))
+        .withColumn("topic_scores", F.filter(entries, lambda s: s["score"] > 0))
+        .drop("_title", "_content", "_shares")
     )
 
 

@@ -22,16 +22,22 @@ from opinara.functions.numbers import one_of
 # The two Python helpers below travel to the workers by value, whether or not the package is installed there.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
-# Character classes. Every blank that Python strips, written so that Java and RE2 read it the same way.
-BLANK = (
-    r"[\s\x{0b}\x{1c}-\x{1f}\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]"
+# Character classes, readable by Java and RE2 alike. Blanks are every character that Python strips. They
+# are written as "none of the others", most frequent letters first: a regex engine tests class members in turn, and this
+# way an ordinary letter is settled by the first one.
+NOT_BLANK_RANGES = (
+    r"\x{21}-\x{7e}\x{a1}-\x{167f}\x{1681}-\x{1fff}\x{200b}-\x{2027}\x{202a}-\x{202e}\x{2030}-\x{205e}\x{2060}-\x{2fff}"
+    r"\x{3001}-\x{10ffff}\x{00}-\x{08}\x{0e}-\x{1b}\x{7f}-\x{84}\x{86}-\x{9f}"
 )
+BLANK = f"[^{NOT_BLANK_RANGES}]"
+BLANK_RUN = rf"\x{{20}}{BLANK}+|[^{NOT_BLANK_RANGES}\x{{20}}]{BLANK}*"
+UNUSUAL = r"[^\x{20}-\x{2ff}\t\n\r]"
 BLANK_CHARS = (
     "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a"
     "\u2028\u2029\u202f\u205f\u3000"
 )
 REMOVED = r"[\x{00}-\x{08}\x{0b}\x{0c}\x{0e}-\x{1f}\x{feff}\x{fffd}]"
-WORD_BREAK = r"[^\p{L}\p{N}_]+"
+WORD_BREAK = r"[^a-zA-Z0-9_\p{L}\p{N}]+"
 NOT_PRINTABLE = r"[\p{C}\p{Z}\x{10000}-\x{10ffff}]"
 EXOTIC = r"[\x{250}-\x{10ffff}]"
 EXOTIC_BLANK = r"[\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]"
@@ -83,18 +89,15 @@ def _compose(texts: pd.Series) -> pd.Series:
     return texts.map(lambda t: unicodedata.normalize("NFC", t), na_action="ignore")
 
 
-def nfc(text: Column) -> Column:
-    """Canonical composition; only rows that may change travel to Python.
+def sanitize_text(text: Column) -> Column:
+    """Drop byte-order marks, control and replacement characters, compose, strip; null becomes empty.
 
-    A text of Latin letters below U+0300 is already composed, so the test is one pass for anything above that range.
+    A text without control characters and below U+0300 needs neither: one pass tells, and only the others are rewritten
+    and sent to Python.
     """
-    suspect = text.rlike(r"[\x{300}-\x{10ffff}]")
-    return F.coalesce(_compose(F.when(suspect, text)), text)
-
-
-def sanitize_text(text: Column) -> Column:
-    """Drop byte-order marks, control and replacement characters, compose, strip; null becomes empty."""
-    return strip(nfc(F.regexp_replace(or_empty(text), REMOVED, "")))
+    whole = or_empty(text)
+    composed = _compose(F.when(whole.rlike(UNUSUAL), F.regexp_replace(whole, REMOVED, "")))
+    return strip(F.coalesce(composed, whole))
 
 
 class _TextNodes(HTMLParser):
@@ -142,7 +145,7 @@ def clean_html(text: Column) -> Column:
 
 def normalize_ws(text: Column) -> Column:
     """Every run of blanks becomes one space."""
-    return strip(F.regexp_replace(text, f"{BLANK}+", " "))
+    return strip(F.regexp_replace(text, BLANK_RUN, " "))
 
 
 def clean_articles(df: DataFrame) -> DataFrame:

@@ -54,7 +54,7 @@ def split_dedup(df: DataFrame, unique: str = "id", text: str = "content") -> Dat
         key = filled(F.col(column))
         df = keep_first(df.withColumn("_key", F.coalesce(key, own)), ["_key"], order).drop("_key")
         order = [key.isNull(), *order]
-    return keep_first(df, [or_empty(F.col(text))], order)
+    return keep_first(df, [F.sha2(or_empty(F.col(text)), 256)], order)
 
 
 def hash_order(unique: str, seed: int) -> Column:
@@ -105,7 +105,7 @@ def split_leakage(split: DataFrame, keys: tuple[str, ...] = ("fingerprint", "url
     """Keys shared by two splits, per key column; each key is reduced to three marks before anything is compared."""
     reports = []
     for key in keys:
-        marks = split.filter(filled(F.col(key)).isNotNull()).groupBy(F.xxhash64(key).alias("h"), F.sha2(key, 256).alias("k")).agg(
+        marks = split.filter(filled(F.col(key)).isNotNull()).groupBy(F.sha2(key, 256)).agg(
             *[F.max(F.when(F.col("split") == s, 1).otherwise(0)).alias(s) for s in ("train", "val", "test")]
         )
         pairs = {"train_val": ("train", "val"), "train_test": ("train", "test"), "val_test": ("val", "test")}

@@ -90,16 +90,20 @@ def growth_timeline(reports: DataFrame) -> DataFrame:
     )
 
 
-def pareto_frontier(df: DataFrame, group: str, cost: str, gain: str, unique: str, salts: int = 32) -> DataFrame:
+def pareto_frontier(df: DataFrame, group: str, cost: str, gain: str, unique: str, salts: int | None = None) -> DataFrame:
     """Rows whose gain beats every cheaper row of the group.
 
-    The frontier of a union is the frontier of the parts' frontiers: parts of a group are thinned first, so the final
-    window over a hot group sees only candidates.
+    First the best row per cost is kept, which combines before the shuffle. Then, as the frontier of a union is the
+    frontier of the parts' frontiers, the parts of a group are thinned on their own (as many parts as shuffle
+    partitions), and the last window over a hot group sees only candidates.
     """
-    cheaper = [F.col(cost), F.desc(gain), F.col(unique)]
-    part = F.pmod(F.xxhash64(unique), F.lit(salts))
+    spread_over = salts or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    row = F.struct((-F.col(gain)).alias("_neg"), F.col(unique), *[c for c in df.columns if c not in (group, cost, unique)])
+    best_per_cost = df.groupBy(group, cost).agg(F.min(row).alias("_r"))
+    kept = best_per_cost.select(*[F.col(c) if c in (group, cost) else F.col(f"_r.{c}").alias(c) for c in df.columns])
+    part = F.pmod(F.xxhash64(unique), F.lit(spread_over))
     for by in ([group, "_part"], [group]):
-        best = F.max(gain).over(Window.partitionBy(*by).orderBy(*cheaper).rowsBetween(Window.unboundedPreceding, -1))
-        df = df.withColumn("_part", part).withColumn("_best", best).filter(F.col("_best").isNull() | (F.col(gain) > F.col("_best")))
-        df = df.drop("_best", "_part")
-    return df
+        cheaper = Window.partitionBy(*by).orderBy(cost).rowsBetween(Window.unboundedPreceding, -1)
+        kept = kept.withColumn("_part", part).withColumn("_best", F.max(gain).over(cheaper))
+        kept = kept.filter(F.col("_best").isNull() | (F.col(gain) > F.col("_best"))).drop("_best", "_part")
+    return kept

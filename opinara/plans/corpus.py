@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from opinara.functions import labels, lexicon, text
@@ -72,7 +72,11 @@ def sources(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def landed(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Articles with the content hash, before validity and dedup."""
-    return articles(spark, sf_dir).withColumn("fingerprint", text.fingerprint(F.col("title"), F.col("content")))
+
+    def build() -> DataFrame:
+        return articles(spark, sf_dir).withColumn("fingerprint", text.fingerprint(F.col("title"), F.col("content")))
+
+    return _layer(spark, sf_dir, "landed", build)
 
 
 def raw(spark: SparkSession, sf_dir: str) -> DataFrame:

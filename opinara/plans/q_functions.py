@@ -12,6 +12,7 @@ from opinara.plans import corpus
 from opinara.plans.oracle import _topic_entries, lexicon_cte, squeeze, strip
 from opinara.plans.registry import query
 from opinara.plans.vocabulary import LEXICON, TOPICS
+from opinara.storage import spread
 
 
 def _sanitized(x: str) -> str:
@@ -42,7 +43,7 @@ def _stripped_html(x: str) -> str:
 @query("clean_html", f"SELECT page_id, {squeeze(_stripped_html('html'))} AS clean FROM pages")
 def clean_html(spark, sf_dir):
     page_text = text.normalize_ws(text.clean_html(F.col("html")))
-    return corpus.table(spark, sf_dir, "pages").select("page_id", page_text.alias("clean"))
+    return spread(corpus.table(spark, sf_dir, "pages")).select("page_id", page_text.alias("clean"))
 
 
 @query("normalize_ws", f"SELECT id, {squeeze('content')} AS clean FROM articles")

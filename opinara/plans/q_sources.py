@@ -10,7 +10,7 @@ from opinara.plans.oracle import squeeze, strip
 from opinara.plans.registry import query
 from opinara.sources import files, pages, payloads, sinks
 from opinara.sources import layers as layer_source
-from opinara.storage import new_path
+from opinara.storage import new_path, spread
 
 
 def _day(column="date"):
@@ -179,7 +179,7 @@ _LINES = "SELECT doc_id, i, line FROM (SELECT doc_id, unnest(string_split(text,
 
 
 def _lines(spark, sf_dir):
-    return corpus.table(spark, sf_dir, "documents").withColumn("lines", F.split("text", "\n"))
+    return spread(corpus.table(spark, sf_dir, "documents")).withColumn("lines", F.split("text", "\n"))
 
 
 @query(

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from opinara.plans import corpus
 from opinara.plans.registry import query
-from opinara.storage import new_path, stage
+from opinara.storage import new_path, write_staged
 from opinara.streaming import jobs, rules
 
 _CLOSED = "(SELECT max(ts) - INTERVAL 1 HOUR FROM events)"
@@ -181,8 +181,7 @@ def stream_failure_burst(spark, sf_dir):
 
 def _layer_stream(df, name):
     """A written layer read back as a stream."""
-    written = stage(df, name)
-    return jobs.folder_stream(df.sparkSession, written.inputFiles()[0].rsplit("/", 1)[0], written.schema, "*.parquet")
+    return jobs.folder_stream(df.sparkSession, write_staged(df, name), df.schema, "*.parquet")
 
 
 @query(

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from opinara.functions.text import CONTENT_WIDTH, TITLE_WIDTH, cut, is_valid, normalize_ws
 from opinara.operators.filters import mentions
 from opinara.operators.skew import keep_first
+from opinara.storage import spread
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
@@ -64,7 +65,7 @@ def _links(batches: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 def page_links(pages: DataFrame) -> DataFrame:
     """Every link of every page, in page order."""
     schema = "page_id bigint, url string, place int, href string, text string"
-    found = pages.select("page_id", "url", "html").mapInPandas(_links, schema)
+    found = spread(pages.select("page_id", "url", "html")).mapInPandas(_links, schema)
     return found.withColumn("text", normalize_ws(F.col("text")))
 
 

@@ -211,17 +211,19 @@ def _records(payloads: pd.Series) -> pd.Series:
 def record_articles(payloads: DataFrame, tag: str, default_url: str, column: str = "payload") -> DataFrame:
     """Articles of nested statistics payloads; a record without description keeps itself as text."""
     items = payloads.withColumn("item", F.explode_outer(_records(column))).filter(F.col("item").isNotNull())
+    keys = dict.fromkeys((*RECORD_TITLE_KEYS, *RECORD_TEXT_KEYS, *RECORD_URL_KEYS))
+    parsed = items.withColumn("_r", F.from_json("item", ", ".join(f"{key} string" for key in keys)))
 
-    def first_of(keys: tuple[str, ...]) -> Column:
-        return F.coalesce(*[F.nullif(F.get_json_object("item", f"$.{k}"), F.lit("")) for k in keys])
+    def first_of(names: tuple[str, ...]) -> Column:
+        return F.coalesce(*[F.nullif(F.col(f"_r.{name}"), F.lit("")) for name in names])
 
-    staged = items.withColumns(
+    staged = parsed.withColumns(
         {
             "_title": cut(strip(or_empty(first_of(RECORD_TITLE_KEYS))), TITLE_WIDTH),
             "_text": first_of(RECORD_TEXT_KEYS),
             "url": F.coalesce(first_of(RECORD_URL_KEYS), F.lit(default_url)),
         }
-    ).filter(F.length("_title") >= RECORD_TITLE_MINIMUM)
+    ).drop("_r").filter(F.length("_title") >= RECORD_TITLE_MINIMUM)
     described = normalize_ws(clean_html(F.col("_text")))
     rows = staged.withColumns(
         {

@@ -34,12 +34,16 @@ def new_path(spark: SparkSession, name: str) -> str:
     return f"{work_dir(spark)}/{name}-{uuid.uuid4().hex}"
 
 
+def write_staged(df: DataFrame, name: str) -> str:
+    """Write ``df`` below the work folder; returns the path."""
+    path = new_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return path
+
+
 def stage(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` once and return a scan of the written files."""
-    spark = df.sparkSession
-    path = new_path(spark, name)
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(write_staged(df, name))
 
 
 def spread(df: DataFrame) -> DataFrame:

@@ -64,9 +64,23 @@ def enrichment_rate(df: DataFrame, enriched: Column, every: str = "1 day", floor
 
 
 def sessions(df: DataFrame, by: tuple[str, ...], gap: str, time: str = "ts") -> DataFrame:
-    """Runs of activity with no pause of ``gap``; a session ends ``gap`` after its last row."""
-    grouped = df.withWatermark(time, LATENESS).groupBy(F.session_window(time, gap).alias("window"), *by)
-    return _flat(grouped.agg(F.count("*").alias("count")))
+    """Runs of activity with no pause of ``gap`` (a minute or more); a session ends ``gap`` after its last row.
+
+    One key may own most rows, so they are merged before the shuffle. A stream does that by Spark's local merge of
+    sessions. A table is first reduced to one row per key and minute: rows of a minute share a session, and each
+    minute becomes a session from its first row to ``gap`` after its last one, so the result is exact.
+    """
+    if df.isStreaming:
+        df.sparkSession.conf.set("spark.sql.streaming.sessionWindow.merge.sessions.in.local.partition", "true")
+        grouped = df.withWatermark(time, LATENESS).groupBy(F.session_window(time, gap).alias("window"), *by)
+        return _flat(grouped.agg(F.count("*").alias("count")))
+    minutes = df.groupBy(*by, F.date_trunc("minute", F.col(time))).agg(
+        F.min(time).alias("_first"), F.max(time).alias("_last"), F.count("*").alias("_n")
+    )
+    length = (F.col("_last") + F.expr(f"INTERVAL {gap}")) - F.col("_first")
+    micros = F.unix_micros(F.timestamp_seconds(F.lit(0)) + length)
+    window = F.session_window("_first", F.concat(micros.cast("string"), F.lit(" microseconds"))).alias("window")
+    return _flat(minutes.groupBy(window, *by).agg(F.sum("_n").alias("count")))
 
 
 def silence(df: DataFrame, by: tuple[str, ...] = (), gap: str = SILENCE, time: str = "ts") -> DataFrame:
