@@ -17,7 +17,7 @@ def _in(group: str) -> str:
 
 
 def _rounded(df, *columns):
-    return df.withColumns({c: F.round(c, 6) for c in columns})
+    return df.withColumns({c: F.round(c, 10) for c in columns})
 
 
 @query("agg_sentiment", "SELECT sentiment, count(*) AS count FROM gold GROUP BY 1")
@@ -25,7 +25,7 @@ def agg_sentiment(spark, sf_dir):
     return agg.by_sentiment(corpus.gold(spark, sf_dir))
 
 
-@query("agg_source", "SELECT source, count(*) AS count, round(avg(sentiment_score), 6) AS avg_sentiment_score FROM gold GROUP BY 1")
+@query("agg_source", "SELECT source, count(*) AS count, round(avg(sentiment_score), 10) AS avg_sentiment_score FROM gold GROUP BY 1")
 def agg_source(spark, sf_dir):
     return _rounded(agg.by_source(corpus.gold(spark, sf_dir)), "avg_sentiment_score")
 
@@ -47,7 +47,7 @@ def top_topics(spark, sf_dir):
 
 @query(
     "dist_sentiment",
-    "SELECT sentiment, count(*) AS count, round(count(*) * 100.0::DOUBLE / (SELECT count(*) FROM gold), 6) AS percentage FROM gold GROUP BY 1",
+    "SELECT sentiment, count(*) AS count, round(count(*) * 100.0::DOUBLE / (SELECT count(*) FROM gold), 10) AS percentage FROM gold GROUP BY 1",
 )
 def dist_sentiment(spark, sf_dir):
     return _rounded(agg.sentiment_distribution(corpus.gold(spark, sf_dir)), "percentage")
@@ -60,7 +60,7 @@ def daily_trend(spark, sf_dir):
 
 @query(
     "statistics",
-    """SELECT count(*) AS total_articles, count(DISTINCT source) AS total_sources, round(avg(sentiment_score), 6) AS avg_score,
+    """SELECT count(*) AS total_articles, count(DISTINCT source) AS total_sources, round(avg(sentiment_score), 10) AS avg_score,
   max(sentiment_score) AS max_score, min(sentiment_score) AS min_score,
   (SELECT string_agg(sentiment || '=' || n, ',' ORDER BY sentiment) FROM (SELECT sentiment, count(*) AS n FROM gold GROUP BY 1)) AS sentiment_distribution
   FROM gold""",
@@ -91,8 +91,8 @@ def drift_metrics(spark, sf_dir):
 
 @query(
     "sentiment_drift",
-    """SELECT coalesce(a.sentiment, b.sentiment) AS sentiment, round(coalesce(a.p, 0), 6) AS current_pct,
-  round(coalesce(b.p, 0), 6) AS previous_pct, round(coalesce(a.p, 0) - coalesce(b.p, 0), 6) AS delta,
+    """SELECT coalesce(a.sentiment, b.sentiment) AS sentiment, round(coalesce(a.p, 0), 10) AS current_pct,
+  round(coalesce(b.p, 0), 10) AS previous_pct, round(coalesce(a.p, 0) - coalesce(b.p, 0), 10) AS delta,
   abs(coalesce(a.p, 0) - coalesce(b.p, 0)) >= 5.0 AS alert FROM
   (SELECT sentiment, count(*) * 100.0::DOUBLE / (SELECT count(*) FROM gold) AS p FROM gold GROUP BY 1) a FULL JOIN
   (SELECT sentiment, count(*) * 100.0::DOUBLE / (SELECT count(*) FROM gold WHERE date < DATE '2024-01-08') AS p
@@ -115,8 +115,8 @@ UNION ALL SELECT 'overall', 'rows', count(*) FROM gold
 UNION ALL SELECT 'overall', 'alias_rows', 0
 UNION ALL SELECT 'overall', 'distinct_topics', count(DISTINCT nullif(topic_1, '')) FROM gold
 UNION ALL SELECT 'overall', 'fallback_rows', count(*) FILTER (WHERE topic_1 = 'autre') FROM gold
-UNION ALL SELECT 'overall', 'mean_score', round(avg(sentiment_score), 6) FROM gold
-UNION ALL SELECT 'overall', 'std_score', round(stddev_samp(sentiment_score), 6) FROM gold
+UNION ALL SELECT 'overall', 'mean_score', round(avg(sentiment_score), 10) FROM gold
+UNION ALL SELECT 'overall', 'std_score', round(stddev_samp(sentiment_score), 10) FROM gold
 UNION ALL SELECT 'ids', 'missing_ids', 0 UNION ALL SELECT 'ids', 'duplicate_ids', 0""",
 )
 def corpus_profile(spark, sf_dir):
@@ -128,7 +128,7 @@ def label_mapping(spark, sf_dir):
     return agg.label_mapping(corpus.gold(spark, sf_dir))
 
 
-_COVER = "round(avg(CASE WHEN topic_1 <> '' THEN 1.0::DOUBLE ELSE 0 END), 6)"
+_COVER = "round(avg(CASE WHEN topic_1 <> '' THEN 1.0::DOUBLE ELSE 0 END), 10)"
 
 
 @query(
@@ -154,8 +154,8 @@ def flow_kpis(spark, sf_dir):
 
 @query(
     "insight_facts",
-    """SELECT (SELECT count(*) FROM gold) AS total, (SELECT round(avg(sentiment_score), 6) FROM gold) AS mean_score, l.sentiment AS dominant,
-  round(l.n::DOUBLE / (SELECT count(*) FROM gold), 6) AS dominant_share,
+    """SELECT (SELECT count(*) FROM gold) AS total, (SELECT round(avg(sentiment_score), 10) FROM gold) AS mean_score, l.sentiment AS dominant,
+  round(l.n::DOUBLE / (SELECT count(*) FROM gold), 10) AS dominant_share,
   (SELECT topic_1 FROM gold WHERE topic_1 <> '' GROUP BY 1 ORDER BY count(*) DESC, 1 LIMIT 1) AS top_topic,
   (SELECT string_agg(source, ',' ORDER BY n DESC, source) FROM (SELECT source, count(*) AS n FROM gold GROUP BY 1 ORDER BY 2 DESC, 1 LIMIT 3)) AS top_sources
   FROM (SELECT sentiment, count(*) AS n FROM gold GROUP BY 1 ORDER BY 2 DESC, 1 LIMIT 1) l""",
@@ -166,7 +166,7 @@ def insight_facts(spark, sf_dir):
 
 @query(
     "source_mix",
-    "SELECT source, count(*) AS count, round(count(*)::DOUBLE / (SELECT count(*) FROM gold), 6) AS share FROM gold GROUP BY 1 ORDER BY 2 DESC, 1 LIMIT 4",
+    "SELECT source, count(*) AS count, round(count(*)::DOUBLE / (SELECT count(*) FROM gold), 10) AS share FROM gold GROUP BY 1 ORDER BY 2 DESC, 1 LIMIT 4",
 )
 def source_mix(spark, sf_dir):
     return _rounded(agg.source_mix(corpus.gold(spark, sf_dir)), "share")
@@ -174,7 +174,7 @@ def source_mix(spark, sf_dir):
 
 @query(
     "risk_score",
-    """SELECT round(s, 6) AS negative_share, CASE WHEN s >= 0.45 THEN 8 WHEN s >= 0.35 THEN 6 WHEN s >= 0.25 THEN 4 ELSE 2 END AS risk
+    """SELECT round(s, 10) AS negative_share, CASE WHEN s >= 0.45 THEN 8 WHEN s >= 0.35 THEN 6 WHEN s >= 0.25 THEN 4 ELSE 2 END AS risk
   FROM (SELECT avg(CASE WHEN contains(lower(sentiment), 'neg') THEN 1.0::DOUBLE ELSE 0 END) AS s FROM gold)""",
 )
 def risk_score(spark, sf_dir):
@@ -183,7 +183,7 @@ def risk_score(spark, sf_dir):
 
 @query(
     "temporal_trend",
-    """SELECT round(r, 6) AS score_recent, round(o, 6) AS score_old, CASE WHEN r > o + 0.05 THEN 'hausse' WHEN r < o - 0.05 THEN 'baisse' ELSE 'stable' END AS trend
+    """SELECT round(r, 10) AS score_recent, round(o, 10) AS score_old, CASE WHEN r > o + 0.05 THEN 'hausse' WHEN r < o - 0.05 THEN 'baisse' ELSE 'stable' END AS trend
   FROM (SELECT avg(sentiment_score) FILTER (WHERE epoch_us(collected_at) >= m) AS r, avg(sentiment_score) FILTER (WHERE epoch_us(collected_at) < m) AS o, count(*) AS n
   FROM gold, (SELECT quantile_cont(epoch_us(collected_at)::DOUBLE, 0.5) AS m FROM gold)) WHERE n >= 20""",
 )
@@ -197,7 +197,7 @@ def _themes_sql(patterns, titles: int) -> str:
         + " OR ".join(f"contains(lower(title), '{p}')" for p in parts)
         for theme, parts in patterns.items()
     )
-    return f"""WITH hit AS ({rows}) SELECT theme, count(*) AS count, round(avg(sentiment_score), 6) AS mean_score,
+    return f"""WITH hit AS ({rows}) SELECT theme, count(*) AS count, round(avg(sentiment_score), 10) AS mean_score,
   (SELECT sentiment FROM hit h WHERE h.theme = t.theme GROUP BY 1 ORDER BY count(*) DESC, 1 LIMIT 1) AS dominant_sentiment,
   (SELECT string_agg(title, ' | ' ORDER BY id) FROM (SELECT id, title FROM hit h WHERE h.theme = t.theme ORDER BY id LIMIT {titles})) AS sample_titles
   FROM hit t GROUP BY theme"""
@@ -216,7 +216,7 @@ def event_signals(spark, sf_dir):
 @query(
     "event_signals_fallback",
     """WITH hit AS (SELECT * FROM gold WHERE topic_1 = 'sport') SELECT 'Sport (topic)' AS theme, count(*) AS count,
-  round(avg(sentiment_score), 6) AS mean_score, (SELECT sentiment FROM hit GROUP BY 1 ORDER BY count(*) DESC, 1 LIMIT 1) AS dominant_sentiment,
+  round(avg(sentiment_score), 10) AS mean_score, (SELECT sentiment FROM hit GROUP BY 1 ORDER BY count(*) DESC, 1 LIMIT 1) AS dominant_sentiment,
   (SELECT string_agg(title, ' | ' ORDER BY id) FROM (SELECT id, title FROM hit ORDER BY id LIMIT 2)) AS sample_titles FROM hit""",
 )
 def event_signals_fallback(spark, sf_dir):
@@ -241,9 +241,9 @@ def _bulletin(df):
     f"""WITH w AS (SELECT *, row_number() OVER (ORDER BY collected_at DESC, id DESC) AS place,
   lower('Bulletin meteo ' || upper(lang[1]) || lang[2:] || ': ' || (length(content) % 40) || '.5C - ' ||
   CASE WHEN length(title) % 3 = 0 THEN 'ensoleille' ELSE 'orages' END) AS low FROM ({_WEATHER}))
-SELECT count(*) AS weather_count, round(avg(sentiment_score), 6) AS weather_mean_score,
+SELECT count(*) AS weather_count, round(avg(sentiment_score), 10) AS weather_mean_score,
   string_agg(upper(lang[1]) || lang[2:], ',' ORDER BY place) FILTER (WHERE place <= 5) AS cities,
-  round(avg(CAST(regexp_extract(low, '([\\d.]+)\\s*c', 1) AS DOUBLE)) FILTER (WHERE place <= 5), 6) AS avg_temp,
+  round(avg(CAST(regexp_extract(low, '([\\d.]+)\\s*c', 1) AS DOUBLE)) FILTER (WHERE place <= 5), 10) AS avg_temp,
   count(*) FILTER (WHERE place <= 5 AND contains(low, 'orages')) AS alert_mentions,
   count(*) FILTER (WHERE place <= 5 AND contains(low, 'ensoleill')) >= 2 AND count(*) FILTER (WHERE place <= 5 AND contains(low, 'orages')) = 0 AS mild_regime
 FROM w""",
@@ -254,7 +254,7 @@ def weather_block(spark, sf_dir):
 
 @query(
     "weather_week_overlap",
-    f"""SELECT count(*) AS rows, round(avg(sentiment_score), 6) AS mean_score FROM gold, (SELECT max(collected_at) AS m FROM ({_WEATHER}))
+    f"""SELECT count(*) AS rows, round(avg(sentiment_score), 10) AS mean_score FROM gold, (SELECT max(collected_at) AS m FROM ({_WEATHER}))
   WHERE topic_1 = 'sante' AND collected_at BETWEEN m - INTERVAL 7 DAYS AND m""",
 )
 def weather_week_overlap(spark, sf_dir):
@@ -265,7 +265,7 @@ def weather_week_overlap(spark, sf_dir):
 @query(
     "participation_vs_media",
     f"""SELECT * FROM (SELECT CASE WHEN source IN {_in('participatory')} THEN 'participatory' WHEN source IN {_in('media')} THEN 'media' ELSE 'other' END AS voice,
-  count(*) AS count, round(avg(sentiment_score), 6) AS mean_score, round(count(*)::DOUBLE / (SELECT count(*) FROM gold), 6) AS share FROM gold GROUP BY 1) WHERE voice <> 'other'""",
+  count(*) AS count, round(avg(sentiment_score), 10) AS mean_score, round(count(*)::DOUBLE / (SELECT count(*) FROM gold), 10) AS share FROM gold GROUP BY 1) WHERE voice <> 'other'""",
 )
 def participation_vs_media(spark, sf_dir):
     return _rounded(agg.participation_vs_media(corpus.gold(spark, sf_dir)), "mean_score", "share")
@@ -273,7 +273,7 @@ def participation_vs_media(spark, sf_dir):
 
 @query(
     "economic_signal",
-    f"""SELECT total, sentiment AS dominant, round(n::DOUBLE / total, 6) AS dominant_share FROM
+    f"""SELECT total, sentiment AS dominant, round(n::DOUBLE / total, 10) AS dominant_share FROM
   (SELECT sentiment, count(*) AS n, (SELECT count(*) FROM gold WHERE source IN {_in('economic')}) AS total FROM gold
    WHERE source IN {_in('economic')} GROUP BY 1 ORDER BY 2 DESC, 1 LIMIT 1) WHERE total >= 5""",
 )
@@ -289,15 +289,15 @@ def score_histogram(spark, sf_dir):
     return agg.score_histogram(corpus.gold(spark, sf_dir))
 
 
-@query("mean_by_label", "SELECT sentiment, count(*) AS count, round(avg(sentiment_score), 6) AS mean_score FROM gold GROUP BY 1")
+@query("mean_by_label", "SELECT sentiment, count(*) AS count, round(avg(sentiment_score), 10) AS mean_score FROM gold GROUP BY 1")
 def mean_by_label(spark, sf_dir):
     return _rounded(agg.mean_by_label(corpus.gold(spark, sf_dir)), "mean_score")
 
 
 @query(
     "latency_percentiles",
-    """SELECT round(avg(value), 6) AS mean, round(quantile_cont(value, 0.5), 6) AS p50, round(quantile_cont(value, 0.9), 6) AS p90,
-  round(quantile_cont(value, 0.99), 6) AS p99, max(value) AS max, round(avg(CASE WHEN value <= 300 THEN 1.0::DOUBLE ELSE 0 END), 6) AS within_limit FROM events""",
+    """SELECT round(avg(value), 10) AS mean, round(quantile_cont(value, 0.5), 10) AS p50, round(quantile_cont(value, 0.9), 10) AS p90,
+  round(quantile_cont(value, 0.99), 10) AS p99, max(value) AS max, round(avg(CASE WHEN value <= 300 THEN 1.0::DOUBLE ELSE 0 END), 10) AS within_limit FROM events""",
 )
 def latency_percentiles(spark, sf_dir):
     report = agg.latency_percentiles(corpus.events(spark, sf_dir), "value", "event_id")
@@ -311,8 +311,8 @@ def latency_percentiles_approx(spark, sf_dir):
 
 @query(
     "confidence_profile",
-    """SELECT round(avg(confidence), 6) AS mean_confidence, round(avg(CASE WHEN confidence < 0.55 THEN 1.0::DOUBLE ELSE 0 END), 6) AS share_low,
-  round(avg(CASE WHEN confidence > 0.75 THEN 1.0::DOUBLE ELSE 0 END), 6) AS share_high FROM latest_run""",
+    """SELECT round(avg(confidence), 10) AS mean_confidence, round(avg(CASE WHEN confidence < 0.55 THEN 1.0::DOUBLE ELSE 0 END), 10) AS share_low,
+  round(avg(CASE WHEN confidence > 0.75 THEN 1.0::DOUBLE ELSE 0 END), 10) AS share_high FROM latest_run""",
 )
 def confidence_profile(spark, sf_dir):
     return _rounded(agg.confidence_profile(corpus.latest_run(spark, sf_dir)), "mean_confidence", "share_low", "share_high")
@@ -322,7 +322,7 @@ def confidence_profile(spark, sf_dir):
     "topic_coherence",
     """WITH c AS (SELECT g.topic_1, p.predicted_sentiment AS s, count(*) AS n FROM latest_run p JOIN gold g ON CAST(g.id AS VARCHAR) = p.id GROUP BY 1, 2)
 SELECT topic_1, sum(n)::BIGINT AS articles, (SELECT s FROM c d WHERE d.topic_1 = c.topic_1 ORDER BY n DESC, s LIMIT 1) AS dominant,
-  round(max(n) / sum(n)::DOUBLE, 6) AS dominant_share FROM c GROUP BY topic_1 ORDER BY articles DESC, topic_1 LIMIT 5""",
+  round(max(n) / sum(n)::DOUBLE, 10) AS dominant_share FROM c GROUP BY topic_1 ORDER BY articles DESC, topic_1 LIMIT 5""",
 )
 def topic_coherence(spark, sf_dir):
     topics = corpus.gold(spark, sf_dir).select(F.col("id").cast("string").alias("id"), "topic_1")

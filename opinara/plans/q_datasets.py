@@ -302,10 +302,10 @@ _PER_CLASS = """WITH k AS (SELECT unnest(['negatif', 'neutre', 'positif']) AS la
 
 @query(
     "classification_metrics",
-    f"""{_PER_CLASS} SELECT label, round(precision, 6) AS precision, round(recall, 6) AS recall, round(f1, 6) AS f1, support FROM s
-  UNION ALL SELECT 'accuracy', round(sum(tp) / max(total)::DOUBLE, 6), round(sum(tp) / max(total)::DOUBLE, 6), round(sum(tp) / max(total)::DOUBLE, 6), CAST(sum(support) AS BIGINT) FROM s
-  UNION ALL SELECT 'macro', round(avg(precision), 6), round(avg(recall), 6), round(avg(f1), 6), CAST(sum(support) AS BIGINT) FROM s
-  UNION ALL SELECT 'weighted', round(sum(precision * support) / sum(support), 6), round(sum(recall * support) / sum(support), 6), round(sum(f1 * support) / sum(support), 6), CAST(sum(support) AS BIGINT) FROM s""",
+    f"""{_PER_CLASS} SELECT label, round(precision, 10) AS precision, round(recall, 10) AS recall, round(f1, 10) AS f1, support FROM s
+  UNION ALL SELECT 'accuracy', round(sum(tp) / max(total)::DOUBLE, 10), round(sum(tp) / max(total)::DOUBLE, 10), round(sum(tp) / max(total)::DOUBLE, 10), CAST(sum(support) AS BIGINT) FROM s
+  UNION ALL SELECT 'macro', round(avg(precision), 10), round(avg(recall), 10), round(avg(f1), 10), CAST(sum(support) AS BIGINT) FROM s
+  UNION ALL SELECT 'weighted', round(sum(precision * support) / sum(support), 10), round(sum(recall * support) / sum(support), 10), round(sum(f1 * support) / sum(support), 10), CAST(sum(support) AS BIGINT) FROM s""",
 )
 def classification_metrics(spark, sf_dir):
     return _rounded(evaluation.classification_metrics(corpus.labelled(spark, sf_dir)), "precision", "recall", "f1")
@@ -314,8 +314,8 @@ def classification_metrics(spark, sf_dir):
 @query(
     "confusion_matrix",
     f"""{_PER_CLASS}, m AS (SELECT y_true, count(*) FILTER (WHERE y_pred = 'negatif') AS negatif, count(*) FILTER (WHERE y_pred = 'neutre') AS neutre, count(*) FILTER (WHERE y_pred = 'positif') AS positif, count(*) AS n FROM labelled GROUP BY 1)
-  SELECT m.y_true, negatif, neutre, positif, round(negatif / n::DOUBLE, 6) AS negatif_share, round(neutre / n::DOUBLE, 6) AS neutre_share, round(positif / n::DOUBLE, 6) AS positif_share,
-  round((total - support - fp) / (total - support)::DOUBLE, 6) AS specificity, round(1 - (total - support - fp) / (total - support)::DOUBLE, 6) AS fpr FROM m JOIN s ON s.label = m.y_true""",
+  SELECT m.y_true, negatif, neutre, positif, round(negatif / n::DOUBLE, 10) AS negatif_share, round(neutre / n::DOUBLE, 10) AS neutre_share, round(positif / n::DOUBLE, 10) AS positif_share,
+  round((total - support - fp) / (total - support)::DOUBLE, 10) AS specificity, round(1 - (total - support - fp) / (total - support)::DOUBLE, 10) AS fpr FROM m JOIN s ON s.label = m.y_true""",
 )
 def confusion_matrix(spark, sf_dir):
     shares = [f"{c}_share" for c in ("negatif", "neutre", "positif")]
@@ -329,7 +329,7 @@ _LONG = """WITH l AS (SELECT y_true, 'negatif' AS label, p_neg AS score FROM lab
     "roc_auc",
     f"""{_LONG}, a AS (SELECT p.label, sum(CASE WHEN p.score > n.score THEN 1.0::DOUBLE WHEN p.score = n.score THEN 0.5 ELSE 0 END) / count(*) AS auc
   FROM l p JOIN l n ON n.label = p.label AND n.y_true <> n.label WHERE p.y_true = p.label GROUP BY 1)
-  SELECT k.label, round(a.auc, 6) AS auc FROM (SELECT DISTINCT label FROM l) k LEFT JOIN a USING (label) UNION ALL SELECT 'macro', round(avg(auc), 6) FROM a""",
+  SELECT k.label, round(a.auc, 10) AS auc FROM (SELECT DISTINCT label FROM l) k LEFT JOIN a USING (label) UNION ALL SELECT 'macro', round(avg(auc), 10) FROM a""",
 )
 def roc_auc(spark, sf_dir):
     return _rounded(evaluation.roc_auc(corpus.labelled(spark, sf_dir)), "auc")
@@ -338,7 +338,7 @@ def roc_auc(spark, sf_dir):
 @query(
     "roc_points",
     f"""{_LONG}, t AS (SELECT label, count(*) FILTER (WHERE y_true = label) AS p, count(*) FILTER (WHERE y_true <> label) AS n FROM l GROUP BY 1)
-  SELECT s.label, s.score AS threshold, round(count(*) FILTER (WHERE l.y_true <> l.label) / nullif(max(t.n), 0)::DOUBLE, 6) AS fpr, round(count(*) FILTER (WHERE l.y_true = l.label) / nullif(max(t.p), 0)::DOUBLE, 6) AS tpr
+  SELECT s.label, s.score AS threshold, round(count(*) FILTER (WHERE l.y_true <> l.label) / nullif(max(t.n), 0)::DOUBLE, 10) AS fpr, round(count(*) FILTER (WHERE l.y_true = l.label) / nullif(max(t.p), 0)::DOUBLE, 10) AS tpr
   FROM (SELECT DISTINCT label, score FROM l) s JOIN l ON l.label = s.label AND l.score >= s.score JOIN t ON t.label = s.label GROUP BY 1, 2""",
 )
 def roc_points(spark, sf_dir):
@@ -369,7 +369,7 @@ def _checks(spark, sf_dir):
     return evaluation.inference_checks(corpus.latest_run(spark, sf_dir), latency)
 
 
-@query("inference_checks", f'{_CHECKS} SELECT "check", round(value, 6) AS value, alert FROM c')
+@query("inference_checks", f'{_CHECKS} SELECT "check", round(value, 10) AS value, alert FROM c')
 def inference_checks(spark, sf_dir):
     return _rounded(_checks(spark, sf_dir), "value")
 

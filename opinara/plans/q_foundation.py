@@ -24,7 +24,7 @@ def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
     enriched = lexicon.add_topic_columns(lexicon.add_sentiment(unique, LEXICON), TOPICS)
     return enriched.groupBy("source").agg(
         F.count("*").alias("articles"),
-        F.round(F.avg("sentiment_score"), 6).alias("avg_sentiment_score"),
+        F.round(F.avg("sentiment_score"), 10).alias("avg_sentiment_score"),
         F.sum(F.when(F.col("topic_1") != lexicon.FALLBACK_TOPIC, 1).otherwise(0)).alias("on_topic"),
     )
 

@@ -96,13 +96,13 @@ def base_quality(spark, sf_dir):
 
 @query(
     "quality_filter",
-    f"""SELECT id, round(least(0.5::DOUBLE + CASE WHEN length({strip('title')}) > 10 THEN 0.2 ELSE 0 END + CASE WHEN length({strip('content')}) > 50 THEN 0.3 ELSE 0 END, 1.0), 6) AS quality
+    f"""SELECT id, round(least(0.5::DOUBLE + CASE WHEN length({strip('title')}) > 10 THEN 0.2 ELSE 0 END + CASE WHEN length({strip('content')}) > 50 THEN 0.3 ELSE 0 END, 1.0), 10) AS quality
   FROM landed QUALIFY row_number() OVER (PARTITION BY fingerprint ORDER BY id) = 1""",
 )
 def quality_filter(spark, sf_dir):
     quality = text.completeness_quality(F.col("title"), F.col("content"))
     rows = datasets.quality_filter(corpus.landed(spark, sf_dir), quality)
-    return rows.select("id", F.round("quality", 6).alias("quality"))
+    return rows.select("id", F.round("quality", 10).alias("quality"))
 
 
 @query("source_type", "SELECT name, source_type FROM sources")

@@ -18,7 +18,7 @@ def _day(column):
 
 
 def _rounded(df, *columns):
-    return df.withColumns({c: F.round(c, 6) for c in columns})
+    return df.withColumns({c: F.round(c, 10) for c in columns})
 
 
 @query(
@@ -210,7 +210,7 @@ def _merged(spark, sf_dir):
 
 
 _LINK = """SELECT count(*) AS rows, count(raw_data_id) AS with_id, count(*) - count(raw_data_id) AS without_id, count(r.id) AS in_raw,
-  count(raw_data_id) - count(r.id) AS not_in_raw, round_even(count(raw_data_id)::DOUBLE / count(*), 6) AS coverage
+  count(raw_data_id) - count(r.id) AS not_in_raw, round_even(count(raw_data_id)::DOUBLE / count(*), 10) AS coverage
   FROM merged m LEFT JOIN (SELECT id FROM raw) r ON r.id = m.raw_data_id"""
 
 
@@ -272,7 +272,7 @@ def gold_wide(spark, sf_dir):
 CATALOGUE = {
     "catalogue_q01": """SELECT r.id, r.source, r.title, m.label AS sentiment, m.score AS sentiment_score FROM {raw} r LEFT JOIN {model_output} m
   ON m.raw_data_id = r.id AND m.model_name = 'sentiment_keyword' ORDER BY r.collected_at DESC, r.id DESC, m.output_id DESC LIMIT 20""",
-    "catalogue_q02": """SELECT label AS sentiment, COUNT(*) AS count, ROUND(AVG(score), 6) AS avg_score FROM {model_output}
+    "catalogue_q02": """SELECT label AS sentiment, COUNT(*) AS count, ROUND(AVG(score), 10) AS avg_score FROM {model_output}
   WHERE model_name = 'sentiment_keyword' GROUP BY label ORDER BY count DESC""",
     "catalogue_q03": """SELECT r.id, r.source, m.score AS sentiment_score, m.output_id FROM {raw} r JOIN {model_output} m ON m.raw_data_id = r.id
   WHERE m.model_name = 'sentiment_keyword' AND m.label = 'positif' ORDER BY m.score DESC, m.output_id LIMIT 20""",
@@ -287,7 +287,7 @@ CATALOGUE = {
     "catalogue_q07": """SELECT s.name AS source, COUNT(DISTINCT r.id) AS total_articles, COUNT(DISTINCT CASE WHEN m.label = 'positif' THEN r.id END) AS positifs,
   COUNT(DISTINCT CASE WHEN m.label = 'negatif' THEN r.id END) AS negatifs, COUNT(DISTINCT CASE WHEN m.label = 'neutre' THEN r.id END) AS neutres
   FROM {sources} s LEFT JOIN {raw} r ON r.source = s.name LEFT JOIN {model_output} m ON m.raw_data_id = r.id AND m.model_name = 'sentiment_keyword' GROUP BY s.name""",
-    "catalogue_q08": """SELECT t.name AS topic, COUNT(d.raw_data_id) AS count, ROUND(AVG(d.confidence_score), 6) AS avg_confidence
+    "catalogue_q08": """SELECT t.name AS topic, COUNT(d.raw_data_id) AS count, ROUND(AVG(d.confidence_score), 10) AS avg_confidence
   FROM {topics} t LEFT JOIN {document_topic} d ON d.topic = t.name GROUP BY t.name""",
     "catalogue_q09": """SELECT r.id, r.source, m.label AS sentiment, m.output_id FROM {raw} r LEFT JOIN {model_output} m ON m.raw_data_id = r.id
   AND m.model_name = 'sentiment_keyword' WHERE r.date = (SELECT MAX(date) FROM {raw})""",
@@ -333,7 +333,7 @@ def latest_output(spark, sf_dir):
     "source_volume_delta",
     """WITH r AS (SELECT *, row_number() OVER (PARTITION BY source_id ORDER BY sync_date DESC, sync_log_id DESC) AS rn FROM sync_log WHERE status = 'OK'),
   p AS (SELECT source_id, max(rows_synced) FILTER (WHERE rn = 1) AS now, coalesce(max(rows_synced) FILTER (WHERE rn = 2), 0) AS previous FROM r WHERE rn <= 2 GROUP BY 1)
-  SELECT *, round(CASE WHEN previous > 0 THEN (now - previous) * 100.0::DOUBLE / previous END, 6) AS delta_pct,
+  SELECT *, round(CASE WHEN previous > 0 THEN (now - previous) * 100.0::DOUBLE / previous END, 10) AS delta_pct,
   CASE WHEN previous > 0 AND now = 0 THEN 'no volume' WHEN previous > 0 AND (now - previous) * 100.0 / previous <= -80 THEN 'volume drop' END AS anomaly FROM p""",
 )
 def source_volume_delta(spark, sf_dir):

@@ -57,16 +57,16 @@ _RATE = f"""SELECT window_start, count(*)::DOUBLE / 300 AS rate FROM ({_SLIDES})
   (SELECT max(ts) - INTERVAL 1 HOUR FROM events WHERE event_type = 'error') GROUP BY 1 HAVING count(*)::DOUBLE / 300 > 0.005"""
 
 
-@query("stream_error_rate", f"SELECT {_sql_stamp('window_start', 'window_start')}, round(rate, 6) AS rate FROM ({_RATE})")
+@query("stream_error_rate", f"SELECT {_sql_stamp('window_start', 'window_start')}, round(rate, 10) AS rate FROM ({_RATE})")
 def stream_error_rate(spark, sf_dir):
     """The corpus has little traffic, so the threshold is low: two errors in five minutes."""
     alerts = jobs.run_to_table(rules.event_rate(_errors(spark, sf_dir), 0.005), "error-rate")
-    return _stamps(alerts, "window_start").select("window_start", F.round("rate", 6).alias("rate"))
+    return _stamps(alerts, "window_start").select("window_start", F.round("rate", 10).alias("rate"))
 
 
 @query(
     "stream_source_error_rate",
-    f"""SELECT {_sql_stamp('window_start', 'window_start')}, source, round(count(*)::DOUBLE / 300, 6) AS rate FROM (SELECT *, 'src' || (user_id % 20) AS source FROM ({_SLIDES}))
+    f"""SELECT {_sql_stamp('window_start', 'window_start')}, source, round(count(*)::DOUBLE / 300, 10) AS rate FROM (SELECT *, 'src' || (user_id % 20) AS source FROM ({_SLIDES}))
   WHERE event_type = 'error' AND window_start + INTERVAL 5 MINUTES <= (SELECT max(ts) - INTERVAL 1 HOUR FROM events WHERE event_type = 'error')
   GROUP BY window_start, source HAVING count(*)::DOUBLE / 300 > 0.003""",
 )
@@ -74,7 +74,7 @@ def stream_source_error_rate(spark, sf_dir):
     source = F.concat(F.lit("src"), (F.col("user_id") % 20).cast("string"))
     errors = _errors(spark, sf_dir).withColumn("source", source)
     alerts = jobs.run_to_table(rules.event_rate(errors, 0.003, ("source",)), "source-error-rate")
-    return _stamps(alerts, "window_start").select("window_start", "source", F.round("rate", 6).alias("rate"))
+    return _stamps(alerts, "window_start").select("window_start", "source", F.round("rate", 10).alias("rate"))
 
 
 @query(
@@ -171,12 +171,12 @@ def active_users_at(spark, sf_dir):
 
 @query(
     "stream_failure_burst",
-    f"""SELECT {_sql_stamp('window_start', 'window_start')}, round(count(*) * 60 / 300.0::DOUBLE, 6) AS per_minute FROM ({_SLIDES}) WHERE event_type = 'error'
+    f"""SELECT {_sql_stamp('window_start', 'window_start')}, round(count(*) * 60 / 300.0::DOUBLE, 10) AS per_minute FROM ({_SLIDES}) WHERE event_type = 'error'
   AND window_start + INTERVAL 5 MINUTES <= (SELECT max(ts) - INTERVAL 1 HOUR FROM events WHERE event_type = 'error') GROUP BY window_start HAVING count(*) * 60 / 300.0 > 0.3""",
 )
 def stream_failure_burst(spark, sf_dir):
     bursts = jobs.run_to_table(rules.failure_burst(_errors(spark, sf_dir), 0.3), "burst")
-    return _stamps(bursts, "window_start").select("window_start", F.round("per_minute", 6).alias("per_minute"))
+    return _stamps(bursts, "window_start").select("window_start", F.round("per_minute", 10).alias("per_minute"))
 
 
 def _layer_stream(df, name):
@@ -186,7 +186,7 @@ def _layer_stream(df, name):
 
 @query(
     "stream_enrichment_rate",
-    """SELECT strftime(date, '%Y-%m-%d') AS day, round(avg(CASE WHEN topic_1 <> 'autre' AND sentiment <> 'neutre' THEN 1.0::DOUBLE ELSE 0 END), 6) AS rate, count(*) AS articles FROM gold
+    """SELECT strftime(date, '%Y-%m-%d') AS day, round(avg(CASE WHEN topic_1 <> 'autre' AND sentiment <> 'neutre' THEN 1.0::DOUBLE ELSE 0 END), 10) AS rate, count(*) AS articles FROM gold
   WHERE date + 1 <= (SELECT max(collected_at) - INTERVAL 1 HOUR FROM gold) GROUP BY gold.date HAVING avg(CASE WHEN topic_1 <> 'autre' AND sentiment <> 'neutre' THEN 1.0::DOUBLE ELSE 0 END) < 0.75""",
 )
 def stream_enrichment_rate(spark, sf_dir):
@@ -195,7 +195,7 @@ def stream_enrichment_rate(spark, sf_dir):
     enriched = (F.col("topic_1") != "autre") & (F.col("sentiment") != "neutre")
     low = rules.enrichment_rate(_layer_stream(rows, "gold-rates"), enriched, floor=0.75)
     closed = jobs.run_to_table(low, "enrichment")
-    return closed.select(F.date_format("window_start", "yyyy-MM-dd").alias("day"), F.round("rate", 6).alias("rate"), "articles")
+    return closed.select(F.date_format("window_start", "yyyy-MM-dd").alias("day"), F.round("rate", 10).alias("rate"), "articles")
 
 
 @query(

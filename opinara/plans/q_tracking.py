@@ -31,7 +31,7 @@ def by_source_stats(spark, sf_dir):
 
 @query(
     "topic_coverage",
-    "SELECT count(DISTINCT raw_data_id) AS tagged_articles, count(DISTINCT topic) AS topics_used, round(avg(confidence_score), 6) AS avg_confidence FROM document_topic",
+    "SELECT count(DISTINCT raw_data_id) AS tagged_articles, count(DISTINCT topic) AS topics_used, round(avg(confidence_score), 10) AS avg_confidence FROM document_topic",
 )
 def topic_coverage(spark, sf_dir):
     return _rounded(tracking.topic_coverage(corpus.document_topic(spark, sf_dir)), "avg_confidence")
@@ -39,7 +39,7 @@ def topic_coverage(spark, sf_dir):
 
 @query(
     "sentiment_stats",
-    "SELECT label, count(*) AS count, round(avg(score), 6) AS avg_score FROM model_output WHERE model_name = 'sentiment_keyword' GROUP BY 1",
+    "SELECT label, count(*) AS count, round(avg(score), 10) AS avg_score FROM model_output WHERE model_name = 'sentiment_keyword' GROUP BY 1",
 )
 def sentiment_stats(spark, sf_dir):
     return _rounded(tracking.sentiment_stats(corpus.model_output(spark, sf_dir)), "avg_score")
@@ -47,7 +47,7 @@ def sentiment_stats(spark, sf_dir):
 
 @query(
     "topic_dist",
-    "SELECT t.name, count(d.raw_data_id) AS count, round(avg(d.confidence_score), 6) AS avg_confidence FROM topics t LEFT JOIN document_topic d ON d.topic = t.name GROUP BY 1",
+    "SELECT t.name, count(d.raw_data_id) AS count, round(avg(d.confidence_score), 10) AS avg_confidence FROM topics t LEFT JOIN document_topic d ON d.topic = t.name GROUP BY 1",
 )
 def topic_dist(spark, sf_dir):
     return _rounded(tracking.topic_distribution(corpus.topics(spark), corpus.document_topic(spark, sf_dir)), "avg_confidence")
@@ -223,7 +223,7 @@ def audit_stats(spark, sf_dir):
     f"""WITH {_FLAGS}, m AS (SELECT count(*) AS n, count(*) FILTER (WHERE length(trim(title)) > 0) AS t, count(*) FILTER (WHERE length(trim(content)) > 0) AS c,
   count(*) FILTER (WHERE length(fingerprint) = 64) AS f, avg(CASE WHEN contains(lower(source), 'zzdb') THEN quality_score END) AS q, sum(tagged * analysed) AS e FROM flags)
   SELECT 'valid_titles' AS "check", t = n AS ok, t::DOUBLE AS detail FROM m UNION ALL SELECT 'valid_contents', c = n, c FROM m UNION ALL SELECT 'fingerprints', f = n, f FROM m
-  UNION ALL SELECT 'synthetic_quality', q BETWEEN 0.2 AND 0.6, round(q, 6) FROM m UNION ALL SELECT 'enriched', e > 0, e FROM m""",
+  UNION ALL SELECT 'synthetic_quality', q BETWEEN 0.2 AND 0.6, round(q, 10) FROM m UNION ALL SELECT 'enriched', e > 0, e FROM m""",
 )
 def quality_assertions(spark, sf_dir):
     return _rounded(tracking.quality_assertions(*_tables(spark, sf_dir)), "detail")
@@ -264,7 +264,7 @@ _VOLUME = """WITH r AS (SELECT *, row_number() OVER (PARTITION BY source_id ORDE
   e AS (SELECT *, list_concat(list_filter([CASE WHEN loaded < 20 THEN 'loaded below threshold' END, CASE WHEN least(tagged, analysed) < loaded THEN 'enrichment incomplete' END,
   CASE WHEN clean_ratio < 0.9 THEN 'clean ratio below threshold' END, CASE WHEN enriched_ratio < 0.95 THEN 'enriched ratio below threshold' END], lambda x: x IS NOT NULL),
   coalesce((SELECT list('source ' || name || ': ' || anomaly ORDER BY 'source ' || name || ': ' || anomaly) FROM v WHERE anomaly IS NOT NULL), [])) AS r FROM d)
-  SELECT extracted, cleaned, loaded, deduplicated, tagged, analysed, round(clean_ratio, 6) AS clean_ratio, round(enriched_ratio, 6) AS enriched_ratio,
+  SELECT extracted, cleaned, loaded, deduplicated, tagged, analysed, round(clean_ratio, 10) AS clean_ratio, round(enriched_ratio, 10) AS enriched_ratio,
   CASE WHEN len(r) > 0 THEN 'WARN' ELSE 'PASS' END AS status, array_to_string(r, '; ') AS reasons FROM e""",
 )
 def run_contract(spark, sf_dir):
