@@ -89,6 +89,27 @@ FROM (SELECT *, strip_accents(lower(title)) AS ft, strip_accents(lower(content))
 _SOURCE_NAME = "CASE source " + " ".join(f"WHEN '{k}' THEN '{v}'" for k, v in corpus.SOURCE_NAMES.items()) + " ELSE source END"
 
 
+def sanitized(x: str) -> str:
+    return strip(f"nfc_normalize(regexp_replace({x}, '{t.REMOVED}', '', 'g'))")
+
+
+def unescaped(x: str) -> str:
+    """The entities that the documents' plain text holds."""
+    for entity, character in (("&lt;", "<"), ("&gt;", ">"), ("&amp;", "&")):
+        x = f"replace({x}, '{entity}', '{character}')"
+    return x
+
+
+def readable(sample: str) -> str:
+    def count(pattern: str) -> str:
+        return f"len(regexp_extract_all({sample}, '{pattern}'))"
+
+    size = f"greatest(length({sample}), 1)"
+    return f"""(length({sample}) >= 12 AND {count(chr(0xFFFD))} < 2
+  AND (length({sample}) - {count(t.NOT_PRINTABLE)} + {count(' ')})::DOUBLE / {size} >= 0.88
+  AND ({count(t.EXOTIC)} - {count(t.EXOTIC_BLANK)})::DOUBLE / {size} <= 0.12 AND {count('[^\\P{L}]')} >= 8)"""
+
+
 def source_type(x: str) -> str:
     return (
         f"CASE WHEN contains(lower({x}), 'zzdb') THEN 'db_non_relational' "
@@ -122,6 +143,11 @@ CTES = {
   {source_type('source')} AS source_type, lower(source) LIKE 'zzdb%' AS is_synthetic FROM landed
   WHERE length({strip('title')}) > 3 AND length({strip('content')}) > 10
   QUALIFY row_number() OVER (PARTITION BY fingerprint ORDER BY id) = 1""",
+    "clean": f"SELECT id, source, {sanitized('title')} AS title, {squeeze(unescaped(sanitized('content')))} AS content FROM articles",
+    "clean_raw": f"""SELECT * FROM clean WHERE length({strip('title')}) > 3 AND length({strip('content')}) > 10
+  QUALIFY row_number() OVER (PARTITION BY sha256(lower(title || '|' || content)) ORDER BY id) = 1""",
+    "clean_topic": TOPICS_OF.replace("@source@", "clean_raw"),
+    "clean_pass": lexicon_cte("clean_raw", _BOTH, "id, source"),
     "topic_of": TOPICS_OF.replace("@source@", f"(SELECT * FROM raw WHERE date < DATE '{corpus.TAGGED_BEFORE}')"),
     "document_topic": f"""SELECT id * 2 + i - 1 AS doc_topic_id, id AS raw_data_id, best[i].t AS topic, -best[i].s AS confidence_score,
   CASE WHEN len(ranked) = 0 THEN 'keyword_default' WHEN i = 1 AND best[1].t = rule AND best[1].s = -1 THEN 'source_rule' ELSE 'keyword' END AS tagger

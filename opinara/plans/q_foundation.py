@@ -9,11 +9,16 @@ from opinara.functions import lexicon, text
 from opinara.operators import layers
 from opinara.operators.skew import keep_first
 from opinara.plans import corpus
+from opinara.plans.oracle import LADDER_SCORE
 from opinara.plans.registry import query
 from opinara.plans.vocabulary import LEXICON, TOPICS
 
 
-@query("flagship_source_scores")
+@query(
+    "flagship_source_scores",
+    f"""SELECT p.source, count(*) AS articles, round(avg(p.score), 10) AS avg_sentiment_score, CAST(sum(CASE WHEN t.best[1].t <> 'autre' THEN 1 ELSE 0 END) AS BIGINT) AS on_topic
+  FROM (SELECT id, source, {LADDER_SCORE} AS score FROM clean_pass) p JOIN clean_topic t USING (id) GROUP BY p.source""",
+)
 def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents cleaned, validated, deduplicated and enriched, then counted and averaged by source."""
     clean = text.clean_articles(corpus.articles(spark, sf_dir))

@@ -5,20 +5,15 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from opinara.functions import labels, lexicon, text
-from opinara.functions.text import REMOVED
 from opinara.operators import datasets, layers
 from opinara.operators.aggregates import dated
 from opinara.plans import corpus
-from opinara.plans.oracle import _topic_entries, lexicon_cte, squeeze, strip
+from opinara.plans.oracle import _topic_entries, lexicon_cte, readable, sanitized, squeeze, strip, unescaped
 from opinara.plans.registry import query
 from opinara.plans.vocabulary import LEXICON, TOPICS
 from opinara.storage import spread
 
 
-def _sanitized(x: str) -> str:
-    return strip(f"nfc_normalize(regexp_replace({x}, '{REMOVED}', '', 'g'))")
-
-
 def _dirty(df):
     """Documents framed by a byte-order mark, a bell, a no-break space and a decomposed accent."""
     return df.withColumn("dirty", F.concat(F.lit("﻿ "), "content", F.lit("\x07 é � ")))
@@ -27,7 +22,7 @@ def _dirty(df):
 _DIRTY = "chr(65279) || chr(160) || content || chr(7) || ' e' || chr(769) || ' ' || chr(65533) || chr(8195)"
 
 
-@query("sanitize_text", f"SELECT id, {_sanitized(_DIRTY)} AS clean FROM articles")
+@query("sanitize_text", f"SELECT id, {sanitized(_DIRTY)} AS clean FROM articles")
 def sanitize_text(spark, sf_dir):
     return _dirty(corpus.articles(spark, sf_dir)).select("id", text.sanitize_text(F.col("dirty")).alias("clean"))
 
@@ -51,10 +46,7 @@ def normalize_ws(spark, sf_dir):
     return corpus.articles(spark, sf_dir).select("id", text.normalize_ws(F.col("content")).alias("clean"))
 
 
-_PLAIN = f"replace(replace(replace({_sanitized('content')}, '&lt;', '<'), '&gt;', '>'), '&amp;', '&')"
-
-
-@query("clean_articles", f"SELECT id, {_sanitized('title')} AS title, {squeeze(_PLAIN)} AS content, url FROM articles")
+@query("clean_articles", f"SELECT id, {sanitized('title')} AS title, {squeeze(unescaped(sanitized('content')))} AS content, url FROM articles")
 def clean_articles(spark, sf_dir):
     return text.clean_articles(corpus.articles(spark, sf_dir)).select("id", "title", "content", "url")
 
@@ -129,19 +121,9 @@ def foundation_sources(spark, sf_dir):
     return classed.join(loaded, "source_id", "left").select("name", "_c.*", (~(F.col("_c.frozen") & done)).alias("collect"))
 
 
-def _readable_sql(sample: str) -> str:
-    def count(pattern: str) -> str:
-        return f"len(regexp_extract_all({sample}, '{pattern}'))"
-
-    size = f"greatest(length({sample}), 1)"
-    return f"""(length({sample}) >= 12 AND {count(chr(0xFFFD))} < 2
-  AND (length({sample}) - {count(text.NOT_PRINTABLE)} + {count(' ')})::DOUBLE / {size} >= 0.88
-  AND ({count(text.EXOTIC)} - {count(text.EXOTIC_BLANK)})::DOUBLE / {size} <= 0.12 AND {count('[^\\P{L}]')} >= 8)"""
-
-
 @query(
     "readable_text",
-    f"SELECT id, {_readable_sql('head')} AS readable, {_readable_sql('whole')} AS readable_whole FROM "
+    f"SELECT id, {readable('head')} AS readable, {readable('whole')} AS readable_whole FROM "
     f"(SELECT id, substring({strip('content')}, 1, 400) AS head, {strip('content')} AS whole FROM articles)",
 )
 def readable_text(spark, sf_dir):

@@ -8,6 +8,7 @@ from opinara.functions.text import is_readable, is_valid
 from opinara.operators import filters, layers, linkage, timeline, tracking
 from opinara.operators.skew import top_per_group
 from opinara.plans import corpus
+from opinara.plans.oracle import readable, strip
 from opinara.plans.registry import query
 
 SPLIT_DAY = "2024-01-15"
@@ -441,11 +442,18 @@ def rows_since(spark, sf_dir):
     return since(corpus.raw(spark, sf_dir).select("id", "source"), 500)
 
 
-@query("readable_samples")
+@query(
+    "readable_samples",
+    f"""SELECT id, source, readable, source_place, title_length FROM (SELECT id, source, {readable('t')} OR {readable('c')} AS readable,
+  CASE WHEN source IN ('gdelt_events', 'GDELT_Last15_English') THEN 99 WHEN source = 'reddit_france' THEN 0 WHEN source = 'yahoo_finance' THEN 1 ELSE 50 END AS source_place,
+  topic_1 <> '' AND sentiment <> '' AS enriched, length(trim(title)) AS title_length
+  FROM (SELECT *, substring({strip('title')}, 1, 400) AS t, substring({strip('content')}, 1, 400) AS c FROM gold))
+  ORDER BY readable DESC, source_place, enriched DESC, title_length DESC, id LIMIT 20""",
+)
 def readable_samples(spark, sf_dir):
     gold = corpus.gold(spark, sf_dir)
-    readable = is_readable(F.col("title")) | is_readable(F.col("content"))
-    return tracking.readable_rank(gold, readable, ("reddit_france", "yahoo_finance"), ("gdelt_events", "GDELT_Last15_English"), 20).select(
+    legible = is_readable(F.col("title")) | is_readable(F.col("content"))
+    return tracking.readable_rank(gold, legible, ("reddit_france", "yahoo_finance"), ("gdelt_events", "GDELT_Last15_English"), 20).select(
         "id", "source", "readable", "source_place", "title_length"
     )
 

@@ -247,7 +247,7 @@ def weather_bulletins(spark, sf_dir):
 
 @query(
     "nested_payload_union",
-    f"""SELECT doc_id, substring('[AGORA] ' || line, 1, 500) AS title, 'Theme: ' || lang || '. Territoire: ' || source || '. Fin: .' AS content,
+    f"""SELECT doc_id, substring('[CONSULT] ' || line, 1, 500) AS title, 'Theme: ' || lang || '. Territoire: ' || source || '. Fin: .' AS content,
   CASE WHEN n > 1 AND i = n THEN 'https://consult.example' ELSE 'https://consult.example/consultations/c' || length(line) END AS url
   FROM (SELECT l.*, d.lang, d.source, len(string_split(d.text, chr(10))) AS n FROM ({_LINES}) l JOIN documents d USING (doc_id))""",
 )
@@ -267,7 +267,7 @@ def nested_payload_union(spark, sf_dir):
     landed = _lines(spark, sf_dir).select(
         "doc_id", F.to_json(F.struct(ongoing.alias("ongoing"), finished.alias("finished"))).alias("payload")
     )
-    return payloads.consultation_articles(landed, "https://consult.example").select("doc_id", "title", "content", "url")
+    return payloads.consultation_articles(landed, "CONSULT", "https://consult.example").select("doc_id", "title", "content", "url")
 
 
 @query(

@@ -144,8 +144,8 @@ def weather_bulletins(readings: DataFrame) -> DataFrame:
     )
 
 
-def consultation_articles(payloads: DataFrame, base_url: str, column: str = "payload") -> DataFrame:
-    """Open and closed consultations of a payload, theme label nested one level down."""
+def consultation_articles(payloads: DataFrame, prefix: str, base_url: str, column: str = "payload") -> DataFrame:
+    """Open and closed consultations of a payload, theme label nested one level down, titled with their platform."""
     record = "array<struct<title:string,thematique:struct<label:string>,territory:string,endDate:string,slug:string>>"
     parsed = F.from_json(column, f"ongoing {record}, finished {record}")
     empty = F.array().cast(record)
@@ -153,7 +153,7 @@ def consultation_articles(payloads: DataFrame, base_url: str, column: str = "pay
     item = F.col("item")
     rows = payloads.withColumn("item", F.explode(both)).withColumns(
         {
-            "title": cut(F.concat(F.lit("[AGORA] "), or_empty(item["title"])), TITLE_WIDTH),
+            "title": cut(F.concat(F.lit(f"[{prefix}] "), or_empty(item["title"])), TITLE_WIDTH),
             "content": cut(
                 F.concat(
                     F.lit("Theme: "), or_empty(item["thematique"]["label"]), F.lit(". Territoire: "),
