@@ -136,6 +136,11 @@ def lexicon_totals(df: DataFrame, text: Column, lexicon: SentimentLexicon) -> Da
     )
 
 
+def literal_list(words: tuple[str, ...]) -> Column:
+    """Array of the words; folded to a constant when the plan is optimised, and one call however long the list is."""
+    return F.split(F.lit("\n".join(words)), "\n") if words else F.array().cast("array<string>")
+
+
 def title_and_content() -> Column:
     return F.concat(or_empty(F.col("title")), F.lit(" "), or_empty(F.col("content")))
 
@@ -157,15 +162,15 @@ def add_topic_scores(df: DataFrame, topics: TopicTable) -> DataFrame:
     Hits are distinct list entries found as substrings of the folded text, the title counting three times.
     """
 
-    def hits(haystack: str, keywords: tuple[str, ...]) -> Column:
-        listed = F.array(*[F.lit(k) for k in keywords])
-        return F.size(F.filter(listed, lambda k: F.contains(F.col(haystack), k)))
+    def hits(haystack: str, keywords: Column) -> Column:
+        return F.size(F.filter(keywords, lambda k: F.contains(F.col(haystack), k)))
 
     shares = []
     for keywords in topics.keywords.values():
-        weighted = hits("_title", keywords) * TITLE_WEIGHT + hits("_content", keywords)
+        listed = literal_list(keywords)
+        weighted = hits("_title", listed) * TITLE_WEIGHT + hits("_content", listed)
         shares.append(F.least(weighted / F.lit(float(len(keywords) or 1)), F.lit(1.0)))
-    names = F.array(*[F.lit(topic) for topic in topics.keywords])
+    names = literal_list(tuple(topics.keywords))
     entries = F.transform(
         "_shares",
         lambda share, place: F.struct(

@@ -28,10 +28,12 @@ def sanitize_text(spark, sf_dir):
 
 
 def _stripped_html(x: str) -> str:
+    """Markup removed and the entities of the pages read, with or without their semicolon."""
     for pattern in ("(?is)<script[^>]*>.*?</script>", "(?is)<style[^>]*>.*?</style>", "(?s)<!--.*?-->", "(?s)<[^>]*>"):
         x = f"regexp_replace({x}, '{pattern}', ' ', 'g')"
-    for entity, character in (("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "''"), ("&nbsp;", " "), ("&copy;", "©"), ("&middot;", "·"), ("&amp;", "&")):
-        x = f"replace({x}, '{entity}', '{character}')"
+    entities = (("lt", "<"), ("gt", ">"), ("quot", '"'), ("#39", "''"), ("nbsp", " "), ("copy", "©"), ("middot", "·"), ("amp", "&"))
+    for entity, character in entities:
+        x = f"regexp_replace({x}, '&{entity};?', '{character}', 'g')"
     return x
 
 
