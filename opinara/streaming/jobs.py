@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import DataStreamWriter
 from pyspark.sql.types import StructType
 
 from opinara.functions.text import clean_articles, fingerprint, is_valid
@@ -21,26 +22,36 @@ def folder_stream(spark: SparkSession, folder: str, schema: StructType, files: s
     return (reader.option("maxFilesPerTrigger", per_batch) if per_batch else reader).load(folder)
 
 
+def _finish(spark: SparkSession, writer: DataStreamWriter) -> None:
+    """Runs what is available, with no more state partitions than twice the cores.
+
+    The number is fixed for the life of a checkpoint; on a small cluster the default would mean many empty state stores
+    to commit in every batch. The query takes its own copy of the settings when it starts.
+    """
+    key = "spark.sql.shuffle.partitions"
+    wanted = spark.conf.get(key)
+    spark.conf.set(key, str(min(int(wanted), 2 * spark.sparkContext.defaultParallelism)))
+    try:
+        query = writer.trigger(availableNow=True).start()
+    finally:
+        spark.conf.set(key, wanted)
+    query.awaitTermination()
+
+
 def run_to_table(stream: DataFrame, name: str) -> DataFrame:
     """Processes what is available into files and returns them; closed windows only, as an append sink gives them."""
     spark = stream.sparkSession
     target, checkpoint = new_path(spark, name), new_path(spark, f"{name}-checkpoint")
-    query = (
-        stream.writeStream.format("parquet").option("path", target).option("checkpointLocation", checkpoint)
-        .outputMode("append").trigger(availableNow=True).start()
-    )
-    query.awaitTermination()
+    writer = stream.writeStream.format("parquet").option("path", target).option("checkpointLocation", checkpoint)
+    _finish(spark, writer.outputMode("append"))
     return spark.read.schema(stream.schema).parquet(target)
 
 
 def run_batches(stream: DataFrame, name: str, handle: Callable[[DataFrame, int], None]) -> None:
     """Processes what is available batch by batch."""
     checkpoint = new_path(stream.sparkSession, f"{name}-checkpoint")
-    query = (
-        stream.writeStream.foreachBatch(handle).option("checkpointLocation", checkpoint).outputMode("append")
-        .trigger(availableNow=True).start()
-    )
-    query.awaitTermination()
+    writer = stream.writeStream.foreachBatch(handle).option("checkpointLocation", checkpoint)
+    _finish(stream.sparkSession, writer.outputMode("append"))
 
 
 STORED = "id bigint, title string, content string, url string, source string, collected_at timestamp, fingerprint string, batch bigint"
