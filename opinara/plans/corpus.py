@@ -95,18 +95,23 @@ def raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _layer(spark, sf_dir, "raw", build)
 
 
+def topic_links(articles_: DataFrame) -> DataFrame:
+    """Assigned topics, one row per link."""
+    tagged = lexicon.add_topics(articles_, TOPICS)
+    return tagged.select("id", F.posexplode_outer("topics").alias("place", "link")).select(
+        (F.col("id") * 2 + F.col("place")).alias("doc_topic_id"),
+        F.col("id").alias("raw_data_id"),
+        F.col("link.topic").alias("topic"),
+        F.col("link.score").alias("confidence_score"),
+        F.col("link.tagger").alias("tagger"),
+    )
+
+
 def document_topic(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Topic links, one row per assigned topic."""
+    """Stored topic links: those of the articles tagged so far."""
 
     def build() -> DataFrame:
-        tagged = lexicon.add_topics(raw(spark, sf_dir).filter(F.col("date") < TAGGED_BEFORE), TOPICS)
-        return tagged.select("id", F.posexplode_outer("topics").alias("place", "link")).select(
-            (F.col("id") * 2 + F.col("place")).alias("doc_topic_id"),
-            F.col("id").alias("raw_data_id"),
-            F.col("link.topic").alias("topic"),
-            F.col("link.score").alias("confidence_score"),
-            F.col("link.tagger").alias("tagger"),
-        )
+        return topic_links(raw(spark, sf_dir).filter(F.col("date") < TAGGED_BEFORE))
 
     return _layer(spark, sf_dir, "document_topic", build)
 

@@ -148,10 +148,11 @@ CTES = {
   QUALIFY row_number() OVER (PARTITION BY sha256(lower(title || '|' || content)) ORDER BY id) = 1""",
     "clean_topic": TOPICS_OF.replace("@source@", "clean_raw"),
     "clean_pass": lexicon_cte("clean_raw", _BOTH, "id, source"),
-    "topic_of": TOPICS_OF.replace("@source@", f"(SELECT * FROM raw WHERE date < DATE '{corpus.TAGGED_BEFORE}')"),
-    "document_topic": f"""SELECT id * 2 + i - 1 AS doc_topic_id, id AS raw_data_id, best[i].t AS topic, -best[i].s AS confidence_score,
+    "topic_of": TOPICS_OF.replace("@source@", "raw"),
+    "topic_links": """SELECT id * 2 + i - 1 AS doc_topic_id, id AS raw_data_id, date, best[i].t AS topic, -best[i].s AS confidence_score,
   CASE WHEN len(ranked) = 0 THEN 'keyword_default' WHEN i = 1 AND best[1].t = rule AND best[1].s = -1 THEN 'source_rule' ELSE 'keyword' END AS tagger
   FROM (SELECT *, unnest(range(1, len(best) + 1)) AS i FROM topic_of) WHERE i = 1 OR -best[i].s >= 0.03""",
+    "document_topic": f"SELECT doc_topic_id, raw_data_id, topic, confidence_score, tagger FROM topic_links WHERE date < DATE '{corpus.TAGGED_BEFORE}'",
     "topics": "SELECT * FROM (VALUES "
     + ", ".join(f"({i}, '{n}')" for i, n in enumerate([*TOPICS.keywords, FALLBACK_TOPIC], 1))
     + ") v(topic_id, name)",

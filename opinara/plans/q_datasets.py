@@ -140,14 +140,10 @@ def incremental_silver(spark, sf_dir):
     return layers.above_last_exported(silver, exported).select("id", "topic_1")
 
 
-_FULL_PASS = "SELECT raw_data_id AS id, label AS sentiment, score AS sentiment_score FROM model_output WHERE model_name = 'sentiment_keyword' AND output_id % 2 = 1"
-
-
-@query("retag", "SELECT r.id, coalesce(a.t, '') AS topic_1, coalesce(-a.s, 0) AS topic_1_score, sentiment FROM gold r LEFT JOIN (SELECT id, best[1].t AS t, best[1].s AS s FROM topic_of) a USING (id) WHERE r.date < DATE '2024-01-29'")
+@query("retag", "SELECT g.id, t.best[1].t AS topic_1, -t.best[1].s AS topic_1_score, g.sentiment FROM gold g JOIN topic_of t USING (id)")
 def retag(spark, sf_dir):
-    """Retagged layer: early articles get the topics they already had, every other column is kept."""
-    gold = corpus.gold(spark, sf_dir).filter("date < '2024-01-29'")
-    return scoring.retag(gold, TOPICS).select("id", "topic_1", "topic_1_score", "sentiment")
+    """Topics assigned anew over the whole layer; every other column is kept."""
+    return scoring.retag(corpus.gold(spark, sf_dir), TOPICS).select("id", "topic_1", "topic_1_score", "sentiment")
 
 
 @query(
@@ -267,7 +263,7 @@ def split_leakage(spark, sf_dir):
 
 @query(
     "rebalance",
-    """WITH r AS (SELECT id, sentiment AS label, row_number() OVER (PARTITION BY sentiment ORDER BY md5('42-' || id), id) AS rn FROM gold WHERE source <> 'x'),
+    """WITH r AS (SELECT id, sentiment AS label, row_number() OVER (PARTITION BY sentiment ORDER BY md5('42-' || id), id) AS rn FROM gold),
   s AS (SELECT count(*) AS n, count(*) FILTER (WHERE label = 'positif') AS p FROM r),
   e AS (SELECT p, greatest(least(CAST(ceil((0.6::DOUBLE * n - p) / (1 - 0.6::DOUBLE)) AS BIGINT), CAST(floor(1.5::DOUBLE * p) AS BIGINT)), 0) AS extra FROM s)
   SELECT id, label, CAST(unnest(range(0, 1 + CASE WHEN label = 'positif' THEN CAST(floor(extra / p) AS BIGINT) + CASE WHEN rn <= extra % p THEN 1 ELSE 0 END ELSE 0 END)) AS INTEGER) AS copy FROM r, e""",

@@ -9,7 +9,7 @@ from opinara.functions import lexicon, text
 from opinara.operators import layers
 from opinara.operators.skew import keep_first
 from opinara.plans import corpus
-from opinara.plans.oracle import LADDER_SCORE
+from opinara.plans.oracle import LADDER_LABEL, LADDER_SCORE
 from opinara.plans.registry import query
 from opinara.plans.vocabulary import LEXICON, TOPICS
 
@@ -42,16 +42,11 @@ def gold_layer(spark, sf_dir):
     )
 
 
-@query("topic_assign", "SELECT raw_data_id, topic, confidence_score, tagger FROM document_topic")
+@query("topic_assign", "SELECT raw_data_id, topic, confidence_score, tagger FROM topic_links")
 def topic_assign(spark, sf_dir):
-    return corpus.document_topic(spark, sf_dir).select("raw_data_id", "topic", "confidence_score", "tagger")
+    return corpus.topic_links(corpus.raw(spark, sf_dir)).drop("doc_topic_id")
 
 
-@query(
-    "lexicon_sentiment",
-    "SELECT raw_data_id AS id, label AS sentiment, score AS sentiment_score FROM model_output"
-    " WHERE model_name = 'sentiment_keyword' AND output_id % 2 = 1",
-)
+@query("lexicon_sentiment", f"SELECT id, {LADDER_LABEL} AS sentiment, {LADDER_SCORE} AS sentiment_score FROM pass_all")
 def lexicon_sentiment(spark, sf_dir):
-    base = corpus.raw(spark, sf_dir).filter(F.col("date") < corpus.SCORED_BEFORE)
-    return lexicon.add_sentiment(base, LEXICON).select("id", "sentiment", "sentiment_score")
+    return lexicon.add_sentiment(corpus.raw(spark, sf_dir), LEXICON).select("id", "sentiment", "sentiment_score")
