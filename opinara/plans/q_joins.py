@@ -269,7 +269,7 @@ def gold_wide(spark, sf_dir):
     return rows.select("id", "topics", "model_name", "label", "score", "partition_date")
 
 
-# The reference catalogue of ad-hoc questions: one text for both engines.
+# Catalogue of ad-hoc questions: one text for both engines.
 CATALOGUE = {
     "catalogue_q01": """SELECT r.id, r.source, r.title, m.label AS sentiment, m.score AS sentiment_score FROM {raw} r LEFT JOIN {model_output} m
   ON m.raw_data_id = r.id AND m.model_name = 'sentiment_keyword' ORDER BY r.collected_at DESC, r.id DESC, m.output_id DESC LIMIT 20""",
