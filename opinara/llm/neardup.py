@@ -3,12 +3,13 @@
 Words are runs without ASCII white space, A-Z folded; a document's set holds its distinct shingles of ``words`` words.
 Under each of ``BANDS * PER_BAND`` permutations of the 32-bit shingle hashes both the smallest and the largest value are kept:
 two samples for one evaluation. A band joins the pairs of values of ``PER_BAND`` permutations. Documents that share a band are
-candidates; a pair at similarity 0.8 shares none of 64 bands with a probability of about 3e-7.
+candidates; a pair at similarity 0.8 shares none of 96 bands with a probability of about 1e-7 (2e-6 for sets of five).
 
-Documents with equal sets are one node. Candidates are not expanded into pairs: first each node is compared with the smallest
-node it shares a band with, and the links found give components. Only bands that still hold several components are then
-expanded, and only across components; of those pairs the ones whose sizes or whose 384 kept values rule the threshold out
-(six standard deviations below it) are left. Each link is confirmed on the full sets of 64-bit shingle hashes.
+Documents with equal sets are one node. Candidates are not expanded into pairs at first: each node is compared with the
+smallest node it shares a band with; the links found give components. In bands that hold several components each node is then
+compared with the first and the last node, and only the bands that still hold several are expanded, across components. Of
+these pairs the ones whose sizes or whose kept values rule the threshold out (six standard deviations below it) are left. Each
+link is confirmed on the full sets of 64-bit shingle hashes.
 
 Cases: a document without words (also null) has an empty set and is linked with nothing, not even another such; with fewer
 words than a shingle, its words are its only element. Rows with the same id are one document: its first set by size and hash
@@ -29,7 +30,7 @@ from opinara.llm.components import components
 from opinara.llm.flat import Slice, WordHasher, mix, slices
 from opinara.storage import stage
 
-BANDS, PER_BAND = 64, 3
+BANDS, PER_BAND = 96, 4
 BROADCAST_IDS = 1_000_000
 _GENERATOR = np.random.default_rng(20240)
 FACTORS = _GENERATOR.integers(0, 1 << 32, BANDS * PER_BAND, np.uint32) | np.uint32(1)
@@ -180,24 +181,39 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", wo
         sets = stage(_sets_of(rows, wanted, words), "sets")
         return stage(_beside(pairs, sets, "elements").mapInArrow(lambda b: _confirm(b, percent), f"a {kind}, b {kind}"), "links")
 
+    least = least_agreement(percent)
+    samples_of = sketches.join(own, "doc").filter(same_set).select("doc", "samples")
+
+    def open_bands(links: DataFrame) -> DataFrame:
+        """Rows of the bands that hold several components."""
+        labelled = crowded.join(components(links), F.col("doc") == F.col("node"), "left").join(own, "doc").select(
+            "band", F.struct(F.col("doc"), F.col("set.n").alias("n"), F.coalesce("component", "doc").alias("component")).alias("x")
+        )
+        several = labelled.groupBy("band").agg(F.min("x.component").alias("c"), F.max("x.component").alias("d")).filter("c != d")
+        return stage(labelled.join(several, "band", "left_semi"), "bands")
+
+    def likely(x: Column, y: Column) -> Column:
+        size = (x.n * 100 >= y.n * percent) & (y.n * 100 >= x.n * percent)
+        return (x.component != y.component) & size
+
+    def compared(bands: DataFrame, pairs: DataFrame) -> DataFrame:
+        """Links among pairs (x, y), looked up first by size and kept values, then confirmed."""
+        pairs = pairs.filter(likely(F.col("x"), F.col("y"))).select(F.least("x.doc", "y.doc").alias("a"), F.greatest("x.doc", "y.doc").alias("b")).distinct()
+        samples = samples_of.join(bands.select(F.col("x.doc").alias("doc")).distinct(), "doc", "left_semi")
+        agree = _beside(pairs, samples, "samples").mapInArrow(lambda b: _likely(b, least), f"a {kind}, b {kind}")
+        return confirmed(agree)
+
     first = crowded.filter("doc != first").groupBy("doc").agg(F.min("first").alias("first"))
     links = confirmed(first.select(F.col("first").alias("a"), F.col("doc").alias("b")))
-    found = components(links)
-
-    labelled = crowded.join(found, F.col("doc") == F.col("node"), "left").join(own, "doc").select(
-        "band", "doc", F.col("set.n").alias("n"), F.coalesce("component", "doc").alias("component")
-    )
-    split = labelled.groupBy("band").agg(F.min("component").alias("x"), F.max("component").alias("y")).filter("x != y")
-    open_bands = stage(labelled.join(split, "band", "left_semi"), "bands")
-    a = open_bands.select("band", F.col("doc").alias("a"), F.col("n").alias("n_a"), F.col("component").alias("c_a"))
-    b = open_bands.select("band", F.col("doc").alias("b"), F.col("n").alias("n_b"), F.col("component").alias("c_b"))
-    near_size = (F.col("n_a") * 100 >= F.col("n_b") * percent) & (F.col("n_b") * 100 >= F.col("n_a") * percent)
-    pairs = a.join(b, "band").filter((F.col("c_a") < F.col("c_b")) & near_size).select("a", "b").distinct()
-    least = least_agreement(percent)
-    open_docs = open_bands.select("doc").distinct().join(own, "doc")
-    samples = sketches.join(open_docs, "doc").filter(same_set).select("doc", "samples")
-    likely = _beside(pairs, samples, "samples").mapInArrow(lambda x: _likely(x, least), f"a {kind}, b {kind}")
-    found = components(links.unionByName(confirmed(likely)))
+    # Each document against the first and the last of each of its bands: in proportion to the bands.
+    bands = open_bands(links)
+    ends = bands.groupBy("band").agg(F.min("x").alias("low"), F.max("x").alias("high"))
+    stars = bands.join(ends, "band").select("x", F.explode(F.array("low", "high")).alias("y"))
+    links = links.unionByName(compared(bands, stars))
+    # What is left: bands that still hold several components.
+    bands = open_bands(links)
+    rest = bands.join(bands.withColumnRenamed("x", "y"), "band").filter((F.col("x.component") < F.col("y.component")) & likely(F.col("x"), F.col("y")))
+    found = components(links.unionByName(compared(bands, rest)))
 
     classes = member.join(found, "node", "left").select("doc", F.coalesce("component", "node").alias("component_id"))
     out = sketches.select("doc", "n").join(classes, "doc", "left")
