@@ -43,7 +43,7 @@ def shingle_sets(part: Slice, hasher: WordHasher, words: int) -> Iterator[np.nda
     factors = mix(np.arange(1, words + 1, dtype=np.uint64)) | np.uint64(1)
     joined = np.zeros(max(len(hashes) - words + 1, 0), np.uint64)
     for j, factor in enumerate(factors):
-        joined += hashes[j : len(hashes) - words + 1 + j] * factor
+        joined += hashes[j : j + len(joined)] * factor
     joined = mix(joined)
     for i in range(len(first) - 1):
         begin, end = first[i], first[i + 1]
