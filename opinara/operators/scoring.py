@@ -23,8 +23,8 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 Scorer = Callable[[list[str]], list[list[tuple[str, float]]]]
 
-# Answer for a batch the scorer could not read.
-FAILED_BATCH = [("NEUTRAL", 1.0)]
+# Answer for a text the scorer could not read.
+FAILED_TEXT = [("NEUTRAL", 1.0)]
 
 
 def lexicon_scorer(words: SentimentLexicon) -> Scorer:
@@ -44,38 +44,56 @@ def lexicon_scorer(words: SentimentLexicon) -> Scorer:
     return score
 
 
-def _scored_batches(scorer: Scorer) -> Callable[[Iterable[pd.DataFrame]], Iterator[pd.DataFrame]]:
+def _answers(scorer: Scorer, texts: list[str]) -> tuple[list[list[tuple[str, float]]], list[bool]]:
+    """Scores, and which texts failed: a batch that fails is tried again in halves, down to single texts."""
+    try:
+        return scorer(texts), [False] * len(texts)
+    except Exception:
+        if len(texts) == 1:
+            return [FAILED_TEXT], [True]
+    middle = len(texts) // 2
+    halves = [_answers(scorer, part) for part in (texts[:middle], texts[middle:])]
+    return halves[0][0] + halves[1][0], halves[0][1] + halves[1][1]
+
+
+def _scored_batches(scorer: Scorer, model_batch: int) -> Callable[[Iterable[pd.DataFrame]], Iterator[pd.DataFrame]]:
     def run(batches: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            texts = batch["text"].tolist()
-            start = time.perf_counter()
-            try:
-                scores = scorer(texts)
-            except Exception:
-                scores = [FAILED_BATCH] * len(texts)
-            spent = int((time.perf_counter() - start) * 1000 / max(1, len(texts)))
-            yield batch.assign(
-                scores=[[{"label": name, "score": float(value)} for name, value in row] for row in scores], inference_ms=spent
-            )
+        for whole in batches:
+            for first in range(0, len(whole), model_batch):
+                batch = whole.iloc[first : first + model_batch]
+                start = time.perf_counter()
+                scores, failed = _answers(scorer, batch["text"].tolist())
+                spent = int((time.perf_counter() - start) * 1000 / len(batch))
+                named = [[{"label": name, "score": float(value)} for name, value in row] for row in scores]
+                yield batch.assign(scores=named, inference_ms=spent, failed=failed)
 
     return run
 
 
-def batch_score(df: DataFrame, scorer: Scorer, max_chars: int | None = None) -> DataFrame:
+def batch_score(df: DataFrame, scorer: Scorer, max_chars: int | None = None, model_batch: int = 64) -> DataFrame:
     """Scores title and content of each row with a pluggable scorer; the input must carry no target column.
 
-    ``max_chars`` is for scorers with a bounded window; the default hands them the whole text.
+    The scorer gets ``model_batch`` texts at a time. A text it cannot score counts as neutral and has ``failed`` set; the
+    other texts of its batch keep their scores. ``max_chars`` is for scorers with a bounded window; the default hands them
+    the whole text.
     """
     assert_no_leak(df.columns)
     text = cut(F.concat(or_empty(F.col("title")), F.lit(" "), or_empty(F.col("content"))), max_chars)
     rows = df.select(F.col("id").cast("string").alias("id"), F.col("title"), text.alias("text"))
     scored = rows.mapInPandas(
-        _scored_batches(scorer),
-        "id string, title string, text string, scores array<struct<label:string,score:double>>, inference_ms int",
+        _scored_batches(scorer, model_batch),
+        "id string, title string, text string, scores array<struct<label:string,score:double>>, inference_ms int, failed boolean",
     )
     return labels.fold_probabilities(scored).drop("text", "scores")
 
 
+def check_failures(scored: DataFrame, most: float = 0.01) -> DataFrame:
+    """Share of failed texts; the job fails if it exceeds ``most``."""
+    share = F.avg(F.col("failed").cast("double"))
+    message = F.concat(F.lit("failed share of texts: "), share.cast("string"))
+    return scored.agg(F.when(share > most, F.raise_error(message).cast("double")).otherwise(F.coalesce(share, F.lit(0.0))).alias("failed_share"))
+
+
 def prediction_frame(scored: DataFrame, model_version: str, run: str, at: Column | None = None) -> DataFrame:
     """Prediction rows with run, version and time beside the class probabilities."""
     out = F.col("out")

@@ -20,10 +20,11 @@ def by_date(df: DataFrame, *columns: str) -> DataFrame:
 
 
 def write_landing(articles: DataFrame, base: str) -> None:
-    """Every cleaned row, copies included, as JSON and as CSV below its date."""
+    """Every cleaned row, copies included, as JSON and as CSV below its date; only the dates present are replaced."""
     rows = by_date(articles)
-    rows.write.mode("overwrite").partitionBy("date").json(f"{base}/json")
-    rows.write.mode("overwrite").partitionBy("date").option("header", True).option("escape", '"').csv(f"{base}/csv")
+    dynamic = {"partitionOverwriteMode": "dynamic"}
+    rows.write.mode("overwrite").options(**dynamic).partitionBy("date").json(f"{base}/json")
+    rows.write.mode("overwrite").options(**dynamic, header=True, escape='"').partitionBy("date").csv(f"{base}/csv")
 
 
 def write_silver(silver: DataFrame, base: str) -> None:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -47,40 +48,43 @@ def run_to_table(stream: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(stream.schema).parquet(target)
 
 
-def run_batches(stream: DataFrame, name: str, handle: Callable[[DataFrame, int], None]) -> None:
-    """Processes what is available batch by batch."""
-    checkpoint = new_path(stream.sparkSession, f"{name}-checkpoint")
+def run_batches(stream: DataFrame, checkpoint: str, handle: Callable[[DataFrame, int], None]) -> None:
+    """Processes what is available batch by batch; batch numbers go on from the checkpoint's last one."""
     writer = stream.writeStream.foreachBatch(handle).option("checkpointLocation", checkpoint)
     _finish(stream.sparkSession, writer.outputMode("append"))
 
 
-STORED = "id bigint, title string, content string, url string, source string, collected_at timestamp, fingerprint string, batch bigint"
+STORED = "id bigint, title string, content string, url string, source string, collected_at timestamp, fingerprint string, feed string, batch bigint"
 
 
 class ArticleStore:
     """Continuous ingest of landed articles into a table that never holds a content hash twice.
 
     A batch writes its own folder and reads only the hashes of the other folders, so replaying a batch after a failure
-    gives the same table.
+    gives the same table. Each feed (a landing folder) has its checkpoint in the store: a later ingest of the feed numbers
+    its batches on, and files that were taken before are not taken again.
     """
 
     def __init__(self, spark: SparkSession, base: str) -> None:
         self.spark, self.base = spark, base
-        spark.createDataFrame([], STORED).coalesce(1).write.mode("append").partitionBy("batch").parquet(base)
+        spark.createDataFrame([], STORED).coalesce(1).write.mode("append").partitionBy("feed", "batch").parquet(base)
 
     def read(self) -> DataFrame:
         return self.spark.read.schema(STORED).parquet(self.base)
 
-    def add(self, batch: DataFrame, batch_id: int) -> None:
+    def add(self, batch: DataFrame, batch_id: int, feed: str = "landing") -> None:
         clean = clean_articles(batch)
         hashed = clean.withColumn("fingerprint", fingerprint(F.col("title"), F.col("content")))
         valid = hashed.filter(is_valid(F.col("title"), F.col("content")))
-        others = self.read().filter(F.col("batch") != batch_id)
+        others = self.read().filter((F.col("feed") != feed) | (F.col("batch") != batch_id))
         fresh = new_articles(valid, others)
-        fresh.write.mode("overwrite").parquet(f"{self.base}/batch={batch_id}")
+        fresh.write.mode("overwrite").parquet(f"{self.base}/feed={feed}/batch={batch_id}")
 
-    def ingest(self, stream: DataFrame) -> DataFrame:
-        run_batches(stream, "ingest", self.add)
+    def ingest(self, stream: DataFrame, feed: str = "landing") -> DataFrame:
+        """Takes what is new in a feed; ``feed`` is letters, digits, ``-`` and ``_``, one name for each landing folder."""
+        if not re.fullmatch(r"[A-Za-z0-9_-]+", feed):
+            raise ValueError(f"not a feed name: {feed!r}")
+        run_batches(stream, f"{self.base}/_checkpoint/{feed}", lambda batch, number: self.add(batch, number, feed))
         return self.read()
 
 

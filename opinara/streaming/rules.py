@@ -68,19 +68,22 @@ def sessions(df: DataFrame, by: tuple[str, ...], gap: str, time: str = "ts") ->
 
     One key may own most rows, so they are merged before the shuffle. A stream does that by Spark's local merge of
     sessions. A table is first reduced to one row per key and minute: rows of a minute share a session, and each
-    minute becomes a session from its first row to ``gap`` after its last one, so the result is exact.
+    minute becomes a session from its first row to ``gap`` after its last one, so the result is exact. Start and end are
+    aggregates, not the grouping key: a filter on the key would be applied to rows before their sessions are merged.
     """
+    pause = F.expr(f"INTERVAL {gap}")
+    span = lambda first, last: F.struct(F.min(first).alias("start"), (F.max(last) + pause).alias("end")).alias("window")
     if df.isStreaming:
         df.sparkSession.conf.set("spark.sql.streaming.sessionWindow.merge.sessions.in.local.partition", "true")
-        grouped = df.withWatermark(time, LATENESS).groupBy(F.session_window(time, gap).alias("window"), *by)
-        return _flat(grouped.agg(F.count("*").alias("count")))
+        grouped = df.withWatermark(time, LATENESS).groupBy(F.session_window(time, gap).alias("_key"), *by)
+        return _flat(grouped.agg(span(time, time), F.count("*").alias("count")).drop("_key"))
     minutes = df.groupBy(*by, F.date_trunc("minute", F.col(time))).agg(
         F.min(time).alias("_first"), F.max(time).alias("_last"), F.count("*").alias("_n")
     )
-    length = (F.col("_last") + F.expr(f"INTERVAL {gap}")) - F.col("_first")
+    length = (F.col("_last") + pause) - F.col("_first")
     micros = F.unix_micros(F.timestamp_seconds(F.lit(0)) + length)
-    window = F.session_window("_first", F.concat(micros.cast("string"), F.lit(" microseconds"))).alias("window")
-    return _flat(minutes.groupBy(window, *by).agg(F.sum("_n").alias("count")))
+    key = F.session_window("_first", F.concat(micros.cast("string"), F.lit(" microseconds"))).alias("_key")
+    return _flat(minutes.groupBy(key, *by).agg(span("_first", "_last"), F.sum("_n").alias("count")).drop("_key"))
 
 
 def silence(df: DataFrame, by: tuple[str, ...] = (), gap: str = SILENCE, time: str = "ts") -> DataFrame:

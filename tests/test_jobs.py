@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from opinara.operators import aggregates, datasets, evaluation, filters, layers, linkage, scoring, skew, timeline, tracking
 from opinara.sources import files, pages, payloads, sinks
 from opinara.sources import layers as layer_source
+from opinara.plans.vocabulary import LEXICON
 from opinara.storage import new_path, work_dir
 from opinara.streaming import jobs, rules
 
@@ -390,6 +391,22 @@ def test_scorer_failure_is_neutral(spark):
         scoring.batch_score(df.withColumn("label", F.lit(1)), broken)
 
 
+def test_one_bad_text_fails_alone(spark):
+    good = scoring.lexicon_scorer(LEXICON)
+
+    def scorer(texts):
+        if any("poison" in t for t in texts):
+            raise RuntimeError("bad text")
+        return good(texts)
+
+    df = spark.range(200).select("id", F.lit("t").alias("title"), F.when(F.col("id") == 77, "poison").otherwise("fine").alias("content")).coalesce(1)
+    out = scoring.batch_score(df, scorer)
+    assert [r.id for r in out.filter("failed").collect()] == ["77"]
+    assert scoring.check_failures(out).first().failed_share == 0.005
+    with pytest.raises(Exception, match="failed share"):
+        scoring.check_failures(out, 0.001).collect()
+
+
 def test_prediction_frame_columns(spark):
     df = spark.createDataFrame([(1, "titre", "c")], "id int, title string, content string")
     frame = scoring.prediction_frame(scoring.batch_score(df, lambda texts: [[("POSITIVE", 0.91), ("NEUTRAL", 0.07), ("NEGATIVE", 0.02)]] * len(texts)), "v1", "run-1")
@@ -470,6 +487,17 @@ def test_rate_stream_equals_batch(spark):
     assert collected(closed, *closed.columns) == collected(batch, *batch.columns) and closed.count() == 5
 
 
+def test_filters_do_not_split_sessions(spark):
+    df = moments(spark, [(at(1, 10 * i), "a") for i in range(5)] + [(at(9), "a")])
+    closed = rules.sessions(df, ("source",), "30 minutes")
+    found = closed.collect()
+    for name in ("window_start", "window_end", "count"):
+        for row in found:
+            assert collected(closed.filter(F.col(name) <= F.lit(row[name])), *closed.columns) == sorted(tuple(r[c] for c in closed.columns) for r in found if r[name] <= row[name])
+    silent = rules.silence(df, ("source",), "30 minutes")
+    assert silent.filter(F.col("silent_at") < F.lit(at(2, 10))).count() == 0
+
+
 def test_sessions_stream_equals_batch(spark):
     rng = random.Random(3)
     rows = [(at(0) + dt.timedelta(seconds=rng.randrange(86400)), rng.choice(["a", "a", "a", "b"])) for _ in range(400)]
@@ -494,6 +522,19 @@ def test_late_rows(spark):
     assert got.agg(F.sum("rows")).first()[0] == 6 and got.agg(F.sum("late")).first()[0] >= 1
 
 
+def test_second_ingest_adds_to_the_store(spark):
+    schema = "id bigint, title string, content string, url string, source string, collected_at timestamp"
+    store, folders = jobs.ArticleStore(spark, new_path(spark, "t-store")), []
+    for first, n in ((0, 50), (50, 30)):
+        rows = [(i, f"titre {i}", f"un contenu assez long {i}", "u", "s", at(1)) for i in range(first, first + n)]
+        folders.append(new_path(spark, "t-landing"))
+        spark.createDataFrame(rows, schema).repartition(2).write.json(folders[-1])
+    spark_schema = spark.createDataFrame([], schema).schema
+    for feed, expected in ((0, 50), (1, 80), (1, 80)):
+        store.ingest(jobs.folder_stream(spark, folders[feed], spark_schema, kind="json", per_batch=1), f"feed-{feed}")
+        assert store.read().select("id").distinct().count() == store.read().count() == expected
+
+
 def test_replayed_batch_changes_nothing(spark):
     schema = "id bigint, title string, content string, url string, source string, collected_at timestamp"
     one = spark.createDataFrame([(1, "titre", "un contenu assez long", "u", "s", at(1)), (2, "titre", "un contenu assez long", "u", "s", at(1))], schema)
