@@ -114,7 +114,7 @@ def drift_stream(stream: DataFrame, every: str = "1 day", time: str = "ts") -> D
     def score(batch: DataFrame, batch_id: int) -> None:
         drift_by(batch, "window_start").write.mode("overwrite").parquet(f"{target}/batch={batch_id}")
 
-    run_batches(cells, "drift", score)
+    run_batches(cells, new_path(cells.sparkSession, "drift-checkpoint"), score)
     return spark.read.parquet(target).drop("batch")
 
 
@@ -134,7 +134,7 @@ def late_rows(stream: DataFrame, time: str = "ts", lateness: str = LATENESS) ->
         )
         counted.coalesce(1).write.mode("append").parquet(target)
 
-    run_batches(stream.select(time), "late", count)
+    run_batches(stream.select(time), new_path(stream.sparkSession, "late-checkpoint"), count)
     table = spark.read.schema(schema).parquet(target)
     return table.groupBy("batch_id").agg(F.max("rows").alias("rows"), F.max("newest").alias("newest"), F.max("late").alias("late"))
 
