@@ -42,11 +42,11 @@ NOT_PRINTABLE = r"[\p{C}\p{Z}\x{10000}-\x{10ffff}]"
 EXOTIC = r"[\x{250}-\x{10ffff}]"
 EXOTIC_BLANK = r"[\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]"
 
-# Width of an article's columns and the bounds of a guarded import.
+# Widths a caller may cut an article to, least lengths of a guarded import.
 TITLE_WIDTH = 500
 CONTENT_WIDTH = 2000
-TITLE_BOUNDS = (10, 500)
-CONTENT_BOUNDS = (50, 5000)
+TITLE_LEAST = 10
+CONTENT_LEAST = 50
 REPETITION_FLOOR = 0.3
 
 # Reject reasons in the order they are tested.
@@ -181,10 +181,6 @@ def reject_reason(title: Column, content: Column, url: Column) -> Column:
     )
 
 
-def within(text: Column, bounds: tuple[int, int]) -> Column:
-    return F.length(text).between(*bounds)
-
-
 def words(text: Column) -> Column:
     """Blank-separated words, none of them empty."""
     return F.filter(F.split(text, f"{BLANK}+"), lambda w: w != "")
@@ -196,11 +192,16 @@ def is_repetitive(text: Column) -> Column:
     return F.size(F.array_distinct(bag)) < F.size(bag) * F.lit(REPETITION_FLOOR)
 
 
-def passes_guards(title: Column, content: Column) -> Column:
-    return within(title, TITLE_BOUNDS) & within(content, CONTENT_BOUNDS) & ~is_repetitive(content)
+def passes_guards(title: Column, content: Column, title_most: int | None = None, content_most: int | None = None) -> Column:
+    """Long enough and not repetitive; upper bounds hold only where the caller names them."""
+    sized = (F.length(title) >= TITLE_LEAST) & (F.length(content) >= CONTENT_LEAST)
+    for text, most in ((title, title_most), (content, content_most)):
+        if most is not None:
+            sized &= F.length(text) <= most
+    return sized & ~is_repetitive(content)
 
 
-def is_readable(text: Column, sample_chars: int | None = 400) -> Column:
+def is_readable(text: Column, sample_chars: int | None = None) -> Column:
     """Enough letters, mostly printable, few exotic characters, at most one replacement character."""
     bare = strip(or_empty(text))
     sample = cut(bare, sample_chars)

@@ -10,10 +10,9 @@ from opinara.functions.text import cut, filled, or_empty, strip, usable_id
 from opinara.operators.filters import assert_labelled
 from opinara.operators.skew import global_rank, keep_first, top_per_group
 
-# Split shares, class numbers, width of a training text.
+# Split shares, class numbers.
 TRAIN_SHARE, VALIDATION_SHARE = 0.8, 0.1
 LABEL_IDS = {label: place for place, label in enumerate(CLASSES)}
-TRAINING_WIDTH = 512
 
 
 def ia_labelled(df: DataFrame) -> DataFrame:
@@ -31,7 +30,7 @@ def ia_labelled(df: DataFrame) -> DataFrame:
     return result
 
 
-def model_texts(df: DataFrame, title_width: int | None = 500, content_width: int | None = 2000) -> DataFrame:
+def model_texts(df: DataFrame, title_width: int | None = None, content_width: int | None = None) -> DataFrame:
     """(id, title, text) for a model: first usable id, title and content joined, blank texts dropped."""
     title, content = (or_empty(F.col(c).cast("string")) for c in ("title", "content"))
     rows = df.select(
@@ -148,7 +147,7 @@ def rebalance(df: DataFrame, target: float, max_multiplier: float, label: str =
     )
 
 
-def training_rows(df: DataFrame, width: int | None = TRAINING_WIDTH) -> DataFrame:
+def training_rows(df: DataFrame, width: int | None = None) -> DataFrame:
     """(id, text, label) for training; unknown labels and blank texts are dropped."""
     label = strict_label(F.col("sentiment"))
     number = F.lit(None).cast("int")

@@ -275,7 +275,7 @@ def rebalance(spark, sf_dir):
 
 @query(
     "training_rows",
-    f"""SELECT id, substring({strip("title || ' ' || content")}, 1, 512) AS text, CASE sentiment WHEN 'negatif' THEN 0 WHEN 'neutre' THEN 1 ELSE 2 END AS label FROM gold""",
+    f"""SELECT id, {strip("title || ' ' || content")} AS text, CASE sentiment WHEN 'negatif' THEN 0 WHEN 'neutre' THEN 1 ELSE 2 END AS label FROM gold""",
 )
 def training_rows(spark, sf_dir):
     return datasets.training_rows(corpus.gold(spark, sf_dir))

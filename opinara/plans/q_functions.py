@@ -129,10 +129,10 @@ def foundation_sources(spark, sf_dir):
     f"(SELECT id, substring({strip('content')}, 1, 400) AS head, {strip('content')} AS whole FROM articles)",
 )
 def readable_text(spark, sf_dir):
-    """By the opening of the text, as the rule is defined, and by the whole text."""
+    """By the opening of the text, a width the caller names, and by the whole text."""
     content = F.col("content")
     return corpus.articles(spark, sf_dir).select(
-        "id", text.is_readable(content).alias("readable"), text.is_readable(content, None).alias("readable_whole")
+        "id", text.is_readable(content, 400).alias("readable"), text.is_readable(content).alias("readable_whole")
     )
 
 
@@ -164,7 +164,7 @@ def normalize_id(spark, sf_dir):
 
 @query(
     "model_texts",
-    f"SELECT CAST(id AS VARCHAR) AS id, substring(title, 1, 500) AS title, {strip(chr(10).join(['substring(title, 1, 500) || chr(32) ||', 'substring(content, 1, 2000)']))} AS text FROM raw",
+    f"SELECT CAST(id AS VARCHAR) AS id, title, {strip('title || chr(32) || content')} AS text FROM raw",
 )
 def model_texts(spark, sf_dir):
     return datasets.model_texts(corpus.raw(spark, sf_dir))

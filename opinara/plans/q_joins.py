@@ -447,7 +447,7 @@ def rows_since(spark, sf_dir):
     f"""SELECT id, source, readable, source_place, title_length FROM (SELECT id, source, {readable('t')} OR {readable('c')} AS readable,
   CASE WHEN source IN ('gdelt_events', 'GDELT_Last15_English') THEN 99 WHEN source = 'reddit_france' THEN 0 WHEN source = 'yahoo_finance' THEN 1 ELSE 50 END AS source_place,
   topic_1 <> '' AND sentiment <> '' AS enriched, length(trim(title)) AS title_length
-  FROM (SELECT *, substring({strip('title')}, 1, 400) AS t, substring({strip('content')}, 1, 400) AS c FROM gold))
+  FROM (SELECT *, {strip('title')} AS t, {strip('content')} AS c FROM gold))
   ORDER BY readable DESC, source_place, enriched DESC, title_length DESC, id LIMIT 20""",
 )
 def readable_samples(spark, sf_dir):

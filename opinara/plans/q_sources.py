@@ -50,20 +50,20 @@ def latest_partition(spark, sf_dir):
 
 
 def _guarded_sql(title: str, content: str, where: str = "true") -> str:
-    """Rows passing the import guards, with the cut columns."""
+    """Rows passing the import guards, with the stripped columns."""
     words = "[w for w in regexp_split_to_array(content, '[ \\n\\r\\t]+') if w <> '']"
-    return f"""SELECT * FROM (SELECT *, {title} AS cut_title, {content} AS cut_content FROM articles WHERE {where})
-  WHERE length(cut_title) BETWEEN 10 AND 500 AND length(cut_content) BETWEEN 50 AND 5000
-  AND NOT len(list_distinct({words.replace('content', 'cut_content')})) < len({words.replace('content', 'cut_content')}) * 0.3"""
+    return f"""SELECT * FROM (SELECT *, {title} AS bare_title, {content} AS bare_content FROM articles WHERE {where})
+  WHERE length(bare_title) >= 10 AND length(bare_content) >= 50
+  AND NOT len(list_distinct({words.replace('content', 'bare_content')})) < len({words.replace('content', 'bare_content')}) * 0.3"""
 
 
-_CUT_TITLE = strip(f"substring({strip('title')}, 1, 500)")
-_CUT_CONTENT = strip(f"substring({strip('content')}, 1, 2000)")
+_BARE_TITLE = strip("title")
+_BARE_CONTENT = strip("content")
 
 
 @query(
     "csv_guarded_ingest",
-    f"SELECT cut_title AS title, cut_content AS content, coalesce(CASE WHEN lang = 'en' THEN url END, 'https://landing.example') AS url FROM ({_guarded_sql(_CUT_TITLE, _CUT_CONTENT)})",
+    f"SELECT bare_title AS title, bare_content AS content, coalesce(CASE WHEN lang = 'en' THEN url END, 'https://landing.example') AS url FROM ({_guarded_sql(_BARE_TITLE, _BARE_CONTENT)})",
 )
 def csv_guarded_ingest(spark, sf_dir):
     path = new_path(spark, "landing-csv")
@@ -74,12 +74,12 @@ def csv_guarded_ingest(spark, sf_dir):
     return files.csv_guarded(spark, path, "https://landing.example").select("title", "content", "url")
 
 
-_VALID_CUT = "length(t) > 3 AND length(c) > 10"
+_VALID = "length(t) > 3 AND length(c) > 10"
 
 
 @query(
     "csv_flexible_columns",
-    f"SELECT t AS title, c AS content FROM (SELECT {strip('substring(title, 1, 500)')} AS t, {strip('substring(content, 1, 2000)')} AS c FROM articles) WHERE {_VALID_CUT}",
+    f"SELECT t AS title, c AS content FROM (SELECT {strip('title')} AS t, {strip('content')} AS c FROM articles) WHERE {_VALID}",
 )
 def csv_flexible_columns(spark, sf_dir):
     """A header of foreign names: the headline is the second column, the body the third."""
@@ -93,8 +93,8 @@ def csv_flexible_columns(spark, sf_dir):
 
 @query(
     "json_items_ingest",
-    f"""SELECT t AS title, c AS content FROM (SELECT {strip("substring(CASE WHEN lang = 'es' THEN 'Kaggle' ELSE title END, 1, 500)")} AS t,
-  {strip('substring(content, 1, 2000)')} AS c FROM articles) WHERE {_VALID_CUT}""",
+    f"""SELECT t AS title, c AS content FROM (SELECT {strip("CASE WHEN lang = 'es' THEN 'Kaggle' ELSE title END")} AS t,
+  {strip('content')} AS c FROM articles) WHERE {_VALID}""",
 )
 def json_items_ingest(spark, sf_dir):
     """Lists and item objects, English under other keys, Spanish without a title."""
@@ -111,7 +111,7 @@ def json_items_ingest(spark, sf_dir):
     return files.item_articles(items)
 
 
-_LOCAL = f"""SELECT 'gdelt_' || lang AS source, substring(t, 1, 500) AS title, substring(CASE WHEN c = '' THEN t ELSE c END, 1, 2000) AS content, url
+_LOCAL = f"""SELECT 'gdelt_' || lang AS source, t AS title, CASE WHEN c = '' THEN t ELSE c END AS content, url
   FROM (SELECT lang, url, {strip('title')} AS t, CASE WHEN lang = 'de' THEN '' ELSE {strip('content')} END AS c FROM articles) WHERE length(t) > 3"""
 
 
@@ -146,14 +146,18 @@ def raw_layer(spark, sf_dir):
     return layers.local_rows_appended(stored, local).select(*columns)
 
 
-@query("tsv_events_ingest")
+@query(
+    "tsv_events_ingest",
+    """SELECT event_type || ' by user ' || user_id AS title, 'Code: ' || event_id || ', Date: ' || strftime(ts, '%Y%m%d%H%M%S') AS content,
+  'https://events.example/' || event_id AS url FROM events""",
+)
 def tsv_events_ingest(spark, sf_dir):
-    """Event lines of 58 fields; a report of the first rows of each file."""
+    """Event lines of 58 fields."""
     path = new_path(spark, "event-tsv")
     e = corpus.events(spark, sf_dir)
     blank = F.array_repeat(F.lit(""), 54)
     fields = F.concat(
-        F.array(F.col("event_id").cast("string"), F.concat("event_type", F.lit(" by user "), F.col("user_id").cast("string")), F.col("ts").cast("string")),
+        F.array(F.col("event_id").cast("string"), F.concat("event_type", F.lit(" by user "), F.col("user_id").cast("string")), F.date_format("ts", "yyyyMMddHHmmss")),
         blank,
         F.array(F.concat(F.lit("https://events.example/"), F.col("event_id").cast("string"))),
     )
@@ -163,10 +167,10 @@ def tsv_events_ingest(spark, sf_dir):
 
 @query(
     "guarded_recent_sample",
-    f"""SELECT id, substring({strip('content')}, 1, 2000) AS content FROM (SELECT *, {strip('title')} AS cut_title, {strip('content')} AS cut_content FROM articles
+    f"""SELECT id, {strip('content')} AS content FROM (SELECT *, {strip('title')} AS bare_title, {strip('content')} AS bare_content FROM articles
   WHERE collected_at < TIMESTAMP '2024-01-28 00:30:00' - INTERVAL 1 HOUR ORDER BY collected_at DESC, id DESC LIMIT 300)
-  WHERE length(cut_title) BETWEEN 10 AND 500 AND length(cut_content) BETWEEN 50 AND 5000
-  AND NOT len(list_distinct([w for w in regexp_split_to_array(cut_content, '[ \\n\\r\\t]+') if w <> ''])) < len([w for w in regexp_split_to_array(cut_content, '[ \\n\\r\\t]+') if w <> '']) * 0.3""",
+  WHERE length(bare_title) >= 10 AND length(bare_content) >= 50
+  AND NOT len(list_distinct([w for w in regexp_split_to_array(bare_content, '[ \\n\\r\\t]+') if w <> ''])) < len([w for w in regexp_split_to_array(bare_content, '[ \\n\\r\\t]+') if w <> '']) * 0.3""",
 )
 def guarded_recent_sample(spark, sf_dir):
     docs = corpus.articles(spark, sf_dir).withColumnRenamed("collected_at", "published_at")
@@ -184,8 +188,8 @@ def _lines(spark, sf_dir):
 
 @query(
     "feed_to_articles",
-    f"""SELECT doc_id, t AS title, CASE WHEN i % 2 = 0 THEN t2 ELSE substring(line, 1, 2000) END AS content FROM
-  (SELECT *, substring({strip('line')}, 1, 500) AS t, substring({strip('line')}, 1, 2000) AS t2 FROM ({_LINES}) WHERE i <= 50)
+    f"""SELECT doc_id, t AS title, CASE WHEN i % 2 = 0 THEN t ELSE line END AS content FROM
+  (SELECT *, {strip('line')} AS t FROM ({_LINES}))
   WHERE length({strip('t')}) > 3 AND length({strip('line')}) > 10""",
 )
 def feed_to_articles(spark, sf_dir):
@@ -210,8 +214,7 @@ def _posts(spark, sf_dir):
 
 @query(
     "posts_to_articles",
-    f"""SELECT post_id, substring('[' || upper(channel) || '] ' || title, 1, 500) AS title, substring(selftext, 1, 2000) AS content FROM
-  ({_POSTS} QUALIFY row_number() OVER (PARTITION BY role ORDER BY conv_id * 1000 + turn) <= 25) WHERE score >= 3 AND title <> '' AND length(trim(selftext)) > 10""",
+    f"""SELECT post_id, '[' || upper(channel) || '] ' || title AS title, selftext AS content FROM ({_POSTS}) WHERE score >= 3 AND title <> '' AND length(trim(selftext)) > 10""",
 )
 def posts_to_articles(spark, sf_dir):
     return payloads.post_articles(_posts(spark, sf_dir), [F.col("post_id")], "post_id").select("post_id", "title", "content")
@@ -219,9 +222,8 @@ def posts_to_articles(spark, sf_dir):
 
 @query(
     "posts_feed_to_articles",
-    f"""SELECT post_id, t AS title, c AS content FROM (SELECT post_id, substring('[' || upper(channel) || '] ' || title, 1, 500) AS t,
-  substring(CASE WHEN length({squeeze('selftext')}) >= 60 THEN {squeeze('selftext')} ELSE title END, 1, 2000) AS c
-  FROM ({_POSTS} QUALIFY row_number() OVER (PARTITION BY role ORDER BY conv_id * 1000 + turn) <= 25) WHERE title <> '') WHERE length(trim(c)) > 10""",
+    f"""SELECT post_id, t AS title, c AS content FROM (SELECT post_id, '[' || upper(channel) || '] ' || title AS t,
+  CASE WHEN length({squeeze('selftext')}) >= 60 THEN {squeeze('selftext')} ELSE title END AS c FROM ({_POSTS}) WHERE title <> '') WHERE length(trim(c)) > 10""",
 )
 def posts_feed_to_articles(spark, sf_dir):
     return payloads.post_feed_articles(_posts(spark, sf_dir), [F.col("post_id")], "post_id").select("post_id", "title", "content")
@@ -247,7 +249,7 @@ def weather_bulletins(spark, sf_dir):
 
 @query(
     "nested_payload_union",
-    f"""SELECT doc_id, substring('[CONSULT] ' || line, 1, 500) AS title, 'Theme: ' || lang || '. Territoire: ' || source || '. Fin: .' AS content,
+    f"""SELECT doc_id, '[CONSULT] ' || line AS title, 'Theme: ' || lang || '. Territoire: ' || source || '. Fin: .' AS content,
   CASE WHEN n > 1 AND i = n THEN 'https://consult.example' ELSE 'https://consult.example/consultations/c' || length(line) END AS url
   FROM (SELECT l.*, d.lang, d.source, len(string_split(d.text, chr(10))) AS n FROM ({_LINES}) l JOIN documents d USING (doc_id))""",
 )
@@ -272,8 +274,8 @@ def nested_payload_union(spark, sf_dir):
 
 @query(
     "payload_first_array",
-    f"""SELECT doc_id, substring(line, 1, 500) AS title, substring(line, 1, 2000) AS content, '' AS url FROM ({_LINES}) JOIN documents USING (doc_id)
-  WHERE i <= 50 AND length({strip('line')}) > 10""",
+    f"""SELECT doc_id, line AS title, line AS content, '' AS url FROM ({_LINES}) JOIN documents USING (doc_id)
+  WHERE length({strip('line')}) > 10""",
 )
 def payload_first_array(spark, sf_dir):
     """English payloads hold articles, French an empty list before items, the others results."""
@@ -295,8 +297,8 @@ def payload_first_array(spark, sf_dir):
 
 @query(
     "payload_candidate_keys",
-    f"""SELECT doc_id, '[STAT series] ' || substring({strip('line')}, 1, 500) AS title, substring({squeeze('line')}, 1, 2000) AS content, 'https://stats.example' AS url
-  FROM ({_LINES}) WHERE i <= 60 AND length({strip('line')}) >= 4 AND length({squeeze('line')}) > 10""",
+    f"""SELECT doc_id, '[STAT series] ' || {strip('line')} AS title, {squeeze('line')} AS content, 'https://stats.example' AS url
+  FROM ({_LINES}) WHERE length({strip('line')}) >= 4 AND length({squeeze('line')}) > 10""",
 )
 def payload_candidate_keys(spark, sf_dir):
     """Records two levels down, their title under a late key and their text under ``resume``."""
@@ -308,13 +310,13 @@ def payload_candidate_keys(spark, sf_dir):
 
 @query(
     "catalogue_to_articles",
-    f"""SELECT slug, '[catalogue] ' || substring({strip('title')}, 1, 500) AS title, substring({squeeze('content')}, 1, 2000) AS content, 'https://data.example/fr/datasets/' || slug || '/' AS url
-  FROM (SELECT *, source || '-' || lang AS slug FROM articles WHERE {strip('title')} <> '' AND length({squeeze('content')}) >= 25
-  QUALIFY row_number() OVER (PARTITION BY source || '-' || lang ORDER BY id) = 1) WHERE length({strip('title')}) > 0""",
+    f"""SELECT slug, '[catalogue] ' || {strip('title')} AS title, {squeeze('content')} AS content, 'https://data.example/fr/datasets/' || slug || '/' AS url
+  FROM (SELECT *, source || '-' || md5(title) AS slug FROM articles WHERE {strip('title')} <> '' AND length({squeeze('content')}) >= 25
+  QUALIFY row_number() OVER (PARTITION BY source || '-' || md5(title) ORDER BY id) = 1) WHERE length({strip('title')}) > 0""",
 )
 def catalogue_to_articles(spark, sf_dir):
     records = corpus.articles(spark, sf_dir).select(
-        "id", "title", F.col("content").alias("description"), F.concat("source", F.lit("-"), "lang").alias("slug")
+        "id", "title", F.col("content").alias("description"), F.concat("source", F.lit("-"), F.md5("title")).alias("slug")
     )
     rows = payloads.catalogue_articles(records, "catalogue", "https://data.example", [F.col("id")])
     return rows.select("slug", "title", "content", "url")
@@ -326,7 +328,7 @@ def catalogue_to_articles(spark, sf_dir):
   (SELECT page_id, url, regexp_extract_all(html, '<a href="([^"]*)">([^<]*)</a>', 1) AS h, regexp_extract_all(html, '<a href="([^"]*)">([^<]*)</a>', 2) AS t FROM pages)),
   k AS (SELECT *, CASE WHEN starts_with(href, 'http') THEN href ELSE regexp_extract(url, '^(https?://[^/?#]+)', 1) || CASE WHEN starts_with(href, '/') THEN href ELSE '/' || href END END AS link
   FROM a WHERE contains(lower(href), '/') AND NOT contains(lower(href), 'the') AND length(trim(txt)) >= 8)
-  SELECT '[PAGES] ' || substring(split_part(txt, '. ', 1), 1, 300) AS title, txt AS content, link AS url FROM k WHERE length(txt) > 10
+  SELECT '[PAGES] ' || split_part(txt, '. ', 1) AS title, txt AS content, link AS url FROM k WHERE length(txt) > 10
   QUALIFY row_number() OVER (PARTITION BY link ORDER BY page_id, i) = 1""",
 )
 def pages_to_links(spark, sf_dir):

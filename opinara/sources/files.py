@@ -7,8 +7,6 @@ from pyspark.sql import functions as F
 
 from opinara.functions.labels import strict_polarity
 from opinara.functions.text import (
-    CONTENT_WIDTH,
-    TITLE_WIDTH,
     cut,
     filled,
     is_valid,
@@ -17,9 +15,8 @@ from opinara.functions.text import (
     strip,
 )
 
-# Positions read from an event file and its row limits.
+# Positions read from an event file.
 EVENT_COLUMNS = {"code": 0, "title": 1, "date": 2, "url": 57}
-EVENT_ROWS_PER_FILE, EVENT_ROWS_TOTAL = 51, 100
 
 # JSON keys tried in order.
 TITLE_KEYS = ("title", "headline", "Title")
@@ -38,24 +35,26 @@ def read_csv(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.csv(path, header=True, multiLine=True, escape='"', mode="PERMISSIVE", encoding="UTF-8")
 
 
-def guarded_import(rows: DataFrame, title_width: int | None = TITLE_WIDTH, content_width: int | None = CONTENT_WIDTH) -> DataFrame:
-    """Rows with title and content inside the import bounds and not repetitive; texts take the article's column widths."""
+def guarded_import(rows: DataFrame, title_width: int | None = None, content_width: int | None = None) -> DataFrame:
+    """Rows with title and content inside the import bounds and not repetitive; widths cut the texts first."""
     title = strip(cut(strip(or_empty(F.col("title"))), title_width))
     content = strip(cut(strip(or_empty(F.col("content"))), content_width))
     sized = rows.withColumns({"title": title, "content": content})
     return sized.filter(passes_guards(F.col("title"), F.col("content")) & is_valid(F.col("title"), F.col("content")))
 
 
-def csv_guarded(spark: SparkSession, path: str, default_url: str, now: Column | None = None) -> DataFrame:
+def csv_guarded(
+    spark: SparkSession, path: str, default_url: str, now: Column | None = None, title_width: int | None = None, content_width: int | None = None
+) -> DataFrame:
     """Guarded CSV import; a missing url or publication time gets a default."""
-    rows = guarded_import(read_csv(spark, path))
+    rows = guarded_import(read_csv(spark, path), title_width, content_width)
     stamp = F.current_timestamp().cast("string") if now is None else now
     return rows.withColumns(
         {"url": F.coalesce("url", F.lit(default_url)), "published_at": F.coalesce(filled(F.col("published_at")), stamp)}
     )
 
 
-def csv_flexible(spark: SparkSession, path: str) -> DataFrame:
+def csv_flexible(spark: SparkSession, path: str, title_width: int | None = None, content_width: int | None = None) -> DataFrame:
     """CSV of unknown header: the title is the first column named like one, else the first; content likewise.
 
     Only the header decides, on the driver; when there is a single column it serves as both.
@@ -71,8 +70,8 @@ def csv_flexible(spark: SparkSession, path: str) -> DataFrame:
     rest = F.concat_ws(" ", *[F.col(f"`{n}`") for n in names[1:]]) if len(names) > 1 else F.col(f"`{title}`")
     body = rest if content is None else F.col(f"`{content}`")
     rows = df.select(
-        strip(cut(or_empty(F.col(f"`{title}`")), TITLE_WIDTH)).alias("title"),
-        strip(cut(or_empty(body), CONTENT_WIDTH)).alias("content"),
+        strip(cut(or_empty(F.col(f"`{title}`")), title_width)).alias("title"),
+        strip(cut(or_empty(body), content_width)).alias("content"),
     )
     return rows.filter(is_valid(F.col("title"), F.col("content")))
 
@@ -96,23 +95,23 @@ def read_json_documents(spark: SparkSession, path: str, lines: bool = False) ->
     )
 
 
-def json_articles(spark: SparkSession, path: str, fallback_title: str = "Kaggle") -> DataFrame:
+def json_articles(spark: SparkSession, path: str, fallback_title: str = "Kaggle", title_width: int | None = None, content_width: int | None = None) -> DataFrame:
     """Articles of list or ``items`` files with key fallbacks; content falls back to the title."""
     documents = read_json_documents(spark, path).filter(~F.lower("path").contains("manifest"))
-    return item_articles(json_items(documents), fallback_title).drop("path")
+    return item_articles(json_items(documents), fallback_title, title_width, content_width).drop("path")
 
 
-def item_articles(items: DataFrame, fallback_title: str = "Kaggle") -> DataFrame:
+def item_articles(items: DataFrame, fallback_title: str = "Kaggle", title_width: int | None = None, content_width: int | None = None) -> DataFrame:
     """Title and content of JSON items by the first key that is present."""
-    title = strip(cut(F.coalesce(_member("item", TITLE_KEYS), F.lit(fallback_title)), TITLE_WIDTH))
+    title = strip(cut(F.coalesce(_member("item", TITLE_KEYS), F.lit(fallback_title)), title_width))
     rows = items.withColumn("title", title)
     rows = rows.withColumn(
-        "content", strip(cut(F.coalesce(_member("item", CONTENT_KEYS), F.col("title")), CONTENT_WIDTH))
+        "content", strip(cut(F.coalesce(_member("item", CONTENT_KEYS), F.col("title")), content_width))
     )
     return rows.drop("item").filter(is_valid(F.col("title"), F.col("content")))
 
 
-def folder_articles(spark: SparkSession, path: str, lines: bool = False) -> DataFrame:
+def folder_articles(spark: SparkSession, path: str, lines: bool = False, title_width: int | None = None, content_width: int | None = None) -> DataFrame:
     """Recovers articles from source-named folders; content falls back to the title, the source is the folder."""
     items = json_items(read_json_documents(spark, path, lines))
 
@@ -126,15 +125,20 @@ def folder_articles(spark: SparkSession, path: str, lines: bool = False) -> Data
         .filter(F.length("title") > 3)
         .select(
             F.regexp_extract("path", r"/([^/]+)/[^/]+$", 1).alias("source"),
-            cut(F.col("title"), TITLE_WIDTH).alias("title"),
-            cut(F.when(F.col("content") == "", F.col("title")).otherwise(F.col("content")), CONTENT_WIDTH).alias("content"),
+            cut(F.col("title"), title_width).alias("title"),
+            cut(F.when(F.col("content") == "", F.col("title")).otherwise(F.col("content")), content_width).alias("content"),
             or_empty(F.get_json_object("item", "$.url")).alias("url"),
         )
     )
 
 
-def tab_events(spark: SparkSession, path: str, per_file: int = EVENT_ROWS_PER_FILE, total: int = EVENT_ROWS_TOTAL) -> DataFrame:
-    """First rows of each tab-separated event file as articles: fields 0, 1, 2 and 57."""
+def tab_events(
+    spark: SparkSession, path: str, per_file: int | None = None, total: int | None = None, title_width: int | None = None
+) -> DataFrame:
+    """Every line of tab-separated event files as an article: fields 0, 1, 2 and 57.
+
+    With ``per_file`` only the first lines of each file, with ``total`` only the first articles by path and line.
+    """
     lines = spark.read.text(path).select(
         F.split("value", "\t").alias("f"), F.col("_metadata.file_path").alias("path"), F.monotonically_increasing_id().alias("at")
     )
@@ -142,22 +146,19 @@ def tab_events(spark: SparkSession, path: str, per_file: int = EVENT_ROWS_PER_FI
     def field(name: str) -> Column:
         return F.get("f", F.lit(EVENT_COLUMNS[name]))
 
-    rank = F.row_number().over(Window.partitionBy("path").orderBy("at"))
-    return (
-        lines.withColumn("_rank", rank)
-        .filter(F.col("_rank") <= per_file)
-        .select(
-            "path",
-            "at",
-            cut(or_empty(field("title")), TITLE_WIDTH).alias("title"),
-            F.concat(F.lit("Code: "), field("code"), F.lit(", Date: "), F.coalesce(field("date"), F.lit("N/A"))).alias("content"),
-            or_empty(field("url")).alias("url"),
-        )
-        .filter(is_valid(F.col("title"), F.col("content")))
-        .orderBy("path", "at")
-        .limit(total)
-        .drop("path", "at")
-    )
+    if per_file is not None:
+        rank = F.row_number().over(Window.partitionBy("path").orderBy("at"))
+        lines = lines.withColumn("_rank", rank).filter(F.col("_rank") <= per_file)
+    rows = lines.select(
+        "path",
+        "at",
+        cut(or_empty(field("title")), title_width).alias("title"),
+        F.concat(F.lit("Code: "), field("code"), F.lit(", Date: "), F.coalesce(field("date"), F.lit("N/A"))).alias("content"),
+        or_empty(field("url")).alias("url"),
+    ).filter(is_valid(F.col("title"), F.col("content")))
+    if total is not None:
+        rows = rows.orderBy("path", "at").limit(total)
+    return rows.drop("path", "at")
 
 
 def labelled_corpus(df: DataFrame) -> DataFrame:

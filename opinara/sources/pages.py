@@ -11,16 +11,13 @@ from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from opinara.functions.text import CONTENT_WIDTH, TITLE_WIDTH, cut, is_valid, normalize_ws
+from opinara.functions.text import cut, is_valid, normalize_ws
 from opinara.operators.filters import mentions
 from opinara.operators.skew import keep_first
 from opinara.storage import spread
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
-# Width of the headline taken from a link text.
-HEADLINE_WIDTH = 300
-
 
 class _Anchors(HTMLParser):
     """Collects (href, text) of each link in page order."""
@@ -77,7 +74,8 @@ def absolute(href: Column, page_url: Column) -> Column:
 
 
 def link_articles(
-    pages: DataFrame, prefix: str, path_parts: tuple[str, ...], excluded: tuple[str, ...] = (), min_text: int = 25
+    pages: DataFrame, prefix: str, path_parts: tuple[str, ...], excluded: tuple[str, ...] = (), min_text: int = 25,
+    headline_width: int | None = None, title_width: int | None = None, content_width: int | None = None,
 ) -> DataFrame:
     """Links that lead to articles, one per absolute url, as article rows.
 
@@ -88,10 +86,10 @@ def link_articles(
     )
     resolved = kept.withColumn("link", absolute(F.col("href"), F.col("url")))
     unique = keep_first(resolved, ["link"], [F.col("page_id"), F.col("place")])
-    headline = cut(F.substring_index("text", ". ", 1), HEADLINE_WIDTH)
+    headline = cut(F.substring_index("text", ". ", 1), headline_width)
     rows = unique.select(
-        cut(F.concat(F.lit(f"[{prefix}] "), headline), TITLE_WIDTH).alias("title"),
-        cut(F.col("text"), CONTENT_WIDTH).alias("content"),
+        cut(F.concat(F.lit(f"[{prefix}] "), headline), title_width).alias("title"),
+        cut(F.col("text"), content_width).alias("content"),
         F.col("link").alias("url"),
         "page_id",
     )

@@ -13,8 +13,6 @@ from pyspark.sql.types import ArrayType, StringType
 
 from opinara.functions.numbers import one_of
 from opinara.functions.text import (
-    CONTENT_WIDTH,
-    TITLE_WIDTH,
     clean_html,
     cut,
     filled,
@@ -46,8 +44,7 @@ LIST_KEYS = ("data", "datasets", "items", "series", "results", "_embedded", "val
 RECORD_TITLE_KEYS = ("title", "label", "libelle", "nom", "name", "id", "identifier")
 RECORD_TEXT_KEYS = ("description", "abstract", "resume", "comment")
 RECORD_URL_KEYS = ("url", "uri", "link")
-RECORD_LIMIT, GENERIC_LIMIT, FEED_LIMIT = 60, 50, 50
-POST_LIMIT, POST_MINIMUM_SCORE, POST_BODY_MINIMUM = 25, 3, 60
+POST_MINIMUM_SCORE, POST_BODY_MINIMUM = 3, 60
 CATALOGUE_TEXT_MINIMUM, RECORD_TITLE_MINIMUM = 25, 4
 RECENT_GUARD = "INTERVAL 1 HOUR"
 
@@ -56,19 +53,26 @@ def _valid(df: DataFrame) -> DataFrame:
     return df.filter(is_valid(F.col("title"), F.col("content")))
 
 
-def guarded_recent_sample(df: DataFrame, now: Column, n: int, unique: str = "id") -> DataFrame:
+def guarded_recent_sample(df: DataFrame, now: Column, n: int, unique: str = "id", content_width: int | None = None) -> DataFrame:
     """Newest ``n`` documents older than an hour, then the import guards; the newest are taken before they are tested."""
     settled = df.filter(F.col("published_at") < now - F.expr(RECENT_GUARD))
     newest = settled.orderBy(F.desc("published_at"), F.desc(unique)).limit(n)
     bare = newest.withColumns({c: strip(or_empty(F.col(c))) for c in ("title", "content")})
     kept = bare.filter(passes_guards(F.col("title"), F.col("content")))
-    return _valid(kept.withColumn("content", cut(F.col("content"), CONTENT_WIDTH)))
+    return _valid(kept.withColumn("content", cut(F.col("content"), content_width)))
 
 
-def feed_articles(payloads: DataFrame, column: str = "payload", limit: int = FEED_LIMIT) -> DataFrame:
+def _first(records: Column, limit: int | None) -> Column:
+    """The first records of a list; ``None`` keeps all."""
+    return records if limit is None else F.slice(records, 1, limit)
+
+
+def feed_articles(
+    payloads: DataFrame, column: str = "payload", limit: int | None = None, title_width: int | None = None, content_width: int | None = None
+) -> DataFrame:
     """Entries of a feed: content is summary, else description, else the title."""
     schema = "entries array<struct<title:string,summary:string,description:string,link:string,published:string>>"
-    entries = F.slice(F.from_json(column, schema)["entries"], 1, limit)
+    entries = _first(F.from_json(column, schema)["entries"], limit)
     entry = F.col("entry")
 
     def present(field: str) -> Column:
@@ -77,8 +81,8 @@ def feed_articles(payloads: DataFrame, column: str = "payload", limit: int = FEE
     title = strip(or_empty(entry["title"]))
     rows = payloads.withColumn("entry", F.explode(entries)).withColumns(
         {
-            "title": cut(title, TITLE_WIDTH),
-            "content": cut(F.coalesce(present("summary"), present("description"), title), CONTENT_WIDTH),
+            "title": cut(title, title_width),
+            "content": cut(F.coalesce(present("summary"), present("description"), title), content_width),
             "url": or_empty(entry["link"]),
             "published_at": or_empty(entry["published"]),
         }
@@ -87,36 +91,39 @@ def feed_articles(payloads: DataFrame, column: str = "payload", limit: int = FEE
 
 
 def post_articles(
-    posts: DataFrame, order: list[Column], unique: str, per_channel: int = POST_LIMIT, minimum: int = POST_MINIMUM_SCORE
+    posts: DataFrame, order: list[Column], unique: str, per_channel: int | None = None, minimum: int = POST_MINIMUM_SCORE,
+    title_width: int | None = None, content_width: int | None = None,
 ) -> DataFrame:
-    """First posts of each channel, those of a minimum score, titled with their channel.
+    """Posts of a minimum score, titled with their channel; with ``per_channel`` only among the first of each channel.
 
     A post without text says which discussion it opens. A channel may hold most posts, so it is thinned in salted parts.
     """
-    first = top_per_group(posts, ["channel"], order, per_channel, unique)
+    first = posts if per_channel is None else top_per_group(posts, ["channel"], order, per_channel, unique)
     scored = first.filter((F.col("score") >= minimum) & (F.col("title") != ""))
-    body = F.nullif(cut(or_empty(F.col("selftext")), CONTENT_WIDTH), F.lit(""))
+    body = F.nullif(cut(or_empty(F.col("selftext")), content_width), F.lit(""))
     return _valid(
         scored.withColumns(
             {
-                "title": cut(F.concat(F.lit("["), F.upper("channel"), F.lit("] "), "title"), TITLE_WIDTH),
+                "title": cut(F.concat(F.lit("["), F.upper("channel"), F.lit("] "), "title"), title_width),
                 "content": F.coalesce(body, F.concat(F.lit("Discussion #"), F.col("score").cast("string"))),
             }
         )
     )
 
 
-def post_feed_articles(posts: DataFrame, order: list[Column], unique: str, per_channel: int = POST_LIMIT) -> DataFrame:
+def post_feed_articles(
+    posts: DataFrame, order: list[Column], unique: str, per_channel: int | None = None, title_width: int | None = None, content_width: int | None = None
+) -> DataFrame:
     """Posts from a feed instead: markup is removed and a short body gives way to the title."""
-    first = top_per_group(posts, ["channel"], order, per_channel, unique)
+    first = posts if per_channel is None else top_per_group(posts, ["channel"], order, per_channel, unique)
     text = normalize_ws(clean_html(F.col("selftext")))
     named = first.filter(F.col("title") != "").withColumn("_body", text)
     body = F.when(F.length("_body") >= POST_BODY_MINIMUM, F.col("_body")).otherwise(F.col("title"))
     return _valid(
         named.withColumns(
             {
-                "content": cut(body, CONTENT_WIDTH),
-                "title": cut(F.concat(F.lit("["), F.upper("channel"), F.lit("] "), "title"), TITLE_WIDTH),
+                "content": cut(body, content_width),
+                "title": cut(F.concat(F.lit("["), F.upper("channel"), F.lit("] "), "title"), title_width),
             }
         ).drop("_body")
     )
@@ -144,7 +151,9 @@ def weather_bulletins(readings: DataFrame) -> DataFrame:
     )
 
 
-def consultation_articles(payloads: DataFrame, prefix: str, base_url: str, column: str = "payload") -> DataFrame:
+def consultation_articles(
+    payloads: DataFrame, prefix: str, base_url: str, column: str = "payload", title_width: int | None = None, content_width: int | None = None
+) -> DataFrame:
     """Open and closed consultations of a payload, theme label nested one level down, titled with their platform."""
     record = "array<struct<title:string,thematique:struct<label:string>,territory:string,endDate:string,slug:string>>"
     parsed = F.from_json(column, f"ongoing {record}, finished {record}")
@@ -153,13 +162,13 @@ def consultation_articles(payloads: DataFrame, prefix: str, base_url: str, colum
     item = F.col("item")
     rows = payloads.withColumn("item", F.explode(both)).withColumns(
         {
-            "title": cut(F.concat(F.lit(f"[{prefix}] "), or_empty(item["title"])), TITLE_WIDTH),
+            "title": cut(F.concat(F.lit(f"[{prefix}] "), or_empty(item["title"])), title_width),
             "content": cut(
                 F.concat(
                     F.lit("Theme: "), or_empty(item["thematique"]["label"]), F.lit(". Territoire: "),
                     or_empty(item["territory"]), F.lit(". Fin: "), or_empty(item["endDate"]), F.lit("."),
                 ),
-                CONTENT_WIDTH,
+                content_width,
             ),
             "url": F.coalesce(F.concat(F.lit(f"{base_url}/consultations/"), F.nullif(item["slug"], F.lit(""))), F.lit(base_url)),
         }
@@ -167,28 +176,30 @@ def consultation_articles(payloads: DataFrame, prefix: str, base_url: str, colum
     return _valid(rows.drop("item", column))
 
 
-def generic_articles(payloads: DataFrame, column: str = "payload", limit: int = GENERIC_LIMIT) -> DataFrame:
-    """First non-empty list of articles, items and results, its first records only."""
+def generic_articles(
+    payloads: DataFrame, column: str = "payload", limit: int | None = None, title_width: int | None = None, content_width: int | None = None
+) -> DataFrame:
+    """First non-empty list of articles, items and results."""
     record = "array<struct<title:string,content:string,url:string>>"
     parsed = F.from_json(column, f"articles {record}, items {record}, results {record}")
     lists = [F.when(F.size(parsed[k]) > 0, parsed[k]) for k in ("articles", "items", "results")]
     item = F.col("item")
-    rows = payloads.withColumn("item", F.explode(F.slice(F.coalesce(*lists), 1, limit))).withColumns(
+    rows = payloads.withColumn("item", F.explode(_first(F.coalesce(*lists), limit))).withColumns(
         {
-            "title": cut(or_empty(item["title"]), TITLE_WIDTH),
-            "content": cut(or_empty(item["content"]), CONTENT_WIDTH),
+            "title": cut(or_empty(item["title"]), title_width),
+            "content": cut(or_empty(item["content"]), content_width),
             "url": or_empty(item["url"]),
         }
     )
     return _valid(rows.drop("item", column))
 
 
-def records_of(payload: str) -> list[str]:
+def records_of(payload: str, limit: int | None = None) -> list[str]:
     """Records of the first list found under the known keys, looking into nested objects; as JSON texts."""
 
     def search(node: object) -> list:
         if isinstance(node, list):
-            return [r for r in node[:RECORD_LIMIT] if isinstance(r, dict)]
+            return [r for r in node[:limit] if isinstance(r, dict)]
         if not isinstance(node, dict):
             return []
         for child in (node.get(key) for key in LIST_KEYS):
@@ -203,14 +214,20 @@ def records_of(payload: str) -> list[str]:
         return []
 
 
-@F.pandas_udf(ArrayType(StringType()))
-def _records(payloads: pd.Series) -> pd.Series:
-    return payloads.map(lambda p: [] if p is None else records_of(p))
+def _records(column: str, limit: int | None) -> Column:
+    @F.pandas_udf(ArrayType(StringType()))
+    def listed(payloads: pd.Series) -> pd.Series:
+        return payloads.map(lambda p: [] if p is None else records_of(p, limit))
+
+    return listed(column)
 
 
-def record_articles(payloads: DataFrame, tag: str, default_url: str, column: str = "payload") -> DataFrame:
+def record_articles(
+    payloads: DataFrame, tag: str, default_url: str, column: str = "payload", limit: int | None = None,
+    title_width: int | None = None, content_width: int | None = None,
+) -> DataFrame:
     """Articles of nested statistics payloads; a record without description keeps itself as text."""
-    items = payloads.withColumn("item", F.explode_outer(_records(column))).filter(F.col("item").isNotNull())
+    items = payloads.withColumn("item", F.explode_outer(_records(column, limit))).filter(F.col("item").isNotNull())
     keys = dict.fromkeys((*RECORD_TITLE_KEYS, *RECORD_TEXT_KEYS, *RECORD_URL_KEYS))
     parsed = items.withColumn("_r", F.from_json("item", ", ".join(f"{key} string" for key in keys)))
 
@@ -219,7 +236,7 @@ def record_articles(payloads: DataFrame, tag: str, default_url: str, column: str
 
     staged = parsed.withColumns(
         {
-            "_title": cut(strip(or_empty(first_of(RECORD_TITLE_KEYS))), TITLE_WIDTH),
+            "_title": cut(strip(or_empty(first_of(RECORD_TITLE_KEYS))), title_width),
             "_text": first_of(RECORD_TEXT_KEYS),
             "url": F.coalesce(first_of(RECORD_URL_KEYS), F.lit(default_url)),
         }
@@ -228,13 +245,15 @@ def record_articles(payloads: DataFrame, tag: str, default_url: str, column: str
     rows = staged.withColumns(
         {
             "title": F.concat(F.lit(f"[{tag}] "), "_title"),
-            "content": cut(F.when(F.col("_text").isNotNull(), described).otherwise(F.col("item")), CONTENT_WIDTH),
+            "content": cut(F.when(F.col("_text").isNotNull(), described).otherwise(F.col("item")), content_width),
         }
     )
     return _valid(rows.drop("_title", "_text", "item", column))
 
 
-def catalogue_articles(records: DataFrame, prefix: str, base_url: str, order: list[Column]) -> DataFrame:
+def catalogue_articles(
+    records: DataFrame, prefix: str, base_url: str, order: list[Column], title_width: int | None = None, content_width: int | None = None
+) -> DataFrame:
     """Catalogue records with enough description, one per slug, titled with their catalogue."""
     cleaned = records.withColumns(
         {
@@ -249,8 +268,8 @@ def catalogue_articles(records: DataFrame, prefix: str, base_url: str, order: li
     url = F.coalesce(F.concat(F.lit(f"{base_url}/fr/datasets/"), filled(F.col("slug")), F.lit("/")), F.lit(base_url))
     rows = kept.withColumns(
         {
-            "title": F.concat(F.lit(f"[{prefix}] "), cut(F.col("title"), TITLE_WIDTH)),
-            "content": cut(F.col("content"), CONTENT_WIDTH),
+            "title": F.concat(F.lit(f"[{prefix}] "), cut(F.col("title"), title_width)),
+            "content": cut(F.col("content"), content_width),
             "url": url,
         }
     )

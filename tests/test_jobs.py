@@ -8,6 +8,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
+from opinara.functions.text import CONTENT_WIDTH, TITLE_WIDTH
 from opinara.operators import aggregates, datasets, evaluation, filters, layers, linkage, scoring, skew, timeline, tracking
 from opinara.sources import files, pages, payloads, sinks
 from opinara.sources import layers as layer_source
@@ -445,7 +446,8 @@ def test_records_are_found_in_order():
     assert payloads.records_of('{"items": [], "data": {"x": 1}, "results": [{"a": 1}]}') == []
     assert payloads.records_of('{"data": {"series": [{"a": 1}, 3]}, "results": [{"b": 1}]}') == ['{"a": 1}']
     assert payloads.records_of('{"data": {"y": 1}, "results": [{"b": "é"}]}') == ['{"b": "é"}']
-    assert len(payloads.records_of("[" + ",".join(['{"a":1}'] * 70) + "]")) == 60
+    assert len(payloads.records_of("[" + ",".join(['{"a":1}'] * 70) + "]")) == 70
+    assert len(payloads.records_of("[" + ",".join(['{"a":1}'] * 70) + "]", 60)) == 60
     assert payloads.records_of("not json") == []
 
 
@@ -456,14 +458,24 @@ def test_page_links(spark):
     assert got == [("[S] Autre article tout aussi long", "https://o.example/actualite/y"), ("[S] Un article assez long", "https://s.example/actualite/x")]
 
 
-def test_tab_events_limits(spark):
+def test_tab_events_are_whole_unless_limited(spark):
     path = new_path(spark, "t-tsv")
     for n in range(3):
         spark.range(60).select(F.concat_ws("\t", F.col("id").cast("string"), F.lit(f"event {n} title"), F.lit("20260301"))).coalesce(1).write.text(f"{path}/f{n}")
-    got = files.tab_events(spark, f"{path}/*")
+    assert files.tab_events(spark, f"{path}/*").count() == 180
+    got = files.tab_events(spark, f"{path}/*", per_file=51, total=100)
     assert got.count() == 100
     assert got.filter("title = 'event 0 title'").count() in (0, 49, 51)
-    assert files.tab_events(spark, f"{path}/f0").agg(F.max("content")).first()[0].startswith("Code: 9")
+
+
+def test_texts_are_whole_unless_cut(spark):
+    long = " ".join(f"mot{i}" for i in range(2000))
+    feed = spark.createDataFrame([(long,)], "t string").select(F.to_json(F.struct(F.array(F.struct(F.col("t").alias("title"), F.col("t").alias("summary"))).alias("entries"))).alias("payload"))
+    assert payloads.feed_articles(feed).first().content == long
+    row = payloads.feed_articles(feed, title_width=TITLE_WIDTH, content_width=CONTENT_WIDTH).first()
+    assert (len(row.title), len(row.content)) == (TITLE_WIDTH, CONTENT_WIDTH)
+    rows = spark.createDataFrame([("A good title", long)], "title string, content string")
+    assert files.guarded_import(rows).first().content == long
 
 
 # --- streaming ---------------------------------------------------------------------
