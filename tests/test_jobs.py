@@ -301,11 +301,13 @@ def test_source_deltas_option(spark):
     assert collected(tracking.source_deltas(now, before, include_vanished=True), "source", "delta") == [("a", 3), ("c", -4)]
 
 
-def test_audit_limit_is_clamped(spark):
+def test_audit_limit_is_kept(spark):
     log = spark.range(600).select(F.col("id").alias("action_log_id"), F.lit(1).alias("profil_id"), F.lit(at(1)).alias("action_date"))
     accounts = spark.createDataFrame([(1, "admin")], "profil_id int, role string")
-    assert tracking.audit_journal(log, accounts, n=9999).count() == 500
-    assert tracking.audit_journal(log, accounts, n=-3).count() == 1
+    assert tracking.audit_journal(log, accounts, n=9999).count() == 600
+    assert tracking.audit_journal(log, accounts, n=550).count() == 550
+    with pytest.raises(ValueError):
+        tracking.audit_journal(log, accounts, n=0)
 
 
 def test_retention(spark):
