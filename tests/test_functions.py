@@ -151,12 +151,12 @@ def test_fold_families(spark):
 @pytest.mark.parametrize(
     ("sentence", "scores", "expected"),
     [
-        ("Super, encore des erreurs partout", (0.1, 0.2, 0.7), ("NEGATIVE", 0.72, -0.55, "irony_prefix")),
-        ("C'est pas mal du tout, je m'attendais à pire", (0.5, 0.3, 0.2), ("POSITIVE", 0.62, 0.35, "understatement_positive")),
-        ("Un outil correct, mais à améliorer", (0.1, 0.2, 0.7), ("NEUTRAL", 0.55, 0.15, "mixed_contrast")),
-        ("Le tableau affiche les résultats", (0.5, 0.3, 0.2), ("NEUTRAL", 0.58, -0.045, "factual_neutral")),
+        ("Formidable, ce train est plus lent que mon vélo", (0.1, 0.2, 0.7), ("NEGATIVE", 0.72, -0.55, "irony_prefix")),
+        ("Le gâteau est pas mal, vu la recette je m'attendais à pire", (0.5, 0.3, 0.2), ("POSITIVE", 0.62, 0.35, "understatement_positive")),
+        ("Quartier moderne, cependant le bus manque", (0.1, 0.2, 0.7), ("NEUTRAL", 0.55, 0.15, "mixed_contrast")),
+        ("La bibliothèque utilise un fichier par lecteur", (0.5, 0.3, 0.2), ("NEUTRAL", 0.58, -0.045, "factual_neutral")),
         ("Un produit quelconque", (0.5, 0.3, 0.2), ("NEGATIVE", 0.5, -0.3, None)),
-        ("Un outil correct, mais à améliorer", (0.9, 0.05, 0.05), ("NEGATIVE", 0.9, -0.85, None)),
+        ("Quartier moderne, cependant le bus manque", (0.9, 0.05, 0.05), ("NEGATIVE", 0.9, -0.85, None)),
         (None, (0.5, 0.3, 0.2), ("NEGATIVE", 0.5, -0.3, None)),
     ],
 )
