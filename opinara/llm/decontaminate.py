@@ -1,6 +1,6 @@
 """Benchmark decontamination: BM25 with block-max pruning finds test items in training passages, word overlap confirms them.
 
-Words are runs of letters and digits, ASCII letters folded. Every document is cut into passages of twice the longest item's
+Words are runs of letters, marks and numbers of any script, by Unicode case folding. Every document is cut into passages of twice the longest item's
 words that start an item's length apart, so each place an item can stand lies within one passage. Every passage queries an
 index of the test items with its distinct words; an item's score is its BM25 sum divided by the item's score against itself,
 so one threshold fits items of every length. All items at or above ``threshold`` are retrieved, exactly. A retrieved item is
@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from opinara.llm.blockmax import BlockMaxIndex, ragged
-from opinara.llm.flat import PUNCTUATION, HashTable, Slice, WordHasher, mix, slices
+from opinara.llm.flat import PUNCTUATION, HashTable, Slice, WordHasher, folded, mix, slices
 
 SHARD_ITEMS, SHARD_CHARS = 4_000, 4_000_000
 TABLE_CELLS = 8_000_000
@@ -77,7 +77,7 @@ def overlap(part: np.ndarray, passage: np.ndarray) -> float:
 
 
 def hash_words(texts: list[str], hasher: WordHasher) -> list[np.ndarray]:
-    data = [np.frombuffer(t.encode(), np.uint8) for t in texts]
+    data = [np.frombuffer(t.encode(), np.uint8) for t in folded(pa.array(texts, pa.large_string())).to_pylist()]
     starts = np.cumsum([0, *map(len, data)])
     words, first = hasher.words(Slice(None, np.concatenate([*data, np.zeros(0, np.uint8)]), starts))
     return [words[a:b] for a, b in zip(first, first[1:])]
@@ -160,7 +160,7 @@ def contaminated(
         def run(batches: Iterator[pa.RecordBatch], held=held) -> Iterator[pa.RecordBatch]:
             hasher = WordHasher(separators=PUNCTUATION)
             index = TestIndex(held.value, hasher)
-            for part in slices(batches):
+            for part in slices(batches, fold=True):
                 words, first = hasher.words(part)
                 hits = []
                 for row, item, score, passage in index.search(words, first, threshold):

@@ -31,20 +31,35 @@ class Slice(NamedTuple):
         return self.data[self.starts[i] : self.starts[i + 1]].tobytes()
 
 
-def slices(batches: Iterable[pa.RecordBatch], column: str = "text", size: int = SLICE_BYTES) -> Iterator[Slice]:
-    """Cut batches into slices of about ``size`` bytes of text."""
+def folded(texts: pa.LargeStringArray) -> pa.LargeStringArray:
+    """Texts by Unicode case folding, with a blank for characters beyond ASCII that are neither letter, mark nor number."""
+    plain = [t.decode("utf-8", "replace").casefold() for t in texts.cast(pa.large_binary()).to_pylist()]
+    return pc.replace_substring_regex(pa.array(plain, pa.large_string()), pattern=r"[^\pL\pM\pN\x00-\x7f]+", replacement=" ")
+
+
+def _flat(texts: pa.LargeStringArray) -> tuple[np.ndarray, np.ndarray]:
+    """Bytes of all texts, and where each starts (one more at the end)."""
+    _, offsets, payload = texts.buffers()
+    starts = np.frombuffer(offsets, np.int64, len(texts) + 1, texts.offset * 8)
+    return np.frombuffer(payload, np.uint8) if payload is not None and payload.size else np.zeros(0, np.uint8), starts
+
+
+def slices(batches: Iterable[pa.RecordBatch], column: str = "text", size: int = SLICE_BYTES, fold: bool = False) -> Iterator[Slice]:
+    """Cut batches into slices of about ``size`` bytes of text; ``fold`` takes the texts as ``folded``."""
     for batch in batches:
         if not batch.num_rows:
             continue
         texts = pc.fill_null(batch.column(batch.schema.get_field_index(column)).cast(pa.large_string()), "")
-        _, offsets, payload = texts.buffers()
-        starts = np.frombuffer(offsets, np.int64, len(texts) + 1, texts.offset * 8)
-        data = np.frombuffer(payload, np.uint8) if payload is not None and payload.size else np.zeros(0, np.uint8)
+        data, starts = _flat(texts)
         first = 0
         while first < len(texts):
             last = max(first + 1, int(np.searchsorted(starts, starts[first] + size, "right")) - 1)
             low, high = starts[first], starts[last]
-            yield Slice(batch.slice(first, last - first), data[low:high], starts[first : last + 1] - low)
+            rows = batch.slice(first, last - first)
+            if fold:
+                yield Slice(rows, *_flat(folded(texts.slice(first, last - first))))
+            else:
+                yield Slice(rows, data[low:high], starts[first : last + 1] - low)
             first = last
 
 

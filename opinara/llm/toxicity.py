@@ -1,6 +1,6 @@
 """Toxicity by the nearest labelled examples.
 
-Terms are words (runs of letters and digits, ASCII letters folded) and their prefixes of 4, 5 and 6 bytes, which stand for the
+Terms are words (runs of letters, marks and numbers, by Unicode case folding) and their prefixes of 4, 5 and 6 bytes, which stand for the
 stem of inflected words. The vocabulary holds the *telling* terms, counted over all learnable rows: those in at least
 ``min_documents`` toxic documents (and one in 500 of them) whose toxic share is surely (lower end of
 the 95 % Wilson interval) at least ``min_share``. A text's vector weighs
@@ -64,7 +64,7 @@ def _frequencies(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     def batch(found: np.ndarray, counts: np.ndarray) -> pa.RecordBatch:
         return pa.RecordBatch.from_arrays([pa.array(found.astype(np.int64)), pa.array(counts)], ["term", "n"])
 
-    for part in slices(batches):
+    for part in slices(batches, fold=True):
         terms, rows = _terms(part, hasher)
         pairs = np.unique(np.stack([rows.astype(np.uint64), terms]), axis=1) if len(terms) else np.zeros((2, 0), np.uint64)
         found, counts = np.unique(pairs[1], return_counts=True)
@@ -82,7 +82,7 @@ def _frequencies(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def _vectors(batches: Iterator[pa.RecordBatch], table: HashTable, n_terms: int) -> Iterator[tuple[pa.RecordBatch, np.ndarray, np.ndarray, np.ndarray]]:
     """Rows of a slice with (row, term, count) of the known terms in their texts, in order of rows."""
     hasher = WordHasher(separators=PUNCTUATION)
-    for part in slices(batches):
+    for part in slices(batches, fold=True):
         hashes, rows = _terms(part, hasher)
         found = table.find(hashes)
         known = found >= 0

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import hashlib
 import random
+import re
 from collections import defaultdict
 
 import pytest
@@ -252,6 +253,26 @@ def test_contamination_finds_every_verbatim_item(spark, data):
     assert decontaminate.contaminated(odd_docs(spark), items).count() == 0
 
 
+def test_contamination_folds_case_and_punctuation(spark, data):
+    held = queries.table(spark, data, "benchmark").collect()
+    text = lambda i: i.text + (" ¿Où est l'Été? Die Straße." if i.item_id % 2 else "")
+    items = spark.createDataFrame([(i.item_id, text(i)) for i in held], "item_id long, text string")
+    changes = [str.upper, lambda t: re.sub(r"[^\w\s]", " — ", t), lambda t: re.sub(r"([^\W\d_]+)", r"«\1»", t).upper()]
+    docs = spark.createDataFrame([(3 * i.item_id + j, f"before it {change(text(i))} after it") for i in held for j, change in enumerate(changes)], "doc_id long, text string")
+    got = {(r.doc_id, r.item_id) for r in decontaminate.contaminated(docs, items).collect()}
+    assert {(3 * i.item_id + j, i.item_id) for i in held for j in range(3)} <= got
+    short = spark.createDataFrame([(1, "ÉTÉ À L'ÎLE ÉLOIGNÉE; ÇA ÉTAIT DÉJÀ ÉCRIT")], "doc_id long, text string")
+    one = spark.createDataFrame([(1, "été à l’île éloignée. ça était déjà écrit")], "item_id long, text string")
+    assert [r.score for r in decontaminate.contaminated(short, one).collect()] == [pytest.approx(1)]
+
+
+def test_toxicity_folds_case(spark):
+    rows = [(i, f"w{i % 7} w{i % 5} " + ("éçœûr" if i % 4 == 0 else "ruhig")) for i in range(80)] + [(99, "ÉÇŒÛR")]
+    docs, labels = spark.createDataFrame(rows, "doc_id long, text string"), spark.createDataFrame([(i, int(i % 4 == 0)) for i in range(80)], "doc_id long, toxic int")
+    got = toxicity.score(docs.filter("doc_id = 99"), toxicity.train(docs, labels)).first()
+    assert got.score >= 0.5 and got.evidence
+
+
 def test_url_trie_equals_the_join(spark, data):
     urls = ["http://A.Example.org/en/12?x", "http://example.org/en/2", "https://org/x", "http://org", "no url", None, "http://x.com/fr/", "http://x.com/fr", "http://u.com/de/#/fr/", "a://b://c.org/d"]
     pages = spark.createDataFrame([(i, u, 1) for i, u in enumerate(urls)], "page_id long, url string, verdict int")
