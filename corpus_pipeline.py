@@ -26,8 +26,8 @@ def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def dedup_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Takes repeated lines out; a document goes if that leaves none."""
-    kept = linededup.dedup_lines(docs).filter((F.col("n_dropped") == 0) | (F.trim(F.regexp_replace("text", "\n", " ")) != ""))
+    """Takes lines within two edits of an earlier one out; a document goes if that leaves none."""
+    kept = linededup.dedup_lines(docs, edits=2).filter((F.col("n_dropped") == 0) | (F.trim(F.regexp_replace("text", "\n", " ")) != ""))
     return kept.withColumn("n_chars", F.char_length("text").cast(docs.schema["n_chars"].dataType)).select(*docs.columns)
 
 

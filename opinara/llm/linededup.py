@@ -1,10 +1,10 @@
-"""Line dedup over a corpus with an edit bound of one character, by deletion neighbourhoods.
+"""Line dedup over a corpus with an edit bound of one or two characters, by deletion neighbourhoods.
 
-A line goes if an equal line, or one within edit distance 1, stands earlier: in a document with a smaller id, or further up in
-the same document. Distance 1 is asked only of lines whose shorter one has at least ``fuzzy_from`` characters; shorter lines
+A line goes if an equal line, or one within ``edits`` (1 or 2), stands earlier: in a document with a smaller id, or further up
+in the same document. Edits are asked only of lines whose shorter one has at least ``fuzzy_from`` characters; shorter lines
 must be equal. Blank lines stay.
 
-Two lines within distance 1 have a common variant: one with a character deleted (inserted or removed character), or both with
+One edit: two lines within distance 1 have a common variant: one with a character deleted (inserted or removed character), or both with
 the character at the same place deleted (replaced character). Variants of all lines would be as many as the corpus has
 characters, so they are emitted for those lines only that can have a partner, and this filter loses none: cut both lines at
 places that follow from the length of the shorter one; the edit falls into one block, and all to its left and right is equal.
@@ -13,6 +13,12 @@ blocks, and what shares a key again emits the variants of that block. Each group
 earliest line (replaced characters) or around the line that has nothing deleted, so no pairs are expanded. The witness found
 for a line is verified by edit distance.
 
+Two edits: one third of the shorter line stands unchanged in the other, at most two characters off, which filters the lines.
+Then the edits fall into one block of ``PAIR_BLOCKS`` or into two, and lines are keyed by what is left, between and right of
+these. Groups of at most ``PAIRED`` rows are compared pair by pair. In larger ones each line emits patterns: its blocks with two
+wildcards, each in the place of a character or of none. Lines within two edits have a pattern in common, and all lines of a
+pattern are within two edits of each other, so a pattern is a star around its earliest line.
+
 Everything is DataFrame functions. Lines travel as two 64-bit hashes; texts are shuffled once, when the lines are taken out.
 
 Cases: a null text stays null and has no lines; an empty one has one blank line. Rows with equal key and text count as one
@@ -30,6 +36,7 @@ from opinara.storage import stage
 
 FUZZY_FROM = 20
 BLOCKS = 32
+PAIR_BLOCKS, PAIRED = 8, 16
 BROADCAST_DOCS = 500_000
 
 
@@ -50,14 +57,29 @@ def _half_keys(line: Column, n: Column, fuzzy_from: int) -> Column:
     return F.concat(keys(n), keys(n - 1))
 
 
-def _occurrences(docs: DataFrame, fuzzy_from: int) -> DataFrame:
-    """One row per line that is not blank: where it stands, two hashes, half keys."""
+def _third_keys(line: Column, n: Column, fuzzy_from: int) -> Column:
+    """Keys of a line's thirds, cut for its own length and for one and two less; the middle one at each shift two edits allow."""
+
+    def keys(more: int) -> Column:
+        shorter = n - more
+        a, b = F.floor(shorter / 3).cast("int"), F.floor(shorter * 2 / 3).cast("int")
+        shifts = [s for s in (-1, 0, 1, 2) if abs(s) + abs(more - s) <= 2]
+        parts = [(0, F.lit(0), a), (2, b + more, shorter - b), *((1, a + s, b - a) for s in shifts)]
+        hashes = [F.xxhash64(F.lit(which), shorter, _part(line, begin, size)) for which, begin, size in parts]
+        return F.when(shorter >= fuzzy_from, F.array(*hashes)).otherwise(F.array().cast("array<bigint>"))
+
+    return F.array_distinct(F.concat(*(keys(more) for more in range(3))))
+
+
+def _occurrences(docs: DataFrame, fuzzy_from: int, edits: int) -> DataFrame:
+    """One row per line that is not blank: where it stands, two hashes, half keys (keys of thirds for two edits)."""
+    keys = _half_keys if edits == 1 else _third_keys
     split = docs.select("doc", "h", F.posexplode(F.split("text", "\n")).alias("pos", "line"))
     lines = split.filter(F.trim("line") != "").withColumn("n", F.char_length("line"))
     return lines.select(
         F.struct(F.col("doc").isNull().alias("last"), "doc", "h", "pos").alias("at"),
         F.xxhash64("line").alias("k1"), F.xxhash64(F.lit(1), "line").alias("k2"),
-        _half_keys(F.col("line"), F.col("n"), fuzzy_from).alias("halves"),
+        keys(F.col("line"), F.col("n"), fuzzy_from).alias("halves"),
     )
 
 
@@ -136,13 +158,75 @@ def _witnesses(variants: DataFrame) -> DataFrame:
     return found.groupBy("k1", "k2").agg(F.min("at").alias("at"), F.min("witness").alias("witness"))
 
 
-def dropped_lines(docs: DataFrame, key: str = "doc_id", text: str = "text", fuzzy_from: int = FUZZY_FROM) -> DataFrame:
+def _pair_rows(lines: DataFrame, fuzzy_from: int) -> DataFrame:
+    """Each line once per pair of blocks (one block with itself) and shift between them: the rest, hashed, and both blocks."""
+    sized = lines.withColumn("n", F.char_length("line")).withColumn("more", F.explode(F.array(F.lit(0), F.lit(1), F.lit(2))))
+    sized = sized.withColumn("shorter", F.col("n") - F.col("more")).filter(F.col("shorter") >= fuzzy_from)
+    pairs = sized.withColumn("i", F.explode(F.sequence(F.lit(0), F.lit(PAIR_BLOCKS - 1))))
+    pairs = pairs.withColumn("j", F.explode(F.sequence(F.col("i"), F.lit(PAIR_BLOCKS - 1))))
+    i, j, more, shift, line = (F.col(c) for c in ("i", "j", "more", "shift", "line"))
+    between = F.filter(F.array(F.lit(-1), F.lit(0), F.lit(1)), lambda s: F.abs(more - s) <= 1)
+    cut = pairs.withColumn("shift", F.explode(F.when(i == j, F.array(more)).otherwise(between)))
+    edge = lambda k: F.floor(F.col("shorter") * k / PAIR_BLOCKS).cast("int")
+    two = i < j
+    return cut.select(
+        "at", "k1", "k2", "shorter", "i", "j",
+        F.xxhash64(_part(line, F.lit(0), edge(i))).alias("left"),
+        F.when(two, F.xxhash64(_part(line, edge(i + 1) + shift, edge(j) - edge(i + 1)))).otherwise(0).alias("middle"),
+        F.xxhash64(_part(line, edge(j + 1) + more, F.col("shorter") - edge(j + 1))).alias("right"),
+        _part(line, edge(i), edge(i + 1) - edge(i) + shift).alias("one"),
+        F.when(two, _part(line, edge(j) + shift, edge(j + 1) - edge(j) + more - shift)).otherwise("").alias("other"),
+    )
+
+
+def _wildcards(text: Column, begin: Column) -> Column:
+    """(place, rest): a wildcard in place of each character from ``begin`` (from 1) on, and before each and after the last."""
+    size = F.char_length(text)
+
+    def at(replaced: int) -> Column:
+        last = size + 1 - replaced
+        places = F.when(last >= begin, F.sequence(begin, F.greatest(last, begin))).otherwise(F.array().cast("array<int>"))
+        return F.transform(places, lambda p: F.struct(
+            p.alias("place"), F.concat(F.substring(text, F.lit(1), p - 1), F.substring(text, p + replaced, size)).alias("rest")))
+
+    return F.concat(at(1), at(0))
+
+
+def _near_two(texts: DataFrame, fuzzy_from: int) -> DataFrame:
+    """Lines (k1, k2) with earlier ones (witness) that may be within two edits; one within them is among these, if any is."""
+    keys = ["shorter", "i", "j", "left", "middle", "right"]
+    line = F.struct("at", "k1", "k2")
+    rows = _pair_rows(texts, fuzzy_from).repartition(*keys)
+    sizes = rows.groupBy(*keys).agg(F.min("k1").alias("x"), F.max("k1").alias("y"), F.count("*").alias("size"))
+    rows = stage(rows.join(sizes.filter("x != y").select(*keys, "size"), keys), "line_blocks")
+
+    few = rows.filter(F.col("size") <= PAIRED).groupBy(*keys).agg(F.collect_set(line).alias("lines"))
+    few = few.select("lines", F.explode("lines").alias("own"))
+    few = few.select("own.k1", "own.k2", F.explode(F.filter("lines", lambda o: o.at < F.col("own.at"))).alias("witness")).distinct()
+
+    first = _wildcards(F.col("one"), F.lit(1))
+    many = rows.filter(F.col("size") > PAIRED).withColumn("first", F.explode(first))
+    again = F.when(F.col("i") < F.col("j"), _wildcards(F.col("other"), F.lit(1))).otherwise(_wildcards(F.col("first.rest"), F.col("first.place")))
+    many = many.withColumn("second", F.explode(again))
+    text = [F.col("first.place"), F.col("second.place"), F.when(F.col("i") < F.col("j"), F.col("first.rest")).otherwise(""), F.col("second.rest")]
+    pattern = F.struct(*keys, F.xxhash64(F.lit(0), *text).alias("u"), F.xxhash64(F.lit(1), *text).alias("v"))
+    many = many.select(pattern.alias("pattern"), "at", "k1", "k2").repartition("pattern")
+    earliest = many.groupBy("pattern").agg(F.min(line).alias("witness"), F.max("at").alias("last")).filter(F.col("witness.at") < F.col("last"))
+    star = many.join(earliest, "pattern").filter(F.col("witness.at") < F.col("at"))
+    return few.unionByName(star.groupBy("k1", "k2").agg(F.min("witness").alias("witness")))
+
+
+def dropped_lines(
+    docs: DataFrame, key: str = "doc_id", text: str = "text", fuzzy_from: int = FUZZY_FROM, edits: int = 1
+) -> DataFrame:
     """doc, h (hash of the text) and pos (from 0) of every line that goes."""
+    if edits not in (1, 2):
+        raise ValueError("one or two edits")
     if fuzzy_from < 2:
         raise ValueError("lines under two characters cannot be compared by edits")
     rows = docs.select(docs[key].alias("doc"), docs[text].alias("text")).filter(F.col("text").isNotNull())
     rows = rows.withColumn("h", F.xxhash64("text"))
-    lines = stage(_occurrences(rows, fuzzy_from), "lines")
+    lines = stage(_occurrences(rows, fuzzy_from, edits), "lines")
     # Lines of repeated rows are one occurrence: they stand at the same place.
     classes = lines.groupBy("k1", "k2").agg(F.min("at").alias("first"), F.max("at").alias("last"), F.first("halves").alias("halves"))
     classes = stage(classes, "line_classes")
@@ -152,11 +236,14 @@ def dropped_lines(docs: DataFrame, key: str = "doc_id", text: str = "text", fuzz
     maybe = classes.join(paired, ["k1", "k2"]).select(F.col("first").alias("at"), "k1", "k2")
     texts = stage(_texts(rows, maybe), "line_texts")
 
-    blocks = _sharing(_block_rows(texts, fuzzy_from), ["shorter", "block", "left", "right"])
-    found = _witnesses(_variants(blocks))
+    if edits == 1:
+        blocks = _sharing(_block_rows(texts, fuzzy_from), ["shorter", "block", "left", "right"])
+        found = _witnesses(_variants(blocks))
+    else:
+        found = _near_two(texts, fuzzy_from)
     own = texts.select("k1", "k2", F.col("line").alias("own"))
     other = texts.select(F.struct("at", "k1", "k2").alias("witness"), F.col("line").alias("other"))
-    verified = found.join(own, ["k1", "k2"]).join(other, "witness").filter(F.levenshtein("own", "other", 1).between(0, 1))
+    verified = found.join(own, ["k1", "k2"]).join(other, "witness").filter(F.levenshtein("own", "other", edits).between(0, edits))
 
     repeated = classes.filter("first != last").select("k1", "k2", "first", F.lit(False).alias("near"))
     near = verified.select("k1", "k2", F.lit(None).cast(classes.schema["first"].dataType).alias("first"), F.lit(True).alias("near"))
@@ -165,9 +252,11 @@ def dropped_lines(docs: DataFrame, key: str = "doc_id", text: str = "text", fuzz
     return gone.select("at.doc", "at.h", "at.pos")
 
 
-def dedup_lines(docs: DataFrame, key: str = "doc_id", text: str = "text", fuzzy_from: int = FUZZY_FROM) -> DataFrame:
-    """``docs`` with the lines taken out of ``text``, and ``n_lines`` (before) and ``n_dropped``."""
-    gone = dropped_lines(docs, key, text, fuzzy_from)
+def dedup_lines(
+    docs: DataFrame, key: str = "doc_id", text: str = "text", fuzzy_from: int = FUZZY_FROM, edits: int = 1
+) -> DataFrame:
+    """``docs`` with the lines taken out of ``text`` (bound: ``edits``), and ``n_lines`` (before) and ``n_dropped``."""
+    gone = dropped_lines(docs, key, text, fuzzy_from, edits)
     per_doc = gone.groupBy("doc", "h").agg(F.collect_set("pos").alias("gone"))
     per_doc = per_doc.select(F.col("doc").alias("_doc"), F.col("h").alias("_h"), F.col("gone").alias("_gone"))
     own = docs[text]

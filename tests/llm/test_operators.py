@@ -224,6 +224,36 @@ def test_lines_of_odd_rows(spark):
     assert len(out) == 7 and linededup.dedup_lines(repeated.limit(0)).count() == 0
 
 
+def edit_distance(a, b):
+    row = list(range(len(b) + 1))
+    for i, x in enumerate(a, 1):
+        last, row[0] = row[0], i
+        for j, y in enumerate(b, 1):
+            last, row[j] = row[j], min(row[j] + 1, row[j - 1] + 1, last + (x != y))
+    return row[-1]
+
+
+@pytest.mark.parametrize("paired", [2, 16])
+def test_lines_within_two_edits_equal_brute_force(spark, monkeypatch, paired):
+    monkeypatch.setattr(linededup, "PAIRED", paired)
+    rng = random.Random(4)
+    bases = ["".join(rng.choice("abcd ") for _ in range(n)).strip() + "é" for n in (18, 20, 21, 40)]
+    lines = []
+    for _ in range(90):
+        line = list(rng.choice(bases))
+        for _ in range(rng.randrange(5)):
+            at = rng.randrange(len(line))
+            line[at : at + rng.randrange(2)] = rng.choice(["", "x", "a", "bc"])
+        lines.append("".join(line))
+    want = [i for i, x in enumerate(lines) if any(
+        x == y or min(len(x), len(y)) >= 20 and edit_distance(x, y) <= 2 for y in lines[:i])]
+    one = [i for i, x in enumerate(lines) if any(
+        x == y or min(len(x), len(y)) >= 20 and edit_distance(x, y) <= 1 for y in lines[:i])]
+    docs = texts(spark, *("\n".join(lines[i : i + 3]) for i in range(0, 90, 3)))
+    got = {e: sorted(3 * r.doc + r.pos for r in linededup.dropped_lines(docs, edits=e).collect()) for e in (1, 2)}
+    assert got == {1: one, 2: want} and len(one) < len(want) < 90
+
+
 def test_block_maxima_are_exact():
     rng = bpe.np.random.default_rng(3)
     pairs = bpe.np.unique(rng.integers(0, 40, (900, 2)) * [1, 5] + [0, 1], axis=0)
