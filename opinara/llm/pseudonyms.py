@@ -13,7 +13,11 @@ date      1900 to 2099 as y-m-d, y/m/d, d.m.y or m/d/y (d/m/y where only that is
 ssn       ddd-dd-dddd with valid area (not 000, 666, 9xx), group and serial
 phone     ten digits as (ddd) ddd-dddd, ddd-ddd-dddd, ddd.ddd.dddd or with blanks; a leading +1 stays
 card      13 to 19 digits, also in groups with single blanks or hyphens, that pass the Luhn check; the last digit is made to
-          pass it again
+          pass it again. Between the other values every stretch of whole groups is tried; where some overlap, one group goes
+          before the usual groups of cards and these before others, then the first, then the longest
+
+A value ends where its own kind cannot go on: commas never belong to it, a T and a digit may follow a date, and points and
+hyphens with a digit behind are refused only where the kind itself has them.
 
 Everything is DataFrame functions. The key is a literal of the plan: keep event logs as safe as the key.
 
@@ -32,13 +36,23 @@ FIRST_DAY, DAYS = "1900-01-01", 73049
 _MAIL_CHARS = "A-Za-z0-9._%+-"
 _OCTET = r"(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[1-9]?[0-9])"
 MAIL = rf"(?<![{_MAIL_CHARS}])[{_MAIL_CHARS}]++@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)*\.[A-Za-z]{{2,}}"
-_BEFORE, _AFTER = r"(?<![0-9A-Za-z])(?<![0-9][.,-])", r"(?![0-9A-Za-z])(?![.,-][0-9])"
+_BEFORE, _AFTER = r"(?<![0-9A-Za-z])", r"(?![0-9A-Za-z])"
 IP = rf"(?:{_OCTET}\.){{3}}{_OCTET}"
-DATE = r"(?:19|20)[0-9]{2}([-/])[0-9]{1,2}\1[0-9]{1,2}|[0-9]{1,2}([./])[0-9]{1,2}\2(?:19|20)[0-9]{2}"
+_YMD = r"(?:19|20)[0-9]{2}([-/])[0-9]{1,2}\1[0-9]{1,2}"
+_DMY = r"[0-9]{1,2}([./])[0-9]{1,2}\2(?:19|20)[0-9]{2}"
+DATE = f"{_YMD}|{_DMY}"
 SSN = r"[0-9]{3}-[0-9]{2}-[0-9]{4}"
 PHONE = r"(?:\+?1[ .-]?)?(?:\([0-9]{3}\) ?|[0-9]{3}[ .-])[0-9]{3}[ .-][0-9]{4}"
 CARD = r"[0-9](?:[ -]?[0-9]){12,18}"
-VALUE = f"{MAIL}|{_BEFORE}(?:{IP}|{DATE}|{SSN}|{PHONE}|{CARD}){_AFTER}"
+_DATES = (
+    rf"(?:(?:(?<![0-9]-)|(?=[0-9]{{4}}/)){_YMD}(?!(?<=-[0-9]{{1,2}})-[0-9])"
+    rf"|(?:(?<![0-9]\.)|(?=[0-9]{{1,2}}/)){_DMY}(?!(?<=\.[0-9]{{4}})\.[0-9]))(?=T[0-9]|[^0-9A-Za-z]|$)"
+)
+_NUMBERS = rf"(?:(?<![0-9]\.){IP}(?!\.[0-9])|(?<![0-9]-){SSN}(?!-[0-9])|(?<![0-9][.-]){PHONE}(?![.-][0-9])){_AFTER}"
+VALUE = f"{MAIL}|{_BEFORE}(?:{_DATES}|{_NUMBERS})"
+#: Digit groups, and what follows them if that refuses the last one.
+RUN = rf"{_BEFORE}(?<![0-9]\.)[0-9][0-9 -]{{12,}}+(?:[A-Za-z]|\.[0-9])?"
+_CARD_GROUPS = r"^[0-9]{4}([ -])(?:[0-9]{4}\1[0-9]{4}\1[0-9]{4}(?:\1[0-9]{1,3})?|[0-9]{6}\1[0-9]{4,5})$"
 
 
 def _digits(text: Column) -> Column:
@@ -201,7 +215,7 @@ def _mail(value: Column, made: Column) -> Column:
 def code_of(value: Column) -> Column:
     """Code of a found value; null if it does not validate."""
     whole = lambda pattern: value.rlike(f"^(?:{pattern})$")
-    passes = F.call_function("luhn_check", F.regexp_replace(value, "[^0-9]", ""))
+    passes = _luhn(value)
     return (
         F.when(value.contains("@"), _mail_code(value)).when(whole(IP), _ip_code(value)).when(whole(DATE), _date_code(value))
         .when(whole(SSN), _ssn_code(value)).when(whole(PHONE), _phone_code(value)).when(passes, _card_code(value))
@@ -217,20 +231,74 @@ def rendered(value: Column, kind: Column, made: Column) -> Column:
     )
 
 
+def _luhn(value: Column) -> Column:
+    return F.call_function("luhn_check", F.regexp_replace(value, "[^0-9]", ""))
+
+
+def _piece(text: Column, found: bool | Column) -> Column:
+    return F.struct(text.alias("text"), (found if isinstance(found, Column) else F.lit(found)).alias("found"))
+
+
+def _cards(run: Column) -> Column:
+    """A run cut into pieces: cards and what stands between them. Digits have the even places among the tokens."""
+    tokens = F.regexp_extract_all(run, F.lit("[0-9]+|[^0-9]+"), 0)
+
+    def from_group(tokens: Column, begin: Column) -> Column:
+        ends = F.sequence(begin, F.least(F.size(tokens) - 1, begin + 36), F.lit(2))
+        stretches = F.transform(ends, lambda end: F.struct(end.alias("end"), F.array_join(F.slice(tokens, begin + 1, end - begin + 1), "").alias("text")))
+        free = lambda end: F.coalesce(F.get(tokens, end + 1), F.lit(" ")).rlike("^[ -]")
+        good = F.filter(stretches, lambda s: s["text"].rlike(f"^{CARD}$") & free(s["end"]) & _luhn(s["text"]))
+        rank = lambda t: F.when(~t.rlike("[ -]"), 0).when(t.rlike(_CARD_GROUPS), 1).otherwise(2)
+        return F.transform(good, lambda s: F.struct(
+            rank(s["text"]).alias("rank"), begin.alias("begin"), (-s["end"]).alias("longest"), s["end"].alias("end"), s["text"].alias("text")))
+
+    def cut(tokens: Column) -> Column:
+        begins = F.filter(F.sequence(F.lit(0), F.size(tokens) - 1, F.lit(2)), lambda i: F.coalesce(F.get(tokens, i - 1), F.lit(" ")).rlike("[ -]$"))
+        every = F.array_sort(F.flatten(F.transform(begins, lambda i: from_group(tokens, i))))
+        chosen = F.aggregate(every, F.filter(every, lambda c: F.lit(False)), lambda held, c: F.when(
+            F.exists(held, lambda h: (h["begin"] <= c["end"]) & (c["begin"] <= h["end"])), held).otherwise(F.concat(held, F.array(c))))
+
+        def pieces(chosen: Column) -> Column:
+            def piece(token: Column, i: Column) -> Column:
+                own = F.get(F.filter(chosen, lambda c: (c["begin"] <= i) & (i <= c["end"])), 0)
+                return F.when(own.isNull(), _piece(token, False)).when(own["begin"] == i, _piece(own["text"], True)).otherwise(_piece(F.lit(""), False))
+
+            return F.transform(tokens, piece)
+
+        return F.flatten(F.transform(F.array(chosen), pieces))
+
+    return F.flatten(F.transform(F.array(tokens), cut))  # evaluates the tokens once
+
+
+def _between(gap: Column) -> Column:
+    """A text without other values, cut into pieces at its cards."""
+    runs = F.concat(F.regexp_extract_all(gap, F.lit(RUN), 0), F.array(F.lit("")))
+    parts = F.zip_with(F.split(gap, RUN, -1), runs, lambda t, r: F.concat(
+        F.array(_piece(t, False)), F.when(r != "", _cards(r)).otherwise(F.array(_piece(r, False)))))
+    return F.when(gap.rlike(RUN), F.flatten(parts)).otherwise(F.array(_piece(gap, False)))
+
+
 def pseudonymise(docs: DataFrame, key: str, text: str = "text") -> DataFrame:
     """``docs`` with pseudonyms in ``text``, and ``n_replaced``. ``key`` is the secret."""
     if not key:
         raise ValueError("a key is needed")
     own = docs[text]
-    found = F.when(own.rlike("[0-9@]"), F.regexp_extract_all(own, F.lit(VALUE), 0)).otherwise(F.array().cast("array<string>"))
-    rows = docs.withColumn("_found", found)
+    values = F.concat(F.regexp_extract_all(own, F.lit(VALUE), 0), F.array(F.lit("")))
+    parts = F.zip_with(F.split(own, VALUE, -1), values, lambda gap, v: F.concat(_between(gap), F.array(_piece(v, v != ""))))
+    rows = docs.withColumn("_pieces", F.when(own.rlike("[0-9@]"), F.filter(F.flatten(parts), lambda p: p["text"] != "")))
+    rows = rows.withColumn("_found", F.transform(F.filter("_pieces", lambda p: p["found"]), lambda p: p["text"]))
     codes = F.transform("_found", lambda v: F.struct(v.alias("value"), code_of(v).alias("code")))
     rows = rows.withColumn("_codes", F.when(F.size("_found") > 0, codes))
     permuted = F.transform("_codes", lambda c: F.struct(c.value.alias("value"), c.code.kind.alias("kind"), F.when(c.code.isNotNull(), permute(c.code, key)).alias("made")))
     rows = rows.withColumn("_permuted", permuted)
     rows = rows.withColumn("_made", F.transform("_permuted", lambda p: rendered(p["value"], p["kind"], p["made"])))
     changed = F.zip_with("_made", "_found", lambda new, old: F.coalesce(new, old))
-    filled = F.array_join(F.zip_with(F.split(own, VALUE, -1), F.concat(changed, F.array(F.lit(""))), lambda gap, v: F.concat(gap, v)), "")
+    rows = rows.withColumn("_changed", changed)
+    start = F.struct(F.lit(0).alias("i"), F.array().cast("array<string>").alias("out"))
+    filled = F.aggregate("_pieces", start, lambda s, p: F.struct(
+        (s["i"] + p["found"].cast("int")).alias("i"),
+        F.concat(s["out"], F.array(F.when(p["found"], F.get(F.col("_changed"), s["i"])).otherwise(p["text"]))).alias("out")),
+        lambda s: F.array_join(s["out"], ""))
     n = F.coalesce(F.size(F.filter("_made", lambda v: v.isNotNull())), F.lit(0)).cast("long")
     out = rows.withColumns({text: F.when(F.col("_made").isNull(), F.col(text)).otherwise(filled), "n_replaced": n})
     return out.select(*dict.fromkeys([*docs.columns, "n_replaced"]))

@@ -59,6 +59,22 @@ def test_pseudonyms_keep_format_and_links(spark):
     assert pseudonyms.pseudonymise(texts(spark, one), "other").first().text != out[0].text
 
 
+def test_pseudonyms_in_lists_and_beside_numbers(spark):
+    lines = [
+        ("123-45-6789,987-65-4321,321-45-6789", ["123-45-6789", "321-45-6789"]), ("4111111111111111,5500005555555559", ["4111111111111111", "5500005555555559"]),
+        ("2020-02-29,10.0.0.7", ["2020-02-29", "10.0.0.7"]), ("at 2020-02-29T10:00", ["2020-02-29"]), ("4111 1111 1111 1111 123", ["4111 1111 1111 1111"]),
+        ("room 12 4111111111111111", ["4111111111111111"]), ("2024 555-123-4567", ["555-123-4567"]), ("10.0.0.1-10.0.0.7", ["10.0.0.1", "10.0.0.7"]),
+        ("1,4111-1111-1111-1111,a@b.org", ["4111-1111-1111-1111", "a@b.org"]), ("x 1.4111111111111111 4111111111111111a 4111111111111111.5", []),
+        ("1-2020-02-29, 123-45-6789-1, 2020-02-29x, 1.2.3.4.5", []),
+    ]
+    out = pseudonyms.pseudonymise(texts(spark, *(t for t, _ in lines)), "secret").orderBy("doc_id").collect()
+    for (text, values), row in zip(lines, out):
+        assert row.n_replaced == len(values), text
+        assert not any(v in row.text for v in values) and (values or row.text == text)
+    pair = pseudonyms.pseudonymise(texts(spark, "4111111111111111", "7 4111111111111111,1"), "secret").orderBy("doc_id").collect()
+    assert pair[1].text == f"7 {pair[0].text},1"
+
+
 def test_feistel_is_a_bijection(spark):
     digits = spark.range(17 * 43).select(F.struct(
         F.lit("x").alias("format"), F.array((F.col("id") / 43).cast("long"), F.col("id") % 43).alias("values"),
