@@ -4,8 +4,12 @@ Features are n-grams of 1 to 3 characters of the folded text (letters in lower c
 ``BUCKETS`` counters. A term weighs (1 + ln tf) * idf, and a text's vector has length 1. The document frequencies behind idf
 are counted over every learnable row. The weights are fitted by follow-the-regularised-leader with elastic-net penalties
 (most become exactly zero) on a sample of about ``sample_per_language`` rows of each language, chosen by the hash of the key;
-a fifth of the sample is set aside and fits the temperature that calibrates the scores. The model is a table of at most
-``BUCKETS`` x languages weights, so its broadcast does not grow with the corpus.
+a fifth of the sample is set aside and fits the temperature that calibrates the scores. The ``max_languages`` most frequent
+languages are learnt. The model is a table of at most ``BUCKETS`` x ``max_languages`` weights, and the task that fits it holds
+at most ``max_examples`` sampled vectors, so neither grows with the corpus.
+
+Only the folded text goes to Python, and its scores come back; all other columns stay in the JVM. Batches are worked on in
+slices of about a megabyte.
 
 Cases: a text that is null, empty or without a letter is ``und`` with score 0, as is every text when nothing could be
 learned. Texts are read whole. With one language the score is 1. Ties go to the language that sorts first. Rows are
@@ -16,6 +20,7 @@ or text teach nothing. Other columns pass through; ``lang_pred`` and ``score`` a
 from __future__ import annotations
 
 from collections.abc import Iterator
+from itertools import chain
 from typing import NamedTuple
 
 import numpy as np
@@ -23,15 +28,14 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
 
-from opinara.llm.flat import mix
+from opinara.llm.flat import mix, slices
 
 BUCKETS = 1 << 15
 SHIFT = np.uint64(64 - 15)
 FACTORS = mix(np.arange(1, 4, dtype=np.uint64)) | np.uint64(1)  # one per order
 SAMPLE_PER_LANGUAGE = 400
-MAX_LANGUAGES = 400
+MAX_LANGUAGES, MAX_EXAMPLES = 400, 40_000
 UNKNOWN = "und"
 EPOCHS, ALPHA, BETA, L1, L2 = 3, 1.0, 1.0, 0.02, 0.02
 
@@ -55,8 +59,15 @@ def softmax(x: np.ndarray) -> np.ndarray:
 
 
 def folded(text: Column) -> Column:
-    """Letters in lower case; everything between them becomes one blank."""
-    return F.trim(F.regexp_replace(F.lower(F.coalesce(text, F.lit(""))), r"[^\p{L}\p{M}]+", " "))
+    """Letters in lower case; everything between them becomes one blank. Empty without a letter (marks alone are none)."""
+    letters = F.trim(F.regexp_replace(F.lower(text), r"[^\p{L}\p{M}]+", " "))
+    return F.when(text.rlike(r"\p{L}"), letters).otherwise(F.lit(""))
+
+
+def _texts(batch: pa.RecordBatch) -> Iterator[list[str]]:
+    """The text column of a batch, a slice of about a megabyte at a time."""
+    for part in slices([batch]):
+        yield part.rows["text"].to_pylist()
 
 
 def ngram_counts(text: str) -> tuple[np.ndarray, np.ndarray]:
@@ -81,7 +92,7 @@ def _presence(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Document frequencies of one partition."""
     frequency, rows = np.zeros(BUCKETS, np.int64), 0
     for batch in batches:
-        for text in batch["text"].to_pylist():
+        for text in chain.from_iterable(_texts(batch)):
             frequency[ngram_counts(text)[0]] += 1
             rows += 1
     found = np.flatnonzero(frequency)
@@ -137,18 +148,20 @@ def temperature(logits: np.ndarray, labels: np.ndarray) -> float:
 
 def train(
     docs: DataFrame, key: str = "doc_id", text: str = "text", lang: str = "lang",
-    sample_per_language: int = SAMPLE_PER_LANGUAGE,
+    sample_per_language: int = SAMPLE_PER_LANGUAGE, max_languages: int = MAX_LANGUAGES, max_examples: int = MAX_EXAMPLES,
 ) -> Model:
-    """Learn from the rows of ``docs`` that have a text with a letter and a language."""
+    """Learn from the rows of ``docs`` that have a text with a letter and a language.
+
+    Many languages share ``max_examples``; beyond ``max_languages`` the rarest labels (often noise) are not learnt.
+    """
     rows = docs.select(docs[key].cast("string").alias("key"), folded(docs[text]).alias("text"), docs[lang].alias("lang"))
     rows = rows.filter(F.col("lang").isNotNull() & (F.col("text") != ""))
-    sizes = rows.groupBy("lang").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "lang").limit(MAX_LANGUAGES + 1).collect()
-    if len(sizes) > MAX_LANGUAGES:
-        raise ValueError(f"more than {MAX_LANGUAGES} languages")
+    sizes = rows.groupBy("lang").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "lang").limit(max_languages).collect()
     languages = sorted(r.lang for r in sizes)
     if not languages:
         return Model([], np.zeros(BUCKETS), np.zeros((0, BUCKETS), np.float32), np.zeros(0), 1.0)
     idf = inverse_frequencies(rows.select("text"))
+    sample_per_language = min(sample_per_language, max(1, max_examples // len(languages)))
     # A row is drawn if its hash falls under its language's share, so the sample is about as large at every corpus size.
     share = F.create_map(*[F.lit(x) for r in sizes for x in (r.lang, min(1.0, sample_per_language / r.n))])
     draw = F.pmod(F.xxhash64("key", F.lit(5)), F.lit(1 << 30)) / float(1 << 30)
@@ -158,7 +171,7 @@ def train(
 
     def vectors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = [vector(x, shared.value) for x in batch["text"].to_pylist()]
+            found = [vector(x, shared.value) for x in chain.from_iterable(_texts(batch))]
             columns = [pa.array([f[0].astype(np.int32).tobytes() for f in found], pa.binary()), pa.array([f[1].tobytes() for f in found], pa.binary())]
             yield pa.RecordBatch.from_arrays([batch["key"], batch["label"], *columns], ["key", "label", "buckets", "values"])
 
@@ -182,23 +195,31 @@ def predict(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
     """``docs`` with ``lang_pred`` and ``score``."""
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model = shared.value
-        for batch in batches:
+    def tell(texts: list[str], model: Model) -> tuple[list[str], list[float]]:
+        names, scores = [], []
+        for folded_text in texts:
+            if not folded_text or not model.languages:
+                names.append(UNKNOWN)
+                scores.append(0.0)
+                continue
+            buckets, values = vector(folded_text, model.idf)
+            chances = model.probabilities(model.weights[:, buckets] @ values + model.bias)
+            best = int(np.argmax(chances))
+            names.append(model.languages[best])
+            scores.append(float(chances[best]))
+        return names, scores
+
+    @F.arrow_udf("lang_pred string, score double")
+    def told(columns: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        for column in columns:
             names, scores = [], []
-            for folded_text in batch.column(batch.num_columns - 1).to_pylist():
-                if not folded_text or not model.languages:
-                    names.append(UNKNOWN)
-                    scores.append(0.0)
-                    continue
-                buckets, values = vector(folded_text, model.idf)
-                chances = model.probabilities(model.weights[:, buckets] @ values + model.bias)
-                best = int(np.argmax(chances))
-                names.append(model.languages[best])
-                scores.append(float(chances[best]))
-            columns = [*batch.columns[:-1], pa.array(names, pa.string()), pa.array(scores, pa.float64())]
-            yield pa.RecordBatch.from_arrays(columns, [*batch.schema.names[:-1], "lang_pred", "score"])
+            for texts in _texts(pa.RecordBatch.from_arrays([column], ["text"])):
+                parts = tell(texts, shared.value)
+                names += parts[0]
+                scores += parts[1]
+            yield pa.StructArray.from_arrays([pa.array(names, pa.string()), pa.array(scores, pa.float64())], ["lang_pred", "score"])
 
+    # Not deterministic by name only, so that a filter on the results does not evaluate the function a second time.
     rows = docs.drop("lang_pred", "score")
-    schema = StructType([*rows.schema.fields, *StructType.fromDDL("lang_pred string, score double").fields])
-    return rows.select(*rows.columns, folded(rows[text]).alias("_folded")).mapInArrow(run, schema)
+    guess = rows.withColumn("_told", told.asNondeterministic()(folded(rows[text])))
+    return guess.select(*rows.columns, F.col("_told.lang_pred").alias("lang_pred"), F.col("_told.score").alias("score"))

@@ -163,8 +163,10 @@ SELECT o.doc_id, count(k.pos) AS n_lines, count(*) FILTER (WHERE gone) AS n_drop
   CASE WHEN o.text IS NOT NULL THEN coalesce(string_agg(k.line, chr(10) ORDER BY k.pos) FILTER (WHERE NOT gone), '') END AS text
 FROM documents o LEFT JOIN k ON k.doc_id = o.doc_id GROUP BY o.doc_id, o.text""",
     "op9_url_trie": r"""
-WITH u AS (SELECT page_id, translate(coalesce(regexp_extract(url, '(?s)^.*?://([^/?#]*)', 1), ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
-  coalesce(regexp_extract(url, '(?s)^.*?://[^/?#]*(/[^?#]*)', 1), '') AS path FROM pages),
+WITH a AS (SELECT page_id, CASE WHEN strpos(url, '://') > 0 THEN substr(url, strpos(url, '://') + 3) ELSE '' END AS behind FROM pages),
+h AS (SELECT *, split_part(split_part(split_part(behind, '/', 1), '?', 1), '#', 1) AS raw FROM a),
+u AS (SELECT page_id, translate(raw, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+  split_part(split_part(substr(behind, length(raw) + 1), '?', 1), '#', 1) AS path FROM h),
 r AS (SELECT *, CASE
   WHEN (host = 'example.org' OR host LIKE '%.example.org') AND path LIKE '/es/%' THEN 'example.org/es/'
   WHEN (host = 'example.org' OR host LIKE '%.example.org') AND path LIKE '/en/1%' THEN 'example.org/en/1'

@@ -26,15 +26,25 @@ ALLOW, BLOCK = "allow", "block"
 _SCHEMA = "host string, path string, rule string, verdict string"
 
 
+def _behind_scheme(url: Column) -> Column:
+    """What follows the first ``://``; empty without one."""
+    at = F.locate("://", url)
+    return F.coalesce(F.when(at > 0, F.substring(url, at + 3, F.length(url))), F.lit(""))
+
+
+def _raw_host(url: Column) -> Column:
+    return F.regexp_extract(_behind_scheme(url), r"^[^/?#]*", 0)
+
+
 def host_of(url: Column) -> Column:
     """Between the first ``://`` and the next ``/``, ``?``, ``#`` or the end; A-Z in lower case."""
-    raw = F.coalesce(F.regexp_extract(url, r"(?s)^.*?://([^/?#]*)", 1), F.lit(""))
-    return F.translate(raw, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+    return F.translate(_raw_host(url), "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
 
 
 def path_of(url: Column) -> Column:
     """After the host, up to ``?``, ``#`` or the end."""
-    return F.coalesce(F.regexp_extract(url, r"(?s)^.*?://[^/?#]*(/[^?#]*)", 1), F.lit(""))
+    rest = F.substring(_behind_scheme(url), F.length(_raw_host(url)) + 1, F.length(url))
+    return F.coalesce(F.regexp_extract(rest, r"^[^?#]*", 0), F.lit(""))
 
 
 class RuleTrie:

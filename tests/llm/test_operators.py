@@ -177,6 +177,14 @@ def test_language_on_held_out_rows(spark, data):
     assert sum(r.lang == r.lang_pred for r in held) >= 0.95 * len(held) and all(0 <= r.score <= 1 for r in out)
 
 
+def test_language_without_letters_and_with_many_labels(spark):
+    rows = [(i, f"wort{i % 7} und satz", "de" if i % 3 else f"noise{i}") for i in range(60)]
+    model = language.train(spark.createDataFrame(rows, "doc_id long, text string, lang string"), max_languages=3)
+    assert len(model.languages) == 3 and "de" in model.languages
+    odd = spark.createDataFrame([(1, "\u263a\ufe0f"), (2, "1\ufe0f\u20e3 2"), (3, "wort1 und satz")], "doc_id long, text string")
+    assert [r.lang_pred for r in language.predict(odd, model).orderBy("doc_id").collect()] == ["und", "und", "de"]
+
+
 def test_language_of_odd_rows(spark):
     docs = odd_docs(spark)
     out = language.predict(docs, language.train(docs)).collect()
@@ -320,7 +328,8 @@ def test_toxicity_folds_case(spark):
 
 
 def test_url_trie_equals_the_join(spark, data):
-    urls = ["http://A.Example.org/en/12?x", "http://example.org/en/2", "https://org/x", "http://org", "no url", None, "http://x.com/fr/", "http://x.com/fr", "http://u.com/de/#/fr/", "a://b://c.org/d"]
+    urls = ["http://A.Example.org/en/12?x", "http://example.org/en/2", "https://org/x", "http://org", "no url", None, "http://x.com/fr/", "http://x.com/fr", "http://u.com/de/#/fr/", "a://b://c.org/d",
+            "http://x.com?u=http://y.com/de/z", "http://x.com#http://y.com/fr/", "http://a.example.org?next=http://b.org/es/"]
     pages = spark.createDataFrame([(i, u, 1) for i, u in enumerate(urls)], "page_id long, url string, verdict int")
     rules = spark.createDataFrame([*queries.URL_RULES, ("block", "com", "/fr/"), ("block", None, "/")], "verdict string, host string, path string")
     trie = urlfilter.judge_urls(pages, rules).collect()
@@ -328,7 +337,8 @@ def test_url_trie_equals_the_join(spark, data):
     assert sorted(map(tuple, trie)) == sorted(map(tuple, joined))
     assert [(r.rule, r.verdict) for r in sorted(trie)] == [
         ("example.org/en/1", "block"), ("org/", "allow"), ("org/", "allow"), (None, "allow"), (None, "allow"), (None, "allow"),
-        ("com/fr/", "block"), (None, "allow"), ("com/de/", "block"), (None, "allow")]
+        ("com/fr/", "block"), (None, "allow"), ("com/de/", "block"), (None, "allow"), (None, "allow"), (None, "allow"), (None, "allow")]
+    assert {(r.host, r.path) for r in trie if r.page_id > 9} == {("x.com", ""), ("a.example.org", "")}
     assert urlfilter.judge_urls(pages, rules.limit(0)).filter("rule IS NULL").count() == len(urls)
 
 
