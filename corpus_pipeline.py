@@ -1,8 +1,10 @@
 """A corpus cleaned for training: language, lines, near duplicates, benchmark leaks, tokens.
 
 Each stage takes the documents its predecessor kept. A document goes if its language cannot be told (no letter, or a score
-under ``LEAST_SCORE``), if line dedup takes its last line, if it is a near duplicate of a kept one, or if it holds a benchmark
-item. Documents that no stage objects to keep their text. Stages keep rows with null columns as their operators state.
+hardly above an even guess among the learnt languages), if line dedup takes its last line, if it is a near duplicate of a kept one, or if it holds a benchmark
+item. Documents that no stage objects to keep their text. Stages keep rows with null columns as their operators state: a null or
+empty text has no language and goes in the first stage, repeated rows of one id stay or go together, and an empty table runs
+through and gives no rows.
 """
 
 from __future__ import annotations
@@ -14,14 +16,20 @@ from opinara.llm import bpe, decontaminate, language, linededup, neardup
 from opinara.llm.queries import TOKENIZER, fold, table
 from opinara.storage import stage
 
-#: Below it, calibrated, all languages are about as likely: with four of them each has 0.25.
-LEAST_SCORE = 0.3
+#: How far above an even guess a calibrated score must be: with four languages, 0.3 against 0.25.
+LEAST_GAIN = 1.2
+
+
+def least_score(languages: int) -> float:
+    """Score from which a language counts as told; with one language any letter is enough."""
+    return min(1.0, LEAST_GAIN / languages) if languages else 1.0
 
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Learns from the labelled rows of two folds in three and predicts all; rejected documents go."""
     model = language.train(docs.filter(fold(F.col("doc_id"), 3) != 1))
-    told = language.predict(docs, model).filter((F.col("lang_pred") != language.UNKNOWN) & (F.col("score") >= LEAST_SCORE))
+    sure = (F.col("lang_pred") != language.UNKNOWN) & (F.col("score") >= least_score(len(model.languages)))
+    told = language.predict(docs, model).filter(sure)
     return told.select(*docs.columns)
 
 
