@@ -2,13 +2,17 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+import hashlib
+from collections.abc import Callable, Iterator
 
 import public_tokenizers
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from opinara.llm import bpe, decontaminate, fingerprints, language, linededup, neardup, preference, pseudonyms, toxicity, urlfilter
+from opinara.llm import (
+    bpe, decontaminate, fingerprints, language, linededup, neardup, phrases, preference, pseudonyms, repair, secretscan, toxicity, urlfilter,
+)
 
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
 PSEUDONYM_KEY = "corpus pseudonyms, first key"
@@ -112,6 +116,68 @@ def op10_toxicity_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_phrase_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The best collocations of every language."""
+    return phrases.collocations(table(spark, sf_dir, "documents"))
+
+
+def damaged(turns: DataFrame) -> DataFrame:
+    """Turns with faults dealt by a checksum of conversation and turn; nulls become one blank."""
+    spaced = lambda c: F.coalesce(F.col(c).cast("string"), F.lit(" "))
+    hurt = turns.withColumn("hit", F.crc32(F.concat(spaced("conv_id"), F.lit(":"), spaced("turn"))) % 20).filter("hit <> 0")
+    text = F.when(F.col("hit") == 1, "").when(F.col("hit") == 2, F.regexp_replace(spaced("text"), "[.!?]", "")).otherwise(spaced("text"))
+    role = F.when(F.col("hit") == 4, "user").otherwise(spaced("role"))
+    copies = F.explode(F.when(F.col("hit") == 3, F.array(F.lit(1), F.lit(2))).otherwise(F.array(F.lit(1))))
+    return hurt.select("conv_id", "turn", role.alias("role"), text.alias("text"), copies.alias("copy")).drop("copy")
+
+
+def _digests(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """SHA-256 of the lines of each conversation, which follow each other; no more than a batch is held."""
+    digest, conv, started = hashlib.sha256(), None, False
+    for batch in batches:
+        done = []
+        for now, line in zip(batch["conv_id"].to_pylist(), batch["line"].to_pylist()):
+            if started and now == conv:
+                digest.update(b"\n")
+            else:
+                done += [(conv, digest.hexdigest())] if started else []
+                digest, conv, started = hashlib.sha256(), now, True
+            digest.update(line.encode())
+        yield pa.RecordBatch.from_pylist([{"_conv": c, "sha": d} for c, d in done], pa.schema([("_conv", pa.int64()), ("sha", pa.string())]))
+    if started:
+        yield pa.RecordBatch.from_pylist([{"_conv": conv, "sha": digest.hexdigest()}], pa.schema([("_conv", pa.int64()), ("sha", pa.string())]))
+
+
+def op12_turn_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every conversation, damaged, with its faults, the cheapest edits and a digest of what they leave."""
+    turns = table(spark, sf_dir, "conversations")
+    mended = repair.repair(damaged(turns))
+    lines = mended.turns.select("conv_id", "chunk", "pos", F.concat_ws(":", "role", "text").alias("line"))
+    lines = lines.repartition("conv_id").sortWithinPartitions("conv_id", "chunk", "pos").select("conv_id", "line")
+    digests = lines.mapInArrow(_digests, "_conv bigint, sha string")
+    found = mended.conversations.withColumnRenamed("conv_id", "_found")
+    every = turns.select("conv_id").distinct()
+    joined = every.join(found, F.col("conv_id").eqNullSafe(F.col("_found")), "left").join(digests, F.col("conv_id").eqNullSafe(F.col("_conv")), "left")
+    counts = [F.coalesce(c, F.lit(0)).cast("long").alias(c) for c in ("gaps", "blank", "duplicate", "truncated", "illegal", "cost")]
+    nothing = hashlib.sha256(b"").hexdigest()
+    return joined.select(
+        "conv_id", *counts, F.coalesce("audit", F.lit("")).alias("audit"), F.coalesce("sha", F.lit(nothing)).alias("repaired_sha256")
+    )
+
+
+def op13_secret_owners(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Secrets of every document; a document is a repository, its source the owner."""
+    found = secretscan.scan(table(spark, sf_dir, "documents"))
+    listed = lambda c: F.array_join(F.transform(c, lambda s: F.concat_ws(":", s.kind, s.start.cast("string"), s.end.cast("string"))), ",")
+    of_kind = lambda *kinds: F.filter("spans", lambda s: s.kind.isin(*kinds))
+    judged = lambda verdict: F.size(F.filter("spans", lambda s: s.verdict == verdict)).cast("long")
+    return found.select(
+        "doc_id", *(F.size(of_kind(k)).cast("long").alias(f"n_{k}") for k in secretscan.KINDS[: secretscan.TOKEN]),
+        F.sha2(listed(of_kind(*secretscan.KINDS[: secretscan.TOKEN])), 256).alias("base_sha256"), listed("spans").alias("spans"),
+        judged("live").alias("n_live"), judged("copied").alias("n_copied"),
+    )
+
+
 _TURN = r"""'<|im_start|>' || {0} || chr(10) || regexp_replace(coalesce({1}, ''), '<\|(im_start|im_end)\|>', '<| \1 |>', 'g') || '<|im_end|>' || chr(10)"""
 
 
@@ -126,7 +192,71 @@ def _sql_side(side: str) -> str:
     return f"array_to_string(list_transform({rest}, lambda x: {turn}), '') AS {side}, array_to_string({spans}, ',') AS {side}_mask"
 
 
+_FAR = 1 << 50
+
+
+def _sql_state(of: str, cost: str, edit: str, line: str) -> str:
+    """A way that goes on: its cost, audit and the lines it leaves, each after a line feed."""
+    return f"{{'c': {of}.c + {cost}, 'a': {of}.a || '{edit}', 't': {of}.t || {line}}}"
+
+
+def _sql_least(*ways: str) -> str:
+    return f"list_min([{', '.join(ways)}])"
+
+
+_SQL_USER, _SQL_ASSISTANT = ("chr(10) || 'user:'", "chr(10) || 'assistant:'")
+def _sql_inserted(rows: str) -> str:
+    """Ways after the cheapest insertions: ``u_`` and ``a_``; the other two cannot be reached by them."""
+    users = _sql_least("u", *(_sql_state(x, "5", "I", _SQL_USER) for x in "esa"))
+    return f"u1 AS (SELECT *, {users} AS u_ FROM {rows}), a1 AS (SELECT *, {_sql_least('a', _sql_state('u_', '5', 'I', _SQL_ASSISTANT))} AS a_ FROM u1)"
+
+
+_SQL_KEEP = "CASE WHEN gone OR ini <> '{0}' THEN " + str(_FAR) + " ELSE extra END"
+_SQL_RETAG = "CASE WHEN gone THEN " + str(_FAR) + " ELSE 1 + extra END"
+_SQL_ROW, _SQL_DELETED = "chr(10) || role || ':' || text", "''"
+
 ORACLES = {
+    "op11_phrase_collocations": r"""
+WITH p AS (SELECT coalesce(lang, 'und') AS lang, unnest(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS p FROM documents),
+w AS (SELECT lang, list_filter(string_split_regex(p, '[\x20\x09]+'), lambda x: x <> '') AS w FROM p),
+f1 AS (SELECT lang, x, count(*) AS f FROM (SELECT lang, unnest(w) AS x FROM w) GROUP BY lang, x),
+f2 AS (SELECT lang, z[1] AS x, z[2] AS y, count(*) AS f FROM (SELECT lang, unnest(list_zip(w[:-2], w[2:])) AS z FROM w WHERE len(w) > 1) GROUP BY ALL HAVING count(*) >= 10),
+f3 AS (SELECT lang, z[1] AS x, z[2] AS y, z[3] AS z_, count(*) AS f FROM (SELECT lang, unnest(list_zip(w[:-3], w[2:-2], w[3:])) AS z FROM w WHERE len(w) > 2) GROUP BY ALL HAVING count(*) >= 10),
+c3 AS (SELECT f3.lang, f3.x || ' ' || f3.y || ' ' || f3.z_ AS phrase, f3.f AS a, a.f AS l1, bc.f AS r1, ab.f AS l2, c.f AS r2 FROM f3
+  JOIN f1 a ON a.lang = f3.lang AND a.x = f3.x JOIN f1 c ON c.lang = f3.lang AND c.x = f3.z_
+  JOIN f2 ab ON ab.lang = f3.lang AND ab.x = f3.x AND ab.y = f3.y JOIN f2 bc ON bc.lang = f3.lang AND bc.x = f3.y AND bc.y = f3.z_),
+s3 AS (SELECT *, (1000000::HUGEINT * a * a) // (l1::HUGEINT * r1) AS s1, (1000000::HUGEINT * a * a) // (l2::HUGEINT * r2) AS s2 FROM c3),
+o AS (SELECT lang, x, y, max(f) AS f FROM (SELECT lang, x, y, f FROM f3 UNION ALL SELECT lang, y, z_, f FROM f3) GROUP BY ALL),
+c AS (SELECT lang, phrase, a, CASE WHEN s1 <= s2 THEN l1 ELSE l2 END AS l, CASE WHEN s1 <= s2 THEN r1 ELSE r2 END AS r, CAST(least(s1, s2) AS BIGINT) AS score FROM s3
+  UNION ALL SELECT f2.lang, f2.x || ' ' || f2.y, f2.f, a.f, b.f, CAST((1000000::HUGEINT * f2.f * f2.f) // (a.f::HUGEINT * b.f) AS BIGINT) FROM f2
+  JOIN f1 a ON a.lang = f2.lang AND a.x = f2.x JOIN f1 b ON b.lang = f2.lang AND b.x = f2.y
+  LEFT JOIN o ON o.lang = f2.lang AND o.x = f2.x AND o.y = f2.y WHERE o.f IS NULL OR 100 * o.f < 50 * f2.f),
+n AS (SELECT lang, CAST(sum(f) AS BIGINT) AS n FROM f1 GROUP BY lang)
+SELECT * FROM (SELECT c.lang, row_number() OVER (PARTITION BY c.lang ORDER BY score DESC, a DESC, phrase) AS rank, phrase, a, l, r, n, score FROM c JOIN n ON n.lang = c.lang) WHERE rank <= 2000""",
+    "op12_turn_repair": rf"""
+WITH RECURSIVE k AS (SELECT list_transform(range(256), lambda n: list_reduce(list_concat([n], range(8)), lambda c, i: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END)) AS k),
+b AS (SELECT *, list_transform(string_split(coalesce(CAST(conv_id AS VARCHAR), ' ') || ':' || coalesce(CAST(turn AS VARCHAR), ' '), ''), lambda x: CAST(ord(x) AS BIGINT)) AS b FROM conversations),
+h AS (SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text, xor(list_reduce(list_concat([4294967295], b), lambda c, x: xor(c >> 8, k[(xor(c, x) & 255) + 1])), 4294967295) % 20 AS hit FROM b, k),
+d AS (SELECT conv_id, turn, CASE WHEN hit = 4 THEN 'user' ELSE role END AS role, CASE hit WHEN 1 THEN '' WHEN 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text, unnest(CASE WHEN hit = 3 THEN [1, 2] ELSE [1] END) AS copy FROM h WHERE hit <> 0),
+e AS (SELECT *, rtrim(text, chr(32) || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)) AS solid, left(role, 1) AS ini,
+  row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text, copy) AS i, row_number() OVER (PARTITION BY conv_id, role, text ORDER BY turn NULLS FIRST, copy) > 1 AS again FROM d),
+r AS (SELECT conv_id, turn, role, text, ini, i, solid = '' AS blank, solid <> '' AND again AS duplicate, solid <> '' AND NOT again AND right(solid, 1) NOT IN ('.', '!', '?') AS cut,
+  i > 1 AND lag(ini) OVER (PARTITION BY conv_id ORDER BY i) || ini NOT IN ('su', 'ua', 'au') AS bad FROM e),
+g AS (SELECT *, blank OR duplicate AS gone, CASE WHEN cut THEN 5 ELSE 0 END AS extra, count(*) OVER (PARTITION BY conv_id) AS rows FROM r),
+st AS (SELECT conv_id, 0::BIGINT AS i, {{'c': 0::BIGINT, 'a': '', 't': ''}} AS e, {{'c': {_FAR}::BIGINT, 'a': '', 't': ''}} AS s, {{'c': {_FAR}::BIGINT, 'a': '', 't': ''}} AS u, {{'c': {_FAR}::BIGINT, 'a': '', 't': ''}} AS a FROM g WHERE i = 1
+ UNION ALL (WITH before AS (SELECT st.conv_id, st.i, e, s, u, a, role, text, ini, gone, extra FROM st JOIN g ON g.conv_id IS NOT DISTINCT FROM st.conv_id AND g.i = st.i + 1),
+  {_sql_inserted('before')}
+  SELECT conv_id, i + 1, {_sql_state('e', '2', 'D', _SQL_DELETED)},
+   {_sql_least(_sql_state('s', '2', 'D', _SQL_DELETED), _sql_state('e', _SQL_KEEP.format('s'), 'K', _SQL_ROW))},
+   {_sql_least(_sql_state('u_', '2', 'D', _SQL_DELETED), *(_sql_state(x, _SQL_KEEP.format('u'), 'K', _SQL_ROW) for x in ('e', 's', 'a_')), *(_sql_state(x, _SQL_RETAG, 'R', _SQL_USER + ' || text') for x in ('e', 's', 'a_')))},
+   {_sql_least(_sql_state('a_', '2', 'D', _SQL_DELETED), _sql_state('u_', _SQL_KEEP.format('a'), 'K', _SQL_ROW), _sql_state('u_', _SQL_RETAG, 'R', _SQL_ASSISTANT + ' || text'))} FROM a1)),
+z AS (SELECT st.* FROM st JOIN (SELECT conv_id, max(rows) AS rows FROM g GROUP BY conv_id) n ON n.conv_id IS NOT DISTINCT FROM st.conv_id AND n.rows = st.i),
+y AS (WITH {_sql_inserted('z')} SELECT conv_id, {_sql_least('e', 'a_')} AS best FROM a1),
+t AS (SELECT conv_id, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps, count(*) FILTER (WHERE blank) AS blank, count(*) FILTER (WHERE duplicate) AS duplicate,
+  count(*) FILTER (WHERE cut) AS truncated, count(*) FILTER (WHERE bad) AS illegal FROM g GROUP BY conv_id)
+SELECT o.conv_id, coalesce(gaps, 0) AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate, coalesce(truncated, 0) AS truncated, coalesce(illegal, 0) AS illegal,
+  coalesce(best.c, 0) AS cost, coalesce(best.a, '') AS audit, sha256(coalesce(substr(best.t, 2), '')) AS repaired_sha256
+FROM (SELECT DISTINCT conv_id FROM conversations) o LEFT JOIN t ON t.conv_id IS NOT DISTINCT FROM o.conv_id LEFT JOIN y ON y.conv_id IS NOT DISTINCT FROM o.conv_id""",
     "op2_preference_pairs": f"""
 WITH t AS (SELECT DISTINCT conv_id, turn, role, text FROM conversations WHERE conv_id IS NOT NULL),
 l AS (SELECT conv_id, max(turn) AS turn, arg_max(text, turn) AS text FROM t WHERE role = 'assistant' GROUP BY conv_id),
@@ -180,6 +310,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         op1_feistel_pseudonyms, op2_preference_pairs, op3_bpe_transducer, op4_parsing_fingerprints, op5_language_id,
-        op6_min_max_neardup, op7_line_dedup, op8_bm25_decontaminate, op9_url_trie, op10_toxicity_neighbours,
+        op6_min_max_neardup, op7_line_dedup, op8_bm25_decontaminate, op9_url_trie, op10_toxicity_neighbours, op11_phrase_collocations, op12_turn_repair, op13_secret_owners,
     )
 }
