@@ -26,6 +26,7 @@ from __future__ import annotations
 
 import io
 from collections.abc import Iterator
+from functools import reduce
 from typing import NamedTuple
 
 import numpy as np
@@ -43,7 +44,8 @@ BLANKS = np.isin(np.arange(256), list(b" \t"))
 INSIDE_PERCENT = 50
 
 BITS = 26  # of a bit set: 8 MB
-MAX_KEYS = 1 << 21
+MAX_KEYS = 1 << 20  # about 20 MB as a trie
+PIECE = 1 << 20  # bytes of a trie in a row
 LOW_BITS = 9
 PENDING = 1 << 22  # places that a task adds up at once
 BIG_NODE = 64
@@ -196,7 +198,7 @@ class PhraseTrie:
         rows = codes[place]
         trie = cls(alphabet, codes, np.zeros(0, np.int32), np.zeros(0, np.int32))
         trie._rng = np.random.default_rng(7)
-        trie._grow(1 + len(alphabet) + 4 * len(phrases))
+        trie._grow(1 + len(alphabet))
         trie._first = trie._top = 1 + len(alphabet)
         trie.check[1 + rows[:, 0]] = 0
         state = trie._add(1 + rows[:, 0], rows[:, 1])
@@ -230,7 +232,7 @@ class PhraseTrie:
         base[big] = self._top + np.cumsum(span[big]) - span[big] - symbol[first[big]]
         self._top += int(span[big].sum())
         small = int(sizes[sizes <= BIG_NODE].sum())
-        limit = self._top + 2 * small + 1
+        limit = self._top + small + small // 3 + 16
         self._grow(limit + int(symbol.max()) + 1)
         self._settle(np.isin(group, big), parent, base[group] + symbol)
         # The others are tried at random places, large ones first, until all their children find free states.
@@ -239,7 +241,7 @@ class PhraseTrie:
             while len(todo):
                 tries += 1
                 if tries % 64 == 0:
-                    limit += small + 1
+                    limit += small // 4 + 16
                     self._grow(limit + int(symbol.max()) + 1)
                 base[todo] = self._rng.integers(self._first, limit, len(todo)) - symbol[first[todo]]
                 waiting = np.zeros(len(first), bool)
@@ -290,28 +292,30 @@ class PhraseTrie:
             found.append(states)
         return found
 
-    def to_bytes(self) -> bytes:
+    def to_pieces(self) -> list[bytes]:
         out = io.BytesIO()
-        np.savez(out, alphabet=self.alphabet, codes=self.codes, base=self.base, check=self.check)
-        return out.getvalue()
+        np.savez(out, alphabet=self.alphabet, codes=self.codes.astype(np.int32), base=self.base, check=self.check)
+        return [bytes(out.getbuffer()[i : i + PIECE]) for i in range(0, out.tell(), PIECE)]
 
     @classmethod
-    def from_bytes(cls, data: bytes) -> PhraseTrie:
-        held = np.load(io.BytesIO(data))
-        return cls(*(held[name] for name in ("alphabet", "codes", "base", "check")))
+    def from_pieces(cls, pieces: list[bytes]) -> PhraseTrie:
+        held = np.load(io.BytesIO(b"".join(pieces)))
+        return cls(held["alphabet"], held["codes"].astype(np.int64), held["base"], held["check"])
 
 
 def _build(keys: pa.Table) -> pa.Table:
-    """State of every phrase of a shard; the first row carries the trie."""
+    """State of every phrase of a shard; further rows carry the trie in pieces."""
     sizes = np.where(keys["x3"].is_valid().to_numpy(zero_copy_only=False), 3, 2)
     phrases = np.stack([keys[c].fill_null(0).to_numpy().view(np.uint64) for c in ("x1", "x2", "x3")], axis=1)
     trie, states = PhraseTrie.build(phrases, sizes)
-    packed = [trie.to_bytes()] + [None] * (len(states) - 1)
-    return pa.table({"shard": keys["shard"], "id": keys["id"], "state": pa.array(states, pa.int64()), "trie": pa.array(packed, pa.binary())})
+    pieces = trie.to_pieces()
+    found = pa.table({"shard": keys["shard"], "id": keys["id"], "state": pa.array(states, pa.int64())})
+    packed = pa.table({"shard": pa.array([keys["shard"][0].as_py()] * len(pieces), pa.int32()), "piece": pa.array(range(len(pieces)), pa.int32()), "bytes": pa.array(pieces, pa.binary())})
+    return pa.concat_tables([found, packed], promote_options="default").select(["shard", "id", "state", "piece", "bytes"])
 
 
-def _count_phrases(batches: Iterator[pa.RecordBatch], seed: int, packed: bytes) -> Iterator[pa.RecordBatch]:
-    trie = PhraseTrie.from_bytes(packed)
+def _count_phrases(batches: Iterator[pa.RecordBatch], seed: int, pieces: list[bytes]) -> Iterator[pa.RecordBatch]:
+    trie = PhraseTrie.from_pieces(pieces)
     table, hasher = HashTable(trie.alphabet), _new_hasher(seed)
     counts, waiting, held = np.zeros(len(trie.check), np.int64), [], 0
     for part in slices(batches):
@@ -356,24 +360,31 @@ def phrase_counts(docs: DataFrame, text: str = "text", group: str = "lang", leas
     keys = stage(keys, "phrases")
     shards = -(-keys.count() // max_keys)
     dealt = keys.select("id", "x1", "x2", "x3", F.pmod(F.xxhash64("x1", "x2", "x3"), F.lit(max(shards, 1))).cast("int").alias("shard"))
-    tries = stage(dealt.groupBy("shard").applyInArrow(_build, "shard int, id long, state long, trie binary"), "tries")
-    sums = []
-    for shard in range(shards):
-        packed = tries.filter((F.col("shard") == shard) & F.col("trie").isNotNull()).select("trie").first()
-        if packed is not None:
-            shared = spark.sparkContext.broadcast(bytes(packed.trie))
-            counted = rows.mapInArrow(lambda b, t=shared: _count_phrases(b, seed, t.value), "state long, n long")
-            sums.append(counted.groupBy("state").agg(F.sum("n").alias("a")).withColumn("shard", F.lit(shard)))
-    if not sums:
+    built = "shard int, id long, state long, piece int, bytes binary"
+    tries = stage(dealt.groupBy("shard").applyInArrow(_build, built), "tries")
+    frequent.destroy()
+    fine.destroy()
+    counts = [_counted(rows, seed, tries.filter(F.col("shard") == shard)) for shard in range(shards)]
+    if not counts:
         return words, keys.select("group", "phrase", "x1", "x2", "x3", F.lit(0).cast("long").alias("a"))
-    counts = sums[0]
-    for more in sums[1:]:
-        counts = counts.unionByName(more)
-    counted = tries.select("shard", "state", "id").join(counts, ["shard", "state"]).select("id", "a")
+    counted = reduce(DataFrame.unionByName, counts)
     exact = keys.join(counted, "id").filter(F.col("a") >= least)
     return words, stage(exact.select("group", "phrase", "x1", "x2", "x3", "a"), "phrase_counts")
 
 
+def _counted(rows: DataFrame, seed: int, shard: DataFrame) -> DataFrame:
+    """id and a of the phrases of one trie, which is taken back from the tasks once they have counted."""
+    pieces = shard.filter("piece IS NOT NULL").select("piece", "bytes").toArrow().sort_by("piece")
+    if not pieces.num_rows:
+        return shard.select("id", F.col("state").alias("a"))
+    shared = rows.sparkSession.sparkContext.broadcast(pieces["bytes"].to_pylist())
+    del pieces
+    sums = rows.mapInArrow(lambda b: _count_phrases(b, seed, shared.value), "state long, n long").groupBy("state").agg(F.sum("n").alias("a"))
+    counted = stage(shard.filter("id IS NOT NULL").select("state", "id").join(sums, "state").select("id", "a"), "phrase_sums")
+    shared.destroy()
+    return counted
+
+
 def _score(left: str, right: str) -> Column:
     """1000000 * a * a / (left * right), rounded down, in whole numbers of up to 38 digits."""
     whole = lambda c: f"cast({c} AS decimal(14, 0))"

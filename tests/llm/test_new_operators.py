@@ -89,7 +89,7 @@ def test_double_array_steps_to_phrases_only():
     keys = np.concatenate([np.column_stack([pairs, np.zeros(len(pairs), np.uint64)]), rows[sizes == 3]])
     sizes = np.repeat([2, 3], [len(pairs), len(keys) - len(pairs)])
     trie, states = phrases.PhraseTrie.build(keys, sizes)
-    trie = phrases.PhraseTrie.from_bytes(trie.to_bytes())
+    trie = phrases.PhraseTrie.from_pieces(trie.to_pieces())
     assert len(set(states.tolist())) == len(keys)
     text = words[rng.zipf(1.2, 40000) % 3000]
     joined = rng.random(len(text)) < 0.9
