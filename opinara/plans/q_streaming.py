@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from opinara.plans import corpus
 from opinara.plans.registry import query
 from opinara.storage import new_path, write_staged
-from opinara.streaming import jobs, rules
+from opinara.streaming import alerts, jobs, rules
 
 _CLOSED = "(SELECT max(ts) - INTERVAL 1 HOUR FROM events)"
 _SLIDES = """SELECT e.*, time_bucket(INTERVAL 1 MINUTE, ts) - to_minutes(CAST(i AS INTEGER)) AS window_start FROM events e, range(0, 5) r(i)"""
@@ -68,12 +68,13 @@ def stream_error_rate(spark, sf_dir):
     "stream_source_error_rate",
     f"""SELECT {_sql_stamp('window_start', 'window_start')}, source, round(count(*)::DOUBLE / 300, 10) AS rate FROM (SELECT *, 'src' || (user_id % 20) AS source FROM ({_SLIDES}))
   WHERE event_type = 'error' AND window_start + INTERVAL 5 MINUTES <= (SELECT max(ts) - INTERVAL 1 HOUR FROM events WHERE event_type = 'error')
-  GROUP BY window_start, source HAVING count(*)::DOUBLE / 300 > 0.003""",
+  GROUP BY window_start, source HAVING count(*)::DOUBLE / 300 > 0.005""",
 )
 def stream_source_error_rate(spark, sf_dir):
+    """Two errors of a source in five minutes."""
     source = F.concat(F.lit("src"), (F.col("user_id") % 20).cast("string"))
     errors = _errors(spark, sf_dir).withColumn("source", source)
-    alerts = jobs.run_to_table(rules.event_rate(errors, 0.003, ("source",)), "source-error-rate")
+    alerts = jobs.run_to_table(rules.event_rate(errors, 0.005, ("source",)), "source-error-rate")
     return _stamps(alerts, "window_start").select("window_start", "source", F.round("rate", 10).alias("rate"))
 
 
@@ -149,6 +150,112 @@ def alert_for_duration(spark, sf_dir):
     return _stamps(rules.held_for(windows, 5, ("all",)), "since", "until").select("since", "until")
 
 
+def _landed_events(spark, sf_dir):
+    """Events that landed in three files, one after the other, taken in a batch each."""
+    path, events = new_path(spark, "events-landed"), corpus.events(spark, sf_dir)
+    jobs.land_in_order(events, path)
+    return jobs.folder_stream(spark, path, events.schema, "*.parquet", per_batch=1)
+
+
+def _alert_rows(df, name):
+    return _stamps(jobs.run_to_table(alerts.alerts(df), name), "since", "at")
+
+
+def _alerts_sql(met: str, step: int, horizon: str, holds: dict[str, int]) -> str:
+    """Firing and resolved alerts from ``met`` (rule, group, e); e lies on a grid of ``step`` minutes up to the horizon."""
+    hold = "CASE rule " + " ".join(f"WHEN '{rule}' THEN {minutes}" for rule, minutes in holds.items()) + " END"
+    return f"""WITH met AS ({met}), s AS (SELECT rule, "group", min(e) AS since, max(e) AS until, to_minutes({hold}) AS hold FROM
+  (SELECT *, epoch(e) / {60 * step} - row_number() OVER (PARTITION BY rule, "group" ORDER BY e) AS island FROM met) GROUP BY rule, "group", island)
+  SELECT rule, "group", 'firing' AS state, {_sql_stamp('since', 'since')}, {_sql_stamp('since + hold', 'at')} FROM s WHERE since + hold <= until
+  UNION ALL SELECT rule, "group", 'resolved', {_sql_stamp('since', 'since')}, {_sql_stamp(f'until + INTERVAL {step} MINUTE', 'at')} FROM s WHERE since + hold <= until AND until + INTERVAL {step} MINUTE <= {horizon}"""
+
+
+_SHORT_WINDOWS = f"""SELECT window_start + INTERVAL 5 MINUTE AS e, g AS "group", count(*) AS requests, count(*) FILTER (WHERE event_type = 'error') AS errors,
+  count(*) FILTER (WHERE event_type = 'signup') AS failures, quantile_disc(value, 0.95) AS p95
+  FROM (SELECT *, unnest(['src' || (user_id % 20), '']) AS g FROM ({_SLIDES})) WHERE window_start + INTERVAL 5 MINUTE <= {_CLOSED} GROUP BY 1, 2"""
+_SHORT_CONDITIONS = {
+    "error_rate": "\"group\" = '' AND errors / 300.0::DOUBLE > 0.005", "source_error_rate": "\"group\" <> '' AND errors / 300.0::DOUBLE > 0.003",
+    "error_ratio": "\"group\" = '' AND errors / requests::DOUBLE > 0.05", "latency_p95": "\"group\" = '' AND p95 > 100",
+    "login_failures": "\"group\" = '' AND failures * 60 / 300.0::DOUBLE > 0.3",
+}
+
+
+@query(
+    "alerts_with_hold",
+    _alerts_sql(
+        " UNION ALL ".join(f"SELECT '{rule}' AS rule, \"group\", e FROM ({_SHORT_WINDOWS}) WHERE {met}" for rule, met in _SHORT_CONDITIONS.items()),
+        1, _CLOSED, {rule: alerts.HOLDS[rule].hold for rule in _SHORT_CONDITIONS},
+    ),
+)
+def alerts_with_hold(spark, sf_dir):
+    """Rules on five-minute windows of panes, each with its hold time; thresholds fit the little traffic of the corpus."""
+    event, source = F.col("event_type"), F.concat(F.lit("src"), (F.col("user_id") % 20).cast("string"))
+    parts = rules.panes(
+        _landed_events(spark, sf_dir).withColumn("source", source), ("source",), requests=F.count("*"), errors=F.count_if(event == "error"),
+        failures=F.count_if(event == "signup"), sketch=rules.latency_sketch("value"),
+    )
+    grouped = parts.withColumn("group", F.explode(F.array("source", F.lit("")))).drop("source")
+    windows = rules.sliding(
+        grouped, ("group",), sketch=F.kll_merge_agg_double("sketch", F.lit(rules.SKETCH)), **{m: F.sum(m) for m in ("requests", "errors", "failures")}
+    )
+    of_all = F.col("group") == ""
+    rate, p95 = F.col("errors") / rules.RATE_SECONDS, F.kll_sketch_get_quantile_double("sketch", F.lit(0.95).cast("double"))
+    conditions = {
+        "error_rate": F.when(of_all, rate > 0.005), "source_error_rate": F.when(~of_all, rate > 0.003),
+        "error_ratio": F.when(of_all, F.col("errors") / F.col("requests") > rules.ERROR_RATIO), "latency_p95": F.when(of_all, p95 > 100),
+        "login_failures": F.when(of_all, F.col("failures") * 60 / rules.RATE_SECONDS > 0.3),
+    }
+    return _alert_rows(alerts.evaluations(windows, conditions, F.col("group")), "alerts-short")
+
+
+_GRID = f"""SELECT e, (SELECT count(*) FROM events p WHERE {_PURCHASES} AND p.ts >= e - INTERVAL 1 HOUR AND p.ts < e) AS purchases FROM
+  (SELECT unnest(generate_series(time_bucket(INTERVAL 5 MINUTE, min(ts)) + INTERVAL 5 MINUTE, max(ts) - INTERVAL 1 HOUR, INTERVAL 5 MINUTE)) AS e FROM events)"""
+
+
+@query(
+    "alerts_of_silence",
+    _alerts_sql(
+        f"""SELECT 'nothing_collected' AS rule, '' AS "group", e FROM ({_GRID}) WHERE purchases = 0 UNION ALL SELECT 'growth_stalled', '', e FROM ({_GRID}) WHERE purchases / 3600.0::DOUBLE < 2 / 3600.0::DOUBLE""",
+        5, _CLOSED, {rule: alerts.HOLDS[rule].hold for rule in ("nothing_collected", "growth_stalled")},
+    ),
+)
+def alerts_of_silence(spark, sf_dir):
+    """Nothing bought for an hour, or fewer than two purchases an hour, evaluated every five minutes and held for one and two hours."""
+    parts = rules.panes(_landed_events(spark, sf_dir), (), purchases=F.count_if(F.col("event_type") == "purchase"))
+    windows = rules.sliding(parts, (), "1 hour", "5 minutes", purchases=F.sum("purchases"))
+    conditions = {"nothing_collected": F.col("purchases") == 0, "growth_stalled": F.col("purchases") / 3600 < F.lit(2 / 3600)}
+    return _alert_rows(alerts.evaluations(windows, conditions, F.lit("")), "alerts-silence")
+
+
+_GAUGES = """SELECT date + 1 AS e, drift > 0.7 AS high, rate < 0.75 AS low FROM (
+  WITH s AS (SELECT date, sentiment, count(*) AS c FROM gold GROUP BY 1, 2), t AS (SELECT date, max(c) AS top FROM (SELECT date, topic_1, count(*) AS c FROM gold GROUP BY 1, 2) GROUP BY 1),
+  d AS (SELECT date, CAST(sum(c) AS BIGINT) AS n, count(*) AS k, log2(sum(c)) - sum(c * log2(c)) / sum(c) AS bits FROM s GROUP BY 1),
+  r AS (SELECT gold.date, avg(CASE WHEN topic_1 <> 'autre' AND sentiment <> 'neutre' THEN 1.0::DOUBLE ELSE 0 END) AS rate FROM gold GROUP BY 1)
+  SELECT d.date, round_even(0.5::DOUBLE * (1 - CASE WHEN k > 1 THEN bits / log2(k) ELSE 0 END) + 0.5::DOUBLE * top / n::DOUBLE, 4) AS drift, rate FROM d JOIN t USING (date) JOIN r USING (date))
+  WHERE date + 1 <= (SELECT max(collected_at) - INTERVAL 1 HOUR FROM gold)"""
+_GAUGE_CHANGES = " UNION ALL ".join(
+    f"""SELECT '{rule}' AS rule, e, {met} AS met, {alerts.HOLDS[rule].hold} AS hold FROM ({_GAUGES})""" for rule, met in (("low_enrichment", "low"), ("high_drift", "high"))
+)
+
+
+@query(
+    "alerts_of_gauges",
+    f"""WITH c AS ({_GAUGE_CHANGES}), i AS (SELECT *, row_number() OVER (PARTITION BY rule ORDER BY e) - row_number() OVER (PARTITION BY rule, met ORDER BY e) AS island, lead(e) OVER (PARTITION BY rule ORDER BY e) AS next FROM c),
+  s AS (SELECT rule, min(e) AS since, CASE WHEN bool_or(next IS NULL) THEN NULL ELSE max(next) END AS ended, to_minutes(any_value(hold)) AS hold FROM i WHERE met GROUP BY rule, island)
+  SELECT rule, '' AS "group", 'firing' AS state, {_sql_stamp('since', 'since')}, {_sql_stamp('since + hold', 'at')} FROM s WHERE since + hold <= (SELECT max(collected_at) - INTERVAL 1 HOUR FROM gold)
+  UNION ALL SELECT rule, '', 'resolved', {_sql_stamp('since', 'since')}, {_sql_stamp('ended', 'at')} FROM s WHERE ended IS NOT NULL""",
+)
+def alerts_of_gauges(spark, sf_dir):
+    """Enrichment and drift per day, gauges that keep their value until the next day, held for 10 and 15 minutes."""
+    rows = corpus.gold(spark, sf_dir).select(F.col("collected_at").alias("ts"), "topic_1", "sentiment")
+    path = new_path(spark, "gold-landed")
+    jobs.land_in_order(rows, path)
+    stream = jobs.folder_stream(spark, path, rows.schema, "*.parquet", per_batch=1)
+    days = rules.day_gauges(rules.panes(stream, ("sentiment", "topic_1"), every="1 day", n=F.count("*")))
+    conditions = {"low_enrichment": F.col("enrichment") < 0.75, "high_drift": F.col("drift_score") > rules.DRIFT_LIMIT}
+    return _alert_rows(alerts.evaluations(days, conditions, F.lit("")), "alerts-gauges")
+
+
 @query(
     "active_sessions",
     f"""SELECT user_id, {_sql_stamp('first', 'window_start')}, {_sql_stamp("last + INTERVAL 30 MINUTES", 'window_end')}, n AS count

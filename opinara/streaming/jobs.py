@@ -23,6 +23,14 @@ def folder_stream(spark: SparkSession, folder: str, schema: StructType, files: s
     return (reader.option("maxFilesPerTrigger", per_batch) if per_batch else reader).load(folder)
 
 
+def land_in_order(df: DataFrame, folder: str, time: str = "ts", files: int = 3) -> None:
+    """Writes rows as files that land one after the other, each with a later stretch of time. The bounds are exact to the second."""
+    edges = df.agg(F.unix_timestamp(F.min(time)).alias("low"), F.unix_timestamp(F.max(time)).alias("high")).select(F.struct("low", "high")).scalar()
+    share = (F.unix_timestamp(time) - edges["low"]) * files / (edges["high"] - edges["low"] + 1)
+    for i in range(files):
+        df.filter(F.floor(share) == i).coalesce(1).write.mode("append").parquet(folder)
+
+
 def _finish(spark: SparkSession, writer: DataStreamWriter) -> None:
     """Runs what is available, with no more state partitions than twice the cores.
 
@@ -39,11 +47,15 @@ def _finish(spark: SparkSession, writer: DataStreamWriter) -> None:
     query.awaitTermination()
 
 
-def run_to_table(stream: DataFrame, name: str) -> DataFrame:
-    """Processes what is available into files and returns them; closed windows only, as an append sink gives them."""
+def run_to_table(stream: DataFrame, name: str, base: str | None = None) -> DataFrame:
+    """Processes what is available into files and returns them; closed windows only, as an append sink gives them.
+
+    With the same ``base`` a later run goes on where the last one stopped.
+    """
     spark = stream.sparkSession
-    target, checkpoint = new_path(spark, name), new_path(spark, f"{name}-checkpoint")
-    writer = stream.writeStream.format("parquet").option("path", target).option("checkpointLocation", checkpoint)
+    base = base or new_path(spark, name)
+    target = f"{base}/rows"
+    writer = stream.writeStream.format("parquet").option("path", target).option("checkpointLocation", f"{base}/checkpoint")
     _finish(spark, writer.outputMode("append"))
     return spark.read.schema(stream.schema).parquet(target)
 

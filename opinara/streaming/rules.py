@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from opinara.functions.numbers import ratio
+from opinara.operators.aggregates import drift_score
 
 # How late a row may be, the evaluation window and the thresholds of the rules.
 LATENESS = "1 hour"
@@ -16,6 +17,7 @@ FAILURES_PER_MINUTE = 10.0
 ENRICHMENT_FLOOR = 0.5
 DRIFT_LIMIT = 0.7
 SILENCE, STALL = "1 hour", "2 hours"
+SKETCH = 800  # values a quantile sketch holds without loss
 
 
 def _windowed(df: DataFrame, time: str, *window: str, by: tuple[str, ...] = ()):
@@ -32,28 +34,46 @@ def counters(df: DataFrame, by: tuple[str, ...], every: str = "1 hour", time: st
     return _flat(_windowed(df, time, every, by=by).agg(F.count("*").alias("count")))
 
 
+def panes(df: DataFrame, by: tuple[str, ...] = (), time: str = "ts", every: str = RATE_STEP, **measures: Column) -> DataFrame:
+    """Measures per short time bucket: every row is counted once, however many sliding windows it will lie in."""
+    return _windowed(df, time, every, by=by).agg(*[m.alias(name) for name, m in measures.items()])
+
+
+def sliding(parts: DataFrame, by: tuple[str, ...] = (), length: str = RATE_WINDOW, step: str = RATE_STEP, **measures: Column) -> DataFrame:
+    """Sliding windows over panes; ``measures`` add up those of the panes. A second aggregation behind the first, on a stream too."""
+    return parts.groupBy(F.window(F.window_time("window"), length, step), *by).agg(*[m.alias(name) for name, m in measures.items()])
+
+
 def event_rate(df: DataFrame, threshold: float, by: tuple[str, ...] = (), time: str = "ts") -> DataFrame:
     """Sliding windows whose rows per second exceed the threshold."""
-    rates = _windowed(df, time, RATE_WINDOW, RATE_STEP, by=by).agg((F.count("*") / RATE_SECONDS).alias("rate"))
-    return _flat(rates.filter(F.col("rate") > threshold))
+    counted = sliding(panes(df, by, time, n=F.count("*")), by, rate=F.sum("n") / RATE_SECONDS)
+    return _flat(counted.filter(F.col("rate") > threshold))
 
 
 def error_ratio(df: DataFrame, failed: Column, threshold: float = ERROR_RATIO, time: str = "ts") -> DataFrame:
     """Sliding windows in which the failed share exceeds the threshold."""
-    sums = _windowed(df, time, RATE_WINDOW, RATE_STEP).agg(F.count_if(failed).alias("errors"), F.count("*").alias("requests"))
+    parts = panes(df, (), time, errors=F.count_if(failed), requests=F.count("*"))
+    sums = sliding(parts, errors=F.sum("errors"), requests=F.sum("requests"))
     shares = sums.withColumn("ratio", ratio(F.col("errors"), F.col("requests")))
     return _flat(shares.filter(F.col("ratio") > threshold))
 
 
+def latency_sketch(value: str | Column) -> Column:
+    """Quantile sketch of a pane: exact up to ``SKETCH`` values, then within 0.4 % of the rank; sketches add up."""
+    return F.kll_sketch_agg_double(value, F.lit(SKETCH))
+
+
 def latency_p95(df: DataFrame, value: str, threshold: float = LATENCY_P95_SECONDS, time: str = "ts") -> DataFrame:
     """Sliding windows whose 95th percentile exceeds the threshold."""
-    p95 = _windowed(df, time, RATE_WINDOW, RATE_STEP).agg(F.percentile_approx(value, 0.95, 10000).alias("p95"))
+    parts = panes(df.filter(F.col(value).isNotNull()), (), time, sketch=latency_sketch(F.col(value).cast("double")))
+    merged = sliding(parts, sketch=F.kll_merge_agg_double("sketch", F.lit(SKETCH)))
+    p95 = merged.withColumn("p95", F.kll_sketch_get_quantile_double("sketch", F.lit(0.95).cast("double"))).drop("sketch")
     return _flat(p95.filter(F.col("p95") > threshold))
 
 
 def failure_burst(df: DataFrame, threshold: float = FAILURES_PER_MINUTE, time: str = "ts") -> DataFrame:
     """Sliding windows with more failures per minute than the threshold."""
-    bursts = _windowed(df, time, RATE_WINDOW, RATE_STEP).agg((F.count("*") * 60 / RATE_SECONDS).alias("per_minute"))
+    bursts = sliding(panes(df, (), time, n=F.count("*")), per_minute=F.sum("n") * 60 / RATE_SECONDS)
     return _flat(bursts.filter(F.col("per_minute") > threshold))
 
 
@@ -63,6 +83,28 @@ def enrichment_rate(df: DataFrame, enriched: Column, every: str = "1 day", floor
     return _flat(rates.filter(F.col("rate") < floor))
 
 
+def day_gauges(cells: DataFrame) -> DataFrame:
+    """Enriched share and drift per window from counts per window, sentiment and topic; a window has a handful of cells.
+
+    A second aggregation behind the counting one, so it runs on a stream as well.
+    """
+    cell = F.struct(F.coalesce("sentiment", F.lit("inconnu")).alias("sentiment"), F.col("topic_1").alias("topic"), F.col("n").alias("n"))
+    windows = cells.groupBy("window").agg(F.sum("n").alias("rows"), F.collect_list(cell).alias("cells"))
+
+    def sums(field: str) -> Column:
+        """Rows of each value of a field; null is no value."""
+        values = F.array_compact(F.array_distinct(F.transform("cells", lambda c: c[field])))
+        return F.transform(values, lambda v: F.aggregate(F.filter("cells", lambda c: c[field] == v), F.lit(0).cast("bigint"), lambda total, c: total + c.n))
+
+    counted = windows.withColumns({"labels": sums("sentiment"), "topics": sums("topic")})
+    rows = F.col("rows").cast("double")
+    spread = F.aggregate("labels", F.lit(0.0), lambda total, n: total + n * F.log2(n.cast("double")))
+    found = F.filter("cells", lambda c: (c.topic != "autre") & (c.sentiment != "neutre"))
+    enriched = F.aggregate(found, F.lit(0).cast("bigint"), lambda total, c: total + c.n)
+    measures = drift_score(F.col("rows"), F.size("labels"), F.log2(rows) - spread / rows, F.array_max("topics"))
+    return counted.select("window", (enriched / rows).alias("enrichment"), *measures)
+
+
 def sessions(df: DataFrame, by: tuple[str, ...], gap: str, time: str = "ts") -> DataFrame:
     """Runs of activity with no pause of ``gap`` (a minute or more); a session ends ``gap`` after its last row.
 
