@@ -1,14 +1,18 @@
-"""Lexicon sentiment and keyword topics as narrow projections: no explode, no shuffle, no Python worker.
+"""Lexicon sentiment and keyword topics as narrow projections: no explode and no shuffle.
 
-Word and keyword tables are parameters. They are small by contract: ``from_table`` refuses a table above its row bound,
-which is what makes it safe to place the words in the plan as literals.
+Word and keyword tables are parameters. Words are placed in the plan as literals, so ``from_table`` refuses a table above its
+row bound. A short keyword list is tested keyword by keyword inside the JVM; a long one becomes an automaton that finds all its
+keywords in one pass over a text, broadcast once its bytes are checked.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 
+import ahocorasick
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -16,7 +20,10 @@ from opinara.functions.labels import NEGATIVE, NEUTRAL, POSITIVE
 from opinara.functions.numbers import one_of, round_even
 from opinara.functions.text import WORD_BREAK, ascii_fold, or_empty, strip
 
-MAX_WORDS = 20_000
+MAX_WORDS, MAX_KEYWORDS = 20_000, 1_000_000
+#: Keywords up to which each is looked for by itself; the automaton's cost does not depend on their number.
+SCANNED = 64
+MAX_KEYWORD_BYTES = 64 << 20
 
 # Weights of the two strengths.
 STRENGTH_WEIGHT = {"strong": 2, "moderate": 1}
@@ -36,10 +43,10 @@ SECOND_TOPIC_FLOOR = 0.03
 FALLBACK_TOPIC, FALLBACK_SCORE = "autre", 0.3
 
 
-def _bounded_rows(df: DataFrame) -> list:
-    rows = df.limit(MAX_WORDS + 1).collect()
-    if len(rows) > MAX_WORDS:
-        raise ValueError(f"a lexicon holds at most {MAX_WORDS} rows")
+def _bounded_rows(df: DataFrame, most: int = MAX_WORDS) -> list:
+    rows = df.limit(most + 1).collect()
+    if len(rows) > most:
+        raise ValueError(f"a lexicon holds at most {most} rows")
     return rows
 
 
@@ -75,11 +82,11 @@ class TopicTable:
     @staticmethod
     def from_table(df: DataFrame, source_rules=SOURCE_RULES) -> TopicTable:
         """From columns topic, topic_order, keyword."""
-        rows = _bounded_rows(df.select("topic_order", "topic", "keyword").orderBy("topic_order", "topic", "keyword"))
-        topics: dict[str, tuple[str, ...]] = {}
+        rows = _bounded_rows(df.select("topic_order", "topic", "keyword").orderBy("topic_order", "topic", "keyword"), MAX_KEYWORDS)
+        topics: dict[str, list[str]] = {}
         for _, topic, keyword in rows:
-            topics[topic] = (*topics.get(topic, ()), keyword)
-        return TopicTable(topics, tuple(source_rules))
+            topics.setdefault(topic, []).append(keyword)
+        return TopicTable({topic: tuple(listed) for topic, listed in topics.items()}, tuple(source_rules))
 
 
 def _count_of(hits: Column, words: list[str]) -> Column:
@@ -156,20 +163,69 @@ def add_sentiment(df: DataFrame, lexicon: SentimentLexicon, text: Column | None
     )
 
 
+class KeywordHits:
+    """Weighted hits per topic in one pass over title and content: distinct list entries that occur as substrings."""
+
+    def __init__(self, keywords: tuple[tuple[str, ...], ...]) -> None:
+        places: dict[str, list[int]] = {}
+        for topic, listed in enumerate(keywords):
+            for keyword in listed:
+                places.setdefault(keyword, []).append(topic)
+        self.topics = len(keywords)
+        everywhere = places.pop("", [])
+        self.always = np.bincount(np.array(everywhere, int), minlength=self.topics) * (TITLE_WEIGHT + 1)
+        self.automaton = ahocorasick.Automaton()
+        for number, keyword in enumerate(places):
+            self.automaton.add_word(keyword, number)
+        if places:
+            self.automaton.make_automaton()
+        self.of_keyword = list(places.values())
+
+    def found(self, text: str) -> list[int]:
+        """Topic of each entry that occurs."""
+        if not self.of_keyword:
+            return []
+        return [topic for number in {n for _, n in self.automaton.iter(text)} for topic in self.of_keyword[number]]
+
+    def count(self, title: str, content: str) -> np.ndarray:
+        title_hits, content_hits = (np.bincount(np.array(self.found(t), int), minlength=self.topics) for t in (title, content))
+        return (self.always + title_hits * TITLE_WEIGHT + content_hits).astype(np.int32)
+
+
+def _scanned_hits(topics: TopicTable) -> Column:
+    def hits(haystack: str, keywords: Column) -> Column:
+        return F.size(F.filter(keywords, lambda k: F.contains(F.col(haystack), k)))
+
+    lists = [literal_list(keywords) for keywords in topics.keywords.values()]
+    return F.array(*[hits("_title", listed) * TITLE_WEIGHT + hits("_content", listed) for listed in lists])
+
+
+def _automaton_hits(df: DataFrame, topics: TopicTable) -> Column:
+    size = sum(len(k.encode()) for listed in topics.keywords.values() for k in listed)
+    if size > MAX_KEYWORD_BYTES:
+        raise ValueError(f"keywords of more than {MAX_KEYWORD_BYTES} bytes")
+    shared = df.sparkSession.sparkContext.broadcast(tuple(topics.keywords.values()))
+
+    @F.arrow_udf("array<int>")
+    def hits(columns: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
+        keywords = KeywordHits(shared.value)
+        for titles, contents in columns:
+            counts = [keywords.count(t.as_py(), c.as_py()) for t, c in zip(titles, contents)]
+            ends = np.arange(0, keywords.topics * len(counts) + 1, keywords.topics, dtype=np.int32)
+            yield pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate([*counts, np.zeros(0, np.int32)])))
+
+    # Not deterministic by name only, so that the function runs once per row whatever is filtered above it.
+    return hits.asNondeterministic()("_title", "_content")
+
+
 def add_topic_scores(df: DataFrame, topics: TopicTable) -> DataFrame:
     """Adds ``topic_scores``: array of (neg_score, place, topic, score) of the topics that were hit.
 
     Hits are distinct list entries found as substrings of the folded text, the title counting three times.
     """
-
-    def hits(haystack: str, keywords: Column) -> Column:
-        return F.size(F.filter(keywords, lambda k: F.contains(F.col(haystack), k)))
-
-    shares = []
-    for keywords in topics.keywords.values():
-        listed = literal_list(keywords)
-        weighted = hits("_title", listed) * TITLE_WEIGHT + hits("_content", listed)
-        shares.append(F.least(weighted / F.lit(float(len(keywords) or 1)), F.lit(1.0)))
+    few = sum(map(len, topics.keywords.values())) <= SCANNED
+    sizes = F.array(*[F.lit(float(len(listed) or 1)) for listed in topics.keywords.values()])
+    shares = F.zip_with("_hits", sizes, lambda hits, size: F.least(hits / size, F.lit(1.0)))
     names = literal_list(tuple(topics.keywords))
     entries = F.transform(
         "_shares",
@@ -179,9 +235,10 @@ def add_topic_scores(df: DataFrame, topics: TopicTable) -> DataFrame:
     )
     return (
         df.withColumns({"_title": ascii_fold(or_empty(F.col("title"))), "_content": ascii_fold(or_empty(F.col("content")))})
-        .withColumn("_shares", F.array(*shares))
+        .withColumn("_hits", _scanned_hits(topics) if few else _automaton_hits(df, topics))
+        .withColumn("_shares", shares)
         .withColumn("topic_scores", F.filter(entries, lambda s: s["score"] > 0))
-        .drop("_title", "_content", "_shares")
+        .drop("_title", "_content", "_hits", "_shares")
     )
 
 

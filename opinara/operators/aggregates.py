@@ -295,10 +295,10 @@ def dated(df: DataFrame) -> DataFrame:
     return df.withColumn("dt", parsed_time(F.col(column))).filter(F.col("dt").isNotNull())
 
 
-def temporal_trend(df: DataFrame, unique: str = "id") -> DataFrame:
+def temporal_trend(df: DataFrame) -> DataFrame:
     """Mean score from the median time on against before it; no row under twenty dated rows."""
-    rows = dated(df).select(F.unix_micros("dt").alias("micros"), "sentiment_score", unique)
-    median = quantiles(rows, "micros", unique, {"median": 0.5}).scalar()
+    rows = dated(df).select(F.unix_micros("dt").alias("micros"), "sentiment_score")
+    median = quantiles(rows, "micros", {"median": 0.5}).scalar()
     recent = F.col("micros") >= F.col("_median")
     return (
         rows.withColumn("_median", median)
@@ -428,9 +428,9 @@ def mean_by_label(df: DataFrame) -> DataFrame:
     return df.groupBy("sentiment").agg(F.count("*").alias("count"), F.avg("sentiment_score").alias("mean_score"))
 
 
-def latency_percentiles(df: DataFrame, column: str, unique: str, limit_ms: float = 300.0) -> DataFrame:
+def latency_percentiles(df: DataFrame, column: str, limit_ms: float = 300.0) -> DataFrame:
     """One row: mean, exact p50, p90 and p99, maximum and share within the limit."""
-    exact = quantiles(df, column, unique, {"p50": 0.5, "p90": 0.9, "p99": 0.99})
+    exact = quantiles(df, column, {"p50": 0.5, "p90": 0.9, "p99": 0.99})
     return df.agg(
         F.avg(column).alias("mean"), F.max(F.col(column).cast("double")).alias("max"),
         F.avg(F.when(F.col(column) <= limit_ms, 1.0).when(F.col(column).isNotNull(), 0.0)).alias("within_limit"),

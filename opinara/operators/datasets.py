@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from opinara.functions.labels import CLASSES, POSITIVE, normalize_label, strict_label
 from opinara.functions.text import cut, filled, or_empty, strip, usable_id
 from opinara.operators.filters import assert_labelled
-from opinara.operators.skew import global_rank, keep_first, top_per_group
+from opinara.operators.skew import boundary_rows, keep_first, top_per_group, up_to
 
 # Split shares, class numbers.
 TRAIN_SHARE, VALIDATION_SHARE = 0.8, 0.1
@@ -61,43 +61,30 @@ def hash_order(unique: str, seed: int) -> Column:
     return F.md5(F.concat(F.lit(f"{seed}-"), F.col(unique).cast("string")))
 
 
-def ordered_split(df: DataFrame, key: list[Column], unique: str, train: float = TRAIN_SHARE, validation: float = VALIDATION_SHARE) -> DataFrame:
+def ordered_split(df: DataFrame, key: Column, unique: str, train: float = TRAIN_SHARE, validation: float = VALIDATION_SHARE) -> DataFrame:
     """Adds ``split`` by exact position in the order of ``key``: truncated shares, the remainder is the test set.
 
-    Only the key columns are ranked. The last key of train and validation come back as one row, and the wide rows are
+    The last row of train and of validation are selected by rank, without sorting, and come back as one row; the wide rows are
     labelled by comparing with it, without a shuffle of their own.
     """
-    names = [f"_k{i}" for i in range(len(key))]
-    slim = df.select(*[k.alias(n) for k, n in zip(key, names, strict=True)], unique)
-    ranked = global_rank(slim, [*names, unique])
-    rows = ranked.agg(F.count("*")).scalar()
-    place = F.struct(*names, unique)
-    first = F.floor(F.col("_rows") * train)
-    second = first + F.floor(F.col("_rows") * validation)
-    bounds = ranked.withColumn("_rows", rows).agg(
-        F.struct(
-            F.max(F.when(F.col("rank") <= first, place)).alias("train"),
-            F.max(F.when(F.col("rank") <= second, place)).alias("validation"),
-        )
-    )
-    own = F.struct(*[k.alias(n) for k, n in zip(key, names, strict=True)], F.col(unique))
+    first = F.floor(F.col("n") * train)
+    ranks = {"train": first, "validation": first + F.floor(F.col("n") * validation)}
+    bounds = boundary_rows(df, key, unique, ranks, n=F.count("*"))
+    within = lambda name: up_to(key, unique, F.col(f"_bounds.{name}"))
     return (
-        df.withColumn("_bounds", bounds.scalar())
-        .withColumn(
-            "split",
-            F.when(own <= F.col("_bounds.train"), "train").when(own <= F.col("_bounds.validation"), "val").otherwise("test"),
-        )
+        df.withColumn("_bounds", bounds.select(F.struct("train", "validation")).scalar())
+        .withColumn("split", F.when(within("train"), "train").when(within("validation"), "val").otherwise("test"))
         .drop("_bounds")
     )
 
 
 def temporal_split(df: DataFrame, time: str = "collected_at", unique: str = "id", **shares: float) -> DataFrame:
     """Oldest rows train, newest test; rows without a time come last."""
-    return ordered_split(df, [F.col(time).isNull(), F.col(time)], unique, **shares)
+    return ordered_split(df, F.col(time), unique, **shares)
 
 
 def random_split(df: DataFrame, unique: str = "id", seed: int = 42, **shares: float) -> DataFrame:
-    return ordered_split(df, [hash_order(unique, seed)], unique, **shares)
+    return ordered_split(df, hash_order(unique, seed), unique, **shares)
 
 
 def split_leakage(split: DataFrame, keys: tuple[str, ...] = ("fingerprint", "url", "content")) -> DataFrame:
@@ -128,18 +115,17 @@ def rebalance(df: DataFrame, target: float, max_multiplier: float, label: str =
     if not 0 < target < 1 or max_multiplier <= 1:
         return df.withColumn("copy", F.lit(0))
     positive = F.col(label) == POSITIVE
-    sizes = df.agg(F.count("*").alias("n"), F.count_if(positive).alias("p"))
     wanted = F.ceil((F.lit(target) * F.col("n") - F.col("p")) / F.lit(1 - target))
     allowed = F.floor(F.lit(max_multiplier - 1.0) * F.col("p"))
-    plan = sizes.select(F.greatest(F.least(wanted, allowed), F.lit(0)).alias("extra"), "p")
-    ranked = global_rank(df.filter(positive).select(hash_order(unique, seed).alias("_h"), unique), ["_h", unique])
-    remainder = F.when(F.col("_plan.p") > 0, F.col("_plan.extra") % F.col("_plan.p")).otherwise(0)
-    last = ranked.withColumn("_plan", plan.select(F.struct("extra", "p")).scalar()).agg(
-        F.max(F.when(F.col("rank") <= remainder, F.struct("_h", unique)))
-    )
-    own = F.struct(hash_order(unique, seed).alias("_h"), F.col(unique))
+    extra = F.greatest(F.least(wanted, allowed), F.lit(0))
+    plan = df.agg(F.count("*").alias("n"), F.count_if(positive).alias("p")).select(extra.alias("extra"), "p")
+    order = hash_order(unique, seed)
+    # The sizes ride on the positive rows as one value, so that the rank can be an expression over them.
+    sized = df.filter(positive).select(unique).withColumn("_plan", plan.select(F.struct("extra", "p")).scalar())
+    remainder = F.when(F.col("plan.p") > 0, F.col("plan.extra") % F.col("plan.p")).otherwise(0)
+    last = boundary_rows(sized, order, unique, {"last": remainder}, plan=F.max("_plan"))
     even = F.when(F.col("_plan.p") > 0, F.floor(F.col("_plan.extra") / F.col("_plan.p"))).otherwise(0)
-    copies = F.when(positive, even + F.coalesce((own <= F.col("_last")).cast("int"), F.lit(0))).otherwise(0)
+    copies = F.when(positive, even + F.coalesce(up_to(order, unique, F.col("_last")).cast("int"), F.lit(0))).otherwise(0)
     return (
         df.withColumns({"_plan": plan.select(F.struct("extra", "p")).scalar(), "_last": last.scalar()})
         .withColumn("copy", F.explode_outer(F.sequence(F.lit(0), copies.cast("int"))))

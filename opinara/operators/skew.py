@@ -58,16 +58,95 @@ def global_rank(df: DataFrame, order: list[str], rank: str = "rank", partitions:
     )
 
 
-def quantiles(df: DataFrame, value: str, unique: str, points: dict[str, float], by_rank: int | None = None) -> DataFrame:
+PIVOT_STEPS = tuple(1 << i for i in range(11, -1, -1))
+PIVOTS = sum(PIVOT_STEPS)
+#: Points of the sketch at which a part is cut, as one constant, and the sketch's accuracy.
+POINTS = ",".join(str(i / (PIVOTS + 1)) for i in range(1, PIVOTS + 1))
+ACCURACY = 20_000
+
+
+def order_number(value: Column, kind: str) -> Column:
+    """A double that never falls while the value rises; equal for close values, infinite for null (nulls come last)."""
+    if kind == "string":
+        number = F.conv(F.rpad(F.hex(F.substring(F.encode(value, "UTF-8"), 1, 7)), 14, "0"), 16, 10).cast("double")
+    elif kind.startswith("timestamp"):
+        number = F.unix_micros(value.cast("timestamp")).cast("double")
+    elif kind == "date":
+        number = F.unix_date(value).cast("double")
+    else:
+        number = value.cast("double")
+    return F.coalesce(number, F.lit(float("inf")))
+
+
+def select_ranks(rows: DataFrame, asks: DataFrame) -> DataFrame:
+    """The values at given ranks (from 1) without sorting the rows: one row with the array ``found`` of (target, tag, value, left).
+
+    ``rows`` has tag and value. ``asks`` is one row with the array ``asks`` of (target, tag, rank), a handful; a rank counts among
+    the rows with that tag. ``left`` is the place among the rows of equal value. Three scans, each of which takes the one row of
+    the scan before as a subquery: quantiles of a sketch cut each tag into cells; the cells are counted; those that hold a wanted
+    rank are counted by value and sorted. Where the cuts lie changes the cost, not the result. A cell has about 1 in 4096 rows,
+    some millions of ten thousand million, and a value that is everywhere is one row of its cell. Nulls come last.
+    """
+    number = order_number(F.col("value"), rows.schema["value"].dataType.simpleString())
+    points = F.split(F.lit(POINTS), ",").cast("array<double>")
+    steps = F.array(*[F.lit(s) for s in PIVOT_STEPS])
+    rows = rows.select("tag", "value", number.alias("x"))
+    first = lambda found: F.get(found, F.lit(0))
+    before = lambda by, *order: F.coalesce(F.sum("n").over(Window.partitionBy(by).orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+
+    asked = rows.withColumn("asks", asks.scalar()).filter(F.exists("asks", lambda a: a.tag.eqNullSafe(F.col("tag"))))
+    sketched = asked.groupBy("tag").agg(F.percentile_approx("x", points, ACCURACY).alias("pivots"), F.any_value("asks").alias("asks"))
+    cuts = sketched.agg(F.struct(F.any_value("asks").alias("asks"), F.collect_list(F.struct("tag", "pivots")).alias("cuts")).alias("s"))
+
+    cut = rows.withColumn("s", cuts.scalar()).withColumn("pivots", first(F.filter("s.cuts", lambda c: c.tag.eqNullSafe(F.col("tag")))).pivots)
+    cell = F.aggregate(steps, F.lit(0), lambda at, step: at + F.when(F.col("x") >= F.get("pivots", at + step - 1), step).otherwise(0))
+    cut = cut.filter("pivots IS NOT NULL").withColumn("cell", cell)
+    edges = [F.get("pivots", F.col("cell") - 1).alias("low"), F.get("pivots", "cell").alias("high")]
+    counted = cut.select("tag", "cell", *edges, "s.asks").groupBy("tag", "cell", "low", "high").agg(F.count("*").alias("n"), F.any_value("asks").alias("asks"))
+    placed = counted.withColumn("before", before("tag", "cell"))
+    here = F.filter("asks", lambda a: a.tag.eqNullSafe(F.col("tag")) & (a["rank"] > F.col("before")) & (a["rank"] <= F.col("before") + F.col("n")))
+    held = placed.select("tag", "low", "high", "before", F.explode(here).alias("a"))
+    hits = held.agg(F.collect_list(F.struct("a.target", "tag", (F.col("a.rank") - F.col("before")).alias("rank"), "low", "high")).alias("hits"))
+
+    mine = lambda h: h.tag.eqNullSafe(F.col("tag")) & F.coalesce(F.col("x") >= h.low, F.lit(True)) & F.coalesce(F.col("x") < h.high, F.lit(True))
+    kept = rows.withColumn("hits", hits.scalar()).withColumn("h", F.explode(F.filter("hits", mine))).drop("hits")
+    values = kept.groupBy("h.target", "tag", "h.rank", "value").agg(F.count("*").alias("n"))
+    values = values.withColumn("left", F.col("rank") - before("target", F.col("value").asc_nulls_last()))
+    at_rank = values.filter((F.col("left") > 0) & (F.col("left") <= F.col("n")))
+    return at_rank.agg(F.array_sort(F.collect_list(F.struct("target", "tag", "value", "left"))).alias("found"))
+
+
+def boundary_rows(df: DataFrame, key: Column, unique: str, ranks: dict[str, Column], **sizes: Column) -> DataFrame:
+    """One row: for each name the struct (key, unique) of the row at its rank in the order of key, then unique; null if there is
+    no such rank. Ranks are expressions over ``sizes``, aggregates of the frame."""
+    ask = lambda i, rank: F.struct(F.lit(i).alias("target"), F.lit(0).alias("tag"), rank.cast("bigint").alias("rank"))
+    asks = df.agg(*[c.alias(n) for n, c in sizes.items()]).select(F.array(*[ask(i, r) for i, r in enumerate(ranks.values())]).alias("asks"))
+    slim = df.select(key.alias("key"), F.col(unique).alias("unique"))
+    keys = select_ranks(slim.select(F.lit(0).alias("tag"), F.col("key").alias("value")), asks)
+    # Among the rows of equal key the unique column decides.
+    ties = keys.select(F.transform("found", lambda f: F.struct(f.target.alias("target"), f.value.alias("tag"), f.left.alias("rank"))).alias("asks"))
+    rows = select_ranks(slim.select(F.col("key").alias("tag"), F.col("unique").alias("value")), ties)
+    at = lambda i: F.filter("found", lambda f: f.target == i)
+    return rows.select(*[
+        F.get(F.transform(at(i), lambda f: F.struct(f.tag.alias("key"), f.value.alias("unique"))), F.lit(0)).alias(name) for i, name in enumerate(ranks)
+    ])
+
+
+def up_to(key: Column, unique: str, bound: Column) -> Column:
+    """Whether a row stands at or before a boundary row; nulls come last. Null without a boundary."""
+    own = F.struct(key.isNull().alias("last"), key.alias("key"), F.col(unique).alias("unique"))
+    at = F.struct(bound["key"].isNull().alias("last"), bound["key"].alias("key"), bound["unique"].alias("unique"))
+    return F.when(bound.isNotNull(), own <= at)
+
+
+def quantiles(df: DataFrame, value: str, points: dict[str, float]) -> DataFrame:
     """One row with exact interpolated quantiles of a numeric column, named by ``points``; nulls are left out."""
-    ranked = global_rank(df.select(value, unique).filter(F.col(value).isNotNull()), [value, unique], partitions=by_rank)
-    size = ranked.agg(F.count("*").alias("n")).scalar()
-    ranked = ranked.withColumn("_n", size)
-    columns = []
-    for name, point in points.items():
-        position = (F.col("_n") - 1) * F.lit(point) + 1
-        low = F.max(F.when(F.col("rank") == F.floor(position), F.col(value).cast("double")))
-        high = F.max(F.when(F.col("rank") == F.ceil(position), F.col(value).cast("double")))
-        share = F.max(position - F.floor(position))
-        columns.append((low + (high - low) * share).alias(name))
-    return ranked.agg(*columns)
+    rows = df.select(F.lit(0).alias("tag"), F.col(value).alias("value")).filter(F.col("value").isNotNull())
+    size = rows.agg(F.count("*").alias("n"))
+    position = lambda point: (F.col("n") - 1) * F.lit(point) + 1
+    ranks = [edge(position(point)) for point in points.values() for edge in (F.floor, F.ceil)]
+    asks = [F.struct(F.lit(i).alias("target"), F.lit(0).alias("tag"), r.cast("bigint").alias("rank")) for i, r in enumerate(ranks)]
+    found = select_ranks(rows, size.select(F.array(*asks).alias("asks"))).withColumn("n", size.scalar())
+    at = lambda i: F.get(F.filter("found", lambda f: f.target == i), F.lit(0)).value.cast("double")
+    share = lambda point: position(point) - F.floor(position(point))
+    return found.select(*[(at(2 * i) + (at(2 * i + 1) - at(2 * i)) * share(point)).alias(name) for i, (name, point) in enumerate(points.items())])

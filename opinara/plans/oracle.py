@@ -34,10 +34,10 @@ def tokens(x: str) -> str:
     return f"CASE WHEN length({strip(x)}) >= 10 THEN regexp_split_to_array(lower({x}), '{t.WORD_BREAK}') ELSE [] END"
 
 
-def lexicon_cte(source: str, subject: str, columns: str) -> str:
+def lexicon_cte(source: str, subject: str, columns: str, lexicon=LEXICON) -> str:
     """Rows of ``source`` with pos and neg totals over ``subject``."""
     return (
-        f"SELECT {columns}, {totals(LEXICON.positive)} AS pos, {totals(LEXICON.negative)} AS neg "
+        f"SELECT {columns}, {totals(lexicon.positive)} AS pos, {totals(lexicon.negative)} AS neg "
         f"FROM (SELECT *, {tokens(subject)} AS tok FROM {source})"
     )
 
@@ -61,9 +61,9 @@ LADDER_SCORE = f"""round_even(CASE WHEN pos + neg = 0 THEN 0.5::DOUBLE
   WHEN pos > neg THEN {_step('pos', '0.5', '0.8', '0.85')} ELSE 0.5::DOUBLE END, 3)"""
 
 
-def _topic_entries() -> str:
+def _topic_entries(topics=TOPICS) -> str:
     entries = []
-    for place, (topic, keywords) in enumerate(TOPICS.keywords.items()):
+    for place, (topic, keywords) in enumerate(topics.keywords.items()):
         hits = " + ".join(
             f"3 * contains(ft, '{k}')::INT + contains(fc, '{k}')::INT" for k in keywords
         )
@@ -77,14 +77,17 @@ _RULE = "CASE " + " ".join(
     f"WHEN contains(lower(source), '{part}') THEN '{topic}'" for part, topic, _ in SOURCE_RULES
 ) + " END"
 
-TOPICS_OF = f"""
+def topics_of(source: str, topics=TOPICS) -> str:
+    """Rows of ``source`` with ``best``, their one or two best topics."""
+    return f"""
 SELECT *, CASE WHEN len(ranked) = 0 THEN [{{'s': -{FALLBACK_SCORE}::DOUBLE, 'p': 0, 't': '{FALLBACK_TOPIC}'}}] ELSE ranked END AS best
 FROM (SELECT *, list_sort(CASE WHEN rule IS NULL THEN scored
   WHEN len([x for x in scored if x.t = rule]) > 0
   THEN [{{'s': CASE WHEN x.t = rule THEN least(x.s, -1.0::DOUBLE) ELSE x.s END, 'p': x.p, 't': x.t}} for x in scored]
-  ELSE list_concat(scored, [{{'s': -1.0::DOUBLE, 'p': {len(TOPICS.keywords)}, 't': rule}}]) END)[1:2] AS ranked
-FROM (SELECT *, [x for x in {_topic_entries()} if x.s < 0] AS scored, {_RULE} AS rule
-FROM (SELECT *, strip_accents(lower(title)) AS ft, strip_accents(lower(content)) AS fc FROM @source@)))"""
+  ELSE list_concat(scored, [{{'s': -1.0::DOUBLE, 'p': {len(topics.keywords)}, 't': rule}}]) END)[1:2] AS ranked
+FROM (SELECT *, [x for x in {_topic_entries(topics)} if x.s < 0] AS scored, {_RULE} AS rule
+FROM (SELECT *, strip_accents(lower(title)) AS ft, strip_accents(lower(content)) AS fc FROM {source})))"""
+
 
 _SOURCE_NAME = "CASE source " + " ".join(f"WHEN '{k}' THEN '{v}'" for k, v in corpus.SOURCE_NAMES.items()) + " ELSE source END"
 
@@ -146,9 +149,9 @@ CTES = {
     "clean": f"SELECT id, source, {sanitized('title')} AS title, {squeeze(unescaped(sanitized('content')))} AS content FROM articles",
     "clean_raw": f"""SELECT * FROM clean WHERE length({strip('title')}) > 3 AND length({strip('content')}) > 10
   QUALIFY row_number() OVER (PARTITION BY sha256(lower(title || '|' || content)) ORDER BY id) = 1""",
-    "clean_topic": TOPICS_OF.replace("@source@", "clean_raw"),
+    "clean_topic": topics_of("clean_raw"),
     "clean_pass": lexicon_cte("clean_raw", _BOTH, "id, source"),
-    "topic_of": TOPICS_OF.replace("@source@", "raw"),
+    "topic_of": topics_of("raw"),
     "topic_links": """SELECT id * 2 + i - 1 AS doc_topic_id, id AS raw_data_id, date, best[i].t AS topic, -best[i].s AS confidence_score,
   CASE WHEN len(ranked) = 0 THEN 'keyword_default' WHEN i = 1 AND best[1].t = rule AND best[1].s = -1 THEN 'source_rule' ELSE 'keyword' END AS tagger
   FROM (SELECT *, unnest(range(1, len(best) + 1)) AS i FROM topic_of) WHERE i = 1 OR -best[i].s >= 0.03""",

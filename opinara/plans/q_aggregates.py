@@ -300,7 +300,7 @@ def mean_by_label(spark, sf_dir):
   round(quantile_cont(value, 0.99), 10) AS p99, max(value) AS max, round(avg(CASE WHEN value <= 300 THEN 1.0::DOUBLE ELSE 0 END), 10) AS within_limit FROM events""",
 )
 def latency_percentiles(spark, sf_dir):
-    report = agg.latency_percentiles(corpus.events(spark, sf_dir), "value", "event_id")
+    report = agg.latency_percentiles(corpus.events(spark, sf_dir), "value")
     return _rounded(report, "mean", "p50", "p90", "p99", "within_limit")
 
 

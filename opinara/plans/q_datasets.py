@@ -361,7 +361,7 @@ _CHECKS = """WITH d AS (SELECT predicted_sentiment AS s, count(*)::DOUBLE / (SEL
 
 
 def _checks(spark, sf_dir):
-    latency = latency_percentiles(corpus.events(spark, sf_dir), "value", "event_id")
+    latency = latency_percentiles(corpus.events(spark, sf_dir), "value")
     return evaluation.inference_checks(corpus.latest_run(spark, sf_dir), latency)
 
 

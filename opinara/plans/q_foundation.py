@@ -9,9 +9,9 @@ from opinara.functions import lexicon, text
 from opinara.operators import layers
 from opinara.operators.skew import keep_first
 from opinara.plans import corpus
-from opinara.plans.oracle import LADDER_LABEL, LADDER_SCORE
+from opinara.plans.oracle import LADDER_LABEL, LADDER_SCORE, lexicon_cte, topics_of
 from opinara.plans.registry import query
-from opinara.plans.vocabulary import LEXICON, TOPICS
+from opinara.plans.vocabulary import LARGE_LEXICON, LARGE_TOPICS, LEXICON, TOPICS
 
 
 @query(
@@ -50,3 +50,18 @@ def topic_assign(spark, sf_dir):
 @query("lexicon_sentiment", f"SELECT id, {LADDER_LABEL} AS sentiment, {LADDER_SCORE} AS sentiment_score FROM pass_all")
 def lexicon_sentiment(spark, sf_dir):
     return lexicon.add_sentiment(corpus.raw(spark, sf_dir), LEXICON).select("id", "sentiment", "sentiment_score")
+
+
+@query("topic_assign_large", f"SELECT id, best[1].t AS topic_1, -best[1].s AS topic_1_score FROM ({topics_of('raw', LARGE_TOPICS)})")
+def topic_assign_large(spark, sf_dir):
+    """Topics from 806 keywords, found in one pass over each text."""
+    return lexicon.add_topic_columns(corpus.raw(spark, sf_dir), LARGE_TOPICS).select("id", "topic_1", "topic_1_score")
+
+
+@query(
+    "lexicon_sentiment_large",
+    f"""SELECT id, {LADDER_LABEL} AS sentiment, {LADDER_SCORE} AS sentiment_score FROM ({lexicon_cte('raw', "(title || ' ' || content)", 'id', LARGE_LEXICON)})""",
+)
+def lexicon_sentiment_large(spark, sf_dir):
+    """Sentiment from 800 words."""
+    return lexicon.add_sentiment(corpus.raw(spark, sf_dir), LARGE_LEXICON).select("id", "sentiment", "sentiment_score")

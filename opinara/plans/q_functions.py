@@ -10,7 +10,7 @@ from opinara.operators.aggregates import dated
 from opinara.plans import corpus
 from opinara.plans.oracle import _topic_entries, lexicon_cte, readable, sanitized, squeeze, strip, unescaped
 from opinara.plans.registry import query
-from opinara.plans.vocabulary import LEXICON, TOPICS
+from opinara.plans.vocabulary import LARGE_TOPICS, LEXICON, TOPICS
 from opinara.storage import spread
 
 
@@ -302,11 +302,24 @@ def french_label(spark, sf_dir):
   FROM (SELECT id, strip_accents(lower(title)) AS ft, strip_accents(lower(content)) AS fc FROM raw))""",
 )
 def topic_scores(spark, sf_dir):
-    scored = lexicon.add_topic_scores(corpus.raw(spark, sf_dir), TOPICS)
+    return _topic_rows(spark, sf_dir, TOPICS)
+
+
+def _topic_rows(spark, sf_dir, topics):
+    scored = lexicon.add_topic_scores(corpus.raw(spark, sf_dir), topics)
     entries = scored.select("id", F.explode_outer("topic_scores").alias("t")).filter(F.col("t").isNotNull())
     return entries.select("id", "t.topic", "t.score")
 
 
+@query(
+    "topic_scores_large",
+    f"""SELECT id, x.t AS topic, -x.s AS score FROM (SELECT id, unnest([x for x in {_topic_entries(LARGE_TOPICS)} if x.s < 0]) AS x
+  FROM (SELECT id, strip_accents(lower(title)) AS ft, strip_accents(lower(content)) AS fc FROM raw))""",
+)
+def topic_scores_large(spark, sf_dir):
+    return _topic_rows(spark, sf_dir, LARGE_TOPICS)
+
+
 @query(
     "lexicon_totals",
     f"SELECT id, pos AS pos_total, neg AS neg_total FROM ({lexicon_cte('raw', 'content', 'id')})",

@@ -320,10 +320,28 @@ def stream_drift(spark, sf_dir):
     return drift.withColumn("day", F.date_format("window_start", "yyyy-MM-dd")).drop("window_start")
 
 
-@query("stream_late_rows")
+@query(
+    "stream_late_rows",
+    """SELECT event_id, file AS batch_id FROM (SELECT *, event_id % 3 AS file FROM events) e WHERE ts < (SELECT max(ts) - INTERVAL 1 HOUR FROM events b WHERE b.event_id % 3 < e.file)""",
+)
 def stream_late_rows(spark, sf_dir):
-    """Events landed in three files by user, so that each file reaches back before the newest row seen."""
-    written = new_path(spark, "event-files")
-    corpus.events(spark, sf_dir).select("ts", "user_id").repartition(3, "user_id").write.parquet(written)
-    stream = jobs.folder_stream(spark, written, spark.read.parquet(written).schema, "*.parquet", per_batch=1)
-    return jobs.late_rows(stream).select("batch_id", "rows", "late")
+    """Events landed in three files that each span the whole time: what comes behind the watermark is kept aside, row by row."""
+    path, events = new_path(spark, "event-files"), corpus.events(spark, sf_dir).select("event_id", "ts", "user_id")
+    for i in range(3):
+        events.filter(F.col("event_id") % 3 == i).coalesce(1).write.mode("append").parquet(path)
+    _, late = jobs.late_rows(jobs.folder_stream(spark, path, events.schema, "*.parquet", per_batch=1))
+    return late.select("event_id", "batch_id")
+
+
+@query(
+    "stream_late_counts",
+    """WITH f AS (SELECT *, event_id % 3 AS file FROM events) SELECT file AS batch_id, count(*) AS rows,
+  count(*) FILTER (WHERE ts < (SELECT max(ts) - INTERVAL 1 HOUR FROM f b WHERE b.file < f.file)) AS late FROM f GROUP BY file""",
+)
+def stream_late_counts(spark, sf_dir):
+    """Rows and late rows of each batch of the same files."""
+    path, events = new_path(spark, "event-files"), corpus.events(spark, sf_dir).select("event_id", "ts", "user_id")
+    for i in range(3):
+        events.filter(F.col("event_id") % 3 == i).coalesce(1).write.mode("append").parquet(path)
+    batches, _ = jobs.late_rows(jobs.folder_stream(spark, path, events.schema, "*.parquet", per_batch=1))
+    return batches.select("batch_id", "rows", "late")

@@ -50,3 +50,11 @@ EVENT_PATTERNS = {"cup": ("hathe", "tour"), "games": ("iere", "thatth")}
 
 LEXICON = SentimentLexicon.from_entries(SENTIMENT_ENTRIES)
 TOPICS = TopicTable(TOPIC_KEYWORDS)
+
+# Large tables for the same text, made by rule from the syllables it is built of: 806 keywords in 19 topics, 800 words.
+SYLLABLES = "th er on an re he in ed nd ha at en es or nt ea ti to it st io le is ou ar as de rt ve ch ung eau".split()
+PAIRS = [a + b for a in SYLLABLES for b in SYLLABLES if a != b]
+LARGE_TOPICS = TopicTable({f"topic{t:02d}": tuple(PAIRS[t:806:19]) for t in range(19)})
+LARGE_LEXICON = SentimentLexicon.from_entries(
+    (word, ("pos", "neg")[i % 2], ("strong", "moderate")[i // 2 % 2]) for i, word in enumerate([*SYLLABLES, *PAIRS][:800])
+)

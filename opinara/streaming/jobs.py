@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter
-from pyspark.sql.types import StructType
+from pyspark.sql.types import LongType, StructField, StructType
 
 from opinara.functions.text import clean_articles, fingerprint, is_valid
 from opinara.operators.aggregates import drift_score
@@ -130,24 +130,26 @@ def drift_stream(stream: DataFrame, every: str = "1 day", time: str = "ts") -> D
     return spark.read.parquet(target).drop("batch")
 
 
-def late_rows(stream: DataFrame, time: str = "ts", lateness: str = LATENESS) -> DataFrame:
-    """One row per batch: its rows, newest time, and rows older than the watermark that held when it arrived."""
+def late_rows(stream: DataFrame, time: str = "ts", lateness: str = LATENESS) -> tuple[DataFrame, DataFrame]:
+    """(batches, late): per batch its rows, newest time and number of late rows; and the late rows themselves, with their batch.
+
+    A row is late if it is older than the watermark that held when its batch began, so a windowed rule no longer counts it.
+    Replaying a batch writes the same files again.
+    """
     spark = stream.sparkSession
-    target = new_path(spark, "late")
-    schema = "batch_id bigint, rows bigint, newest timestamp, late bigint"
-    spark.createDataFrame([], schema).coalesce(1).write.parquet(target)
+    target, side = new_path(spark, "batches"), new_path(spark, "late")
+    schema, late_schema = "batch_id bigint, rows bigint, newest timestamp, late bigint", StructType([*stream.schema.fields, StructField("batch_id", LongType())])
+    for path, kind in ((target, schema), (side, late_schema)):
+        spark.createDataFrame([], kind).coalesce(1).write.partitionBy("batch_id").parquet(path)
 
-    def count(batch: DataFrame, batch_id: int) -> None:
+    def split(batch: DataFrame, batch_id: int) -> None:
         earlier = spark.read.schema(schema).parquet(target).filter(F.col("batch_id") < batch_id)
         mark = earlier.agg(F.max("newest") - F.expr(f"INTERVAL {lateness}")).scalar()
-        counted = batch.select(time).withColumn("_mark", mark).agg(
-            F.lit(batch_id).cast("bigint").alias("batch_id"), F.count("*").alias("rows"), F.max(time).alias("newest"),
-            F.count_if(F.col(time) < F.col("_mark")).alias("late"),
-        )
-        counted.coalesce(1).write.mode("append").parquet(target)
-
-    run_batches(stream.select(time), new_path(stream.sparkSession, "late-checkpoint"), count)
-    table = spark.read.schema(schema).parquet(target)
-    return table.groupBy("batch_id").agg(F.max("rows").alias("rows"), F.max("newest").alias("newest"), F.max("late").alias("late"))
-
-
+        held = batch.withColumn("_mark", mark)
+        behind = held.filter(F.col(time) < F.col("_mark")).drop("_mark")
+        behind.write.mode("overwrite").parquet(f"{side}/batch_id={batch_id}")
+        counted = held.agg(F.count("*").alias("rows"), F.max(time).alias("newest"), F.count_if(F.col(time) < F.col("_mark")).alias("late"))
+        counted.coalesce(1).write.mode("overwrite").parquet(f"{target}/batch_id={batch_id}")
+
+    run_batches(stream, new_path(spark, "late-checkpoint"), split)
+    return spark.read.schema(schema).parquet(target), spark.read.schema(late_schema).parquet(side)
