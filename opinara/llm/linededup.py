@@ -19,7 +19,8 @@ these. Groups of at most ``PAIRED`` rows are compared pair by pair. In larger on
 wildcards, each in the place of a character or of none. Lines within two edits have a pattern in common, and all lines of a
 pattern are within two edits of each other, so a pattern is a star around its earliest line.
 
-Everything is DataFrame functions. Lines travel as two 64-bit hashes; texts are shuffled once, when the lines are taken out.
+Everything is DataFrame functions. Lines travel as two 64-bit hashes; texts are shuffled at most once, when the lines are taken
+out of more documents than can be broadcast.
 
 Cases: a null text stays null and has no lines; an empty one has one blank line. Rows with equal key and text count as one
 document and lose the same lines; rows with a null key come last in the order. Lines of equal text are one class, however
@@ -37,7 +38,7 @@ from opinara.storage import stage
 FUZZY_FROM = 20
 BLOCKS = 32
 PAIR_BLOCKS, PAIRED = 8, 16
-BROADCAST_DOCS = 500_000
+BROADCAST_DOCS, BROADCAST_LINES = 500_000, 4_000_000
 
 
 def _part(line: Column, begin: Column, size: Column) -> Column:
@@ -257,7 +258,10 @@ def dedup_lines(
 ) -> DataFrame:
     """``docs`` with the lines taken out of ``text`` (bound: ``edits``), and ``n_lines`` (before) and ``n_dropped``."""
     gone = dropped_lines(docs, key, text, fuzzy_from, edits)
-    per_doc = gone.groupBy("doc", "h").agg(F.collect_set("pos").alias("gone"))
+    per_doc = stage(gone.groupBy("doc", "h").agg(F.collect_set("pos").alias("gone")), "gone_lines")
+    # While the places are few (they are counted) they go to the documents, and no text is shuffled.
+    size = per_doc.agg(F.count("*").alias("docs"), F.coalesce(F.sum(F.size("gone")), F.lit(0)).alias("lines")).first()
+    per_doc = F.broadcast(per_doc) if size.docs <= BROADCAST_DOCS and size.lines <= BROADCAST_LINES else per_doc
     per_doc = per_doc.select(F.col("doc").alias("_doc"), F.col("h").alias("_h"), F.col("gone").alias("_gone"))
     own = docs[text]
     joined = docs.join(per_doc, docs[key].eqNullSafe(F.col("_doc")) & (F.xxhash64(own) == F.col("_h")), "left")

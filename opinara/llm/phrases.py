@@ -36,6 +36,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from opinara.llm.flat import HashTable, Slice, WordHasher, mix, slices
+from opinara.operators.skew import top_per_group
 from opinara.storage import stage
 
 # What ends a piece, what parts words, the share of a longer phrase that drops a shorter one.
@@ -411,6 +412,7 @@ def collocations(docs: DataFrame, text: str = "text", group: str = "lang", least
     early = F.col("s1") <= F.col("s2")
     three = three.select("group", "phrase", "a", F.when(early, F.col("f1")).otherwise(F.col("f12")).alias("l"), F.when(early, F.col("f23")).otherwise(F.col("f3")).alias("r"))
     scored = two.unionByName(three).withColumn("score", _score("l", "r"))
-    rank = F.row_number().over(Window.partitionBy("group").orderBy(F.desc("score"), F.desc("a"), "phrase"))
-    best = scored.withColumn("rank", rank).filter(F.col("rank") <= top)
+    order = [F.desc("score"), F.desc("a"), F.col("phrase")]
+    best = top_per_group(scored, ["group"], order, top, "phrase")
+    best = best.withColumn("rank", F.row_number().over(Window.partitionBy("group").orderBy(*order)))
     return best.join(total, "group").select(F.col("group").alias(group), F.col("rank").cast("long").alias("rank"), "phrase", "a", "l", "r", "n", "score")
