@@ -13,6 +13,7 @@ from opinara.plans.q_joins import SPLIT_DAY, _FLAGS, _rounded, _tables
 from opinara.plans.registry import query
 from opinara.plans.vocabulary import LEXICON, TOPICS
 from opinara.sources import sinks
+from opinara.sources.merged import MergedTable
 from opinara.storage import new_path
 
 
@@ -66,8 +67,8 @@ def write_gold(spark, sf_dir):
 
 def _merged_twice(spark, sf_dir):
     """First merge of the early dates, then of the layer with every date."""
-    landed = corpus.landed(spark, sf_dir).select("id", "fingerprint", "title", "url", "source", "collected_at", "date")
-    merged = sinks.MergedTable(spark, new_path(spark, "merged"))
+    landed = corpus.landed(spark, sf_dir)
+    merged = MergedTable(spark, new_path(spark, "merged"))
     merged.merge(landed.filter(F.col("date") < SPLIT_DAY))
     merged.merge(landed)
     return merged
@@ -86,11 +87,11 @@ def write_merged(spark, sf_dir):
 
 @query(
     "incremental_merge",
-    "SELECT fingerprint AS id, id AS raw_id FROM landed QUALIFY row_number() OVER (PARTITION BY fingerprint ORDER BY collected_at DESC, id DESC) = 1",
+    "SELECT fingerprint AS id, id AS raw_id, length(content) AS chars, title FROM landed QUALIFY row_number() OVER (PARTITION BY fingerprint ORDER BY collected_at DESC, id DESC) = 1",
 )
 def incremental_merge(spark, sf_dir):
     """The merged table after two merges equals one dedup over all dates."""
-    return _merged_twice(spark, sf_dir).read().select("id", "raw_id")
+    return _merged_twice(spark, sf_dir).read().select("id", "raw_id", F.length("content").cast("long").alias("chars"), "title")
 
 
 @query("write_predictions", "SELECT strftime(date, '%Y-%m-%d') AS date, run, count(*) AS rows FROM predictions GROUP BY predictions.date, run")

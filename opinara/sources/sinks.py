@@ -1,12 +1,10 @@
-"""Writers of landing files, layers, the merged table, predictions and manifests."""
+"""Writers of landing files, layers, predictions and manifests."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from opinara.operators.layers import harmonize_id, merge_dedup, union_layers
-
 # Columns of the context export and the synthetic sources that get a partition of their own.
 CONTEXT_COLUMNS = (
     "title", "content", "predicted_sentiment", "confidence", "p_pos", "p_neu", "p_neg", "topic_1", "source", "published_at",
@@ -57,66 +55,6 @@ def write_context(predictions: DataFrame, base: str) -> None:
     predictions.select(*kept).write.mode("overwrite").json(base)
 
 
-class MergedTable:
-    """All-dates table kept as numbered versions; readers follow the newest complete metadata row.
-
-    A merge writes a new version folder and only then its metadata, so a failed job leaves the previous version current.
-    """
-
-    METADATA = "version bigint, dates_included array<date>, total_rows bigint, rows_before bigint, rows_added bigint, null_ids bigint, last_merge timestamp"
-
-    def __init__(self, spark: SparkSession, base: str) -> None:
-        self.spark, self.base = spark, base
-        spark.createDataFrame([], self.METADATA).coalesce(1).write.mode("append").parquet(f"{base}/metadata")
-
-    def metadata(self) -> DataFrame:
-        """One row per published version; none before the first merge."""
-        return self.spark.read.schema(self.METADATA).parquet(f"{self.base}/metadata")
-
-    def version(self) -> int:
-        return self.metadata().agg(F.coalesce(F.max("version"), F.lit(0))).first()[0]
-
-    def read(self, version: int | None = None) -> DataFrame | None:
-        current = self.version() if version is None else version
-        return self.spark.read.parquet(f"{self.base}/version={current}") if current else None
-
-    def pending_dates(self, gold: DataFrame) -> DataFrame:
-        """Dates of the layer that no version holds yet."""
-        merged = self.metadata().select(F.explode("dates_included").alias("date"))
-        return gold.select("date").distinct().join(merged, "date", "left_anti")
-
-    def merge(self, gold: DataFrame, force_full: bool = False) -> DataFrame:
-        """Adds the new dates (or all of them) and publishes the next version; returns its metadata row.
-
-        Only rows whose id arrives again are compared; the rest of the previous version passes through unshuffled when
-        the arriving ids are few.
-        """
-        before = None if force_full else self.read()
-        fresh = gold if force_full else gold.join(self.pending_dates(gold), "date", "left_semi")
-        rows = harmonize_id(fresh.withColumn("raw_id", F.col("id")))
-        if before is None:
-            merged = merge_dedup(rows)
-        else:
-            ids = rows.select("id").filter(F.col("id").isNotNull()).distinct()
-            contested = union_layers(before.join(ids, "id", "left_semi"), rows)
-            merged = union_layers(before.join(ids, "id", "left_anti"), merge_dedup(contested))
-        version = self.version() + 1
-        target = f"{self.base}/version={version}"
-        merged.write.mode("overwrite").parquet(target)
-        held = self.metadata().agg(F.max_by("total_rows", "version")).first()[0] or 0
-        record = self.spark.read.parquet(target).agg(
-            F.lit(version).cast("bigint").alias("version"),
-            F.array_sort(F.collect_set("date")).alias("dates_included"),
-            F.count("*").alias("total_rows"),
-            F.lit(held).cast("bigint").alias("rows_before"),
-            (F.count("*") - F.lit(held)).alias("rows_added"),
-            F.count_if(F.col("id").isNull()).alias("null_ids"),
-            F.current_timestamp().alias("last_merge"),
-        )
-        record.coalesce(1).write.mode("append").parquet(f"{self.base}/metadata")
-        return self.metadata().filter(F.col("version") == version)
-
-
 def table_counts(tables: dict[str, DataFrame], base: str | None = None) -> DataFrame:
     """Snapshot of every table as CSV when a folder is given, and its rows."""
     counts = []

@@ -5,6 +5,8 @@ from __future__ import annotations
 import hashlib
 import unicodedata
 
+import random
+
 import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
@@ -216,3 +218,18 @@ def test_topics(spark):
     assert tagged(spark, "x", "rien", "open-meteo paris", topics) == [("meteo", 1.0, "source_rule")]
     assert tagged(spark, "TAUX", "x", "OpenWeather", topics) == [("a", 1.0, "keyword"), ("meteo", 1.0, "keyword")]
     assert tagged(spark, "x", "vent et taux", "openweather", topics) == [("meteo", 1.0, "source_rule"), ("a", 0.5, "keyword")]
+
+
+def test_automaton_finds_what_single_scans_find(spark, monkeypatch):
+    rng = random.Random(4)
+    parts = ["an", "ana", "nan", "banana", "b", "été", "ete", "", "xyz", "an"]
+    topics = lexicon.TopicTable({"one": tuple(parts), "two": ("na", "q", "q"), "none": ()})
+    texts = ["".join(rng.choice("abnéx yz") for _ in range(rng.randint(0, 40))) for _ in range(60)]
+    rows = [(i, t, rng.choice([*texts, None])) for i, t in enumerate([*texts, None, "banana" * 4000])]
+    df = spark.createDataFrame(rows, "id bigint, title string, content string")
+    few = lexicon.add_topic_scores(df, topics).orderBy("id").collect()
+    monkeypatch.setattr(lexicon, "SCANNED", 0)
+    assert lexicon.add_topic_scores(df, topics).orderBy("id").collect() == few
+    monkeypatch.setattr(lexicon, "MAX_KEYWORD_BYTES", 5)
+    with pytest.raises(ValueError):
+        lexicon.add_topic_scores(df, topics)

@@ -4,13 +4,14 @@ from __future__ import annotations
 
 import datetime as dt
 import random
+from collections import Counter
 
 import pytest
 from pyspark.sql import functions as F
 
 from opinara.functions.text import CONTENT_WIDTH, TITLE_WIDTH
 from opinara.operators import aggregates, datasets, evaluation, filters, layers, linkage, scoring, skew, timeline, tracking
-from opinara.sources import files, pages, payloads, sinks
+from opinara.sources import files, merged, pages, payloads, sinks
 from opinara.sources import layers as layer_source
 from opinara.plans.vocabulary import LEXICON
 from opinara.storage import new_path, work_dir
@@ -55,6 +56,23 @@ def test_quantiles_are_exact(skewed):
     assert list(got) == pytest.approx(list(np.quantile([r[3] for r in rows], [0, 0.5, 0.9, 0.99, 1])))
 
 
+@pytest.mark.parametrize("kind", ["double", "string", "date"])
+def test_rows_are_selected_by_rank(spark, kind):
+    """Ties, nulls (last), far-off values and a value that is everywhere."""
+    rng = random.Random(kind)
+    make = {"double": lambda: rng.choice([7.5, 7.5, rng.uniform(-1e9, 1e9), rng.random(), None]),
+            "string": lambda: rng.choice(["same start, é", "same start, à", f"x{rng.random()}", "", None]),
+            "date": lambda: rng.choice([day(1), day(1), day(rng.randint(1, 28)), None])}[kind]
+    rows = [(i, make()) for i in range(2000)]
+    rng.shuffle(rows)
+    order = sorted(rows, key=lambda r: (r[1] is None, r[1].encode() if isinstance(r[1], str) else r[1] if r[1] is not None else 0, r[0]))
+    df = spark.createDataFrame(rows, f"id bigint, k {kind}").repartition(5)
+    ranks = [1, 2, 777, 1000, 1999, 2000, 0, 2001]
+    got = skew.boundary_rows(df, F.col("k"), "id", {f"r{r}": F.lit(r) for r in ranks}, n=F.count("*")).first()
+    assert [got[f"r{r}"] and tuple(got[f"r{r}"]) for r in ranks] == [(order[r - 1][1], order[r - 1][0]) if 0 < r <= 2000 else None for r in ranks]
+    assert skew.boundary_rows(df.limit(0), F.col("k"), "id", {"a": F.lit(1)}, n=F.count("*")).first().a is None
+
+
 def test_top_per_group_and_keep_first(skewed):
     rows, df = skewed
     best = {}
@@ -116,7 +134,7 @@ def gold_rows(spark, rows):
 def test_merged_table_is_incremental_and_idempotent(spark):
     first = [(1, "a", "u", "t", at(1), day(1)), (2, "b", "u", "t", at(1), day(1)), (3, "", "", " ", at(1), day(1))]
     second = [(4, "a", "u", "t", at(1, d=2), day(2)), (5, "c", "u", "t", at(1, d=2), day(2))]
-    table = sinks.MergedTable(spark, new_path(spark, "t-merged"))
+    table = merged.MergedTable(spark, new_path(spark, "t-merged"))
     assert table.version() == 0 and table.read() is None
     one = table.merge(gold_rows(spark, first)).first()
     assert (one.version, one.total_rows, one.rows_added) == (1, 3, 3)
@@ -131,6 +149,48 @@ def test_merged_table_is_incremental_and_idempotent(spark):
     assert (full.version, full.total_rows) == (4, 3)
 
 
+def test_merge_leaves_buckets_closed(spark):
+    """New ids become further folders; an id that comes again opens its bucket only, and whole rows stay whole."""
+    rows = [(i, f"f{i}", "t", "u", f"{i} " * 50, at(1), day(1)) for i in range(200)]
+    schema = "id bigint, fingerprint string, title string, url string, content string, collected_at timestamp, date date"
+    table = merged.MergedTable(spark, new_path(spark, "t-buckets"), buckets=16)
+    table.merge(spark.createDataFrame(rows, schema))
+    first = {(r.bucket, r.folder) for r in table.manifest()}
+    more = rows + [(900 + i, f"g{i}", "t", "u", "new", at(2), day(2)) for i in range(30)]
+    assert table.merge(spark.createDataFrame(more, schema)).first().buckets_opened == 0
+    second = {(r.bucket, r.folder) for r in table.manifest()}
+    assert first < second and table.read().count() == 230
+    again = more + [(990, "f7", "t", "u", "newer", at(3), day(3))]
+    assert table.merge(spark.createDataFrame(again, schema)).first().buckets_opened == 1
+    third = {(r.bucket, r.folder) for r in table.manifest()}
+    assert len({b for b, _ in second - third}) == 1
+    got = {r.id: (r.raw_id, r.content) for r in table.read().collect()}
+    assert len(got) == 230 and got["f7"] == (990, "newer") and got["f8"] == (8, "8 " * 50)
+    for i in range(merged.MAX_FOLDERS):
+        more.append((2000 + i, "same bucket", "t", "u", "x", at(4 + i), day(4 + i)))
+        table.merge(spark.createDataFrame(more, schema))
+    assert max(Counter(r.bucket for r in table.manifest()).values()) <= merged.MAX_FOLDERS + 1
+    assert table.read().filter("id = 'same bucket'").collect()[0].raw_id == 2007
+
+
+def test_second_merge_from_one_version_fails(spark):
+    rows = [(1, "a", at(1), day(1)), (2, "b", at(1), day(1))]
+    schema = "id bigint, fingerprint string, collected_at timestamp, date date"
+    path = new_path(spark, "t-two")
+    one, two = merged.MergedTable(spark, path), merged.MergedTable(spark, path)
+    one.merge(spark.createDataFrame(rows, schema))
+    late = spark.createDataFrame([*rows, (3, "c", at(2), day(2))], schema)
+    other = spark.createDataFrame([*rows, (4, "d", at(3), day(3))], schema)
+    publish = one._publish
+    one._publish = lambda version, commit: (two.merge(other), publish(version, commit))
+    with pytest.raises(merged.ConcurrentMerge):
+        one.merge(late)
+    assert two.version() == 2 and collected(two.read(), "id") == [("a",), ("b",), ("d",)]
+    one._publish = publish
+    one.merge(late)
+    assert collected(one.read(), "id") == [("a",), ("b",), ("c",), ("d",)]
+
+
 def test_union_is_by_name(spark):
     a = spark.createDataFrame([(1, "x")], "id int, s string")
     b = spark.createDataFrame([("y", 2)], "s string, id int")
@@ -533,7 +593,7 @@ def test_late_rows(spark):
         moments(spark, [(at(h), "a") for h in hours]).coalesce(1).write.mode("append").parquet(path)
     stream = jobs.folder_stream(spark, path, moments(spark, []).schema, "*.parquet", per_batch=1)
     batches, late = jobs.late_rows(stream)
-    assert collected(batches.select("batch_id", "rows", "late"), "batch_id") == [(0, 2, 0), (1, 1, 0), (2, 3, 1)]
+    assert collected(batches, "batch_id", "rows", "late") == [(0, 2, 0), (1, 1, 0), (2, 3, 1)]
     assert [(r.batch_id, r.ts) for r in late.collect()] == [(2, at(1))]
 
 
