@@ -45,7 +45,7 @@ def write_landing(spark, sf_dir):
 @query("write_silver", _DATES.format("silver"))
 def write_silver(spark, sf_dir):
     path = new_path(spark, "silver")
-    sinks.write_silver(corpus.silver(spark, sf_dir).drop("content"), path)
+    sinks.write_silver(corpus.silver(spark, sf_dir), path)
     return _per_date(spark.read.parquet(f"{path}/parquet"))
 
 
@@ -56,7 +56,7 @@ def write_silver(spark, sf_dir):
 )
 def write_gold(spark, sf_dir):
     path = new_path(spark, "gold")
-    sinks.write_gold(corpus.gold(spark, sf_dir).drop("content"), path)
+    sinks.write_gold(corpus.gold(spark, sf_dir), path)
     every = _per_date(spark.read.parquet(f"{path}/all")).select(F.lit("all").alias("part"), "date", "rows")
     synthetic = (
         spark.read.parquet(f"{path}/synthetic").groupBy(F.col("source").alias("part"), F.date_format("date", "yyyy-MM-dd").alias("date"))

@@ -19,7 +19,7 @@ def _day(column="date"):
 
 def _gold_folder(spark, sf_dir) -> str:
     path = new_path(spark, "gold-by-date")
-    sinks.write_gold(corpus.gold(spark, sf_dir).drop("content"), path)
+    sinks.write_gold(corpus.gold(spark, sf_dir), path)
     return f"{path}/all"
 
 

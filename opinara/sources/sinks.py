@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from opinara.sources.layers import keep_schema
+
 # Columns of the context export and the synthetic sources that get a partition of their own.
 CONTEXT_COLUMNS = (
     "title", "content", "predicted_sentiment", "confidence", "p_pos", "p_neu", "p_neg", "topic_1", "source", "published_at",
@@ -30,6 +32,7 @@ def write_silver(silver: DataFrame, base: str) -> None:
     rows = by_date(silver)
     dynamic = {"partitionOverwriteMode": "dynamic"}
     rows.write.mode("overwrite").options(**dynamic).partitionBy("date").parquet(f"{base}/parquet")
+    keep_schema(silver.sparkSession, f"{base}/parquet", silver.schema)
     rows.write.mode("overwrite").options(**dynamic, header=True, escape='"').partitionBy("date").csv(f"{base}/csv")
 
 
@@ -37,6 +40,7 @@ def write_gold(gold: DataFrame, base: str) -> None:
     """All rows by date, and the synthetic sources once more by date and source."""
     dynamic = {"partitionOverwriteMode": "dynamic"}
     by_date(gold).write.mode("overwrite").options(**dynamic).partitionBy("date").parquet(f"{base}/all")
+    keep_schema(gold.sparkSession, f"{base}/all", gold.schema)
     synthetic = gold.filter(F.col("source").isin(*SYNTHETIC_SOURCES))
     by_date(synthetic, "source").write.mode("overwrite").options(**dynamic).partitionBy("date", "source").parquet(
         f"{base}/synthetic"

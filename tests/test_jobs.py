@@ -210,6 +210,19 @@ def test_read_layer_dates(spark):
         layer_source.read_date(spark, base, "2026-03-02")
 
 
+def test_scan_opens_the_files_of_its_dates_only(spark):
+    """The columns come from the file beside the layer: damaged files of other dates do not matter."""
+    base = new_path(spark, "t-gold")
+    sinks.write_gold(spark.createDataFrame([(1, "a", "s", day(1)), (2, "b", "s", day(2))], "id int, title string, source string, date date"), base)
+    sinks.write_gold(spark.createDataFrame([(3, "s", 0.5, day(3))], "id int, source string, score double, date date"), base)
+    path, files = layer_source._file(spark, f"{base}/all/date=2026-03-02/part-broken.parquet")
+    files.create(path, True).close()
+    assert collected(layer_source.available_dates(spark, f"{base}/all"), "date") == [(day(1),), (day(2),), (day(3),)]
+    assert layer_source.read_date(spark, f"{base}/all", "2026-03-01").collect() == [(1, "a", "s", None, day(1))]
+    latest = layer_source.latest_partition(spark, f"{base}/all")
+    assert collected(latest, "id", "title", "score") == [(3, None, 0.5)] and len(latest.inputFiles()) == 1
+
+
 def test_empty_silver_writes_nothing(spark):
     base = new_path(spark, "t-silver")
     rows = spark.createDataFrame([(1, day(1))], "id int, date date")
