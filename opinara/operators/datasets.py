@@ -45,15 +45,16 @@ def split_dedup(df: DataFrame, unique: str = "id", text: str = "content") -> Dat
     """First row per hash, then per url, then per text; rows with a blank hash or url pass that step.
 
     Blank keys are replaced by the row's own id, so they neither collapse nor meet in one task. Rows that passed a step
-    with a blank key come after the others in the next one.
+    with a blank key come after the others in the next one. The steps see the id, the keys and a digest of the text; the whole
+    rows are met once, by the ids that are left (``unique`` has no nulls and no repeats).
     """
     own = F.concat(F.lit("\x00"), F.col(unique).cast("string"))
     order: list[Column] = [F.col(unique)]
+    rows = df.select(unique, filled(F.col("fingerprint")).alias("fingerprint"), filled(F.col("url")).alias("url"), F.sha2(or_empty(F.col(text)), 256).alias("_text"))
     for column in ("fingerprint", "url"):
-        key = filled(F.col(column))
-        df = keep_first(df.withColumn("_key", F.coalesce(key, own)), ["_key"], order).drop("_key")
-        order = [key.isNull(), *order]
-    return keep_first(df, [F.sha2(or_empty(F.col(text)), 256)], order)
+        rows = keep_first(rows.withColumn("_key", F.coalesce(column, own)), ["_key"], order).drop("_key")
+        order = [F.col(column).isNull(), *order]
+    return df.join(keep_first(rows, ["_text"], order).select(unique), unique, "left_semi")
 
 
 def hash_order(unique: str, seed: int) -> Column:

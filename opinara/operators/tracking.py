@@ -201,9 +201,10 @@ def audit_journal(log: DataFrame, accounts: DataFrame, role: str | None = None,
     """Newest ``n`` audit events with their account."""
     if n < 1:
         raise ValueError("at least one event is needed")
-    joined = log.join(accounts, "profil_id", "left")
-    chosen = joined if role is None else joined.filter(F.col("role") == role)
-    return chosen.orderBy(F.desc("action_date"), F.desc("action_log_id")).limit(n)
+    newest = [F.desc("action_date"), F.desc("action_log_id")]
+    if role is None:  # an event has one account at most, so the newest can be taken before the join
+        return log.orderBy(*newest).limit(n).join(accounts, "profil_id", "left").orderBy(*newest)
+    return log.join(accounts.filter(F.col("role") == role), "profil_id").orderBy(*newest).limit(n)
 
 
 def daily_lineage(sources: DataFrame, raw: DataFrame, sync: DataFrame, day: str) -> DataFrame:

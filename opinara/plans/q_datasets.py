@@ -353,6 +353,12 @@ def corpus_accuracy(spark, sf_dir):
     return evaluation.corpus_accuracy(corpus.labelled(spark, sf_dir).join(lang, "id"), F.col("lang"))
 
 
+@query("corpus_errors", "SELECT id, y_true, y_pred FROM labelled WHERE y_true <> y_pred")
+def corpus_errors(spark, sf_dir):
+    """The rows whose label was missed."""
+    return evaluation.errors(corpus.labelled(spark, sf_dir)).select("id", "y_true", "y_pred")
+
+
 _CHECKS = """WITH d AS (SELECT predicted_sentiment AS s, count(*)::DOUBLE / (SELECT count(*) FROM latest_run) AS share FROM latest_run GROUP BY 1),
   f AS (SELECT (SELECT max(share) FROM d) AS dominant, coalesce((SELECT share FROM d WHERE s = 'neutre'), 0) AS neutral, (SELECT avg(confidence) FROM latest_run) AS mean,
   (SELECT avg(CASE WHEN confidence < 0.55 THEN 1.0::DOUBLE ELSE 0 END) FROM latest_run) AS low, (SELECT quantile_cont(value, 0.9) FROM events) AS p90, (SELECT quantile_cont(value, 0.99) FROM events) AS p99),

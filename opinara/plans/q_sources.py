@@ -106,9 +106,9 @@ def json_items_ingest(spark, sf_dir):
     )
     listed = F.concat(F.lit("["), item, F.lit("]"))
     wrapped = F.concat(F.lit('{"items":['), item, F.lit("]}"))
-    landed = corpus.articles(spark, sf_dir).select(F.when(named == "fr", wrapped).otherwise(listed).alias("value"))
-    items = files.json_items(landed)
-    return files.item_articles(items)
+    path = new_path(spark, "json-items")
+    corpus.articles(spark, sf_dir).select(F.when(named == "fr", wrapped).otherwise(listed).alias("value")).write.text(path)
+    return files.json_articles(spark, path, lines=True)
 
 
 _LOCAL = f"""SELECT 'gdelt_' || lang AS source, t AS title, CASE WHEN c = '' THEN t ELSE c END AS content, url

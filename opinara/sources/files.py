@@ -95,9 +95,11 @@ def read_json_documents(spark: SparkSession, path: str, lines: bool = False) ->
     )
 
 
-def json_articles(spark: SparkSession, path: str, fallback_title: str = "Kaggle", title_width: int | None = None, content_width: int | None = None) -> DataFrame:
+def json_articles(
+    spark: SparkSession, path: str, fallback_title: str = "Kaggle", lines: bool = False, title_width: int | None = None, content_width: int | None = None
+) -> DataFrame:
     """Articles of list or ``items`` files with key fallbacks; content falls back to the title."""
-    documents = read_json_documents(spark, path).filter(~F.lower("path").contains("manifest"))
+    documents = read_json_documents(spark, path, lines).filter(~F.lower("path").contains("manifest"))
     return item_articles(json_items(documents), fallback_title, title_width, content_width).drop("path")
 
 

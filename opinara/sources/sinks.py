@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from opinara.sources.layers import keep_schema
+from opinara.storage import stage
 
 # Columns of the context export and the synthetic sources that get a partition of their own.
 CONTEXT_COLUMNS = (
@@ -21,7 +22,7 @@ def by_date(df: DataFrame, *columns: str) -> DataFrame:
 
 def write_landing(articles: DataFrame, base: str) -> None:
     """Every cleaned row, copies included, as JSON and as CSV below its date; only the dates present are replaced."""
-    rows = by_date(articles)
+    rows = by_date(stage(articles, "landing"))  # written once, so that the formats do not run the plan once each
     dynamic = {"partitionOverwriteMode": "dynamic"}
     rows.write.mode("overwrite").options(**dynamic).partitionBy("date").json(f"{base}/json")
     rows.write.mode("overwrite").options(**dynamic, header=True, escape='"').partitionBy("date").csv(f"{base}/csv")
@@ -29,7 +30,7 @@ def write_landing(articles: DataFrame, base: str) -> None:
 
 def write_silver(silver: DataFrame, base: str) -> None:
     """Parquet and CSV by date; only the dates present are replaced, so an empty frame changes nothing."""
-    rows = by_date(silver)
+    rows = by_date(stage(silver, "silver"))
     dynamic = {"partitionOverwriteMode": "dynamic"}
     rows.write.mode("overwrite").options(**dynamic).partitionBy("date").parquet(f"{base}/parquet")
     keep_schema(silver.sparkSession, f"{base}/parquet", silver.schema)
@@ -39,6 +40,7 @@ def write_silver(silver: DataFrame, base: str) -> None:
 def write_gold(gold: DataFrame, base: str) -> None:
     """All rows by date, and the synthetic sources once more by date and source."""
     dynamic = {"partitionOverwriteMode": "dynamic"}
+    gold = stage(gold, "gold")
     by_date(gold).write.mode("overwrite").options(**dynamic).partitionBy("date").parquet(f"{base}/all")
     keep_schema(gold.sparkSession, f"{base}/all", gold.schema)
     synthetic = gold.filter(F.col("source").isin(*SYNTHETIC_SOURCES))
