@@ -7,9 +7,10 @@ candidates; a pair at similarity 0.8 shares none of 96 bands with a probability
 
 Documents with equal sets are one node. Candidates are not expanded into pairs at first: each node is compared with the
 smallest node it shares a band with; the links found give components. In bands that hold several components each node is then
-compared with the first and the last node, and only the bands that still hold several are expanded, across components. Of
-these pairs the ones whose sizes or whose kept values rule the threshold out (six standard deviations below it) are left. Each
-link is confirmed on the full sets of 64-bit shingle hashes.
+compared with the first and the last node, and only the bands that still hold several are expanded, across components. Rows
+of open bands carry the set's size and two mixed bits of each kept value. Pairs whose sizes or whose bits rule the threshold out
+(more differences than at the threshold by six standard deviations) end within the join of the band: they are never rows of
+their own. Each link is confirmed on the full sets of 64-bit shingle hashes.
 
 Cases: a document without words (also null) has an empty set and is linked with nothing, not even another such; with fewer
 words than a shingle, its words are its only element. Rows with the same id are one document: its first set by size and hash
@@ -20,6 +21,7 @@ texts are linked and the smallest id is kept. Only key and text are read.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -31,6 +33,8 @@ from opinara.llm.flat import Slice, WordHasher, mix, slices
 from opinara.storage import stage
 
 BANDS, PER_BAND = 96, 4
+#: Longs in a plane: one mixed bit of every kept value.
+PLANES, PLANE_LONGS = 2, 2 * BANDS * PER_BAND // 64
 BROADCAST_IDS = 1_000_000
 _GENERATOR = np.random.default_rng(20240)
 FACTORS = _GENERATOR.integers(0, 1 << 32, BANDS * PER_BAND, np.uint32) | np.uint32(1)
@@ -77,6 +81,14 @@ def band_keys(low: np.ndarray, high: np.ndarray) -> np.ndarray:
     return keys
 
 
+def bit_planes(low: np.ndarray, high: np.ndarray) -> np.ndarray:
+    """Two mixed bits of every kept value (rows of documents), as longs: all first bits, then all second bits. Values that differ
+    differ in a bit three times out of four, independently under each permutation."""
+    mixed = mix(np.concatenate([low, high], axis=1).astype(np.uint64) + np.uint64(1))
+    planes = [np.packbits((mixed >> np.uint64(i)).astype(np.uint8) & 1, axis=1) for i in range(PLANES)]
+    return np.concatenate(planes, axis=1).view(np.int64)
+
+
 def digest(elements: np.ndarray) -> tuple[int, int]:
     """128 bits that identify a set."""
     sums = (mix(elements ^ np.uint64(seed)).sum(dtype=np.uint64) for seed in (0x5555, 0xAAAA0000))
@@ -94,16 +106,17 @@ def _sketch(batches: Iterator[pa.RecordBatch], words: int) -> Iterator[pa.Record
             lows.append(low)
             highs.append(high)
         low, high, n = np.array(lows), np.array(highs), len(sizes)
-        samples = np.concatenate([low.astype(np.uint8), high.astype(np.uint8)], axis=1)
+        planes = bit_planes(low, high)
+        width = planes.shape[1]
         keys = band_keys(low, high).astype(np.int64).ravel()
         columns = [
             part.rows.column(0),
             pa.array(np.array(sizes, np.int64)),
             *(pa.array([d[i] for d in digests], pa.int64()) for i in (0, 1)),
             pa.ListArray.from_arrays(pa.array(np.arange(0, BANDS * (n + 1), BANDS, dtype=np.int32)), pa.array(keys)),
-            pa.array([row.tobytes() for row in samples], pa.binary()),
+            pa.ListArray.from_arrays(pa.array(np.arange(0, width * (n + 1), width, dtype=np.int32)), pa.array(planes.ravel())),
         ]
-        yield pa.RecordBatch.from_arrays(columns, ["doc", "n", "k1", "k2", "bands", "samples"])
+        yield pa.RecordBatch.from_arrays(columns, ["doc", "n", "k1", "k2", "bands", "planes"])
 
 
 def _sets_of(rows: DataFrame, wanted: DataFrame, words: int) -> DataFrame:
@@ -140,14 +153,6 @@ def _confirm(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.Rec
         yield pa.RecordBatch.from_arrays([batch["a"].filter(mask), batch["b"].filter(mask)], ["a", "b"])
 
 
-def _likely(batches: Iterator[pa.RecordBatch], least: int) -> Iterator[pa.RecordBatch]:
-    """Pairs that agree in at least ``least`` of the kept values."""
-    for batch in batches:
-        x, y = (np.array([np.frombuffer(v.as_buffer(), np.uint8) for v in batch[c]]).reshape(batch.num_rows, -1) for c in "xy")
-        mask = pa.array((x == y).sum(axis=1) >= least)
-        yield pa.RecordBatch.from_arrays([batch["a"].filter(mask), batch["b"].filter(mask)], ["a", "b"])
-
-
 def _beside(pairs: DataFrame, values: DataFrame, column: str) -> DataFrame:
     """Pairs (a, b) with the values of both as x and y."""
     x = values.select(F.col("doc").alias("a"), F.col(column).alias("x"))
@@ -161,7 +166,7 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", wo
         raise ValueError("at least one word per shingle and a threshold of 50 to 100 percent are needed")
     rows = docs.select(docs[key].alias("doc"), docs[text].alias("text"))
     kind = docs.schema[key].dataType.simpleString()
-    fields = f"doc {kind}, n long, k1 long, k2 long, bands array<long>, samples binary"
+    fields = f"doc {kind}, n long, k1 long, k2 long, bands array<long>, planes array<long>"
     sketches = stage(rows.mapInArrow(lambda b: _sketch(b, words), fields), "sketches")
 
     nodes = sketches.filter("doc IS NOT NULL AND n > 0")
@@ -181,27 +186,26 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", wo
         sets = stage(_sets_of(rows, wanted, words), "sets")
         return stage(_beside(pairs, sets, "elements").mapInArrow(lambda b: _confirm(b, percent), f"a {kind}, b {kind}"), "links")
 
-    least = least_agreement(percent)
-    samples_of = sketches.join(own, "doc").filter(same_set).select("doc", "samples")
+    most = most_differences(percent)
+    planes_of = sketches.join(own, "doc").filter(same_set).select("doc", "planes")
 
     def open_bands(links: DataFrame) -> DataFrame:
-        """Rows of the bands that hold several components."""
-        labelled = crowded.join(components(links), F.col("doc") == F.col("node"), "left").join(own, "doc").select(
-            "band", F.struct(F.col("doc"), F.col("set.n").alias("n"), F.coalesce("component", "doc").alias("component")).alias("x")
+        """Rows (band, x) of the bands that hold several components, x with the component, the size and the planes."""
+        labelled = crowded.join(components(links), F.col("doc") == F.col("node"), "left").select(
+            "band", "doc", F.coalesce("component", "doc").alias("component")
         )
-        several = labelled.groupBy("band").agg(F.min("x.component").alias("c"), F.max("x.component").alias("d")).filter("c != d")
-        return stage(labelled.join(several, "band", "left_semi"), "bands")
+        several = labelled.groupBy("band").agg(F.min("component").alias("c"), F.max("component").alias("d")).filter("c != d")
+        left = stage(labelled.join(several, "band", "left_semi"), "bands")
+        carried = left.join(own, "doc").join(planes_of, "doc")
+        return stage(carried.select("band", F.struct("doc", F.col("set.n").alias("n"), "component", "planes").alias("x")), "bands")
 
     def likely(x: Column, y: Column) -> Column:
         size = (x.n * 100 >= y.n * percent) & (y.n * 100 >= x.n * percent)
-        return (x.component != y.component) & size
+        return (x.component != y.component) & size & (differences(x.planes, y.planes) <= most)
 
-    def compared(bands: DataFrame, pairs: DataFrame) -> DataFrame:
-        """Links among pairs (x, y), looked up first by size and kept values, then confirmed."""
-        pairs = pairs.filter(likely(F.col("x"), F.col("y"))).select(F.least("x.doc", "y.doc").alias("a"), F.greatest("x.doc", "y.doc").alias("b")).distinct()
-        samples = samples_of.join(bands.select(F.col("x.doc").alias("doc")).distinct(), "doc", "left_semi")
-        agree = _beside(pairs, samples, "samples").mapInArrow(lambda b: _likely(b, least), f"a {kind}, b {kind}")
-        return confirmed(agree)
+    def compared(pairs: DataFrame) -> DataFrame:
+        """Links among likely pairs (x, y)."""
+        return confirmed(pairs.select(F.least("x.doc", "y.doc").alias("a"), F.greatest("x.doc", "y.doc").alias("b")).distinct())
 
     first = crowded.filter("doc != first").groupBy("doc").agg(F.min("first").alias("first"))
     links = confirmed(first.select(F.col("first").alias("a"), F.col("doc").alias("b")))
@@ -209,11 +213,13 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", wo
     bands = open_bands(links)
     ends = bands.groupBy("band").agg(F.min("x").alias("low"), F.max("x").alias("high"))
     stars = bands.join(ends, "band").select("x", F.explode(F.array("low", "high")).alias("y"))
-    links = links.unionByName(compared(bands, stars))
-    # What is left: bands that still hold several components.
-    bands = open_bands(links)
-    rest = bands.join(bands.withColumnRenamed("x", "y"), "band").filter((F.col("x.component") < F.col("y.component")) & likely(F.col("x"), F.col("y")))
-    found = components(links.unionByName(compared(bands, rest)))
+    links = links.unionByName(compared(stars.filter(likely(F.col("x"), F.col("y")))))
+    # What is left: bands that still hold several components. Unlikely pairs end in the join's condition.
+    bands = open_bands(links).alias("l")
+    other = bands.select(F.col("band").alias("beside"), F.col("x").alias("y")).alias("r")
+    x, y = F.col("x"), F.col("y")
+    rest = bands.join(other, (F.col("band") == F.col("beside")) & (x.component < y.component) & likely(x, y))
+    found = components(links.unionByName(compared(rest)))
 
     classes = member.join(found, "node", "left").select("doc", F.coalesce("component", "node").alias("component_id"))
     out = sketches.select("doc", "n").join(classes, "doc", "left")
@@ -224,7 +230,13 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", wo
     )
 
 
-def least_agreement(percent: int) -> int:
-    """Kept values in which a pair at the threshold agrees, less six standard deviations."""
-    n, p = 2 * BANDS * PER_BAND, percent / 100
-    return int(n * p - 6 * np.sqrt(n * p * (1 - p)))
+def differences(x: Column, y: Column) -> Column:
+    """Number of kept values in which the planes of two sets differ."""
+    either = [reduce(Column.bitwiseOR, (x[p + i].bitwiseXOR(y[p + i]) for p in range(0, PLANES * PLANE_LONGS, PLANE_LONGS))) for i in range(PLANE_LONGS)]
+    return reduce(Column.__add__, map(F.bit_count, either))
+
+
+def most_differences(percent: int) -> int:
+    """Differences of the planes of a pair at the threshold, and six standard deviations more."""
+    n, p = 2 * BANDS * PER_BAND, (1 - 0.5**PLANES) * (1 - percent / 100)
+    return int(np.ceil(n * p + 6 * np.sqrt(n * p * (1 - p))))
