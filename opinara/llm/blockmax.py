@@ -97,19 +97,30 @@ class BlockMaxIndex:
             i = j
 
     def top(self, terms: np.ndarray, query: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
-        """The ``k`` best items with a positive score, best first; ties go to the smaller number."""
+        """The ``k`` best items with a positive score, best first; ties go to the smaller number. The blocks with the best bounds
+        give a threshold, then all blocks that can still reach it are opened."""
         best, scores = np.zeros(0, np.int64), np.zeros(0)
         if not len(self.cells) or not len(terms):
             return best, scores
-        bounds = self.bounds(terms, query, 0.0)
+        at, owner = ragged(self.term_start[terms], self.term_start[terms + 1])
+        block = self.cells[at] % self.n_blocks
+        bounds = np.bincount(block, self.maxima[at] * query[owner], self.n_blocks)
         order = np.argsort(-bounds, kind="stable")
         order = order[bounds[order] > 0]
-        step = max(1, k // 4)
-        for i in range(0, len(order), step):
-            if len(scores) == k and bounds[order[i]] < scores[-1] - _SLACK:
-                break
-            items, found = self.scores(terms, query, order[i : i + step])
-            items, found = np.concatenate([best, items]), np.concatenate([scores, found])
+        i, step = 0, max(1, k // 4)
+        while i < len(order):
+            if len(scores) == k:
+                step = int(np.searchsorted(-bounds[order], -(scores[-1] - _SLACK), "right")) - i
+                if step <= 0:
+                    break
+            opened = np.zeros(self.n_blocks, bool)
+            opened[order[i : i + step]] = True
+            hit = np.flatnonzero(opened[block])
+            places, cell = ragged(self.cell_start[at[hit]], self.cell_end[at[hit]])
+            sums = np.bincount(self.items[places], self.weights[places] * query[owner[hit]][cell], self.n_items)
+            items = np.flatnonzero(sums)
+            items, found = np.concatenate([best, items]), np.concatenate([scores, sums[items]])
             first = np.lexsort((items, -np.round(found, 9)))[:k]
             best, scores = items[first], found[first]
+            i, step = i + step, step * 2
         return best, scores

@@ -1,19 +1,19 @@
 """Toxicity by the nearest labelled examples.
 
-Terms are words (runs of letters, marks and numbers, by Unicode case folding) and their prefixes of 4, 5 and 6 bytes, which stand for the
-stem of inflected words. The vocabulary holds the *telling* terms, counted over all learnable rows: those in at least
-``min_documents`` toxic documents (and one in 500 of them) whose toxic share is surely (lower end of
-the 95 % Wilson interval) at least ``min_share``. A text's vector weighs
-(1 + ln tf) * idf and has length 1. A text is scored by the exact ``NEIGHBOURS`` nearest examples by cosine, found in an
+Terms are words (runs of letters, marks and numbers, by Unicode case folding) and their prefixes of ``PREFIX`` bytes (up to the end
+of a letter), which stand for the stem of inflected words. The vocabulary holds all terms of the examples. A text's vector weighs
+(1 + ln tf) * idf * (1 + ``GAIN`` * strength) and has length 1; the strength of a term (0 to 1) is the square of how far its toxic
+share surely (lower end of the 95 % Wilson interval) lies above the base rate. So every term counts by its idf, and those that tell
+of toxicity count more. A text is scored by the exact ``NEIGHBOURS`` nearest examples by cosine, found in an
 inverted index with block maxima: a vote weighted by similarity (and by how many rows an example stands for), shrunk to the
-base rate. A text without a telling term has no neighbour and gets the share of toxic rows among such learnable rows. Votes are
+base rate. A text that shares no term with any example has no neighbour and gets the base rate. Votes are
 calibrated by a logistic curve fitted to the examples' own votes, each without itself. Evidence lists the nearest examples.
 
-Counts cover every learnable row. The examples are a sample of about ``examples_per_class`` rows with a telling term of each
-class, drawn by the hash of the key; so the index does not grow with the corpus and its broadcast is bounded.
+Frequencies cover every learnable row. The examples are a sample of about ``examples_per_class`` rows of each
+class, drawn by the hash of the key; so index, vocabulary and their broadcast do not grow with the corpus.
 
 Cases: null and empty texts have no term. Labels other than 0 and 1 and null keys teach nothing; a key with several labels
-counts as toxic if one of them is 1; repeated rows of a key teach each. Without any learnable row every score is 0. Ties in
+counts as toxic if one of them is 1; repeated rows of a key teach each. Without a toxic learnable row every score is 0. Ties in
 similarity go to the example with the smaller key. Only key and text of the documents and key and label are read.
 """
 
@@ -24,59 +24,30 @@ from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from opinara.llm.blockmax import BlockMaxIndex
 from opinara.llm.flat import PUNCTUATION, HashTable, Slice, WordHasher, slices
-from opinara.storage import stage
 
-PREFIXES = (4, 5, 6)
-MIN_DOCUMENTS, TOXIC_PART, MIN_SHARE = 5, 500, 0.5
-EXAMPLES_PER_CLASS, NEIGHBOURS, PRIOR_WEIGHT = 2000, 15, 0.25
+PREFIX, GAIN = 5, 30.0
+EXAMPLES_PER_CLASS, NEIGHBOURS, PRIOR_WEIGHT = 600, 15, 0.25
 BROADCAST_LABELS = 1_000_000
-FLUSH_TERMS = 1 << 19
 
 
 def _terms(part: Slice, hasher: WordHasher) -> tuple[np.ndarray, np.ndarray]:
     """Term hashes of all texts of a slice, and the text of each."""
     begin, end = hasher.spans(part.data, part.starts)
     row = np.searchsorted(part.starts, begin, "right") - 1
-    hashes, rows = [hasher.hashes(part.data, begin, end)], [row]
-    for i, size in enumerate(PREFIXES, 1):
-        long = end - begin > size
-        # A prefix differs from the word of the same letters.
-        hashes.append(hasher.hashes(part.data, begin[long], begin[long] + size) + np.uint64(i))
-        rows.append(row[long])
-    return np.concatenate(hashes), np.concatenate(rows)
-
-
-def _frequencies(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(term, number of texts that hold it) of a partition, in parts of bounded size."""
-    hasher, held, size = WordHasher(separators=PUNCTUATION), [], 0
-    empty = np.zeros(0, np.uint64), np.zeros(0, np.int64)
-
-    def total() -> tuple[np.ndarray, np.ndarray]:
-        terms, counts = (np.concatenate(x) for x in zip(empty, *held))
-        found, place = np.unique(terms, return_inverse=True)
-        return found, np.bincount(place, counts, len(found)).astype(np.int64)
-
-    def batch(found: np.ndarray, counts: np.ndarray) -> pa.RecordBatch:
-        return pa.RecordBatch.from_arrays([pa.array(found.astype(np.int64)), pa.array(counts)], ["term", "n"])
-
-    for part in slices(batches, fold=True):
-        terms, rows = _terms(part, hasher)
-        pairs = np.unique(np.stack([rows.astype(np.uint64), terms]), axis=1) if len(terms) else np.zeros((2, 0), np.uint64)
-        found, counts = np.unique(pairs[1], return_counts=True)
-        held.append((found, counts))
-        size += len(found)
-        if size >= FLUSH_TERMS:
-            found, counts = total()
-            held, size = [(found, counts)], len(found)
-            if size >= FLUSH_TERMS // 2:
-                yield batch(found, counts)
-                held, size = [], 0
-    yield batch(*total())
+    long = end - begin > PREFIX
+    stem, limit = begin[long] + PREFIX, end[long]
+    for _ in range(3):
+        inside = np.flatnonzero(stem < limit)
+        stem[inside] += (part.data[stem[inside]] & 0xC0) == 0x80
+    # A prefix differs from the word of the same letters.
+    prefixes = hasher.hashes(part.data, begin[long], stem) + np.uint64(1)
+    return np.concatenate([hasher.hashes(part.data, begin, end), prefixes]), np.concatenate([row, row[long]])
 
 
 def _vectors(batches: Iterator[pa.RecordBatch], table: HashTable, n_terms: int) -> Iterator[tuple[pa.RecordBatch, np.ndarray, np.ndarray, np.ndarray]]:
@@ -84,12 +55,27 @@ def _vectors(batches: Iterator[pa.RecordBatch], table: HashTable, n_terms: int)
     hasher = WordHasher(separators=PUNCTUATION)
     for part in slices(batches, fold=True):
         hashes, rows = _terms(part, hasher)
-        found = table.find(hashes)
+        distinct, place = np.unique(hashes, return_inverse=True)
+        found = table.find(distinct)[place]
         known = found >= 0
         cells, counts = np.unique(rows[known] * n_terms + found[known], return_counts=True)
         yield part.rows, cells // n_terms, cells % n_terms, counts
 
 
+def _bags(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Key, label, terms and their counts of every text."""
+    hasher = WordHasher(separators=PUNCTUATION)
+    for part in slices(batches, fold=True):
+        hashes, rows = _terms(part, hasher)
+        order = np.lexsort((hashes, rows))
+        hashes, rows = hashes[order], rows[order]
+        new = np.flatnonzero(np.append(True, (hashes[1:] != hashes[:-1]) | (rows[1:] != rows[:-1]))) if len(rows) else np.zeros(0, np.int64)
+        starts = np.searchsorted(rows[new], np.arange(part.rows.num_rows + 1)).astype(np.int32)
+        counts = np.diff(np.append(new, len(rows))).astype(np.int32)
+        lists = (pa.ListArray.from_arrays(pa.array(starts), pa.array(x)) for x in (hashes[new].astype(np.int64), counts))
+        yield pa.RecordBatch.from_arrays([part.rows["key"], part.rows["label"], *lists], ["key", "label", "terms", "counts"])
+
+
 def at_least(hits: np.ndarray, of: np.ndarray, z: float = 1.96) -> np.ndarray:
     """Lower end of the Wilson interval of a share."""
     share = hits / of
@@ -106,7 +92,6 @@ class Model(NamedTuple):
     labels: np.ndarray
     stands_for: np.ndarray
     vectors: tuple[np.ndarray, np.ndarray, np.ndarray]
-    without_terms: float
     base: float
     slope: float
     offset: float
@@ -166,60 +151,50 @@ def _labelled(docs: DataFrame, labels: DataFrame, key: str, text: str, label: st
 
 def train(
     docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text", label: str = "toxic",
-    examples_per_class: int = EXAMPLES_PER_CLASS, min_documents: int = MIN_DOCUMENTS, min_share: float = MIN_SHARE,
+    examples_per_class: int = EXAMPLES_PER_CLASS, gain: float = GAIN,
 ) -> Model:
     """Learn from the documents that have a label; the key is an integer."""
     rows = _labelled(docs, labels, key, text, label)
     sizes = {r.label: r["count"] for r in rows.groupBy("label").count().collect()}
     total, toxic = sum(sizes.values()), sizes.get(1, 0)
-    none = np.zeros(0)
-    unlearnt = Model(none.astype(np.uint64), none, [], none, none, (none.astype(int),) * 2 + (none,), toxic / max(total, 1), toxic / max(total, 1), 1.0, 0.0)
-    if not toxic:
-        return unlearnt
-
-    # Terms in enough toxic documents: at most 500 times the terms of a document, so their number does not grow.
-    often = rows.filter("label = 1").select("text").mapInArrow(_frequencies, "term long, n long").groupBy("term").agg(F.sum("n").alias("n"))
-    often = often.filter(F.col("n") >= max(min_documents, -(-toxic // TOXIC_PART))).orderBy("term").collect()
-    if not often:
-        return unlearnt
-    candidates, in_toxic = np.array([r.term for r in often]).astype(np.uint64), np.array([r.n for r in often])
-    shared = docs.sparkSession.sparkContext.broadcast(candidates)
-
-    def known_terms(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table = HashTable(shared.value)
-        for part, row, term, count in _vectors(batches, table, len(shared.value)):
-            starts = np.searchsorted(row, np.arange(part.num_rows + 1)).astype(np.int32)
-            lists = (pa.ListArray.from_arrays(pa.array(starts), pa.array(x.astype(np.int32))) for x in (term, count))
-            yield pa.RecordBatch.from_arrays([part["key"], part["label"], *lists], ["key", "label", "terms", "counts"])
-
-    vectors = stage(rows.mapInArrow(known_terms, "key long, label int, terms array<int>, counts array<int>"), "vectors")
-    clean = vectors.filter("label = 0").select(F.explode("terms").alias("term")).groupBy("term").agg(F.count("*").alias("n"))
-    in_clean = np.zeros(len(candidates))
-    for r in clean.collect():
-        in_clean[r.term] = r.n
-    frequency = in_toxic + in_clean
-    telling = np.flatnonzero(at_least(in_toxic, frequency) >= min_share)
-    idf = np.log((1 + total) / (1 + frequency[telling])) + 1
-    places = {int(t): i for i, t in enumerate(telling)}
-    chosen = F.array(*[F.lit(int(t)) for t in telling]) if len(telling) else F.array().cast("array<int>")
-    has_term = F.arrays_overlap("terms", chosen)
-    by_class = {(r.label, r.has): r["count"] for r in vectors.groupBy("label", has_term.alias("has")).count().collect()}
-    bare = by_class.get((1, False), 0), by_class.get((0, False), 0)
+    base, none = toxic / max(total, 1), np.zeros(0)
     # A row is an example if its hash falls under its class's share: about as many at every corpus size.
-    share = [min(1.0, examples_per_class / max(by_class.get((c, True), 0), 1)) for c in (0, 1)]
+    share = [min(1.0, examples_per_class / max(sizes.get(c, 0), 1)) for c in (0, 1)]
     draw = F.pmod(F.xxhash64("key", F.lit(11)), F.lit(1 << 30)) / float(1 << 30)
-    drawn = vectors.filter(has_term & (draw < F.when(F.col("label") == 1, share[1]).otherwise(share[0])))
-    drawn = sorted(drawn.collect(), key=lambda r: (r.key, r.label, r.terms, r.counts))
-    held = [(i, places[t], c) for i, r in enumerate(drawn) for t, c in zip(r.terms, r.counts) if t in places]
-    items, terms, counts = (np.array(x, np.int64) for x in zip(*held)) if held else (np.zeros(0, np.int64),) * 3
-    weights = weigh(items, terms, counts, idf, len(drawn))
-    classes = np.array([r.label for r in drawn], float)
-    stands_for = np.array([1 / share[r.label] for r in drawn])
-    model = Model(
-        candidates[telling], idf, [r.key for r in drawn], classes, stands_for, (items, terms, weights),
-        (bare[0] + 0.5) / (sum(bare) + 1), toxic / total, 1.0, 0.0,
-    )
-    return _calibrate(model)
+    drawn = rows.filter(draw < F.when(F.col("label") == 1, share[1]).otherwise(share[0]))
+    bags = drawn.mapInArrow(_bags, "key long, label int, terms array<long>, counts array<int>").toArrow().combine_chunks()
+    bags = bags.take(pc.sort_indices(bags, [("key", "ascending"), ("label", "ascending")]))
+    hashes, counts = (np.concatenate([np.zeros(0, np.int64), *(x.values.to_numpy() for x in bags[c])]) for c in ("terms", "counts"))
+    vocabulary, terms = np.unique(hashes.astype(np.uint64), return_inverse=True)
+    if not toxic or not len(vocabulary):
+        return Model(none.astype(np.uint64), none, [], none, none, (none.astype(int),) * 2 + (none,), base, 1.0, 0.0)
+
+    # In how many learnable rows of each class the vocabulary's terms occur.
+    shared = docs.sparkSession.sparkContext.broadcast(vocabulary)
+
+    def frequencies(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        n = len(shared.value)
+        table, found = HashTable(shared.value), np.zeros((2, n), np.int64)
+        for part, row, term, _ in _vectors(batches, table, n):
+            label = part["label"].to_numpy()[row]
+            for c in (0, 1):
+                found[c] += np.bincount(term[label == c], minlength=n)
+        held = np.flatnonzero(found.sum(axis=0))
+        yield pa.RecordBatch.from_arrays([pa.array(held), pa.array(found[0, held]), pa.array(found[1, held])], ["term", "clean", "toxic"])
+
+    occurs = rows.select("label", "text").mapInArrow(frequencies, "term long, clean long, toxic long")
+    occurs = occurs.groupBy("term").agg(F.sum("clean").alias("clean"), F.sum("toxic").alias("toxic")).toArrow()
+    in_class = np.zeros((2, len(vocabulary)))
+    for c, name in enumerate(("clean", "toxic")):
+        in_class[c, occurs["term"].to_numpy()] = occurs[name].to_numpy()
+    frequency = in_class.sum(axis=0).clip(min=1)
+    strength = ((at_least(in_class[1], frequency) - base) / max(1 - base, 1e-9)).clip(min=0) ** 2
+    idf = (np.log((1 + total) / (1 + frequency)) + 1) * (1 + gain * strength)
+    items = np.repeat(np.arange(len(bags)), pc.list_value_length(bags["terms"]).to_numpy())
+    weights = weigh(items, terms, counts, idf, len(bags))
+    classes = bags["label"].to_numpy().astype(float)
+    stands_for = 1 / np.array(share)[classes.astype(int)]
+    return _calibrate(Model(vocabulary, idf, bags["key"].to_pylist(), classes, stands_for, (items, terms, weights), base, 1.0, 0.0))
 
 
 def _calibrate(model: Model) -> Model:
@@ -250,7 +225,7 @@ def score(docs: DataFrame, model: Model, key: str = "doc_id", text: str = "text"
         index = model.index()
         for part, row, term, count in _vectors(batches, HashTable(model.terms), max(len(model.terms), 1)):
             weights = weigh(row, term, count, model.idf, part.num_rows)
-            scores, shown = np.full(part.num_rows, model.without_terms), [[] for _ in range(part.num_rows)]
+            scores, shown = np.full(part.num_rows, model.base), [[] for _ in range(part.num_rows)]
             starts = np.flatnonzero(np.append(True, row[1:] != row[:-1])) if len(row) else []
             for begin, end in zip(starts, [*starts[1:], len(row)]):
                 found, similarity = index.top(term[begin:end], weights[begin:end], NEIGHBOURS)

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import hashlib
 import heapq
+import math
 import random
 import re
 from collections import Counter, defaultdict
@@ -14,7 +15,7 @@ import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from opinara.llm import phrases, queries, repair, secretscan
+from opinara.llm import phrases, queries, repair, secretscan, toxicity
 from opinara.llm.flat import HashTable
 
 FIELDS = "doc_id long, text string, lang string, source string, rank int, owner string, found int"
@@ -236,3 +237,56 @@ def test_secret_query_equals_plain_patterns(spark, tmp_path):
         assert (r.n_assign, r.n_access, r.n_hex) == tuple(counts), text
         assert r.base_sha256 == hashlib.sha256(line.encode()).hexdigest()
         assert [s for s in r.spans.split(",") if s and not s.startswith("token")] == [s for s in line.split(",") if s]
+
+
+def test_toxicity_neighbours_equal_brute_force(spark):
+    rng = random.Random(10)
+    rows = [(i, " ".join(rng.choice(["alpha", "beta", "gamma", "déjàvus", "déjàvues", "delta", "of", "a"]) + rng.choice(["", "s", "ly"]) for _ in range(rng.randint(1, 25)))
+             + (" nastiest" if i % 5 == 0 else "")) for i in range(90)] + [(90, None), (91, ""), (92, "Zzz 77"), (93, "ALPHA nastily")]
+    marks = {i: int(i % 5 == 0) for i in range(60)}
+
+    def bag(text):
+        found = Counter()
+        for word in (text or "").casefold().split():
+            found["w", word] += 1
+            raw = word.encode()
+            cut = toxicity.PREFIX
+            if len(raw) > cut:
+                while cut < len(raw) and raw[cut] & 0xC0 == 0x80:
+                    cut += 1
+                found["p", raw[:cut]] += 1
+        return found
+
+    bags = {i: bag(text) for i, text in rows}
+    total, toxic = len(marks), sum(marks.values())
+    base = toxic / total
+
+    def weight(term):
+        n, hits = sum(term in bags[i] for i in marks), sum(term in bags[i] for i in marks if marks[i])
+        share, z = hits / n, 1.96
+        lower = (share + z * z / (2 * n) - z * math.sqrt(share * (1 - share) / n + z * z / (4 * n * n))) / (1 + z * z / n)
+        return (math.log((1 + total) / (1 + n)) + 1) * (1 + toxicity.GAIN * max(0.0, (lower - base) / (1 - base)) ** 2)
+
+    idf = {t: weight(t) for t in {t for i in marks for t in bags[i]}}
+
+    def vector(i):
+        v = {t: (1 + math.log(n)) * idf[t] for t, n in bags[i].items() if t in idf}
+        size = math.sqrt(sum(x * x for x in v.values()))
+        return {t: x / size for t, x in v.items()}
+
+    docs = spark.createDataFrame(rows, "doc_id long, text string").withColumn("terms", F.lit(1))
+    labels = spark.createDataFrame(list(marks.items()), "doc_id long, toxic int")
+    model = toxicity.train(docs, labels)
+    got = {r.doc_id: r for r in toxicity.score(docs, model, evidence=90).collect()}
+    assert len(got) == len(rows)
+    for i, _ in rows:
+        own = vector(i)
+        like = {j: sum(x * w for t, x in vector(j).items() if (w := own.get(t))) for j in marks}
+        best = sorted((-round(s, 9), j) for j, s in like.items() if s > 0)[: toxicity.NEIGHBOURS]
+        seen = sorted((-round(e.similarity, 9), e.key) for e in got[i].evidence)
+        assert [k for _, k in seen] == [k for _, k in best] or [s for s, _ in seen] == pytest.approx([s for s, _ in best], abs=1e-8)
+        assert [s for s, _ in seen] == pytest.approx([s for s, _ in best], abs=1e-8)
+    assert got[93].score >= 0.5 > got[92].score == got[91].score == got[90].score
+    assert all((got[i].score >= 0.5) == (i % 5 == 0) for i in range(60, 90))
+    assert toxicity.score(docs.limit(0), model).count() == 0
+    assert {r.score for r in toxicity.score(docs, toxicity.train(docs.limit(0), labels)).collect()} == {0.0}
