@@ -41,7 +41,7 @@ def stream_ingest(spark, sf_dir):
     rows = corpus.articles(spark, sf_dir).select("id", "title", "content", "url", "source", "collected_at")
     rows.repartition(3, "id").write.json(path)
     stream = jobs.folder_stream(spark, path, rows.schema, kind="json", per_batch=1)
-    return jobs.ArticleStore(spark, new_path(spark, "article-store")).ingest(stream).select("fingerprint")
+    return jobs.ArticleStore(spark, new_path(spark, "article-store"), fan=2).ingest(stream, recent="1 day").select("fingerprint")
 
 
 @query(

@@ -12,8 +12,9 @@ from pyspark.sql.types import LongType, StructField, StructType
 
 from opinara.functions.text import clean_articles, fingerprint, is_valid
 from opinara.operators.aggregates import drift_score
-from opinara.operators.linkage import new_articles
+from opinara.operators.skew import keep_first
 from opinara.storage import new_path
+from opinara.streaming.hashes import FAN, ROWS_PER_PREFIX, HashStore
 from opinara.streaming.rules import DRIFT_LIMIT, LATENESS
 
 
@@ -69,34 +70,58 @@ def run_batches(stream: DataFrame, checkpoint: str, handle: Callable[[DataFrame,
 STORED = "id bigint, title string, content string, url string, source string, collected_at timestamp, fingerprint string, feed string, batch bigint"
 
 
+def _hashed(rows: DataFrame) -> DataFrame:
+    """Cleaned valid articles with their content hash."""
+    hashed = clean_articles(rows).withColumn("fingerprint", fingerprint(F.col("title"), F.col("content")))
+    return hashed.filter(is_valid(F.col("title"), F.col("content")))
+
+
 class ArticleStore:
     """Continuous ingest of landed articles into a table that never holds a content hash twice.
 
-    A batch writes its own folder and reads only the hashes of the other folders, so replaying a batch after a failure
-    gives the same table. Each feed (a landing folder) has its checkpoint in the store: a later ingest of the feed numbers
-    its batches on, and files that were taken before are not taken again.
+    A batch writes its own folder and looks its hashes up in a store of hashes that opens only what the batch may hit, so
+    replaying a batch after a failure gives the same table. Each feed (a landing folder) has its checkpoint in the store: a later
+    ingest of the feed numbers its batches on, and files that were taken before are not taken again. Feeds are ingested one
+    after the other.
     """
 
-    def __init__(self, spark: SparkSession, base: str) -> None:
+    def __init__(self, spark: SparkSession, base: str, rows_per_prefix: int = ROWS_PER_PREFIX, fan: int = FAN) -> None:
         self.spark, self.base = spark, base
+        self.hashes = HashStore(spark, f"{base}/_hashes", rows_per_prefix, fan)
         spark.createDataFrame([], STORED).coalesce(1).write.mode("append").partitionBy("feed", "batch").parquet(base)
 
     def read(self) -> DataFrame:
         return self.spark.read.schema(STORED).parquet(self.base)
 
     def add(self, batch: DataFrame, batch_id: int, feed: str = "landing") -> None:
-        clean = clean_articles(batch)
-        hashed = clean.withColumn("fingerprint", fingerprint(F.col("title"), F.col("content")))
-        valid = hashed.filter(is_valid(F.col("title"), F.col("content")))
-        others = self.read().filter((F.col("feed") != feed) | (F.col("batch") != batch_id))
-        fresh = new_articles(valid, others)
+        """Takes a batch of landed articles; of equal ones the smallest id stays."""
+        self._keep(_hashed(batch), batch_id, feed)
+
+    def _keep(self, hashed: DataFrame, batch_id: int, feed: str) -> None:
+        self.hashes.compact()
+        arriving = f"arriving/{feed}-{batch_id}"
+        keep_first(hashed, ["fingerprint"], [F.col("id")]).write.mode("overwrite").parquet(f"{self.hashes.base}/{arriving}")
+        rows = self.spark.read.schema(hashed.schema).parquet(f"{self.hashes.base}/{arriving}")
+        fresh = rows.join(self.hashes.known(rows, feed, batch_id), "fingerprint", "left_anti")
         fresh.write.mode("overwrite").parquet(f"{self.base}/feed={feed}/batch={batch_id}")
+        written = self.spark.read.schema(STORED).parquet(f"{self.base}/feed={feed}/batch={batch_id}")
+        self.hashes.put(written, feed, batch_id)
+        self.hashes.drop(arriving)
+
+    def ingest(self, stream: DataFrame, feed: str = "landing", recent: str | None = None) -> DataFrame:
+        """Takes what is new in a feed; ``feed`` is letters, digits, ``-`` and ``_``, one name for each landing folder.
 
-    def ingest(self, stream: DataFrame, feed: str = "landing") -> DataFrame:
-        """Takes what is new in a feed; ``feed`` is letters, digits, ``-`` and ``_``, one name for each landing folder."""
+        With ``recent`` (such as ``1 day``) copies that arrive within that time of the first are dropped in the stream's state,
+        before they reach the store. The time is that of arrival, so no article is ever late; of copies that arrive
+        together any may then be the first.
+        """
         if not re.fullmatch(r"[A-Za-z0-9_-]+", feed):
             raise ValueError(f"not a feed name: {feed!r}")
-        run_batches(stream, f"{self.base}/_checkpoint/{feed}", lambda batch, number: self.add(batch, number, feed))
+        rows = _hashed(stream)
+        if recent:
+            arrived = rows.withColumn("_arrived", F.current_timestamp()).withWatermark("_arrived", recent)
+            rows = arrived.dropDuplicatesWithinWatermark(["fingerprint"]).drop("_arrived")
+        run_batches(rows, f"{self.base}/_checkpoint/{feed}", lambda batch, number: self._keep(batch, number, feed))
         return self.read()
 
 

@@ -631,3 +631,34 @@ def test_replayed_batch_changes_nothing(spark):
     for batch, number in ((one, 0), (two, 1), (two, 1)):
         store.add(batch, number)
     assert collected(store.read(), "id") == [(1,), (4,)]
+
+
+def test_store_reads_little_however_many_batches(spark):
+    schema = "id bigint, title string, content string, url string, source string, collected_at timestamp"
+    store = jobs.ArticleStore(spark, new_path(spark, "t-store"), rows_per_prefix=2, fan=2)
+    batch = lambda n: spark.createDataFrame([(i, f"titre {i}", f"un contenu assez long {i}", "u", "s", at(1)) for i in range(8 * n, 8 * n + 12)], schema)
+    one, read = spark.createDataFrame([("ab" * 32,)], "fingerprint string"), []
+    for n in range(8):
+        store.add(batch(n), n)
+        read.append(store.hashes.known(one, "landing", -1).count())
+    listed = store.hashes._listed()
+    assert [(x["level"], x["digits"]) for x in listed["layers"]] == [(2, 2), (1, 1)] and listed["merged"] == {"landing": 5}
+    assert sum(x["rows"] for x in listed["layers"]) == 8 * 6 + 4 and max(read[3:]) <= 8 * 3 + 8  # three layers of a batch, few rows of the merged
+    for n in (7, 6):  # replays after a merge
+        store.add(batch(n), n)
+    store.add(batch(0), 0, "other-feed")
+    assert sorted(r.id for r in store.read().collect()) == list(range(8 * 7 + 12))
+    assert store.hashes._names("layers/*") and len(store.hashes._names("batches/feed=landing/batch=*")) == 2
+    listed["version"] = 1
+    with pytest.raises(RuntimeError, match="another writer"):
+        store.hashes._publish(listed)
+
+
+def test_recent_copies_end_in_the_stream(spark):
+    schema = "id bigint, title string, content string, url string, source string, collected_at timestamp"
+    rows = [(i, f"titre {i % 7}", f"un contenu assez long {i % 7}", "u", "s", at(i % 5)) for i in range(40)]
+    path = new_path(spark, "t-landing")
+    spark.createDataFrame(rows, schema).repartition(4).write.json(path)
+    stream = jobs.folder_stream(spark, path, spark.createDataFrame([], schema).schema, kind="json", per_batch=1)
+    kept = jobs.ArticleStore(spark, new_path(spark, "t-store"), fan=2).ingest(stream, recent="1 day")
+    assert sorted({r.title for r in kept.collect()}) == sorted(f"titre {i}" for i in range(7)) and kept.count() == 7
