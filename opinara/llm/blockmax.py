@@ -75,13 +75,20 @@ class BlockMaxIndex:
 
     def above_each(self, queries: np.ndarray, terms: np.ndarray, threshold: float) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
         """(query, items, scores) like ``above`` for many queries of unit weights, given as distinct (query, term) pairs in
-        order of the queries. The block bounds of many queries are added up at once from a table of block maxima."""
+        order of the queries. Queries whose term maxima cannot reach the threshold end first; the block bounds of the others are
+        added up, many at once, from a table of block maxima."""
         if not len(queries) or not len(self.cells):
             return
         if self.table is None:
             self.table = np.zeros((len(self.term_start) - 1, self.n_blocks), np.float32)
             self.table.ravel()[self.cells] = self.maxima
         first = np.flatnonzero(np.append(True, queries[1:] != queries[:-1]))
+        alive = np.add.reduceat(self.term_max[terms], first) >= threshold - _SLACK
+        kept = np.repeat(alive, np.diff(np.append(first, len(queries))))
+        queries, terms = queries[kept], terms[kept]
+        if not len(queries):
+            return
+        first = np.flatnonzero(np.append(True, queries[1:] != queries[:-1]))
         ends = np.append(first[1:], len(queries))
         step = max(1, _TABLE_ROWS // self.n_blocks)
         i = 0

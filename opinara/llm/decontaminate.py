@@ -1,14 +1,17 @@
 """Benchmark decontamination: BM25 with block-max pruning finds test items in training passages, word overlap confirms them.
 
-Words are runs of letters, marks and numbers of any script, by Unicode case folding. Every document is cut into passages of twice the longest item's
-words that start an item's length apart, so each place an item can stand lies within one passage. Every passage queries an
-index of the test items with its distinct words; an item's score is its BM25 sum divided by the item's score against itself,
-so one threshold fits items of every length. All items at or above ``threshold`` are retrieved, exactly. A retrieved item is
+Words are runs of letters, marks and numbers of any script, by Unicode case folding. Items are sorted into classes by length (up to
+32 words, then four times as many each). For a class, every document is cut into passages of twice the class's longest length
+that start one such length apart, so each place an item can stand lies within one passage. Every passage queries the class's index
+with its distinct words; an item's score is its BM25 sum divided by the item's score against itself, so one threshold fits items
+of every length. A passage whose term maxima together stay below the threshold is left at once; else the blocks whose maxima can
+reach it are opened. So all items at or above ``threshold`` are retrieved, exactly. A retrieved item is
 confirmed if the passage holds enough of the word trigrams of its question and of its answer (a part of one or two words counts whole): the answer is the last line of
 an item, or its last sentence, or the last quarter of its words.
 
-The index is broadcast. Its items are read in shards of at most ``SHARD_ITEMS`` items and ``SHARD_CHARS`` characters, each an
-index of its own, so the broadcast does not grow with the benchmark; documents are passed over once per shard.
+Document frequencies and the mean length are counted over all items. The index is broadcast in shards, numbered by hash, of about
+``SHARD_ITEMS`` items and ``SHARD_CHARS`` characters, so a broadcast does not grow with the benchmark; documents are passed over
+once per shard. An item's class, score and overlaps do not depend on the items it shares a shard with.
 
 Cases: null or empty texts and texts without a word match nothing, and so do such items; an empty benchmark or corpus gives an
 empty result. Items of equal text are each reported. Rows are searched one by one; with repeated keys the best scores per key
@@ -28,8 +31,10 @@ from pyspark.sql import functions as F
 
 from opinara.llm.blockmax import BlockMaxIndex, ragged
 from opinara.llm.flat import PUNCTUATION, HashTable, Slice, WordHasher, folded, mix, slices
+from opinara.storage import stage
 
 SHARD_ITEMS, SHARD_CHARS = 4_000, 4_000_000
+SHORT_ITEM, LONGER_BY = 32, 4
 TABLE_CELLS = 8_000_000
 THRESHOLD = 0.5
 QUESTION_OVERLAP, ANSWER_OVERLAP = 0.5, 0.5
@@ -62,6 +67,15 @@ def question_and_answer(text: str) -> tuple[str, str]:
     return " ".join(words[:cut]), " ".join(words[cut:])
 
 
+class Statistics(NamedTuple):
+    """Number of items with words and their mean length, and in how many items each of a shard's words occurs."""
+
+    n_items: int
+    mean_length: float
+    words: np.ndarray
+    frequencies: np.ndarray
+
+
 class Item(NamedTuple):
     """An item's id and the words of its question and of its answer."""
 
@@ -83,28 +97,17 @@ def hash_words(texts: list[str], hasher: WordHasher) -> list[np.ndarray]:
     return [words[a:b] for a, b in zip(first, first[1:])]
 
 
-class TestIndex:
-    """BM25 impacts of a shard of items, each divided by the item's score against itself."""
-
-    __test__ = False
+class LengthClass:
+    """BM25 impacts of items of similar length, each divided by the item's score against itself."""
 
-    def __init__(self, items: list[tuple[int, str]], hasher: WordHasher) -> None:
-        words = hash_words([text for _, text in items], hasher)
-        parts = [question_and_answer(text) for _, text in items]
-        questions, answers = (hash_words([p[i] for p in parts], hasher) for i in (0, 1))
-        self.items = [Item(i, q, a) for (i, _), q, a in zip(items, questions, answers)]
-        self.longest = max([8, *map(len, words)])
+    def __init__(self, items: list[Item], words: list[np.ndarray], longest: int, vocabulary: np.ndarray, idf: np.ndarray, mean_length: float) -> None:
+        self.items, self.longest, self.n_terms = items, longest, len(vocabulary)
         sizes = np.array([len(w) for w in words])
-        flat, owner = np.concatenate([*words, np.zeros(0, np.uint64)]), np.repeat(np.arange(len(items)), sizes)
-        vocabulary, term = np.unique(flat, return_inverse=True)
-        pairs, tf = np.unique(np.stack([term, owner]), axis=1, return_counts=True)
-        df = np.bincount(pairs[0], minlength=len(vocabulary))
-        idf = np.log(1 + (len(items) - df + 0.5) / (df + 0.5))
-        length = K1 * (1 - B + B * sizes / max(sizes.mean(), 1e-9)) if len(items) else sizes
+        term = np.searchsorted(vocabulary, np.concatenate(words))
+        pairs, tf = np.unique(np.stack([term, np.repeat(np.arange(len(items)), sizes)]), axis=1, return_counts=True)
+        length = K1 * (1 - B + B * sizes / mean_length)
         impact = idf[pairs[0]] * tf * (K1 + 1) / (tf + length[pairs[1]])
         whole = np.bincount(pairs[1], impact, len(items))
-        self.table = HashTable(vocabulary) if len(vocabulary) else None
-        self.n_terms = len(vocabulary)
         block = max(4, -(-self.n_terms * len(items) // TABLE_CELLS))
         self.index = BlockMaxIndex(self.n_terms, len(items), pairs[0], pairs[1], impact / whole[pairs[1]], block)
 
@@ -117,32 +120,81 @@ class TestIndex:
         begin = first[text] + place * self.longest
         return text, begin, np.minimum(begin + 2 * self.longest, first[text + 1])
 
-    def search(self, words: np.ndarray, first: np.ndarray, threshold: float) -> Iterator[tuple[int, Item, float, np.ndarray]]:
-        """(text, item, score, words of the passage) of all passages and items at or above the threshold."""
-        if self.table is None:
-            return
-        terms = self.table.find(words)
+    def search(self, words: np.ndarray, terms: np.ndarray, first: np.ndarray, threshold: float) -> Iterator[tuple[int, Item, float, np.ndarray]]:
         text, begin, end = self.passages(first)
         at, passage = ragged(begin, end)
-        known = terms[at] >= 0
-        pairs = np.unique(passage[known] * self.n_terms + terms[at[known]])
+        at, passage = at[known := (terms >= 0)[at]], passage[known]
+        pairs = np.unique(passage * self.n_terms + terms[at])
         for i, found, scores in self.index.above_each(pairs // self.n_terms, pairs % self.n_terms, threshold):
             for item, score in zip(found, scores):
                 yield text[i], self.items[item], float(score), words[begin[i] : end[i]]
 
 
-def _shards(benchmark: DataFrame, item_id: str, text: str) -> Iterator[list[tuple[int, str]]]:
-    """Items in lists of bounded size; the driver holds one at a time."""
-    rows = benchmark.select(benchmark[item_id].cast("long").alias("i"), benchmark[text].alias("t"))
-    items, chars = [], 0
-    for row in rows.filter(F.col("t").isNotNull()).orderBy("i", "t").toLocalIterator():
-        items.append((row.i, row.t))
-        chars += len(row.t)
-        if len(items) >= SHARD_ITEMS or chars >= SHARD_CHARS:
-            yield items
-            items, chars = [], 0
-    if items:
-        yield items
+class TestIndex:
+    """The items of a shard by classes of length."""
+
+    __test__ = False
+
+    def __init__(self, items: list[tuple[int, str]], statistics: Statistics, hasher: WordHasher) -> None:
+        words = hash_words([text for _, text in items], hasher)
+        parts = [question_and_answer(text) for _, text in items]
+        questions, answers = (hash_words([p[i] for p in parts], hasher) for i in (0, 1))
+        n, df = statistics.n_items, statistics.frequencies
+        order = np.argsort(statistics.words)
+        vocabulary, idf = statistics.words[order], np.log(1 + (n - df[order] + 0.5) / (df[order] + 0.5))
+        self.table = HashTable(vocabulary)
+        by_length: dict[int, list[int]] = {}
+        for i, held in enumerate(words):
+            if len(held):
+                longest = SHORT_ITEM
+                while longest < len(held):
+                    longest *= LONGER_BY
+                by_length.setdefault(longest, []).append(i)
+        self.classes = [
+            LengthClass(
+                [Item(items[i][0], questions[i], answers[i]) for i in chosen], [words[i] for i in chosen], longest, vocabulary, idf,
+                statistics.mean_length,
+            )
+            for longest, chosen in sorted(by_length.items())
+        ]
+
+    def search(self, words: np.ndarray, first: np.ndarray, threshold: float) -> Iterator[tuple[int, Item, float, np.ndarray]]:
+        """(text, item, score, words of the passage) of all passages and items at or above the threshold."""
+        terms = self.table.find(words)
+        for items in self.classes:
+            yield from items.search(words, terms, first, threshold)
+
+
+def _item_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Items with the hashes of their distinct words and their length in words."""
+    hasher = WordHasher(separators=PUNCTUATION)
+    for part in slices(batches, fold=True):
+        words, first = hasher.words(part)
+        found = [words[a:b] for a, b in zip(first, first[1:])]
+        distinct = pa.array([np.unique(w).view(np.int64) for w in found], pa.list_(pa.int64()))
+        columns = [*part.rows.columns, distinct, pa.array([len(w) for w in found], pa.int64())]
+        yield pa.RecordBatch.from_arrays(columns, ["i", "text", "words", "size"])
+
+
+def _shards(benchmark: DataFrame, item_id: str, text: str) -> Iterator[tuple[list[tuple[int, str]], Statistics]]:
+    """Items with a word and the statistics of their words, in shards; the driver holds one at a time."""
+    rows = benchmark.select(benchmark[item_id].cast("long").alias("i"), benchmark[text].alias("text"))
+    items = rows.filter(F.col("text").isNotNull()).mapInArrow(_item_words, "i long, text string, words array<long>, size long")
+    items = stage(items.filter("size > 0"), "benchmark-items")
+    total = items.agg(F.count("*").alias("n"), F.sum("size").alias("words"), F.sum(F.length("text")).alias("chars")).first()
+    if not total.n:
+        return
+    count = max(-(-total.n // SHARD_ITEMS), -(-total.chars // SHARD_CHARS))
+    sharded = items.withColumn("shard", F.pmod(F.xxhash64("i", "text"), F.lit(count)))
+    spread = sharded.select("shard", F.explode("words").alias("word")).groupBy("word", "shard").agg(F.count("*").alias("n"))
+    frequency = spread.groupBy("word").agg(F.sum("n").alias("n"), F.collect_list("shard").alias("shards"))
+    terms = stage(frequency.select("word", "n", F.explode("shards").alias("shard")), "benchmark-terms")
+    for shard in range(count):
+        held = sharded.filter(F.col("shard") == shard).select("i", "text").orderBy("i", "text").collect()
+        counted = terms.filter(F.col("shard") == shard).select("word", "n").toArrow()
+        if held:
+            words, n = (counted.column(c).to_numpy() for c in ("word", "n"))
+            yield [tuple(r) for r in held], Statistics(total.n, total.words / total.n, words.view(np.uint64), n)
 
 
 def contaminated(
@@ -159,7 +211,7 @@ def contaminated(
 
         def run(batches: Iterator[pa.RecordBatch], held=held) -> Iterator[pa.RecordBatch]:
             hasher = WordHasher(separators=PUNCTUATION)
-            index = TestIndex(held.value, hasher)
+            index = TestIndex(*held.value, hasher)
             for part in slices(batches, fold=True):
                 words, first = hasher.words(part)
                 hits = []

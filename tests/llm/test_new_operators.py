@@ -13,9 +13,10 @@ from itertools import groupby
 import numpy as np
 import pyarrow as pa
 import pytest
+import regex
 from pyspark.sql import functions as F
 
-from opinara.llm import phrases, queries, repair, secretscan, toxicity
+from opinara.llm import decontaminate, phrases, queries, repair, secretscan, toxicity
 from opinara.llm.flat import HashTable
 
 FIELDS = "doc_id long, text string, lang string, source string, rank int, owner string, found int"
@@ -290,3 +291,58 @@ def test_toxicity_neighbours_equal_brute_force(spark):
     assert all((got[i].score >= 0.5) == (i % 5 == 0) for i in range(60, 90))
     assert toxicity.score(docs.limit(0), model).count() == 0
     assert {r.score for r in toxicity.score(docs, toxicity.train(docs.limit(0), labels)).collect()} == {0.0}
+
+
+def brute_force_contamination(docs, items, threshold=0.5):
+    """Every item against every passage by the formulas in the module's text."""
+    split = lambda text: regex.findall(r"[\p{L}\p{M}\p{N}]+", (text or "").casefold())
+    held = [(i, split(t), *map(split, decontaminate.question_and_answer(t))) for i, t in items if split(t)]
+    df = Counter(w for _, words, _, _ in held for w in set(words))
+    mean = sum(len(x[1]) for x in held) / len(held)
+
+    def overlap(part, passage):
+        n = min(len(part), 3)
+        runs = lambda words: {tuple(words[j : j + n]) for j in range(len(words) - n + 1)}
+        return len(runs(part) & runs(passage)) / len(runs(part)) if n else 1.0
+
+    best = {}
+    for key, text in docs:
+        words = split(text)
+        for i, item, question, answer in held:
+            reach = next(32 * 4**k for k in range(9) if 32 * 4**k >= len(item))
+            tf = Counter(item)
+            impact = {
+                w: math.log(1 + (len(held) - df[w] + 0.5) / (df[w] + 0.5)) * n * 2.2 / (n + 1.2 * (0.25 + 0.75 * len(item) / mean))
+                for w, n in tf.items()
+            }
+            for begin in range(0, max(len(words) - reach, 1), reach):
+                passage = words[begin : begin + 2 * reach]
+                score = sum(impact[w] for w in set(passage) & set(impact)) / sum(impact.values())
+                overlaps = overlap(question, passage), overlap(answer, passage)
+                if score >= threshold - 1e-9 and min(overlaps) >= 0.5:
+                    old = best.get((key, i), (0, 0, 0))
+                    best[key, i] = tuple(map(max, old, (score, *overlaps)))
+    return best
+
+
+def test_contamination_equals_brute_force_in_shards_of_any_size(spark, monkeypatch):
+    draw = random.Random(4)
+    words = [f"w{i}" for i in range(60)] + ["été", "straße", "9"]
+    sentence = lambda n: " ".join(draw.choices(words, k=n))
+    items = [(i, f"{sentence(n)}?\n{sentence(max(1, n // 5))}") for i, n in enumerate([3, 9, 20, 31, 40, 90, 140, 1, 25, 26, 27])]
+    items += [(50, items[2][1]), (51, ""), (52, None), (53, "...")]
+    docs = [(i, sentence(draw.choice([4, 30, 200, 700]))) for i in range(40)] + [(90, None), (91, ""), (92, "—")]
+    for i, (_, text) in enumerate(items[:11]):
+        half = text.split()
+        docs.append((100 + i, f"{sentence(draw.randint(0, 150))} {text.upper()} {sentence(40)}"))
+        docs.append((200 + i, f"{sentence(33)} {' '.join(half[: len(half) * 2 // 3])} {sentence(90)}"))
+        docs.append((300 + i, " ".join(w if draw.random() < 0.9 else "zz" for w in half)))
+    expected = brute_force_contamination(docs, items)
+    assert len({key for key, _ in expected if key >= 100}) >= 20 and any(key not in {k for k, _ in expected} for key, _ in docs)
+    frames = spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string")
+    for size in (1, 3, 4000):
+        monkeypatch.setattr(decontaminate, "SHARD_ITEMS", size)
+        got = {(r.doc_id, r.item_id): (r.score, r.question_overlap, r.answer_overlap) for r in decontaminate.contaminated(*frames).collect()}
+        assert got.keys() == expected.keys()
+        assert all(got[k] == pytest.approx(expected[k]) for k in expected)
+    assert decontaminate.contaminated(frames[0].limit(0), frames[1]).count() == 0
