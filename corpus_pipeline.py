@@ -63,7 +63,7 @@ STAGES = [
     ("language", identify_language), ("lines", dedup_lines), ("near_duplicates", drop_near_duplicates),
     ("decontamination", drop_contaminated), ("tokens", tokenize),
 ]
-#: Trained models, signatures and token merges have no SQL form; tests hold each stage against a brute-force version.
+#: Trained models, signatures and token merges have no SQL form. The operators are tested one by one; rows of the whole chain are not.
 ORACLE_SQL = None
 
 
