@@ -32,32 +32,35 @@ def land_in_order(df: DataFrame, folder: str, time: str = "ts", files: int = 3)
         df.filter(F.floor(share) == i).coalesce(1).write.mode("append").parquet(folder)
 
 
-def _finish(spark: SparkSession, writer: DataStreamWriter) -> None:
-    """Runs what is available, with no more state partitions than twice the cores.
+def _finish(spark: SparkSession, writer: DataStreamWriter, settings: dict[str, str] | None = None) -> None:
+    """Runs what is available under ``settings``, with no more state partitions than twice the cores.
 
     The number is fixed for the life of a checkpoint; on a small cluster the default would mean many empty state stores
     to commit in every batch. The query takes its own copy of the settings when it starts.
     """
     key = "spark.sql.shuffle.partitions"
-    wanted = spark.conf.get(key)
-    spark.conf.set(key, str(min(int(wanted), 2 * spark.sparkContext.defaultParallelism)))
+    settings = {**(settings or {}), key: str(min(int(spark.conf.get(key)), 2 * spark.sparkContext.defaultParallelism))}
+    wanted = {name: spark.conf.get(name) for name in settings}
+    for name, value in settings.items():
+        spark.conf.set(name, value)
     try:
         query = writer.trigger(availableNow=True).start()
     finally:
-        spark.conf.set(key, wanted)
+        for name, value in wanted.items():
+            spark.conf.set(name, value)
     query.awaitTermination()
 
 
-def run_to_table(stream: DataFrame, name: str, base: str | None = None) -> DataFrame:
+def run_to_table(stream: DataFrame, name: str, base: str | None = None, settings: dict[str, str] | None = None) -> DataFrame:
     """Processes what is available into files and returns them; closed windows only, as an append sink gives them.
 
-    With the same ``base`` a later run goes on where the last one stopped.
+    With the same ``base`` a later run goes on where the last one stopped. ``settings`` hold for the run alone.
     """
     spark = stream.sparkSession
     base = base or new_path(spark, name)
     target = f"{base}/rows"
     writer = stream.writeStream.format("parquet").option("path", target).option("checkpointLocation", f"{base}/checkpoint")
-    _finish(spark, writer.outputMode("append"))
+    _finish(spark, writer.outputMode("append"), settings)
     return spark.read.schema(stream.schema).parquet(target)
 
 

@@ -117,3 +117,21 @@ def test_sliding_windows_copy_panes_not_rows(spark):
     aggregates = [i for i, line in enumerate(lines) if "Aggregate" in line]
     expands = [i for i, line in enumerate(lines) if "Expand" in line]
     assert len(aggregates) == 2 and len(expands) == 1 and aggregates[0] < expands[0] < aggregates[1]
+
+
+def test_alerts_run_in_a_session_and_workers_built_elsewhere(spark):
+    """Spark's default state store holds no timers, and a worker may not have the package: the processor travels by value."""
+    from pyspark import cloudpickle
+
+    key = alerts.PROVIDER
+    wanted, path = spark.conf.get(key), new_path(spark, "t-elsewhere")
+    rows = moments(spark, sorted(m + s / 4 for m in range(100, 130) for s in range(4)) + [400])
+    rows.coalesce(1).write.parquet(path)
+    spark.conf.set(key, "org.apache.spark.sql.execution.streaming.state.HDFSBackedStateStoreProvider")
+    try:
+        got = jobs.run_to_table(rate_alerts(jobs.folder_stream(spark, path, rows.schema, "*.parquet")), "t-elsewhere-run", settings=alerts.STORE)
+        assert spark.conf.get(key).endswith("HDFSBackedStateStoreProvider")
+    finally:
+        spark.conf.set(key, wanted)
+    assert [(s, (since - START).total_seconds() / 60, (at - since).total_seconds() / 60) for s, since, at in found(got)] == [("firing", 101, 5), ("resolved", 101, 34)]
+    assert b"handleInputRows" in cloudpickle.dumps(alerts.HoldProcessor)
