@@ -14,7 +14,7 @@ from opinara.operators import aggregates, datasets, evaluation, filters, layers,
 from opinara.sources import files, merged, pages, payloads, sinks
 from opinara.sources import layers as layer_source
 from opinara.plans.vocabulary import LEXICON
-from opinara.storage import new_path, work_dir
+from opinara.storage import new_path, stage, work_dir
 from opinara.streaming import jobs, rules
 
 
@@ -662,3 +662,55 @@ def test_recent_copies_end_in_the_stream(spark):
     stream = jobs.folder_stream(spark, path, spark.createDataFrame([], schema).schema, kind="json", per_batch=1)
     kept = jobs.ArticleStore(spark, new_path(spark, "t-store"), fan=2).ingest(stream, recent="1 day")
     assert sorted({r.title for r in kept.collect()}) == sorted(f"titre {i}" for i in range(7)) and kept.count() == 7
+
+
+def test_wide_rows_are_deduplicated_without_sorting_them(spark):
+    """Of equal keys the first row stays, repeated and null ids included, and only the keys are shuffled and sorted."""
+    rows = [("a", 2), ("a", 1), ("a", 1), ("b", None), ("b", 3), ("c", None)]
+    wide = spark.createDataFrame([(k, i, f"text {k}", n) for n, (k, i) in enumerate(rows)], "key string, id int, content string, _row bigint")
+    df = stage(wide, "t-wide")
+    got = skew.drop_copies(df, ["key"], [F.col("id")], "_row")
+    assert sorted(r._row for r in got.collect()) == [1, 3, 5]
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert "Window" not in plan and "Sort" not in plan and "Exchange hashpartitioning" not in plan
+
+
+def test_texts_are_not_sorted_for_topics_and_sentiment(spark):
+    raw = spark.range(9).withColumn("content", F.lit("text"))
+    links = spark.createDataFrame([(1, 1, "a", 0.5), (2, 1, "b", 0.7)], "doc_topic_id bigint, raw_data_id bigint, topic string, confidence_score double")
+    outputs = spark.createDataFrame([(1, 1, "sentiment_keyword", "positif", 0.9)], "output_id bigint, raw_data_id bigint, model_name string, label string, score double")
+    limit = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        got = layers.gold(layers.silver(raw, links), outputs)
+        plan = got._jdf.queryExecution().executedPlan().toString()
+        assert "ShuffledHashJoin" in plan and "SortMergeJoin" not in plan
+        assert {r.id: (r.topic_1, r.topic_2, r.sentiment) for r in got.collect()} == {i: ("b", "a", "positif") if i == 1 else ("", "", "neutre") for i in range(9)}
+        done = spark.createDataFrame([("3", "r"), ("4", "s")], "id string, run string")
+        rest = scoring.resume(raw, done, "r")
+        assert "SortMergeJoin" not in rest._jdf.queryExecution().executedPlan().toString()
+        assert {r.id for r in rest.collect()} == set(range(9)) - {3}
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
+
+
+def test_overtaken_rows_of_a_merge(spark):
+    """Of an id in both tables the older row is named; at a full tie the one that was there; ids on one side and null ids are not."""
+    schema = "id string, collected_at string, date date, raw_id bigint"
+    day = dt.date(2024, 1, 1)
+    before = spark.createDataFrame([("a", "2024-01-01", day, 1), ("b", "2024-01-03", day, 2), ("c", "2024-01-01", day, 3), ("d", "2024-01-01", day, 4), (None, "2024-01-01", day, 5)], schema)
+    new = spark.createDataFrame([("a", "2024-01-02", day, 6), ("b", "2024-01-02", day, 7), ("c", "2024-01-01", day, 3), ("e", "2024-01-01", day, 9), (None, "2024-01-01", day, 10)], schema)
+    assert {tuple(r) for r in layers.overtaken(before, new).collect()} == {("a", False), ("b", True), ("c", False)}
+
+
+def test_landed_files_of_the_ingest_grow_in_number(spark, data, monkeypatch):
+    """Each batch takes several files, as many as the articles have splits."""
+    from opinara.plans.registry import QUERIES
+    from opinara.plans import q_streaming  # noqa: F401
+
+    seen = []
+    wanted = jobs.folder_stream
+    monkeypatch.setattr(jobs, "folder_stream", lambda s, path, *a, **b: seen.append((path, b["per_batch"])) or wanted(s, path, *a, **b))
+    QUERIES["stream_ingest"](spark, data)
+    path, per_batch = seen[0]
+    assert per_batch > 1 and 3 < spark.read.format("binaryFile").load(f"{path}/*.json").count() <= 3 * per_batch
