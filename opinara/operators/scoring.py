@@ -113,7 +113,8 @@ def prediction_frame(scored: DataFrame, model_version: str, run: str, at: Column
 def resume(df: DataFrame, done: DataFrame, run: str) -> DataFrame:
     """Rows the run has not scored yet."""
     written = done.filter(F.col("run") == run).select(F.col("id").cast("string").alias("_done"))
-    return df.join(written, F.col("id").cast("string") == F.col("_done"), "left_anti")
+    # A hash table of the ids in each part: the whole texts beside them are never sorted.
+    return df.join(written.hint("shuffle_hash"), F.col("id").cast("string") == F.col("_done"), "left_anti")
 
 
 def upsert_predictions(outputs: DataFrame, predictions: DataFrame, model: str, output_id: Column) -> DataFrame:
