@@ -20,7 +20,7 @@ from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from opinara.operators.layers import harmonize_id, merge_dedup, union_layers
+from opinara.operators.layers import harmonize_id, merge_dedup_wide, overtaken, union_layers
 from opinara.storage import stage
 
 BUCKETS, BLOOM_BITS, BLOOM_HASHES, MAX_FOLDERS = 16, 1 << 20, 4, 8
@@ -132,17 +132,18 @@ class MergedTable:
         version = self.version()
         held = [] if force_full else self.manifest(version)
         fresh = gold if force_full or not version else gold.join(self.pending_dates(gold), "date", "left_semi")
-        arriving = merge_dedup(harmonize_id(fresh.withColumn("raw_id", F.col("id"))))
-        arriving = stage(arriving.withColumn("_bucket", bucket_of(self.buckets)), "arriving")
+        arriving = harmonize_id(fresh.withColumn("raw_id", F.col("id"))).withColumn("_bucket", bucket_of(self.buckets))
+        arriving = stage(arriving.withColumn("_row", F.monotonically_increasing_id()), "arriving")
+        arriving = merge_dedup_wide(arriving, "_row").drop("_row")
         opened = self._opened(arriving, held)
 
         out = arriving
         if opened:
             before = self._files([r for r in held if r.bucket in opened], self._layout(version))
             again = arriving.filter(F.col("_bucket").isin(*opened)).drop("_bucket")
-            ids = again.select("id").filter("id IS NOT NULL")
-            newest = merge_dedup(union_layers(before.join(ids, "id", "left_semi"), again))
-            rewritten = union_layers(before.join(ids, "id", "left_anti"), newest).withColumn("_bucket", bucket_of(self.buckets))
+            older = stage(overtaken(before, again), "overtaken")
+            newest = [df.join(older.filter(F.col("arrived") == new).select("id"), "id", "left_anti") for df, new in ((before, False), (again, True))]
+            rewritten = union_layers(*newest).withColumn("_bucket", bucket_of(self.buckets))
             out = union_layers(rewritten, arriving.filter(~F.col("_bucket").isin(*opened)))
         commit = uuid.uuid4().hex
         out.hint("rebalance", F.col("_bucket")).write.partitionBy("_bucket").parquet(f"{self.base}/data/{commit}")
