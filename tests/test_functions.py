@@ -3,10 +3,12 @@
 from __future__ import annotations
 
 import hashlib
+import tracemalloc
 import unicodedata
 
 import random
 
+import pyarrow as pa
 import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
@@ -233,3 +235,13 @@ def test_automaton_finds_what_single_scans_find(spark, monkeypatch):
     monkeypatch.setattr(lexicon, "MAX_KEYWORD_BYTES", 5)
     with pytest.raises(ValueError):
         lexicon.add_topic_scores(df, topics)
+
+
+def test_python_takes_a_batch_by_pieces():
+    values = pa.array(["x" * 10_000] * 4000 + [None])
+    tracemalloc.start()
+    out = text.by_pieces(lambda t: [t[:2]], values, pa.list_(pa.string()))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert out.to_pylist() == [["xx"]] * 4000 + [None] and peak < 10_000_000
+    assert text.by_pieces(len, values.slice(0, 0), pa.int64()).to_pylist() == []
