@@ -5,7 +5,7 @@ from __future__ import annotations
 import json
 import sys
 
-import pandas as pd
+import pyarrow as pa
 from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -13,6 +13,7 @@ from pyspark.sql.types import ArrayType, StringType
 
 from opinara.functions.numbers import one_of
 from opinara.functions.text import (
+    by_pieces,
     clean_html,
     cut,
     filled,
@@ -214,10 +215,15 @@ def records_of(payload: str, limit: int | None = None) -> list[str]:
         return []
 
 
+def record_lists(payloads: pa.Array, limit: int | None) -> pa.Array:
+    """Records of each payload of a batch, parsed a few payloads at a time; a null payload has none."""
+    return by_pieces(lambda p: records_of(p, limit), payloads, pa.list_(payloads.type))
+
+
 def _records(column: str, limit: int | None) -> Column:
-    @F.pandas_udf(ArrayType(StringType()))
-    def listed(payloads: pd.Series) -> pd.Series:
-        return payloads.map(lambda p: [] if p is None else records_of(p, limit))
+    @F.arrow_udf(ArrayType(StringType()))
+    def listed(payloads: pa.Array) -> pa.Array:
+        return record_lists(payloads, limit)
 
     return listed(column)
 

@@ -4,15 +4,19 @@ from __future__ import annotations
 
 import datetime as dt
 import random
+import tracemalloc
 from collections import Counter
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
+from opinara.functions import lexicon
 from opinara.functions.text import CONTENT_WIDTH, TITLE_WIDTH
 from opinara.operators import aggregates, datasets, evaluation, filters, layers, linkage, scoring, skew, timeline, tracking
 from opinara.sources import files, merged, pages, payloads, sinks
 from opinara.sources import layers as layer_source
+from opinara.plans import corpus
 from opinara.plans.vocabulary import LEXICON
 from opinara.storage import new_path, stage, work_dir
 from opinara.streaming import jobs, rules
@@ -714,3 +718,26 @@ def test_landed_files_of_the_ingest_grow_in_number(spark, data, monkeypatch):
     QUERIES["stream_ingest"](spark, data)
     path, per_batch = seen[0]
     assert per_batch > 1 and 3 < spark.read.format("binaryFile").load(f"{path}/*.json").count() <= 3 * per_batch
+
+
+def test_records_of_a_batch_are_parsed_by_pieces():
+    batch = pa.array(['{"series": [{"a": "' + "x" * 20_000 + '"}]}'] * 3000 + [None, "no json"])
+    tracemalloc.start()
+    out = payloads.record_lists(batch, None)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert out.value_lengths().to_pylist() == [1] * 3000 + [None, 0] and peak < 40_000_000
+
+
+def test_texts_of_the_corpus_are_counted_once_for_all_runs(spark, data, monkeypatch):
+    counted, totals = [], lexicon.lexicon_totals
+    monkeypatch.setattr(corpus, "_LAYERS", {})
+    monkeypatch.setattr(lexicon, "lexicon_totals", lambda *given: counted.append(given) or totals(*given))
+    outputs = corpus.model_output(spark, data)
+    assert len(counted) == 2 and outputs.filter("label IS NULL OR score IS NULL").isEmpty()
+    monkeypatch.undo()
+    raw = corpus.raw(spark, data).filter(F.col("date") < corpus.SCORED_BEFORE)
+    for offset, subject in enumerate((F.col("title"), lexicon.title_and_content())):
+        want = lexicon.add_sentiment(raw, LEXICON, subject).select((F.col("id") * 2 + offset).alias("output_id"), "sentiment", "sentiment_score")
+        got = outputs.filter("model_name = 'sentiment_keyword'").filter(F.col("output_id") % 2 == offset).select("output_id", "label", "score")
+        assert want.exceptAll(got).isEmpty() and got.exceptAll(want).isEmpty()
