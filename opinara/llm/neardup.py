@@ -190,14 +190,15 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", wo
     planes_of = sketches.join(own, "doc").filter(same_set).select("doc", "planes")
 
     def open_bands(links: DataFrame) -> DataFrame:
-        """Rows (band, x) of the bands that hold several components, x with the component, the size and the planes."""
+        """Rows (band, x) of the bands that hold several components, x with the component, the size, the planes and all its such bands."""
         labelled = crowded.join(components(links), F.col("doc") == F.col("node"), "left").select(
             "band", "doc", F.coalesce("component", "doc").alias("component")
         )
         several = labelled.groupBy("band").agg(F.min("component").alias("c"), F.max("component").alias("d")).filter("c != d")
         left = stage(labelled.join(several, "band", "left_semi"), "bands")
-        carried = left.join(own, "doc").join(planes_of, "doc")
-        return stage(carried.select("band", F.struct("doc", F.col("set.n").alias("n"), "component", "planes").alias("x")), "bands")
+        every = left.groupBy("doc").agg(F.collect_set("band").alias("open"))
+        carried = left.join(own, "doc").join(planes_of, "doc").join(every, "doc")
+        return stage(carried.select("band", F.struct("doc", F.col("set.n").alias("n"), "component", "planes", "open").alias("x")), "bands")
 
     def likely(x: Column, y: Column) -> Column:
         size = (x.n * 100 >= y.n * percent) & (y.n * 100 >= x.n * percent)
@@ -214,11 +215,13 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", wo
     ends = bands.groupBy("band").agg(F.min("x").alias("low"), F.max("x").alias("high"))
     stars = bands.join(ends, "band").select("x", F.explode(F.array("low", "high")).alias("y"))
     links = links.unionByName(compared(stars.filter(likely(F.col("x"), F.col("y")))))
-    # What is left: bands that still hold several components. Unlikely pairs end in the join's condition.
+    # What is left: bands that still hold several components. Unlikely pairs end in the join's condition, and a pair is a row
+    # of the first open band it shares only.
     bands = open_bands(links).alias("l")
     other = bands.select(F.col("band").alias("beside"), F.col("x").alias("y")).alias("r")
     x, y = F.col("x"), F.col("y")
-    rest = bands.join(other, (F.col("band") == F.col("beside")) & (x.component < y.component) & likely(x, y))
+    once = first_shared(x, y) == F.col("band")
+    rest = bands.join(other, (F.col("band") == F.col("beside")) & (x.component < y.component) & likely(x, y) & once)
     found = components(links.unionByName(compared(rest)))
 
     classes = member.join(found, "node", "left").select("doc", F.coalesce("component", "node").alias("component_id"))
@@ -230,6 +233,11 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", wo
     )
 
 
+def first_shared(x: Column, y: Column) -> Column:
+    """The one band, of the open ones that two rows share, in which they are compared."""
+    return F.array_min(F.array_intersect(x.open, y.open))
+
+
 def differences(x: Column, y: Column) -> Column:
     """Number of kept values in which the planes of two sets differ."""
     either = [reduce(Column.bitwiseOR, (x[p + i].bitwiseXOR(y[p + i]) for p in range(0, PLANES * PLANE_LONGS, PLANE_LONGS))) for i in range(PLANE_LONGS)]

@@ -231,6 +231,11 @@ def test_near_duplicates_equal_brute_force(spark, words):
     assert got == brute_groups(whole, words, 80)
 
 
+def test_a_pair_meets_in_one_of_its_bands(spark):
+    rows = spark.createDataFrame([(([5, -7, 9],), ([9, -7],)), (([1],), ([2],))], "x struct<open:array<bigint>>, y struct<open:array<bigint>>")
+    assert [r[0] for r in rows.select(neardup.first_shared(F.col("x"), F.col("y"))).collect()] == [-7, None]
+
+
 def test_near_duplicates_of_odd_rows(spark):
     out = neardup.near_duplicates(odd_docs(spark)).collect()
     assert len(out) == 8 and {(r.doc_id, r.component_id, r.kept) for r in out} == {
