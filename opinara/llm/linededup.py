@@ -13,10 +13,13 @@ blocks, and what shares a key again emits the variants of that block. Each group
 earliest line (replaced characters) or around the line that has nothing deleted, so no pairs are expanded. The witness found
 for a line is verified by edit distance.
 
-Two edits: one third of the shorter line stands unchanged in the other, at most two characters off, which filters the lines.
-Then the edits fall into one block of ``PAIR_BLOCKS`` or into two, and lines are keyed by what is left, between and right of
-these. Groups of at most ``PAIRED`` rows are compared pair by pair. In larger ones each line emits patterns: its blocks with two
-wildcards, each in the place of a character or of none. Lines within two edits have a pattern in common, and all lines of a
+Two edits: of three pieces of the shorter line one stands unchanged in the other: the first (as far from the start), the last
+(as far from the end), or, if there is an edit in both of these, the middle one, at most one character off. The pieces are cut for the
+smallest of ``LENGTHS`` neighbouring lengths, so that a line has five or ten keys. Groups of at most ``FEW`` lines with a key in
+common are compared pair by pair. The lines of larger groups go on: their edits fall into one block of ``PAIR_BLOCKS`` or into
+two, and lines are keyed by what is left, between and right of these. In groups of at most ``PAIRED`` rows the blocks of each are
+compared with those of the others, which makes one row for each line. In larger ones each line emits patterns: its blocks with
+two wildcards, each in the place of a character or of none. Lines within two edits have a pattern in common, and all lines of a
 pattern are within two edits of each other, so a pattern is a star around its earliest line.
 
 Everything is DataFrame functions. Lines travel as two 64-bit hashes; texts are shuffled at most once, when the lines are taken
@@ -37,7 +40,8 @@ from opinara.storage import stage
 
 FUZZY_FROM = 20
 BLOCKS = 32
-PAIR_BLOCKS, PAIRED = 8, 16
+PAIR_BLOCKS, PAIRED = 8, 1024
+LENGTHS, FEW = 8, 16
 BROADCAST_DOCS, BROADCAST_LINES = 500_000, 4_000_000
 
 
@@ -59,28 +63,34 @@ def _half_keys(line: Column, n: Column, fuzzy_from: int) -> Column:
 
 
 def _third_keys(line: Column, n: Column, fuzzy_from: int) -> Column:
-    """Keys of a line's thirds, cut for its own length and for one and two less; the middle one at each shift two edits allow."""
+    """Keys of a line's first, middle and last piece, cut for the class of its own length and, if another, of one and two less.
 
-    def keys(more: int) -> Column:
-        shorter = n - more
-        a, b = F.floor(shorter / 3).cast("int"), F.floor(shorter * 2 / 3).cast("int")
-        shifts = [s for s in (-1, 0, 1, 2) if abs(s) + abs(more - s) <= 2]
-        parts = [(0, F.lit(0), a), (2, b + more, shorter - b), *((1, a + s, b - a) for s in shifts)]
-        hashes = [F.xxhash64(F.lit(which), shorter, _part(line, begin, size)) for which, begin, size in parts]
-        return F.when(shorter >= fuzzy_from, F.array(*hashes)).otherwise(F.array().cast("array<bigint>"))
+    The middle piece is needed at one character off at most: two off, the first or the last piece has no edit.
+    """
+
+    def least(shorter: Column) -> Column:
+        return shorter - F.pmod(shorter - fuzzy_from, F.lit(LENGTHS))
 
-    return F.array_distinct(F.concat(*(keys(more) for more in range(3))))
+    def keys(low: Column) -> Column:
+        a, b = F.floor(low / 3).cast("int"), F.floor(low * 2 / 3).cast("int")
+        parts = [(0, F.lit(0), a), (2, n - (low - b), low - b), *((1, a + s, b - a) for s in (-1, 0, 1))]
+        return F.array(*(F.xxhash64(F.lit(which), low, _part(line, begin, size)) for which, begin, size in parts))
+
+    none = F.array().cast("array<bigint>")
+    own = F.when(n >= fuzzy_from, keys(least(n))).otherwise(none)
+    below = F.when((n - 2 >= fuzzy_from) & (least(n - 2) != least(n)), keys(least(n - 2))).otherwise(none)
+    return F.array_distinct(F.concat(own, below))
 
 
 def _occurrences(docs: DataFrame, fuzzy_from: int, edits: int) -> DataFrame:
-    """One row per line that is not blank: where it stands, two hashes, half keys (keys of thirds for two edits)."""
+    """One row per line that is not blank: where it stands, two hashes, length, half keys (keys of thirds for two edits)."""
     keys = _half_keys if edits == 1 else _third_keys
     split = docs.select("doc", "h", F.posexplode(F.split("text", "\n")).alias("pos", "line"))
     lines = split.filter(F.trim("line") != "").withColumn("n", F.char_length("line"))
     return lines.select(
         F.struct(F.col("doc").isNull().alias("last"), "doc", "h", "pos").alias("at"),
         F.xxhash64("line").alias("k1"), F.xxhash64(F.lit(1), "line").alias("k2"),
-        keys(F.col("line"), F.col("n"), fuzzy_from).alias("halves"),
+        "n", keys(F.col("line"), F.col("n"), fuzzy_from).alias("halves"),
     )
 
 
@@ -193,17 +203,47 @@ def _wildcards(text: Column, begin: Column) -> Column:
     return F.concat(at(1), at(0))
 
 
+def _third_pairs(classes: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Pairs of lines (k1, k2 and l1, l2) that share a third in a group of at most ``FEW``, and the lines of larger groups."""
+    keyed = classes.select("k1", "k2", "n", F.explode("halves").alias("third")).repartition("third")
+    line = F.struct("k1", "k2")
+    sizes = keyed.groupBy("third").agg(F.min(line).alias("x"), F.max(line).alias("y"), F.count("n").alias("size"))
+    # The count is of n, so that both sides of the join read the same columns and the rows are shuffled once.
+    shared = stage(keyed.join(sizes.filter("x != y").select("third", "size"), "third"), "line_thirds")
+
+    few = shared.filter(F.col("size") <= FEW).groupBy("third").agg(F.collect_list(F.struct("k1", "k2", "n")).alias("lines"))
+    few = few.select("lines", F.explode("lines").alias("own"))
+    later = lambda o: (o > F.col("own")) & (F.abs(o.n - F.col("own.n")) <= 2)
+    few = few.select("own.k1", "own.k2", F.explode(F.filter("lines", later)).alias("o"))
+    pairs = few.select("k1", "k2", F.col("o.k1").alias("l1"), F.col("o.k2").alias("l2")).distinct()
+    return stage(pairs, "line_pairs"), stage(shared.filter(F.col("size") > FEW).select("k1", "k2").distinct(), "line_crowds")
+
+
+def _near_lines(texts: DataFrame, pairs: DataFrame) -> DataFrame:
+    """Lines (k1, k2) of the pairs within two edits whose partner is earlier."""
+    own = texts.select("k1", "k2", "at", F.col("line").alias("own"))
+    other = texts.select(F.col("k1").alias("l1"), F.col("k2").alias("l2"), F.col("at").alias("other_at"), F.col("line").alias("other"))
+    near = pairs.join(own, ["k1", "k2"]).join(other, ["l1", "l2"]).filter(F.levenshtein("own", "other", 2).between(0, 2))
+    going = F.when(F.col("at") > F.col("other_at"), F.struct("k1", "k2")).otherwise(F.struct(F.col("l1").alias("k1"), F.col("l2").alias("k2")))
+    return near.select(going.alias("line")).select("line.*")
+
+
 def _near_two(texts: DataFrame, fuzzy_from: int) -> DataFrame:
-    """Lines (k1, k2) with earlier ones (witness) that may be within two edits; one within them is among these, if any is."""
+    """Lines (k1, k2) with earlier ones (l1, l2) that may be within two edits; one within them is among these, if any is."""
     keys = ["shorter", "i", "j", "left", "middle", "right"]
     line = F.struct("at", "k1", "k2")
     rows = _pair_rows(texts, fuzzy_from).repartition(*keys)
     sizes = rows.groupBy(*keys).agg(F.min("k1").alias("x"), F.max("k1").alias("y"), F.count("*").alias("size"))
     rows = stage(rows.join(sizes.filter("x != y").select(*keys, "size"), keys), "line_blocks")
 
-    few = rows.filter(F.col("size") <= PAIRED).groupBy(*keys).agg(F.collect_set(line).alias("lines"))
-    few = few.select("lines", F.explode("lines").alias("own"))
-    few = few.select("own.k1", "own.k2", F.explode(F.filter("lines", lambda o: o.at < F.col("own.at"))).alias("witness")).distinct()
+    def near(o: Column) -> Column:
+        one, other = F.levenshtein(o.one, F.col("own.one"), 2), F.levenshtein(o.other, F.col("own.other"), 2)
+        return (o.line.at < F.col("own.line.at")) & (one >= 0) & (other >= 0) & (one + other <= 2)
+
+    few = rows.filter(F.col("size") <= PAIRED).groupBy(*keys).agg(F.collect_list(F.struct(line.alias("line"), "one", "other")).alias("rows"))
+    few = few.select("rows", F.explode("rows").alias("own"))
+    few = few.select("own.line.k1", "own.line.k2", F.array_min(F.transform(F.filter("rows", near), lambda o: o.line)).alias("witness"))
+    few = few.filter("witness IS NOT NULL").groupBy("k1", "k2").agg(F.min("witness").alias("witness"))
 
     first = _wildcards(F.col("one"), F.lit(1))
     many = rows.filter(F.col("size") > PAIRED).withColumn("first", F.explode(first))
@@ -214,7 +254,31 @@ def _near_two(texts: DataFrame, fuzzy_from: int) -> DataFrame:
     many = many.select(pattern.alias("pattern"), "at", "k1", "k2").repartition("pattern")
     earliest = many.groupBy("pattern").agg(F.min(line).alias("witness"), F.max("at").alias("last")).filter(F.col("witness.at") < F.col("last"))
     star = many.join(earliest, "pattern").filter(F.col("witness.at") < F.col("at"))
-    return few.unionByName(star.groupBy("k1", "k2").agg(F.min("witness").alias("witness")))
+    found = few.unionByName(star.groupBy("k1", "k2").agg(F.min("witness").alias("witness")))
+    return found.select("k1", "k2", F.col("witness.k1").alias("l1"), F.col("witness.k2").alias("l2"))
+
+
+def _near_by_one(rows: DataFrame, classes: DataFrame, fuzzy_from: int) -> DataFrame:
+    """Lines (k1, k2) within one edit of an earlier one."""
+    halves = classes.select("k1", "k2", F.explode("halves").alias("half")).repartition("half")
+    several = halves.groupBy("half").agg(F.min(F.struct("k1", "k2")).alias("x"), F.max(F.struct("k1", "k2")).alias("y")).filter("x != y")
+    paired = halves.join(several.select("half"), "half", "left_semi").select("k1", "k2").distinct()
+    maybe = classes.join(paired, ["k1", "k2"]).select(F.col("first").alias("at"), "k1", "k2")
+    texts = stage(_texts(rows, maybe), "line_texts")
+    found = _witnesses(_variants(_sharing(_block_rows(texts, fuzzy_from), ["shorter", "block", "left", "right"])))
+    own = texts.select("k1", "k2", F.col("line").alias("own"))
+    other = texts.select(F.struct("at", "k1", "k2").alias("witness"), F.col("line").alias("other"))
+    return found.join(own, ["k1", "k2"]).join(other, "witness").filter(F.levenshtein("own", "other", 1).between(0, 1))
+
+
+def _near_by_two(rows: DataFrame, classes: DataFrame, fuzzy_from: int) -> DataFrame:
+    """Lines (k1, k2) within two edits of an earlier one."""
+    pairs, crowds = _third_pairs(classes)
+    wanted = pairs.select("k1", "k2").union(pairs.select("l1", "l2")).union(crowds).distinct()
+    maybe = classes.join(wanted, ["k1", "k2"]).select(F.col("first").alias("at"), "k1", "k2")
+    texts = stage(_texts(rows, maybe), "line_texts")
+    crowded = _near_two(texts.join(crowds, ["k1", "k2"], "left_semi"), fuzzy_from)
+    return _near_lines(texts, pairs.unionByName(crowded))
 
 
 def dropped_lines(
@@ -229,25 +293,14 @@ def dropped_lines(
     rows = rows.withColumn("h", F.xxhash64("text"))
     lines = stage(_occurrences(rows, fuzzy_from, edits), "lines")
     # Lines of repeated rows are one occurrence: they stand at the same place.
-    classes = lines.groupBy("k1", "k2").agg(F.min("at").alias("first"), F.max("at").alias("last"), F.first("halves").alias("halves"))
+    classes = lines.groupBy("k1", "k2").agg(
+        F.min("at").alias("first"), F.max("at").alias("last"), F.first("n").alias("n"), F.first("halves").alias("halves")
+    )
     classes = stage(classes, "line_classes")
-    halves = classes.select("k1", "k2", F.explode("halves").alias("half")).repartition("half")
-    several = halves.groupBy("half").agg(F.min(F.struct("k1", "k2")).alias("x"), F.max(F.struct("k1", "k2")).alias("y")).filter("x != y")
-    paired = halves.join(several.select("half"), "half", "left_semi").select("k1", "k2").distinct()
-    maybe = classes.join(paired, ["k1", "k2"]).select(F.col("first").alias("at"), "k1", "k2")
-    texts = stage(_texts(rows, maybe), "line_texts")
-
-    if edits == 1:
-        blocks = _sharing(_block_rows(texts, fuzzy_from), ["shorter", "block", "left", "right"])
-        found = _witnesses(_variants(blocks))
-    else:
-        found = _near_two(texts, fuzzy_from)
-    own = texts.select("k1", "k2", F.col("line").alias("own"))
-    other = texts.select(F.struct("at", "k1", "k2").alias("witness"), F.col("line").alias("other"))
-    verified = found.join(own, ["k1", "k2"]).join(other, "witness").filter(F.levenshtein("own", "other", edits).between(0, edits))
+    nearer = _near_by_one(rows, classes, fuzzy_from) if edits == 1 else _near_by_two(rows, classes, fuzzy_from)
 
     repeated = classes.filter("first != last").select("k1", "k2", "first", F.lit(False).alias("near"))
-    near = verified.select("k1", "k2", F.lit(None).cast(classes.schema["first"].dataType).alias("first"), F.lit(True).alias("near"))
+    near = nearer.select("k1", "k2", F.lit(None).cast(classes.schema["first"].dataType).alias("first"), F.lit(True).alias("near"))
     going = repeated.unionByName(near).groupBy("k1", "k2").agg(F.max("first").alias("first"), F.max("near").alias("near"))
     gone = lines.select("at", "k1", "k2").join(going, ["k1", "k2"]).filter(F.col("near") | (F.col("at") != F.col("first")))
     return gone.select("at.doc", "at.h", "at.pos")

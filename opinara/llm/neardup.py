@@ -8,9 +8,11 @@ candidates; a pair at similarity 0.8 shares none of 96 bands with a probability
 Documents with equal sets are one node. Candidates are not expanded into pairs at first: each node is compared with the
 smallest node it shares a band with; the links found give components. In bands that hold several components each node is then
 compared with the first and the last node, and only the bands that still hold several are expanded, across components. Rows
-of open bands carry the set's size and two mixed bits of each kept value. Pairs whose sizes or whose bits rule the threshold out
-(more differences than at the threshold by six standard deviations) end within the join of the band: they are never rows of
-their own. Each link is confirmed on the full sets of 64-bit shingle hashes.
+of open bands carry the set's size, two mixed bits of each kept value and the parities of the set: for each of ``PARITIES`` parts of
+the hash range, whether it holds an odd number of elements. Two sets differ in at least as many elements as in parities, which
+loses no link and, up to some ``PARITIES`` elements, tells pairs just below the threshold from links. Pairs whose sizes, parities or
+bits rule the threshold out (more differing bits than at the threshold by six standard deviations) end within the join of the
+band: they are never rows of their own. Each link is confirmed on the full sets of 64-bit shingle hashes.
 
 Cases: a document without words (also null) has an empty set and is linked with nothing, not even another such; with fewer
 words than a shingle, its words are its only element. Rows with the same id are one document: its first set by size and hash
@@ -35,6 +37,9 @@ from opinara.storage import stage
 BANDS, PER_BAND = 96, 4
 #: Longs in a plane: one mixed bit of every kept value.
 PLANES, PLANE_LONGS = 2, 2 * BANDS * PER_BAND // 64
+#: Parts of the hash range whose parities are kept, a power of two, and the longs they take.
+PARITIES = 2048
+PARITY_LONGS = PARITIES // 64
 BROADCAST_IDS = 1_000_000
 _GENERATOR = np.random.default_rng(20240)
 FACTORS = _GENERATOR.integers(0, 1 << 32, BANDS * PER_BAND, np.uint32) | np.uint32(1)
@@ -89,6 +94,12 @@ def bit_planes(low: np.ndarray, high: np.ndarray) -> np.ndarray:
     return np.concatenate(planes, axis=1).view(np.int64)
 
 
+def parities(elements: np.ndarray) -> np.ndarray:
+    """Parity of the number of elements in each part of the hash range, as longs."""
+    counts = np.bincount((elements & np.uint64(PARITIES - 1)).astype(np.int64), minlength=PARITIES)
+    return np.packbits((counts & 1).astype(np.uint8)).view(np.int64)
+
+
 def digest(elements: np.ndarray) -> tuple[int, int]:
     """128 bits that identify a set."""
     sums = (mix(elements ^ np.uint64(seed)).sum(dtype=np.uint64) for seed in (0x5555, 0xAAAA0000))
@@ -98,13 +109,14 @@ def digest(elements: np.ndarray) -> tuple[int, int]:
 def _sketch(batches: Iterator[pa.RecordBatch], words: int) -> Iterator[pa.RecordBatch]:
     hasher = WordHasher()
     for part in slices(batches):
-        sizes, digests, lows, highs = [], [], [], []
+        sizes, digests, lows, highs, odd = [], [], [], [], []
         for elements in shingle_sets(part, hasher, words):
             low, high = min_max(elements)
             sizes.append(len(elements))
             digests.append(digest(elements))
             lows.append(low)
             highs.append(high)
+            odd.append(parities(elements))
         low, high, n = np.array(lows), np.array(highs), len(sizes)
         planes = bit_planes(low, high)
         width = planes.shape[1]
@@ -115,8 +127,9 @@ def _sketch(batches: Iterator[pa.RecordBatch], words: int) -> Iterator[pa.Record
             *(pa.array([d[i] for d in digests], pa.int64()) for i in (0, 1)),
             pa.ListArray.from_arrays(pa.array(np.arange(0, BANDS * (n + 1), BANDS, dtype=np.int32)), pa.array(keys)),
             pa.ListArray.from_arrays(pa.array(np.arange(0, width * (n + 1), width, dtype=np.int32)), pa.array(planes.ravel())),
+            pa.ListArray.from_arrays(pa.array(np.arange(0, PARITY_LONGS * (n + 1), PARITY_LONGS, dtype=np.int32)), pa.array(np.concatenate(odd))),
         ]
-        yield pa.RecordBatch.from_arrays(columns, ["doc", "n", "k1", "k2", "bands", "planes"])
+        yield pa.RecordBatch.from_arrays(columns, ["doc", "n", "k1", "k2", "bands", "planes", "odd"])
 
 
 def _sets_of(rows: DataFrame, wanted: DataFrame, words: int) -> DataFrame:
@@ -166,7 +179,7 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", wo
         raise ValueError("at least one word per shingle and a threshold of 50 to 100 percent are needed")
     rows = docs.select(docs[key].alias("doc"), docs[text].alias("text"))
     kind = docs.schema[key].dataType.simpleString()
-    fields = f"doc {kind}, n long, k1 long, k2 long, bands array<long>, planes array<long>"
+    fields = f"doc {kind}, n long, k1 long, k2 long, bands array<long>, planes array<long>, odd array<long>"
     sketches = stage(rows.mapInArrow(lambda b: _sketch(b, words), fields), "sketches")
 
     nodes = sketches.filter("doc IS NOT NULL AND n > 0")
@@ -187,10 +200,10 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", wo
         return stage(_beside(pairs, sets, "elements").mapInArrow(lambda b: _confirm(b, percent), f"a {kind}, b {kind}"), "links")
 
     most = most_differences(percent)
-    planes_of = sketches.join(own, "doc").filter(same_set).select("doc", "planes")
+    planes_of = sketches.join(own, "doc").filter(same_set).select("doc", "planes", "odd")
 
     def open_bands(links: DataFrame) -> DataFrame:
-        """Rows (band, x) of the bands that hold several components, x with the component, the size, the planes and all its such bands."""
+        """Rows (band, x) of the bands that hold several components, x with the component, the size, planes, parities and all its such bands."""
         labelled = crowded.join(components(links), F.col("doc") == F.col("node"), "left").select(
             "band", "doc", F.coalesce("component", "doc").alias("component")
         )
@@ -198,11 +211,11 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", wo
         left = stage(labelled.join(several, "band", "left_semi"), "bands")
         every = left.groupBy("doc").agg(F.collect_set("band").alias("open"))
         carried = left.join(own, "doc").join(planes_of, "doc").join(every, "doc")
-        return stage(carried.select("band", F.struct("doc", F.col("set.n").alias("n"), "component", "planes", "open").alias("x")), "bands")
+        return stage(carried.select("band", F.struct("doc", F.col("set.n").alias("n"), "component", "planes", "odd", "open").alias("x")), "bands")
 
     def likely(x: Column, y: Column) -> Column:
         size = (x.n * 100 >= y.n * percent) & (y.n * 100 >= x.n * percent)
-        return (x.component != y.component) & size & (differences(x.planes, y.planes) <= most)
+        return (x.component != y.component) & size & few_apart(x, y, percent) & (differences(x.planes, y.planes) <= most)
 
     def compared(pairs: DataFrame) -> DataFrame:
         """Links among likely pairs (x, y)."""
@@ -238,6 +251,12 @@ def first_shared(x: Column, y: Column) -> Column:
     return F.array_min(F.array_intersect(x.open, y.open))
 
 
+def few_apart(x: Column, y: Column, percent: int) -> Column:
+    """Whether the parities leave room for a link: linked sets differ in (100 - percent) / (100 + percent) of both sizes' sum at most."""
+    apart = reduce(Column.__add__, (F.bit_count(x.odd[i].bitwiseXOR(y.odd[i])) for i in range(PARITY_LONGS)))
+    return apart * (100 + percent) <= (x.n + y.n) * (100 - percent)
+
+
 def differences(x: Column, y: Column) -> Column:
     """Number of kept values in which the planes of two sets differ."""
     either = [reduce(Column.bitwiseOR, (x[p + i].bitwiseXOR(y[p + i]) for p in range(0, PLANES * PLANE_LONGS, PLANE_LONGS))) for i in range(PLANE_LONGS)]

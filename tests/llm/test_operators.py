@@ -236,6 +236,45 @@ def test_a_pair_meets_in_one_of_its_bands(spark):
     assert [r[0] for r in rows.select(neardup.first_shared(F.col("x"), F.col("y"))).collect()] == [-7, None]
 
 
+def counted(monkeypatch, module):
+    """Rows of the staged tables of a module by name, in order."""
+    made, whole = {}, module.stage
+
+    def stage(df, name):
+        out = whole(df, name)
+        made.setdefault(name, []).append(out.count())
+        return out
+
+    monkeypatch.setattr(module, "stage", stage)
+    return made
+
+
+def test_pairs_just_below_the_threshold_make_no_rows(spark, monkeypatch):
+    base = [f"w{i}" for i in range(200)]
+    # Two of these share 190 of 208 shingles or, with the first, 191 of 207: similar, but no link at 94 %.
+    whole = {i: " ".join([*base[: 6 * i], f"x{i}", f"v{i}", *base[6 * i + 2 : -3], f"y{i}", f"z{i}", f"u{i}"]) for i in range(30)}
+    made = counted(monkeypatch, neardup)
+    docs = spark.createDataFrame(list(whole.items()), "doc_id long, text string")
+    got = {r.doc_id: (r.n_shingles, r.component_id) for r in neardup.near_duplicates(docs, words=2, percent=94).collect()}
+    assert got == brute_groups(whole, 2, 94) and len({c for _, c in got.values()}) == 30
+    assert made["pairs"][0] == 29 and made["pairs"][1:] == [0, 0]
+
+
+def test_parities_lose_no_link(spark):
+    rng = random.Random(9)
+    rows = []
+    for _ in range(300):
+        n, apart = rng.choice([5, 50, 900, 6000]), rng.random() / 4
+        common = neardup.np.array([rng.getrandbits(64) for _ in range(n)], "uint64")
+        x, y = (neardup.np.array([rng.getrandbits(64) for _ in range(round(n * apart * rng.random()))], "uint64") for _ in "xy")
+        x, y = (neardup.np.concatenate([common, v]) for v in (x, y))
+        link = 100 * n >= 80 * (len(x) + len(y) - n)
+        rows.append((link, (len(x), neardup.parities(x).tolist()), (len(y), neardup.parities(y).tolist())))
+    sets = spark.createDataFrame(rows, "link boolean, x struct<n:long,odd:array<long>>, y struct<n:long,odd:array<long>>")
+    told = sets.select("link", neardup.few_apart(F.col("x"), F.col("y"), 80).alias("may")).collect()
+    assert all(r.may for r in told if r.link) and any(not r.may for r in told)
+
+
 def test_near_duplicates_of_odd_rows(spark):
     out = neardup.near_duplicates(odd_docs(spark)).collect()
     assert len(out) == 8 and {(r.doc_id, r.component_id, r.kept) for r in out} == {
@@ -283,6 +322,24 @@ def test_lines_within_two_edits_equal_brute_force(spark, monkeypatch, paired):
     assert got == {1: one, 2: want} and len(one) < len(want) < 90
 
 
+@pytest.mark.parametrize("paired", [2, 1024])
+def test_lines_within_two_edits_of_crowds_equal_brute_force(spark, monkeypatch, paired):
+    monkeypatch.setattr(linededup, "FEW", 1)
+    test_lines_within_two_edits_equal_brute_force(spark, monkeypatch, paired)
+
+
+def test_lines_that_share_a_third_with_few_are_not_cut_into_blocks(spark, monkeypatch):
+    rng = random.Random(8)
+    lines = [f"{g:05d}{'a' * 15}" + "".join(rng.choice("abcdefgh") for _ in range(30)) for g in range(20) for _ in range(5)]
+    near = lines[7][:30] + "X" + lines[7][31:-1]
+    cut, near_two = [], linededup._near_two
+    monkeypatch.setattr(linededup, "_near_two", lambda texts, *more: cut.append(texts.count()) or near_two(texts, *more))
+    docs = texts(spark, *lines, near)
+    keys = linededup._occurrences(docs.select(F.col("doc_id").alias("doc"), F.lit(0).alias("h"), "text"), 20, 2)
+    assert [r.doc for r in linededup.dropped_lines(docs, edits=2).collect()] == [100] and cut == [0]
+    assert keys.agg(F.max(F.size("halves"))).first()[0] <= 10
+
+
 def test_block_maxima_are_exact():
     rng = bpe.np.random.default_rng(3)
     pairs = bpe.np.unique(rng.integers(0, 40, (900, 2)) * [1, 5] + [0, 1], axis=0)
