@@ -54,7 +54,7 @@ def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 def tokenize(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids of each text, and whether they decode to it."""
     tokenizer = bpe.broadcast_tokenizer(spark, TOKENIZER)
-    coded = bpe.decode(bpe.encode(docs, tokenizer), tokenizer)
+    coded = bpe.encode_and_decode(docs, tokenizer)
     same = F.col("decoded") == F.coalesce("text", F.lit(""))
     return coded.select("doc_id", "lang", "source", F.size("token_ids").alias("n_tokens"), "token_ids", same.alias("round_trip"))
 

@@ -33,7 +33,7 @@ from pyspark import Broadcast
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
-from opinara.llm.flat import slices
+from opinara.llm.flat import released, slices
 
 #: Fixed value: how byte-level tokenizers cut a text into pieces.
 PIECES = r"'(?:[sdmt]|ll|ve|re)| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
@@ -282,32 +282,39 @@ def _added(df: DataFrame, fields: str) -> StructType:
     return StructType([*df.schema.fields, *StructType.fromDDL(fields).fields])
 
 
+def _encoded(batches: Iterator[pa.RecordBatch], tokenizer: Broadcast, text: str) -> Iterator[pa.RecordBatch]:
+    encoder = Encoder(_vocabulary(tokenizer))
+    for part in slices(batches, text):
+        ids = [encoder.encode(part.text(i).decode()) for i in range(part.rows.num_rows)]
+        ends = np.cumsum([0, *map(len, ids)]).astype(np.int32)
+        lists = pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(ids)))
+        yield pa.RecordBatch.from_arrays([*part.rows.columns, lists], [*part.rows.schema.names, "token_ids"])
+
+
+def _decoded(batches: Iterator[pa.RecordBatch], tokenizer: Broadcast, ids: str) -> Iterator[pa.RecordBatch]:
+    decoder = Decoder(_vocabulary(tokenizer))
+    for batch in batches:
+        for first in range(0, batch.num_rows, 256):
+            part = batch.slice(first, 256)
+            lists = part.column(part.schema.get_field_index(ids))
+            texts = [decoder.decode(x.values.to_numpy() if x.is_valid else np.zeros(0, np.int32)) for x in lists]
+            yield pa.RecordBatch.from_arrays([*part.columns, pa.array(texts, pa.string())], [*part.schema.names, "decoded"])
+
+
 def encode(docs: DataFrame, tokenizer: Broadcast, text: str = "text") -> DataFrame:
     """``docs`` with ``token_ids`` (array of int)."""
     rows = docs.drop("token_ids")
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = Encoder(_vocabulary(tokenizer))
-        for part in slices(batches, text):
-            ids = [encoder.encode(part.text(i).decode()) for i in range(part.rows.num_rows)]
-            ends = np.cumsum([0, *map(len, ids)]).astype(np.int32)
-            lists = pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(ids)))
-            yield pa.RecordBatch.from_arrays([*part.rows.columns, lists], [*part.rows.schema.names, "token_ids"])
-
-    return rows.mapInArrow(run, _added(rows, "token_ids array<int>"))
+    return rows.mapInArrow(lambda b: released(_encoded(b, tokenizer, text)), _added(rows, "token_ids array<int>"))
 
 
 def decode(encoded: DataFrame, tokenizer: Broadcast, ids: str = "token_ids") -> DataFrame:
     """``encoded`` with ``decoded`` (string); a null list decodes to the empty text."""
     rows = encoded.drop("decoded")
+    return rows.mapInArrow(lambda b: released(_decoded(b, tokenizer, ids)), _added(rows, "decoded string"))
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        decoder = Decoder(_vocabulary(tokenizer))
-        for batch in batches:
-            for first in range(0, batch.num_rows, 256):
-                part = batch.slice(first, 256)
-                lists = part.column(part.schema.get_field_index(ids))
-                texts = [decoder.decode(x.values.to_numpy() if x.is_valid else np.zeros(0, np.int32)) for x in lists]
-                yield pa.RecordBatch.from_arrays([*part.columns, pa.array(texts, pa.string())], [*part.schema.names, "decoded"])
 
-    return rows.mapInArrow(run, _added(rows, "decoded string"))
+def encode_and_decode(docs: DataFrame, tokenizer: Broadcast, text: str = "text") -> DataFrame:
+    """``decode(encode(docs))`` in one pass: a task needs one Python worker, with one vocabulary, where the two need one each."""
+    rows = docs.drop("token_ids", "decoded")
+    fields = _added(rows, "token_ids array<int>, decoded string")
+    return rows.mapInArrow(lambda b: released(_decoded(_encoded(b, tokenizer, text), tokenizer, "token_ids")), fields)

@@ -28,9 +28,10 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from opinara.llm.blockmax import BlockMaxIndex, ragged
-from opinara.llm.flat import PUNCTUATION, HashTable, Slice, WordHasher, folded, mix, slices
+from opinara.llm.flat import PUNCTUATION, HashTable, Slice, WordHasher, folded, mix, released, slices
 from opinara.storage import stage
 
 SHARD_ITEMS, SHARD_CHARS = 4_000, 4_000_000
@@ -205,7 +206,8 @@ def contaminated(
     spark, kind = docs.sparkSession, docs.schema[key].dataType.simpleString()
     rows = docs.select(docs[key].alias("key"), docs[text].alias("text"))
     fields = f"key {kind}, item_id long, score double, question_overlap double, answer_overlap double"
-    found = spark.createDataFrame([], fields)
+    # Rows of the driver would need Python workers of their own on every executor, which then stay.
+    found = spark.range(0).select(*(F.lit(None).cast(f.dataType).alias(f.name) for f in StructType.fromDDL(fields)))
     for shard in _shards(benchmark, item_id, item_text):
         held = spark.sparkContext.broadcast(shard)
 
@@ -224,6 +226,6 @@ def contaminated(
                 values = [pa.array(c, t) for c, t in zip(columns[1:], (pa.int64(), pa.float64(), pa.float64(), pa.float64()))]
                 yield pa.RecordBatch.from_arrays([keys, *values], ["key", "item_id", "score", "question_overlap", "answer_overlap"])
 
-        found = found.union(rows.mapInArrow(run, fields))
+        found = found.union(rows.mapInArrow(lambda b, run=run: released(run(b)), fields))
     best = [F.max(c).alias(c) for c in ("score", "question_overlap", "answer_overlap")]
     return found.groupBy("key", "item_id").agg(*best).withColumnRenamed("key", key)

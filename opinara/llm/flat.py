@@ -63,6 +63,13 @@ def slices(batches: Iterable[pa.RecordBatch], column: str = "text", size: int =
             first = last
 
 
+def released(results: Iterator) -> Iterator:
+    """The results of a task. At its end what Arrow keeps of the memory it no longer needs goes back to the system: Python
+    workers outlive their tasks."""
+    yield from results
+    pa.default_memory_pool().release_unused()
+
+
 def mix(x: np.ndarray) -> np.ndarray:
     """Spread the bits of 64-bit values (a fixed bijection)."""
     x = x ^ (x >> np.uint64(30))

@@ -24,12 +24,11 @@ from itertools import chain
 from typing import NamedTuple
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from opinara.llm.flat import mix, slices
+from opinara.llm.flat import mix, released, slices
 
 BUCKETS = 1 << 15
 SHIFT = np.uint64(64 - 15)
@@ -103,7 +102,7 @@ def _presence(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def inverse_frequencies(texts: DataFrame) -> np.ndarray:
     """Smoothed idf per bucket over all rows; at most ``BUCKETS`` + 1 numbers reach the driver."""
-    parts = texts.mapInArrow(_presence, "bucket long, documents long")
+    parts = texts.mapInArrow(lambda b: released(_presence(b)), "bucket long, documents long")
     totals = {r.bucket: r.documents for r in parts.groupBy("bucket").agg(F.sum("documents").alias("documents")).collect()}
     n = totals.pop(-1, 0)
     frequency = np.zeros(BUCKETS)
@@ -175,18 +174,19 @@ def train(
             columns = [pa.array([f[0].astype(np.int32).tobytes() for f in found], pa.binary()), pa.array([f[1].tobytes() for f in found], pa.binary())]
             yield pa.RecordBatch.from_arrays([batch["key"], batch["label"], *columns], ["key", "label", "buckets", "values"])
 
-    def learn(sample: pd.DataFrame) -> pd.DataFrame:
-        sample = sample.sort_values(["order", "key", "label"])
-        examples = [(np.frombuffer(b, np.int32), np.frombuffer(v, np.float32)) for b, v in zip(sample["buckets"], sample["values"])]
+    def learn(sample: pa.Table) -> pa.Table:
+        sample = sample.sort_by([(c, "ascending") for c in ("order", "key", "label")])
+        pairs = zip(sample["buckets"].to_pylist(), sample["values"].to_pylist())
+        examples = [(np.frombuffer(b, np.int32), np.frombuffer(v, np.float32)) for b, v in pairs]
         labels = sample["label"].to_numpy()
         aside = np.arange(len(labels)) % 5 == 4
         weights, bias = fit([e for e, a in zip(examples, aside) if not a], labels[~aside], len(languages))
         logits = np.array([weights[:, b] @ v + bias for (b, v), a in zip(examples, aside) if a]).reshape(-1, len(languages))
-        return pd.DataFrame({"weights": [weights.tobytes()], "bias": [bias.tobytes()], "temperature": [temperature(logits, labels[aside])]})
+        return pa.table({"weights": [weights.tobytes()], "bias": [bias.tobytes()], "temperature": [temperature(logits, labels[aside])]})
 
-    sample = drawn.mapInArrow(vectors, "key string, label int, buckets binary, values binary")
+    sample = drawn.mapInArrow(lambda b: released(vectors(b)), "key string, label int, buckets binary, values binary")
     sample = sample.withColumn("order", F.xxhash64("key", F.lit(6)))
-    found = sample.groupBy().applyInPandas(learn, "weights binary, bias binary, temperature double").first()
+    found = sample.groupBy().applyInArrow(learn, "weights binary, bias binary, temperature double").first()
     weights = np.frombuffer(found.weights, np.float32).reshape(len(languages), BUCKETS)
     return Model(languages, idf, weights, np.frombuffer(found.bias, np.float64), found.temperature)
 
@@ -209,8 +209,7 @@ def predict(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
             scores.append(float(chances[best]))
         return names, scores
 
-    @F.arrow_udf("lang_pred string, score double")
-    def told(columns: Iterator[pa.Array]) -> Iterator[pa.Array]:
+    def results(columns: Iterator[pa.Array]) -> Iterator[pa.Array]:
         for column in columns:
             names, scores = [], []
             for texts in _texts(pa.RecordBatch.from_arrays([column], ["text"])):
@@ -219,6 +218,10 @@ def predict(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
                 scores += parts[1]
             yield pa.StructArray.from_arrays([pa.array(names, pa.string()), pa.array(scores, pa.float64())], ["lang_pred", "score"])
 
+    @F.arrow_udf("lang_pred string, score double")
+    def told(columns: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        return released(results(columns))
+
     # Not deterministic by name only, so that a filter on the results does not evaluate the function a second time.
     rows = docs.drop("lang_pred", "score")
     guess = rows.withColumn("_told", told.asNondeterministic()(folded(rows[text])))

@@ -31,7 +31,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from opinara.llm.components import components
-from opinara.llm.flat import Slice, WordHasher, mix, slices
+from opinara.llm.flat import Slice, WordHasher, mix, released, slices
 from opinara.storage import stage
 
 BANDS, PER_BAND = 96, 4
@@ -149,7 +149,7 @@ def _sets_of(rows: DataFrame, wanted: DataFrame, words: int) -> DataFrame:
 
     few = wanted.count() <= BROADCAST_IDS
     chosen = rows.join(F.broadcast(wanted) if few else wanted, "doc").select("doc", "text", "set.*")
-    return chosen.mapInArrow(run, f"doc {rows.schema['doc'].dataType.simpleString()}, elements binary")
+    return chosen.mapInArrow(lambda b: released(run(b)), f"doc {rows.schema['doc'].dataType.simpleString()}, elements binary")
 
 
 def _confirm(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.RecordBatch]:
@@ -180,7 +180,7 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", wo
     rows = docs.select(docs[key].alias("doc"), docs[text].alias("text"))
     kind = docs.schema[key].dataType.simpleString()
     fields = f"doc {kind}, n long, k1 long, k2 long, bands array<long>, planes array<long>, odd array<long>"
-    sketches = stage(rows.mapInArrow(lambda b: _sketch(b, words), fields), "sketches")
+    sketches = stage(rows.mapInArrow(lambda b: released(_sketch(b, words)), fields), "sketches")
 
     nodes = sketches.filter("doc IS NOT NULL AND n > 0")
     of_doc = nodes.groupBy("doc").agg(F.min(F.struct("n", "k1", "k2")).alias("set"))
@@ -197,7 +197,7 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", wo
         pairs = stage(pairs, "pairs")
         wanted = pairs.select(F.col("a").alias("doc")).union(pairs.select("b")).distinct().join(own, "doc")
         sets = stage(_sets_of(rows, wanted, words), "sets")
-        return stage(_beside(pairs, sets, "elements").mapInArrow(lambda b: _confirm(b, percent), f"a {kind}, b {kind}"), "links")
+        return stage(_beside(pairs, sets, "elements").mapInArrow(lambda b: released(_confirm(b, percent)), f"a {kind}, b {kind}"), "links")
 
     most = most_differences(percent)
     planes_of = sketches.join(own, "doc").filter(same_set).select("doc", "planes", "odd")

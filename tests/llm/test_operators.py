@@ -5,7 +5,10 @@ from __future__ import annotations
 import hashlib
 import random
 import re
+import subprocess
+import sys
 from collections import defaultdict
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
@@ -136,6 +139,36 @@ def test_bpe_on_odd_rows(spark):
     assert bpe.encode(docs.limit(0), tokenizer).count() == 0
 
 
+def test_bpe_in_one_pass(spark):
+    docs = odd_docs(spark)
+    tokenizer = bpe.broadcast_tokenizer(spark, queries.TOKENIZER)
+    both, one = bpe.decode(bpe.encode(docs, tokenizer), tokenizer), bpe.encode_and_decode(docs, tokenizer)
+    assert one.schema == both.schema
+    assert sorted(map(repr, one.collect())) == sorted(map(repr, both.collect()))
+    assert bpe.encode_and_decode(docs.limit(0), tokenizer).count() == 0
+
+
+def test_tasks_need_one_python_worker(spark, data, capsys):
+    import corpus_pipeline as p
+
+    docs = queries.table(spark, data, "documents")
+    p.tokenize(spark, docs, data).explain()
+    assert capsys.readouterr().out.count("MapInArrow") == 1
+    decontaminate.contaminated(docs, queries.table(spark, data, "benchmark")).explain()
+    assert "ExistingRDD" not in capsys.readouterr().out  # rows of the driver come through workers of another kind
+
+
+def test_contaminated_without_items(spark):
+    docs = odd_docs(spark)
+    out = decontaminate.contaminated(docs, spark.createDataFrame([], "item_id long, text string"))
+    assert out.columns == ["doc_id", "item_id", "score", "question_overlap", "answer_overlap"] and out.count() == 0
+
+
+def test_workers_load_no_pandas():
+    code = "import sys, opinara.llm.language, opinara.llm.neardup, opinara.llm.bpe; sys.exit('pandas' in sys.modules)"
+    assert subprocess.run([sys.executable, "-c", code], cwd=Path(__file__).parents[2]).returncode == 0
+
+
 def test_fingerprints_follow_the_order_of_keys(spark, data):
     docs = queries.table(spark, data, "documents")
     whole = {r.doc_id: r.text or "" for r in docs.collect()}
