@@ -8,14 +8,14 @@ inside a longer one that has at least half its occurrences is dropped. The best
 Counting. Words are counted by text. A phrase can only be frequent if its parts are, so from one level to the next only places
 are asked whose parts passed: tasks test them against bit sets of a fixed size, made of the parts that passed, and add up 32-bit
 codes of the words of a phrase. Bit sets and codes can confuse words, never lose one, so these sums are upper bounds and the
-phrases that reach ``least`` hold all candidates. The candidates become double-array tries over word codes, two symbols a word,
-of at most ``MAX_KEYS`` phrases each, which bounds what is broadcast; more candidates mean more tries and more scans. Each task
-advances the states of all places of a text at once, word by word, and counts the states it reaches; the sums over all tasks are
-the exact counts. Two words of a group with one 64-bit hash would spoil that: the word table is checked, and the corpus is hashed
-with another seed if there are any.
+phrases that reach ``least`` hold all candidates. One more scan takes the word hashes of the places that begin a candidate, as the
+bit sets tell. Places and candidates are dealt by their first two words, so a place meets the one task that holds its candidates,
+however many there are. That task makes its candidates, about ``MAX_KEYS`` at most, a double-array trie over word codes, two symbols
+a word, advances the states of many places at once, word by word, and counts the states they reach: the exact counts. Two words of
+a group with one 64-bit hash would spoil that: the word table is checked, and the corpus is hashed with another seed if there are any.
 
 Tasks add up in batches before each shuffle, so a word or phrase that is everywhere is a row per batch. Texts are read four
-times (once more for every further trie) and never shuffled.
+times and never shuffled.
 
 Cases: null and empty texts have no words. Rows with a null group form the group ``unknown``. Repeated rows count as often as
 they stand there. Ties are ordered by phrase, in byte order. Texts are read whole. Empty tables and groups without candidates
@@ -31,11 +31,12 @@ from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from opinara.llm.flat import HashTable, Slice, WordHasher, mix, slices
+from opinara.llm.flat import BASE, HashTable, Slice, WordHasher, mix, slices
 from opinara.operators.skew import top_per_group
 from opinara.storage import stage
 
@@ -46,6 +47,8 @@ INSIDE_PERCENT = 50
 
 BITS = 26  # of a bit set: 8 MB
 MAX_KEYS = 1 << 20  # about 20 MB as a trie
+PACKED = 1 << 14  # places in a row
+WALKED = 1 << 18  # places advanced at once
 PIECE = 1 << 20  # bytes of a trie in a row
 LOW_BITS = 9
 PENDING = 1 << 22  # places that a task adds up at once
@@ -126,28 +129,45 @@ def _holds(bits: np.ndarray, numbers: np.ndarray) -> np.ndarray:
     return (bits[(numbers >> np.uint64(6)).astype(np.int64)] >> (numbers & np.uint64(63))) & np.uint64(1) == 1
 
 
-def _pair_bits(first: np.ndarray, second: np.ndarray) -> np.ndarray:
-    """Number of a pair of 32-bit codes below 2 ** BITS; ``_PAIR_BIT`` is the same in SQL."""
-    turned = (second << np.uint32(13)) | (second >> np.uint32(19))
-    return (first ^ turned) >> np.uint32(32 - BITS)
+TURNS = (0, 13, 22)
 
 
-_UNSIGNED = "({} & 4294967295)"
-_PAIR_BIT = (
-    f"shiftright({_UNSIGNED.format('w1')} ^ ((shiftleft({_UNSIGNED.format('w2')}, 13) & 4294967295) | shiftright({_UNSIGNED.format('w2')}, 19)), {32 - BITS})"
-)
+def _phrase_bits(*codes: np.ndarray) -> np.ndarray:
+    """Number of two or three 32-bit codes below 2 ** BITS; ``_phrase_bit`` is the same in SQL."""
+    turned = [(c << np.uint32(t)) | (c >> np.uint32(32 - t)) if t else c for c, t in zip(codes, TURNS)]
+    return reduce(np.bitwise_xor, turned) >> np.uint32(32 - BITS)
+
+
+def _phrase_bit(n: int) -> Column:
+    code = [f"(w{i + 1} & 4294967295)" for i in range(n)]
+    turned = [f"((shiftleft({c}, {t}) & 4294967295) | shiftright({c}, {32 - t}))" for c, t in zip(code, TURNS)]
+    return F.expr(f"shiftright({' ^ '.join(turned)}, {32 - BITS})").alias("bit")
+
+
+def _runs(key: np.ndarray, columns: list[np.ndarray]) -> tuple[list[np.ndarray], np.ndarray]:
+    """Equal rows as one with their number, in the order of ``key``, which tells most rows apart; those it confuses may come again."""
+    order = np.argsort(key)
+    columns = [c[order] for c in columns]
+    new = np.ones(len(order), bool)
+    new[1:] = reduce(np.logical_or, [c[1:] != c[:-1] for c in columns])
+    at = np.flatnonzero(new)
+    return [c[at] for c in columns], np.diff(at, append=len(order)).astype(np.int64)
 
 
 def _added_up(columns: list[np.ndarray]) -> pa.RecordBatch:
     """Rows of 32-bit codes, equal ones as one with their number."""
-    key = columns[0].astype(np.uint64)
-    for i, column in enumerate(columns[1:]):
-        if i:
-            key = np.unique(key, return_inverse=True)[1].astype(np.uint64)
-        key = (key << np.uint64(32)) | column
-    _, at, n = np.unique(key, return_index=True, return_counts=True)
-    arrays = [pa.array(c[at].view(np.int32)) for c in columns]
-    return pa.RecordBatch.from_arrays([*arrays, pa.array(n.astype(np.int64))], [*(f"w{i + 1}" for i in range(len(columns))), "n"])
+    key = (columns[0].astype(np.uint64) << np.uint64(32)) | columns[1]
+    if len(columns) == 3:
+        key ^= columns[2] * np.uint64(BASE)
+    columns, n = _runs(key, columns)
+    return pa.RecordBatch.from_arrays([*(pa.array(c.view(np.int32)) for c in columns), pa.array(n)], [*(f"w{i + 1}" for i in range(len(columns))), "n"])
+
+
+def _starts(words: Words, codes: np.ndarray, frequent: np.ndarray, pairs: np.ndarray | None) -> np.ndarray:
+    """Places of words that begin a pair of frequent words; with ``pairs``, a frequent pair."""
+    fine = _holds(frequent, words.hashes >> np.uint64(64 - BITS))
+    start = np.flatnonzero(words.joined[:-1] & fine[:-1] & fine[1:])
+    return start if pairs is None else start[_holds(pairs, _phrase_bits(codes[start], codes[start + 1]))]
 
 
 def _candidates(batches: Iterator[pa.RecordBatch], seed: int, frequent: np.ndarray, pairs: np.ndarray | None) -> Iterator[pa.RecordBatch]:
@@ -156,10 +176,8 @@ def _candidates(batches: Iterator[pa.RecordBatch], seed: int, frequent: np.ndarr
     for part in slices(batches):
         words = words_of(part, hasher, seed)
         codes = (words.hashes >> np.uint64(32)).astype(np.uint32)
-        fine = _holds(frequent, words.hashes >> np.uint64(64 - BITS))
-        start = np.flatnonzero(words.joined[:-1] & fine[:-1] & fine[1:])
+        start = _starts(words, codes, frequent, pairs)
         if pairs is not None:
-            start = start[_holds(pairs, _pair_bits(codes[start], codes[start + 1]))]
             start = start[np.isin(start + 1, start, assume_unique=True)]
         found.append([codes[start + i] for i in range(2 if pairs is None else 3)])
         held += len(start)
@@ -170,6 +188,49 @@ def _candidates(batches: Iterator[pa.RecordBatch], seed: int, frequent: np.ndarr
         yield _added_up([np.concatenate(c) for c in zip(*found)])
 
 
+def _part(first: np.ndarray, second: np.ndarray, parts: int) -> np.ndarray:
+    """Part to which the phrases with these first two words belong; ``_PART`` is the same in SQL."""
+    return (first ^ (second >> np.uint64(7))).view(np.int64) % parts
+
+
+_PART = "cast(pmod(x1 ^ shiftrightunsigned(x2, 7), {}) AS int)"
+
+
+def _places(batches: Iterator[pa.RecordBatch], seed: int, frequent: np.ndarray, pairs: np.ndarray, triples: np.ndarray, parts: int) -> Iterator[pa.RecordBatch]:
+    """Hashes of the words from each place on that begins a candidate, the third only where it belongs to one, equal places as one.
+    A row holds up to ``PACKED`` places of a part."""
+    hasher, found, held = _new_hasher(seed), [], 0
+    for part in slices(batches):
+        words = words_of(part, hasher, seed)
+        codes = (words.hashes >> np.uint64(32)).astype(np.uint32)
+        start = _starts(words, codes, frequent, pairs)
+        further = np.flatnonzero(np.isin(start + 1, start, assume_unique=True))
+        at = start[further]
+        further = further[_holds(triples, _phrase_bits(codes[at], codes[at + 1], codes[at + 2]))]
+        three = np.zeros(len(start), bool)
+        three[further] = True
+        third = np.zeros(len(start), np.uint64)
+        third[further] = words.hashes[start[further] + 2]
+        found.append([words.hashes[start], words.hashes[start + 1], third, three])
+        held += len(start)
+        if held > PENDING:
+            yield _packed([np.concatenate(c) for c in zip(*found)], parts)
+            found, held = [], 0
+    if held:
+        yield _packed([np.concatenate(c) for c in zip(*found)], parts)
+
+
+def _packed(columns: list[np.ndarray], parts: int) -> pa.RecordBatch:
+    (first, second, third, three), n = _runs(columns[0] ^ (columns[1] >> np.uint64(7)) ^ (columns[2] >> np.uint64(17)), columns)
+    part = _part(first, second, parts)
+    order = np.argsort(part)
+    part = part[order]
+    begin = np.union1d(np.flatnonzero(np.diff(part, prepend=-1)), np.arange(0, len(part), PACKED))
+    ends = pa.array(np.append(begin, len(part)).astype(np.int32))
+    values = [pa.array(first[order].view(np.int64)), pa.array(second[order].view(np.int64)), pa.array(third[order].view(np.int64), mask=~three[order]), pa.array(n[order])]
+    return pa.RecordBatch.from_arrays([pa.array(part[begin].astype(np.int32)), *(pa.ListArray.from_arrays(ends, v) for v in values)], ["part", "x1", "x2", "x3", "n"])
+
+
 def _frequent(rows: DataFrame, least: int, run, n_codes: int) -> DataFrame:
     """Phrases by codes whose sum reaches ``least``. Tasks have added up already, so no partial sums are built again."""
     codes = [f"w{i + 1}" for i in range(n_codes)]
@@ -256,9 +317,10 @@ class PhraseTrie:
                 settled = waiting & ~fails
                 self._settle(settled[group], parent, base[group] + symbol)
                 todo = np.flatnonzero(waiting & fails)
-        self._top = max(self._top, limit)
+        slots = base[group] + symbol
+        self._top = max(self._top, limit, int(slots.max()) + 1)  # the last children of a node may stand beyond the limit
         self.base[parent[first]] = base
-        return (base[group] + symbol)[inverse]
+        return slots[inverse]
 
     def _settle(self, rows: np.ndarray, parent: np.ndarray, slots: np.ndarray) -> None:
         self.check[slots[rows]] = parent[rows]
@@ -276,7 +338,10 @@ class PhraseTrie:
 
     def reached(self, codes: np.ndarray, joined: np.ndarray) -> list[np.ndarray]:
         """States of all places after two words, and after three."""
-        at = np.flatnonzero(codes >= 0)
+        return [states for _, states in self.walked(np.flatnonzero(codes >= 0), codes, joined)]
+
+    def walked(self, at: np.ndarray, codes: np.ndarray, joined: np.ndarray) -> list[tuple[np.ndarray, np.ndarray]]:
+        """The places of ``at`` that are in the trie with their states after two words, and after three."""
         states = 1 + codes[at]
         alive = self.check[states] == 0
         at, states, found = at[alive], states[alive], []
@@ -290,7 +355,7 @@ class PhraseTrie:
             at, states, code = at[alive], states[alive], code[alive]
             states, alive = self._step(states, code & ((1 << LOW_BITS) - 1))
             at, states = at[alive], states[alive]
-            found.append(states)
+            found.append((at, states))
         return found
 
     def to_pieces(self) -> list[bytes]:
@@ -304,35 +369,48 @@ class PhraseTrie:
         return cls(held["alphabet"], held["codes"].astype(np.int64), held["base"], held["check"])
 
 
-def _build(keys: pa.Table) -> pa.Table:
-    """State of every phrase of a shard; further rows carry the trie in pieces."""
-    sizes = np.where(keys["x3"].is_valid().to_numpy(zero_copy_only=False), 3, 2)
-    phrases = np.stack([keys[c].fill_null(0).to_numpy().view(np.uint64) for c in ("x1", "x2", "x3")], axis=1)
-    trie, states = PhraseTrie.build(phrases, sizes)
-    pieces = trie.to_pieces()
-    found = pa.table({"shard": keys["shard"], "id": keys["id"], "state": pa.array(states, pa.int64())})
-    packed = pa.table({"shard": pa.array([keys["shard"][0].as_py()] * len(pieces), pa.int32()), "piece": pa.array(range(len(pieces)), pa.int32()), "bytes": pa.array(pieces, pa.binary())})
-    return pa.concat_tables([found, packed], promote_options="default").select(["shard", "id", "state", "piece", "bytes"])
+def _hashes(rows: pa.Table) -> list[np.ndarray]:
+    """The columns x1 to x3 of packed rows, 0 for a missing third word."""
+    return [rows[c].combine_chunks().flatten().fill_null(0).to_numpy(zero_copy_only=False).view(np.uint64) for c in ("x1", "x2", "x3")]
+
+
+def _three(rows: pa.Table) -> np.ndarray:
+    return rows["x3"].combine_chunks().flatten().is_valid().to_numpy(zero_copy_only=False)
+
+
+def _count_phrases(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """id and a of the candidates of a part, in which they come before the places."""
+    keys, waiting, held, trie = [], [], 0, None
+    for batch in batches:
+        first = batch.num_rows - batch["id"].null_count
+        if first:
+            keys.append(batch.slice(0, first))
+        if first == batch.num_rows or not keys:  # places that only seemed to begin a candidate may be alone
+            continue
+        if trie is None:
+            table = pa.Table.from_batches(keys)
+            trie, states = PhraseTrie.build(np.stack(_hashes(table), axis=1), np.where(_three(table), 3, 2))
+            known, counts, ids = HashTable(trie.alphabet), np.zeros(len(trie.check), np.int64), table["id"]
+        waiting.append(batch.slice(first))
+        held += len(waiting[-1]["x1"].flatten())
+        if held > WALKED:
+            _walk(trie, known, counts, waiting)
+            waiting, held = [], 0
+    if trie is not None:
+        if held:
+            _walk(trie, known, counts, waiting)
+        yield from pa.table({"id": ids, "a": counts[states]}).filter(pc.field("a") > 0).to_batches(1 << 18)
 
 
-def _count_phrases(batches: Iterator[pa.RecordBatch], seed: int, pieces: list[bytes]) -> Iterator[pa.RecordBatch]:
-    trie = PhraseTrie.from_pieces(pieces)
-    table, hasher = HashTable(trie.alphabet), _new_hasher(seed)
-    counts, waiting, held = np.zeros(len(trie.check), np.int64), [], 0
-    for part in slices(batches):
-        words = words_of(part, hasher, seed)
-        states = trie.reached(trie.code_of(words.hashes, table), words.joined)
-        waiting += states
-        held += sum(map(len, states))
-        if held > PENDING:
-            counts += np.bincount(np.concatenate(waiting), minlength=len(counts))
-            waiting, held = [], 0
-    if held:
-        counts += np.bincount(np.concatenate(waiting), minlength=len(counts))
-    states = np.flatnonzero(counts)
-    for first in range(0, len(states), 1 << 18):
-        some = states[first : first + (1 << 18)]
-        yield pa.RecordBatch.from_arrays([pa.array(some), pa.array(counts[some])], ["state", "n"])
+def _walk(trie: PhraseTrie, known: HashTable, counts: np.ndarray, batches: list[pa.RecordBatch]) -> None:
+    """Adds the states that places reach, each as often as its row says."""
+    rows = pa.Table.from_batches(batches)
+    codes = np.stack([trie.code_of(hashes, known) for hashes in _hashes(rows)], axis=1)
+    joined = np.ones(codes.shape, bool)
+    joined[:, 1] = _three(rows)
+    n = rows["n"].combine_chunks().flatten().to_numpy()
+    for at, states in trie.walked(3 * np.flatnonzero(codes[:, 0] >= 0), codes.ravel(), joined.ravel()):
+        np.add.at(counts, states, n[at // 3])
 
 
 def phrase_counts(docs: DataFrame, text: str = "text", group: str = "lang", least: int = 10, unknown: str = "und", max_keys: int = MAX_KEYS) -> tuple[DataFrame, DataFrame]:
@@ -344,8 +422,9 @@ def phrase_counts(docs: DataFrame, text: str = "text", group: str = "lang", leas
     often = words.filter(F.col("n") >= least).select("group", "word", "hash", F.expr("cast(shiftright(hash, 32) AS int)").alias("w"))
     frequent = spark.sparkContext.broadcast(bit_set(often.select(F.expr(f"shiftrightunsigned(hash, {64 - BITS})").alias("bit"))))
     pairs = stage(_frequent(rows, least, lambda b: _candidates(b, seed, frequent.value, None), 2), "pairs")
-    fine = spark.sparkContext.broadcast(bit_set(pairs.select(F.expr(_PAIR_BIT).alias("bit"))))
-    triples = _frequent(rows, least, lambda b: _candidates(b, seed, frequent.value, fine.value), 3)
+    fine = spark.sparkContext.broadcast(bit_set(pairs.select(_phrase_bit(2))))
+    triples = stage(_frequent(rows, least, lambda b: _candidates(b, seed, frequent.value, fine.value), 3), "triples")
+    whole = spark.sparkContext.broadcast(bit_set(triples.select(_phrase_bit(3))))
 
     def named(codes: DataFrame, n: int) -> DataFrame:
         """Codes back to words; codes that several words share give several phrases, which the exact count sorts out."""
@@ -359,33 +438,22 @@ def phrase_counts(docs: DataFrame, text: str = "text", group: str = "lang", leas
 
     keys = named(pairs, 2).unionByName(named(triples, 3)).withColumn("id", F.monotonically_increasing_id())
     keys = stage(keys, "phrases")
-    shards = -(-keys.count() // max_keys)
-    dealt = keys.select("id", "x1", "x2", "x3", F.pmod(F.xxhash64("x1", "x2", "x3"), F.lit(max(shards, 1))).cast("int").alias("shard"))
-    built = "shard int, id long, state long, piece int, bytes binary"
-    tries = stage(dealt.groupBy("shard").applyInArrow(_build, built), "tries")
-    frequent.destroy()
-    fine.destroy()
-    counts = [_counted(rows, seed, tries.filter(F.col("shard") == shard)) for shard in range(shards)]
-    if not counts:
+    size = keys.count()
+    parts = max(-(-size // max_keys), min(size, int(spark.conf.get("spark.sql.shuffle.partitions"))))
+    if not parts:
         return words, keys.select("group", "phrase", "x1", "x2", "x3", F.lit(0).cast("long").alias("a"))
-    counted = reduce(DataFrame.unionByName, counts)
+    held = "x1 array<long>, x2 array<long>, x3 array<long>, n array<long>"
+    places = rows.mapInArrow(lambda b: _places(b, seed, frequent.value, fine.value, whole.value, parts), f"part int, {held}")
+    packed = keys.select(F.expr(_PART.format(parts)).alias("part"), *(F.array(x).alias(x) for x in ("x1", "x2", "x3")), F.array(F.lit(0).cast("long")).alias("n"), "id")
+    dealt = packed.unionByName(places.withColumn("id", F.lit(None).cast("long")))
+    dealt = dealt.repartitionById(parts, F.col("part")).sortWithinPartitions(F.col("id").isNull())
+    counted = stage(dealt.mapInArrow(_count_phrases, "id long, a long"), "phrase_sums")
+    for bits in (frequent, fine, whole):
+        bits.destroy()
     exact = keys.join(counted, "id").filter(F.col("a") >= least)
     return words, stage(exact.select("group", "phrase", "x1", "x2", "x3", "a"), "phrase_counts")
 
 
-def _counted(rows: DataFrame, seed: int, shard: DataFrame) -> DataFrame:
-    """id and a of the phrases of one trie, which is taken back from the tasks once they have counted."""
-    pieces = shard.filter("piece IS NOT NULL").select("piece", "bytes").toArrow().sort_by("piece")
-    if not pieces.num_rows:
-        return shard.select("id", F.col("state").alias("a"))
-    shared = rows.sparkSession.sparkContext.broadcast(pieces["bytes"].to_pylist())
-    del pieces
-    sums = rows.mapInArrow(lambda b: _count_phrases(b, seed, shared.value), "state long, n long").groupBy("state").agg(F.sum("n").alias("a"))
-    counted = stage(shard.filter("id IS NOT NULL").select("state", "id").join(sums, "state").select("id", "a"), "phrase_sums")
-    shared.destroy()
-    return counted
-
-
 def _score(left: str, right: str) -> Column:
     """1000000 * a * a / (left * right), rounded down, in whole numbers of up to 38 digits."""
     whole = lambda c: f"cast({c} AS decimal(14, 0))"

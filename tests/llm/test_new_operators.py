@@ -107,6 +107,34 @@ def test_double_array_steps_to_phrases_only():
     assert [int(counts[s]) for s in states] == [seen[tuple(k)] for k in keys]
 
 
+def test_texts_are_read_four_times_whatever_the_number_of_tries(spark):
+    reads, texts = spark.sparkContext.accumulator(0), invented(150)
+
+    @F.udf("string")
+    def counted(text):
+        reads.add(1)
+        return text
+
+    docs = spark.createDataFrame([(t, "fr") for t in texts], "text string, lang string")
+    rows = docs.withColumn("text", counted("text"))
+    assert phrases.phrase_counts(rows, least=4, max_keys=7)[1].count() > 70
+    assert reads.value == 4 * len(texts)
+
+
+def test_wide_nodes_leave_the_states_of_others():
+    for seed in range(12):
+        rng = np.random.default_rng(seed)
+        words = rng.integers(1, 1 << 63, 4000).astype(np.uint64)
+        apart = np.stack([np.repeat(np.arange(1000), 4), rng.integers(0, 4000, 4000)], 1)
+        wide = np.stack([np.repeat(np.arange(50), 400), rng.integers(0, 500, 20000)], 1)
+        pairs = np.unique(np.concatenate([apart, wide]), axis=0)
+        keys = np.column_stack([words[pairs], np.zeros(len(pairs), np.uint64)])
+        trie, states = phrases.PhraseTrie.build(keys, np.full(len(keys), 2))
+        codes = trie.code_of(keys.ravel(), HashTable(trie.alphabet))
+        reached = trie.reached(codes, np.tile([True, False, False], len(keys)))[0]
+        assert sorted(reached) == sorted(states)
+
+
 def cheapest(rows):
     """(cost, audit, repaired rows) by a search over all edits; rows: (role, text, must go, extra cost)."""
     letters = {"s": {0: 1}, "u": {0: 2, 1: 2, 3: 2}, "a": {2: 3}}
