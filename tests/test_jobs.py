@@ -242,6 +242,21 @@ def test_new_articles(spark):
     assert collected(linkage.new_articles(incoming, stored), "id") == [(1,), (4,)]
 
 
+def test_state_report_lists_the_newest_syncs(spark):
+    raw = spark.createDataFrame([(1, "a", dt.datetime(2024, 1, 1))], "id long, source string, collected_at timestamp")
+    links = spark.createDataFrame([], "raw_data_id long")
+    outputs = spark.createDataFrame([], "raw_data_id long, model_name string, label string")
+    log = [(i, i % 2, dt.datetime(2024, 1, 1, 8, 0, i), None if i == 40 else i, "OK") for i in range(42)] + [(50, 9, None, 1, "OK")]
+    sync = spark.createDataFrame(log, "sync_log_id long, source_id long, sync_date timestamp, rows_synced long, status string")
+    sources = spark.createDataFrame([(0, "a"), (1, None)], "source_id long, name string")
+    report = tracking.state_report(raw, links, outputs, sync, sources).filter("section = 'sync'")
+    rows = {r.name: r.value for r in report.collect()}
+    assert sorted(rows, key=int) == [str(i) for i in range(12, 42)]  # 50 has no known source
+    assert rows["41"] == " | 2024-01-01 08:00:41 | 41 | OK" and rows["40"] == "a | 2024-01-01 08:00:40 |  | OK"
+    told = tracking.state_report(raw, links, outputs, sync.withColumn("error_message", F.lit("gone")), sources, 1).filter("section = 'sync'")
+    assert [r.value for r in told.collect()] == [" | 2024-01-01 08:00:41 | 41 | OK | gone"]
+
+
 def test_archive_skips_known_files(spark, data):
     known = sinks.archive_manifest(spark, data, pattern="nation.parquet")
     rest = sinks.archive_manifest(spark, data, known, "nation.parquet")
