@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import hashlib
 import random
 import tracemalloc
 from collections import Counter
@@ -263,6 +264,29 @@ def test_archive_skips_known_files(spark, data):
     assert known.count() == 1 and rest.count() == 0
 
 
+def test_archive_hashes_large_files_line_by_line(spark, tmp_path):
+    rng, mark = random.Random(2), b"\xef\xbb\xbf"
+    files_ = {
+        "a.bin": rng.randbytes(300_000), "sub x/b c.bin": b"\n\n" + rng.randbytes(5000) + b"\n", "mark.txt": mark + b"x\r\n" * 900,
+        "marks.txt": mark * 2 + b"x\ny" * 900, "lines": b"\n" * 2000, "one": b"x" * 2000, "z.gz": rng.randbytes(3000), "small": b"\n", "mark": mark,
+    }
+    (tmp_path / "sub x").mkdir()
+    for name, content in files_.items():
+        (tmp_path / name).write_bytes(content)
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    rows = sinks.archive_manifest(spark, str(tmp_path), whole=1000).select("logical_name", "size_bytes", "sha256").collect()
+    assert sorted(map(tuple, rows)) == sorted((n.split("/")[-1], len(c), hashlib.sha256(c).hexdigest()) for n, c in files_.items())
+    known = sinks.archive_manifest(spark, str(tmp_path), pattern="*.bin", whole=1000)
+    assert sinks.archive_manifest(spark, str(tmp_path), known, whole=1000).count() == len(files_) - 2
+    assert spark.conf.get("spark.sql.files.maxPartitionBytes") == before
+
+
+def test_archive_digests_refuse_parts_of_a_file():
+    batch = pa.RecordBatch.from_pydict({"file": ["f", "f"], "size": [10, 10], "line": [b"\nab", b"\nc"]})
+    with pytest.raises(ValueError, match="4 of 10 bytes of f"):
+        list(sinks._digests([batch]))
+
+
 # --- filters and contracts -------------------------------------------------------
 
 
